@@ -9,16 +9,29 @@ from pyspark.sql import functions as F
 
 from gridpulse.constants import GAP_MINUTES, KEY
 from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS, DEFAULT_ORDER, sessionize
+from gridpulse.session import maybe_broadcast
 
 EVENT_COLUMNS = (
     "state", "report_date", "county", "event_id", "lower", "middle", "upper",
     "customers_served", "start_time", "end_time", "duration", "emc", "is_filler",
+    "n_reports", "sum_affected",
 )
 
 
 def restrict_to_master(reports: DataFrame, master: DataFrame) -> DataFrame:
     """join_county_restrict: only counties of the master list get events."""
-    return reports.join(master.select("state", "county").distinct(), ["state", "county"], "left_semi")
+    return reports.join(maybe_broadcast(master.select("state", "county").distinct()), ["state", "county"], "left_semi")
+
+
+def restrict_to_spine(reports: DataFrame, master: DataFrame, run_keys: DataFrame) -> DataFrame:
+    """Reports of master counties on requested (state, day) pairs.
+
+    Same rows as a semi join with the spine (= master x run keys on state),
+    but as two semi joins with the small inputs, so the large side is never
+    shuffled for it.
+    """
+    days = maybe_broadcast(run_keys.select("state", "report_date").distinct())
+    return restrict_to_master(reports, master).join(days, ["state", "report_date"], "left_semi")
 
 
 def aggregate_events(sessions: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
@@ -38,6 +51,8 @@ def aggregate_events(sessions: DataFrame, keys: Sequence[str] = KEY, order: Sequ
         F.min("ts").alias("start_time"),
         F.max("ts").alias("end_time"),
         F.min_by("emc", first_emc_order).alias("emc"),
+        F.count(F.lit(1)).alias("n_reports"),
+        F.sum("affected").alias("sum_affected"),
     )
     return ev.select(
         *keys,
@@ -51,6 +66,8 @@ def aggregate_events(sessions: DataFrame, keys: Sequence[str] = KEY, order: Sequ
         (F.col("end_time") - F.col("start_time")).alias("duration"),
         "emc",
         F.lit(False).alias("is_filler"),
+        "n_reports",
+        "sum_affected",
     )
 
 
@@ -109,6 +126,8 @@ def fill_counties(events: DataFrame, spine: DataFrame, served_hist: DataFrame |
         F.expr("INTERVAL '0' SECOND").cast("interval day to second").alias("duration"),
         F.lit("").alias("emc"),
         F.lit(True).alias("is_filler"),
+        F.lit(0).cast("long").alias("n_reports"),
+        F.lit(0.0).alias("sum_affected"),
     )
 
 

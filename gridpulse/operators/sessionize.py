@@ -102,7 +102,9 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
 
     # 2. Window per (key, chunk): local lag and local running flag count.
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    rows = rows.withColumns({"_pts": F.lag(ts).over(w1), "_pv": F.lag(value).over(w1)})
+    rows = rows.withColumns(
+        {"_pts": F.lag(ts).over(w1), "_pv": F.lag(value).over(w1), "_last": F.lead(ts).over(w1).isNull()}
+    )
     rows = rows.withColumn(
         "_lflag", F.col("_pts").isNotNull() & ((F.col(ts) - F.col("_pts")) > gap)
     )
@@ -115,7 +117,9 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
     summ = rows.groupBy(*keys, "_chunk").agg(
         F.min(ts).alias("_cfirst"),
         F.max(ts).alias("_clast"),
-        F.max_by(value, F.struct(*order)).alias("_clastv"),
+        # value of the chunk's last row, flagged by the window: a plain max
+        # keeps this a hash aggregate (max_by over a struct would sort)
+        F.max(F.when(F.col("_last"), F.col(value))).alias("_clastv"),
         F.sum(F.col("_lflag").cast("long")).alias("_cflags"),
     )
     w2 = Window.partitionBy(*keys).orderBy("_chunk")
@@ -138,4 +142,4 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
     carried = F.when(first_in_chunk, F.col("_plastv")).otherwise(F.col("_pv"))
     out = out.withColumn("prev_affected", F.when(F.col("is_new"), F.lit(0.0)).otherwise(carried).cast("double"))
     out = out.withColumn("delta", F.greatest(F.col(value) - F.col("prev_affected"), F.lit(0.0)))
-    return out.drop("_chunk", "_pts", "_pv", "_lflag", "_lseq", "_fnew", "_plastv", "_base")
+    return out.drop("_chunk", "_pts", "_pv", "_last", "_lflag", "_lseq", "_fnew", "_plastv", "_base")

@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from gridpulse.constants import GAP_MINUTES, REPORT_HOURS
-from gridpulse.operators.events import build_events, restrict_to_master, with_fillers
-from gridpulse.operators.metrics import build_spine, reliability_metrics
+from gridpulse.operators.events import build_events, restrict_to_spine, with_fillers
+from gridpulse.operators.metrics import build_spine, metrics_from_events
 from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS
 
 
@@ -36,8 +36,8 @@ def metric_daily(
 ) -> DailyResult:
     """SAIDI and lower/middle/upper SAIFI for every master county and requested day."""
     spine = build_spine(master, run_keys)
-    restricted = restrict_to_master(reports, master).join(spine, ["state", "report_date", "county"], "left_semi")
+    restricted = restrict_to_spine(reports, master, run_keys)
     events = build_events(restricted, gap_minutes=gap_minutes, by_provider=by_provider, chunk_rows=chunk_rows)
     all_events = with_fillers(events, spine, served_hist)
-    metrics = reliability_metrics(restricted, all_events, spine, report_hours=report_hours)
+    metrics = metrics_from_events(events, spine, served_hist, report_hours=report_hours)
     return DailyResult(spine=spine, reports=restricted, events=all_events, metrics=metrics)

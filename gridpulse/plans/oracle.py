@@ -222,3 +222,118 @@ ORACLE: dict[str, str] = {
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ------------------------------------------------------- standardization --
+RAW = """
+raw AS (
+  SELECT *, CAST(1000 + 10 * (user_id % 50) + length(event_type) AS VARCHAR) AS served_n,
+         'c' || CAST(user_id % 50 AS VARCHAR) AS cname
+  FROM events),
+feed AS (
+  SELECT 's' || CAST(user_id % 2 AS VARCHAR) AS state,
+         'feed_' || event_type || '_per_county.csv' AS source_file,
+         CAST(event_id AS BIGINT) AS row_id,
+         CASE WHEN event_id % 97 = 0 THEN NULL ELSE event_type END AS emc,
+         CASE event_id % 8 WHEN 0 THEN upper(cname) WHEN 1 THEN '  ' || cname || '  '
+              WHEN 2 THEN 'xx-' || cname WHEN 3 THEN NULL WHEN 4 THEN '   '
+              WHEN 5 THEN 'Unknown' WHEN 6 THEN cname || ' county' ELSE cname END AS county_a,
+         cname AS county_b,
+         CASE event_id % 6
+              WHEN 0 THEN '"' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ',' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') || '"'
+              WHEN 1 THEN 'abc' WHEN 2 THEN NULL
+              ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS affected_raw,
+         CASE WHEN event_id % 11 = 0 THEN '0'
+              WHEN event_id % 11 = 1 THEN '"' || substr(served_n, 1, 1) || ',' || substr(served_n, 2, 3) || '"'
+              ELSE served_n END AS served_raw,
+         CASE event_id % 5 WHEN 0 THEN '0%' WHEN 1 THEN '<' || CAST(event_id % 9 + 1 AS VARCHAR) || '%'
+              WHEN 2 THEN NULL ELSE CAST(event_id % 40 + 1 AS VARCHAR) || '.5%' END AS pct_out,
+         CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+              WHEN 2 THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
+              WHEN 3 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_raw
+  FROM raw),
+canon AS (
+  SELECT state, source_file, row_id, emc,
+         coalesce(CASE WHEN trim(county_a) <> '' THEN county_a END,
+                  CASE WHEN trim(county_b) <> '' THEN county_b END) AS county,
+         affected_raw AS aff, served_raw AS srv, pct_out, ts_raw
+  FROM feed),
+cmap AS (
+  SELECT DISTINCT 's' || CAST(k % 2 AS VARCHAR) AS map_state, raw AS map_raw, 'c' || CAST(k AS VARCHAR) AS map_std
+  FROM mnum, (SELECT unnest([0, 1]) AS v) vv,
+       LATERAL (SELECT CASE WHEN v = 0 THEN 'c' || CAST(k AS VARCHAR) ELSE 'xx - c' || CAST(k AS VARCHAR) END AS raw)),
+typed AS (
+  SELECT c.*, {ts} AS ts, {aff} AS affected, {srv} AS customers_served
+  FROM canon c),
+typed2 AS (SELECT *, CAST(ts AS DATE) AS report_date FROM typed),
+good AS (
+  SELECT * FROM canon WHERE county IS NOT NULL AND county NOT IN ('unknown', 'Unknown', 'UNKNOWN', ''))
+"""
+
+
+def clean(x: str) -> str:
+    return f"coalesce(TRY_CAST(regexp_replace(CAST({x} AS VARCHAR), '[\",]', '', 'g') AS DOUBLE), 0.0)"
+
+
+def parse_ts(x: str) -> str:
+    t = f"trim(CAST({x} AS VARCHAR))"
+    return (
+        f"coalesce(try_strptime({t}, '%Y-%m-%d %H:%M:%S'), try_strptime({t}, '%Y-%m-%dT%H:%M:%S.%f'), "
+        f"try_strptime({t}, '%m-%d-%Y %H:%M:%S'), TRY_CAST({t} AS TIMESTAMP))"
+    )
+
+
+def pct_frac(x: str) -> str:
+    return f"(TRY_CAST(regexp_replace(rtrim(replace(CAST({x} AS VARCHAR), '<', '')), '%+$', '') AS DOUBLE) / 100.0)"
+
+
+def norm_county(x: str) -> str:
+    return f"regexp_replace(lower(trim({x})), '^([a-z]{{2}})-', '\\1 - ')"
+
+
+RAW_FILLED = RAW.format(ts=parse_ts("ts_raw"), aff=clean("aff"), srv=clean("srv"))
+
+
+def with_raw(select: str) -> str:
+    return f"WITH {BASE.strip()},\n{RAW_FILLED.strip()}\n{select}"
+
+
+ORACLE.update({
+    "std_coalesce_duplicates": with_raw("SELECT state, row_id, county FROM canon"),
+    "std_drop_bad_county": with_raw("SELECT state, row_id, county FROM good"),
+    "std_impute_served": with_raw(
+        f"SELECT state, row_id, {clean('aff')} AS affected, {pct_frac('pct_out')} AS pct, "
+        f"CAST(CAST(round_even({clean('aff')} / nullif({pct_frac('pct_out')}, 0.0), 0) AS BIGINT) AS DOUBLE) AS customers_served "
+        f"FROM canon"
+    ),
+    "std_parse_timestamp": with_raw("SELECT state, row_id, ts FROM typed"),
+    "std_clean_numeric": with_raw("SELECT state, row_id, affected, customers_served FROM typed"),
+    "std_filter_date": with_raw("SELECT state, row_id, ts FROM typed2 WHERE report_date = DATE '2024-01-15'"),
+    "std_filter_date_range": with_raw(
+        "SELECT state, row_id, ts, report_date FROM typed2 "
+        "WHERE report_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"
+    ),
+    "std_drop_zero_served": with_raw("SELECT state, row_id, customers_served FROM typed2 WHERE customers_served <> 0"),
+    "std_normalize_county": with_raw(f"SELECT state, row_id, {norm_county('county')} AS county_key FROM good"),
+    "std_map_county": with_raw(
+        f"SELECT g.state, g.row_id, m.map_std AS county FROM good g JOIN cmap m "
+        f"ON lower(trim(g.state)) = m.map_state AND {norm_county('g.county')} = m.map_raw"
+    ),
+    "join_county_map": with_raw(
+        f"SELECT g.state, g.row_id, g.county AS raw_county, m.map_std AS county FROM good g JOIN cmap m "
+        f"ON lower(trim(g.state)) = m.map_state AND {norm_county('g.county')} = m.map_raw"
+    ),
+    "std_pick_larger_column": with_raw(
+        f"SELECT state, row_id, {clean('CASE WHEN t.ta >= t.tb THEN aff ELSE alt END')} AS affected "
+        f"FROM (SELECT *, '\"' || CAST(row_id % 7 AS VARCHAR) || '\"' AS alt FROM canon) c, "
+        f"(SELECT sum({clean('aff')}) AS ta, sum({clean(chr(39) + chr(34) + chr(39) + ' || CAST(row_id % 7 AS VARCHAR) || ' + chr(39) + chr(34) + chr(39))}) AS tb FROM canon) t"
+    ),
+    "std_standardize": with_raw(
+        f"SELECT t.state, t.report_date, m.map_std AS county, t.emc, t.ts, t.affected, t.customers_served, "
+        f"t.source_file, t.row_id FROM typed2 t JOIN cmap m "
+        f"ON lower(trim(t.state)) = m.map_state AND {norm_county('t.county')} = m.map_raw "
+        f"WHERE t.emc IS NOT NULL AND t.county IS NOT NULL AND t.county NOT IN ('unknown', 'Unknown', 'UNKNOWN', '') "
+        f"AND t.ts IS NOT NULL AND t.customers_served <> 0"
+    ),
+})

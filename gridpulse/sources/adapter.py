@@ -172,3 +172,26 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         pct.alias("pct_out"),
         ts_text.alias("ts_raw"),
     )
+
+
+# Header of the events-derived feed and its column map (configuration, as a
+# state's col_map.csv would hold it).  Position i of the header is column
+# ``_c<i>`` of ``raw_feed_positional``.
+FEED_HEADER = ("EMC", "Name ", "CountyName", "n_out", "Cust_S", "% Out", "timestamp")
+FEED_SOURCES = ("emc", "county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw")
+FEED_COL_MAP = {
+    "name": "county",
+    "countyname": "county",
+    "n_out": "per_outage_customers_affected",
+    "cust_s": "customers_served",
+    "timestamp": "timestamp",
+}
+
+
+def raw_feed_positional(spark: SparkSession, sf_dir: str, with_served: bool = True):
+    """(frame with ``state, source_file, row_id, _c0..``, header): the raw
+    feed as one header group; without served it is the ``% out``-only variant."""
+    raw = raw_feed(spark, sf_dir)
+    pairs = [(h, c) for h, c in zip(FEED_HEADER, FEED_SOURCES) if with_served or c != "served_raw"]
+    cols = [F.col(c).alias(f"_c{i}") for i, (_, c) in enumerate(pairs)]
+    return raw.select("state", "source_file", "row_id", *cols), [h for h, _ in pairs]

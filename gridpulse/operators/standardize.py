@@ -95,13 +95,28 @@ def first_non_blank(cols: Sequence[Column]) -> Column:
     return F.coalesce(*[F.when(F.trim(c) != F.lit(""), c) for c in cols])
 
 
-def coalesce_duplicates(raw: DataFrame, plan: ColumnPlan, keep: Sequence[str] = ("state", "source_file", "row_id")) -> DataFrame:
-    """Project a positional raw frame onto its canonical columns."""
+def coalesce_duplicates(
+    raw: DataFrame,
+    plan: ColumnPlan,
+    keep: Sequence[str] = ("state", "source_file", "row_id"),
+    impute: bool | None = None,
+) -> DataFrame:
+    """Project a positional raw frame onto its canonical columns.
+
+    With ``impute`` given (file reads), the frame always carries served and
+    ``% out`` (NULL when absent) plus an ``_impute`` flag, so frames of many
+    header groups union cleanly and the served estimate is decided per row.
+    """
     out = [F.col(k) for k in keep if k in raw.columns]
     for name, positions in plan.sources.items():
         out.append(first_non_blank([F.col(f"_c{i}") for i in positions]).alias(name))
     if EMC not in plan.sources:
         out.append(F.lit(None).cast("string").alias(EMC))
+    if impute is not None:
+        for name in (SERVED, PCT_OUT):
+            if name not in plan.sources:
+                out.append(F.lit(None).cast("string").alias(name))
+        out.append(F.lit(bool(impute)).alias("_impute"))
     return raw.select(*out)
 
 
@@ -138,14 +153,22 @@ def impute_served(df: DataFrame) -> DataFrame:
     Affected is cleaned first (quotes and thousands separators removed), so
     ``"1,200"`` gives an estimate instead of failing the whole state.
     """
+    if "_impute" in df.columns:
+        est = _served_estimate(F.col(AFFECTED), F.col(PCT_OUT))
+        served = F.when(F.col("_impute"), est.cast("long").cast("string")).otherwise(F.col(SERVED))
+        return df.withColumn(SERVED, served).drop(PCT_OUT, "_impute")
     if SERVED in df.columns or PCT_OUT not in df.columns:
         return df.drop(PCT_OUT) if PCT_OUT in df.columns else df
-    pct = pct_out_fraction(F.col(PCT_OUT))
-    # rint = round half to even on the double, like the source's float round
-    est = F.rint(F.try_divide(clean_numeric(F.col(AFFECTED)), F.nullif(pct, F.lit(0.0))))
+    est = _served_estimate(F.col(AFFECTED), F.col(PCT_OUT))
     return df.withColumn(SERVED, est.cast("long").cast("string")).drop(PCT_OUT)
 
 
+def _served_estimate(affected: Column, pct_text: Column) -> Column:
+    pct = pct_out_fraction(pct_text)
+    # rint = round half to even on the double, like the source's float round
+    return F.rint(F.try_divide(clean_numeric(affected), F.nullif(pct, F.lit(0.0))))
+
+
 def parse_types(df: DataFrame) -> DataFrame:
     """std_parse_timestamp + std_clean_numeric."""
     return df.withColumns(

@@ -247,6 +247,6 @@ def q_fn_title(spark, sf):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # the other query modules register themselves on import
-    from gridpulse.plans import queries_std  # noqa: F401
+    from gridpulse.plans import queries_files, queries_jobs, queries_std  # noqa: F401
 
     return dict(QUERIES)

@@ -251,7 +251,8 @@ feed AS (
          CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
               WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
               WHEN 2 THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
-              WHEN 3 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_raw
+              WHEN 3 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_raw,
+         CASE event_id % 10 WHEN 7 THEN ' MUNI ' WHEN 8 THEN 'county' END AS key_raw
   FROM raw),
 canon AS (
   SELECT state, source_file, row_id, emc,
@@ -337,3 +338,100 @@ ORACLE.update({
         f"AND t.ts IS NOT NULL AND t.customers_served <> 0"
     ),
 })
+
+
+# ------------------------------------------------- mapping, quality, sets --
+EXTRA = f"""
+rc AS (
+  SELECT DISTINCT state, trim(replace(lower(v), 'county', '')) AS raw
+  FROM (SELECT state, unnest([county_a, county_b]) AS v FROM feed
+        WHERE key_raw IS NULL OR lower(trim(key_raw)) <> 'muni') u
+  WHERE v IS NOT NULL),
+rcf AS (SELECT * FROM rc WHERE raw <> ''),
+fz AS (
+  SELECT r.state, r.raw, m.county AS standard,
+         greatest(100.0 * (1.0 - CAST(levenshtein(r.raw, m.county) AS DOUBLE)
+                         / CAST(greatest(length(r.raw), length(m.county)) AS DOUBLE)),
+                  CASE WHEN instr(r.raw, m.county) > 0 OR instr(m.county, r.raw) > 0 THEN 90.0 ELSE 0.0 END) AS score
+  FROM rcf r JOIN master m ON r.state = m.state),
+saidi26 AS (
+  SELECT state, report_date, county, sum(affected) * CAST(0.26 AS DOUBLE) / max(customers_served) AS saidi
+  FROM sreports GROUP BY state, report_date, county),
+metrics26 AS (
+  SELECT s.state, s.report_date, s.county, d.saidi, m.lower_saifi, m.middle_saifi, m.upper_saifi
+  FROM metrics m JOIN spine s ON m.state = s.state AND m.report_date = s.report_date AND m.county = s.county
+  LEFT JOIN saidi26 d ON s.state = d.state AND s.report_date = d.report_date AND s.county = d.county),
+disp_base AS (
+  SELECT state AS state_code, report_date AS Date, {title('county')} AS County,
+         {disp('saidi')} AS SAIDI, {disp('middle_saifi')} AS SAIFI,
+         {disp('lower_saifi')} AS LOWER_SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI FROM metrics),
+disp_cand AS (
+  SELECT state AS state_code, report_date AS Date, {title('county')} AS County,
+         {disp('saidi')} AS SAIDI, {disp('middle_saifi')} AS SAIFI,
+         {disp('lower_saifi')} AS LOWER_SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI FROM metrics26),
+histx AS (
+  SELECT {title('state_name')} AS State, {title('county')} AS County, fips AS FIPS, saidi AS SAIDI,
+         middle_saifi AS SAIFI, report_date AS Date, state AS state_code
+  FROM ({ENRICHED.format(src="metrics")}) e)
+"""
+
+
+def with_extra(select: str) -> str:
+    return f"WITH {BASE.strip()},\n{RAW_FILLED.strip()},\n{EXTRA.strip()}\n{select}"
+
+
+def _match(b: str, o: str) -> str:
+    nb, no = f"TRY_CAST({b} AS DOUBLE)", f"TRY_CAST({o} AS DOUBLE)"
+    return (
+        f"(CASE WHEN {b} LIKE '<%' AND {o} LIKE '<%' THEN {b} = {o} "
+        f"WHEN {b} LIKE '<%' OR {o} LIKE '<%' THEN FALSE "
+        f"WHEN {nb} IS NULL AND {no} IS NULL THEN TRUE "
+        f"ELSE coalesce(abs({nb} - {no}) <= 0.0001, FALSE) END)"
+    )
+
+
+_CMP_COLS = ("SAIDI", "SAIFI", "LOWER_SAIFI", "UPPER_SAIFI")
+_CMP = " UNION ALL ".join(
+    f"SELECT b.state_code, b.Date, b.County, '{c}' AS \"Column\", b.{c} AS Baseline, o.{c} AS Optimized "
+    f"FROM disp_base b JOIN disp_cand o ON b.state_code = o.state_code AND b.Date = o.Date AND b.County = o.County "
+    f"WHERE NOT {_match('b.' + c, 'o.' + c)}"
+    for c in _CMP_COLS
+)
+
+ORACLE.update({
+    "agg_distinct_counties": with_extra("SELECT state, raw FROM rcf ORDER BY state, raw"),
+    "join_fuzzy_top1": with_extra("SELECT state, raw, standard, score FROM fz WHERE score >= 85.0"),
+    "win_best_match": with_extra(
+        "SELECT state, raw, standard, score FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn FROM fz WHERE score >= 85.0) WHERE rn = 1"
+    ),
+    "qa_mapping_coverage": with_extra(
+        "SELECT state, 'raw_unmapped' AS issue, raw AS name FROM rcf r WHERE NOT EXISTS "
+        "(SELECT 1 FROM cmap m WHERE m.map_state = r.state AND m.map_raw = r.raw) "
+        "UNION ALL SELECT DISTINCT map_state AS state, 'mapped_not_master' AS issue, map_std AS name FROM cmap c "
+        "WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.state = c.map_state AND m.county = c.map_std) "
+        "UNION ALL SELECT state, 'master_never_hit' AS issue, county AS name FROM master m WHERE NOT EXISTS "
+        "(SELECT 1 FROM rcf r JOIN cmap c ON c.map_state = r.state AND c.map_raw = r.raw "
+        "WHERE r.state = m.state AND c.map_std = m.county)"
+    ),
+    "agg_null_profile": with_extra(
+        "SELECT provider, sample_source, \"column\", total_rows, null_count FROM ("
+        "SELECT emc AS provider, min(source_file) AS sample_source, count(*) AS total_rows, "
+        + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in
+                    ("county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw", "key_raw"))
+        + " FROM feed WHERE emc IS NOT NULL GROUP BY emc) "
+        "UNPIVOT (null_count FOR \"column\" IN (county_a, county_b, affected_raw, served_raw, pct_out, ts_raw, key_raw)) "
+        "WHERE null_count > 0"
+    ),
+    "join_compare": with_extra(
+        "SELECT b.state_code, b.Date, b.County, b.SAIDI AS SAIDI_base, b.SAIFI AS SAIFI_base, "
+        "o.SAIDI AS SAIDI_opt, o.SAIFI AS SAIFI_opt FROM disp_base b JOIN disp_cand o "
+        "ON b.state_code = o.state_code AND b.Date = o.Date AND b.County = o.County"
+    ),
+    "qa_compare_tolerance": with_extra(_CMP),
+    "set_replace_date": with_extra(
+        "SELECT State, County, FIPS, SAIDI, SAIFI, Date, state_code FROM histx WHERE Date <> DATE '2024-01-15' "
+        "UNION ALL SELECT State, County, FIPS, SAIDI * 2.0 AS SAIDI, SAIFI, Date, state_code FROM histx "
+        "WHERE Date = DATE '2024-01-15'"
+    ),
+})

@@ -171,14 +171,15 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         served.alias("served_raw"),
         pct.alias("pct_out"),
         ts_text.alias("ts_raw"),
+        F.when(eid % 10 == 7, F.lit(" MUNI ")).when(eid % 10 == 8, F.lit("county")).alias("key_raw"),
     )
 
 
 # Header of the events-derived feed and its column map (configuration, as a
 # state's col_map.csv would hold it).  Position i of the header is column
 # ``_c<i>`` of ``raw_feed_positional``.
-FEED_HEADER = ("EMC", "Name ", "CountyName", "n_out", "Cust_S", "% Out", "timestamp")
-FEED_SOURCES = ("emc", "county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw")
+FEED_HEADER = ("EMC", "Name ", "CountyName", "n_out", "Cust_S", "% Out", "timestamp", "key")
+FEED_SOURCES = ("emc", "county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw", "key_raw")
 FEED_COL_MAP = {
     "name": "county",
     "countyname": "county",

@@ -17,7 +17,7 @@ from gridpulse.operators import enrich, mapping
 from gridpulse.operators.metrics import format_metrics
 from gridpulse.operators.standardize import standardize
 from gridpulse.plans.daily import metric_daily
-from gridpulse.sinks.tables import upsert_history, write_dashboard
+from gridpulse.sinks.tables import read_partitioned, upsert_history, write_dashboard, write_partitioned
 from gridpulse.sources import feeds, lookups
 
 
@@ -78,15 +78,32 @@ def job_daily(
         raise ValueError("no usable feed files")
     std = standardize(raw, county_map, run_keys=run_keys)
     kwargs = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    d = metric_daily(std, master, run_keys, served, **kwargs)
-    raw_export, display, history = _outputs(d.metrics, fips)
-    summary = None
-    if out_root is not None:
-        upsert_history(history, f"{out_root}/history")
-        summary = write_dashboard(display, f"{out_root}/dashboard")
+    if out_root is None:
+        d = metric_daily(std, master, run_keys, served, **kwargs)
+        raw_export, display, history = _outputs(d.metrics, fips)
+        return JobResult(display, raw_export, history, None, None, groups)
+    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs)
+    raw_export, display, history = _outputs(metrics, fips)
+    upsert_history(history, f"{out_root}/history")
+    summary = write_dashboard(display, f"{out_root}/dashboard")
     return JobResult(display, raw_export, history, None, summary, groups)
 
 
+def _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs) -> DataFrame:
+    """Silver reports -> metrics -> gold metrics, each a written table.
+
+    The raw scan and parse run once (silver write); sessionization reads
+    the silver partitions of the run; both sinks read the small gold table.
+    """
+    silver = f"{out_root}/silver/std_reports"
+    gold = f"{out_root}/gold/metrics"
+    write_partitioned(std, silver, ["state", "report_date"])
+    reports = read_partitioned(spark, silver, run_keys)
+    d = metric_daily(reports, master, run_keys, served, **kwargs)
+    write_partitioned(d.metrics, gold, ["state", "report_date"])
+    return read_partitioned(spark, gold, run_keys).select(*d.metrics.columns)
+
+
 def job_backfill(
     spark: SparkSession,
     inp: Inputs,
@@ -108,10 +125,19 @@ def job_backfill(
     )
     std = standardize(raw, county_map, date_range=(start, end))
     std = std.join(F.broadcast(wanted), ["state", "report_date"], "left_semi")
+    if out_root is not None:
+        silver = f"{out_root}/silver/std_reports"
+        write_partitioned(std, silver, ["state", "report_date"])
+        std = read_partitioned(spark, silver, wanted)
     reported = std.select("state", "report_date").distinct()
     skipped = wanted.join(reported, ["state", "report_date"], "left_anti")
     d = metric_daily(std, master, reported, served)
-    raw_export, display, history = _outputs(d.metrics, fips)
+    metrics = d.metrics
+    if out_root is not None:
+        gold = f"{out_root}/gold/metrics"
+        write_partitioned(metrics, gold, ["state", "report_date"])
+        metrics = read_partitioned(spark, gold, wanted).select(*d.metrics.columns)
+    raw_export, display, history = _outputs(metrics, fips)
     if out_root is not None:
         upsert_history(history, f"{out_root}/history")
     return JobResult(display, raw_export, history, skipped, None, groups)

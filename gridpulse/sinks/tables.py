@@ -36,6 +36,30 @@ def land_bronze(raw_canonical: DataFrame, path: str) -> None:
     )
 
 
+def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Dynamic-overwrite Parquet write (silver reports, gold metrics): only
+    the partitions present in ``df`` are replaced.  Written tables are also
+    the lineage cut of a job: after an executor loss, later stages re-read
+    them instead of recomputing the scan and parse."""
+    (
+        df.sortWithinPartitions(*partition_cols)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+
+
+def read_partitioned(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
+    """Read a (state, report_date) partitioned table; with ``keys`` only the
+    requested partitions (semi join on partition columns -> pruning)."""
+    df = spark.read.parquet(path)
+    if keys is not None:
+        df = df.join(maybe_broadcast(keys.select("state", "report_date").distinct()), ["state", "report_date"], "left_semi")
+    return df
+
+
 def read_bronze(spark: SparkSession, path: str, days: Sequence | None = None, states: Sequence[str] | None = None) -> DataFrame:
     """scan_recent_slice, reading side: partition-pruned read of some days."""
     df = spark.read.parquet(path)

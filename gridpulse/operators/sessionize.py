@@ -61,59 +61,58 @@ def sessionize(
 def _sessionize_single(reports, keys, ts, value, order, gap_minutes):
     w = Window.partitionBy(*keys).orderBy(*order)
     prev_ts = F.lag(ts).over(w)
-    prev_v = F.lag(value).over(w)
-    out = reports.withColumns({"_pts": prev_ts, "_pv": prev_v})
-    is_new = F.col("_pts").isNull() | ((F.col(ts) - F.col("_pts")) > _gap(gap_minutes))
-    out = out.withColumn("is_new", is_new)
-    out = out.withColumn(
-        "event_id",
-        F.sum(F.col("is_new").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    is_new = prev_ts.isNull() | ((F.col(ts) - prev_ts) > _gap(gap_minutes))
+    out = reports.select("*", is_new.alias("is_new"), F.lag(value).over(w).alias("_pv"))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev = F.when(F.col("is_new"), F.lit(0.0)).otherwise(F.col("_pv")).cast("double")
+    return out.select(
+        *[c for c in out.columns if c != "_pv"],
+        F.sum(F.col("is_new").cast("long")).over(running).alias("event_id"),
+        prev.alias("prev_affected"),
+        F.greatest(F.col(value) - prev, F.lit(0.0)).alias("delta"),
     )
-    prev = F.when(F.col("is_new"), F.lit(0.0)).otherwise(F.col("_pv"))
-    out = out.withColumn("prev_affected", prev.cast("double"))
-    out = out.withColumn("delta", F.greatest(F.col(value) - F.col("prev_affected"), F.lit(0.0)))
-    return out.drop("_pts", "_pv")
 
 
 def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows):
     gap = _gap(gap_minutes)
+    base_cols = reports.columns
 
     # 1. Per-key size and time span (partial aggregation: skew-safe), then a
     #    chunk number proportional to the position in the key's time span.
     stats = reports.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(ts).alias("_t0"),
-        F.max(ts).alias("_t1"),
-    )
-    stats = stats.select(
+        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1")
+    ).select(
         *keys,
         "_t0",
         F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_rows)))).cast("long").alias("_nc"),
         (micros_between("_t0", "_t1") + F.lit(1)).cast("double").alias("_span"),
     )
-    # One row per key: broadcast when Catalyst proves it small, otherwise a
-    # shuffle join that AQE can split for skewed keys.
-    rows = reports.join(stats, keys, "inner")
+    # One row per key: broadcast when Catalyst/AQE prove it small, otherwise
+    # a shuffle join that AQE can split for skewed keys.
     chunk = F.least(
         F.col("_nc") - F.lit(1),
         F.floor(micros_between("_t0", ts).cast("double") / F.col("_span") * F.col("_nc")),
     ).cast("long")
-    rows = rows.withColumn("_chunk", chunk).drop("_t0", "_nc", "_span")
+    rows = reports.join(stats, keys, "inner").select(*base_cols, chunk.alias("_chunk"))
 
-    # 2. Window per (key, chunk): local lag and local running flag count.
+    # 2. Window per (key, chunk): local lag, last-row flag, local new-event
+    #    flag, then the local running flag count (same spec: one sort).
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    rows = rows.withColumns(
-        {"_pts": F.lag(ts).over(w1), "_pv": F.lag(value).over(w1), "_last": F.lead(ts).over(w1).isNull()}
-    )
-    rows = rows.withColumn(
-        "_lflag", F.col("_pts").isNotNull() & ((F.col(ts) - F.col("_pts")) > gap)
+    prev_ts = F.lag(ts).over(w1)
+    rows = rows.select(
+        "*",
+        prev_ts.alias("_pts"),
+        F.lag(value).over(w1).alias("_pv"),
+        F.lead(ts).over(w1).isNull().alias("_last"),
+        (prev_ts.isNotNull() & ((F.col(ts) - prev_ts) > gap)).alias("_lflag"),
     )
-    rows = rows.withColumn(
-        "_lseq",
-        F.sum(F.col("_lflag").cast("long")).over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    rows = rows.select(
+        "*",
+        F.sum(F.col("_lflag").cast("long")).over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_lseq"),
     )
 
-    # 3. One summary row per (key, chunk), then a window over the summaries.
+    # 3. One summary row per (key, chunk) -- already partitioned that way, so
+    #    no shuffle -- then a window over the summaries (one row per chunk).
     summ = rows.groupBy(*keys, "_chunk").agg(
         F.min(ts).alias("_cfirst"),
         F.max(ts).alias("_clast"),
@@ -123,23 +122,25 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
         F.sum(F.col("_lflag").cast("long")).alias("_cflags"),
     )
     w2 = Window.partitionBy(*keys).orderBy("_chunk")
-    summ = summ.withColumns({"_plast": F.lag("_clast").over(w2), "_plastv": F.lag("_clastv").over(w2)})
-    summ = summ.withColumn("_fnew", F.col("_plast").isNull() | ((F.col("_cfirst") - F.col("_plast")) > gap))
-    summ = summ.withColumn(
-        "_base",
-        F.sum(F.col("_fnew").cast("long") + F.col("_cflags")).over(
-            w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        - F.col("_cflags"),
+    plast = F.lag("_clast").over(w2)
+    fnew = plast.isNull() | ((F.col("_cfirst") - plast) > gap)
+    summ = summ.select(*keys, "_chunk", "_cflags", fnew.alias("_fnew"), F.lag("_clastv").over(w2).alias("_plastv"))
+    summ = summ.select(
+        *keys, "_chunk", "_fnew", "_plastv",
+        (F.sum(F.col("_fnew").cast("long") + F.col("_cflags")).over(
+            w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cflags")).alias("_base"),
     )
-    summ = summ.select(*keys, "_chunk", "_fnew", "_plastv", "_base")
 
     # 4. Join the carry-in back on (key, chunk) and finish each row.
     out = rows.join(summ, [*keys, "_chunk"], "inner")
     first_in_chunk = F.col("_pts").isNull()
-    out = out.withColumn("is_new", F.when(first_in_chunk, F.col("_fnew")).otherwise(F.col("_lflag")))
-    out = out.withColumn("event_id", (F.col("_base") + F.col("_lseq")).cast("long"))
+    is_new = F.when(first_in_chunk, F.col("_fnew")).otherwise(F.col("_lflag"))
     carried = F.when(first_in_chunk, F.col("_plastv")).otherwise(F.col("_pv"))
-    out = out.withColumn("prev_affected", F.when(F.col("is_new"), F.lit(0.0)).otherwise(carried).cast("double"))
-    out = out.withColumn("delta", F.greatest(F.col(value) - F.col("prev_affected"), F.lit(0.0)))
-    return out.drop("_chunk", "_pts", "_pv", "_last", "_lflag", "_lseq", "_fnew", "_plastv", "_base")
+    prev = F.when(is_new, F.lit(0.0)).otherwise(carried).cast("double")
+    return out.select(
+        *base_cols,
+        is_new.alias("is_new"),
+        (F.col("_base") + F.col("_lseq")).cast("long").alias("event_id"),
+        prev.alias("prev_affected"),
+        F.greatest(F.col(value) - prev, F.lit(0.0)).alias("delta"),
+    )

@@ -20,8 +20,14 @@ from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS
 class DailyResult:
     spine: DataFrame
     reports: DataFrame      # standardized reports restricted to the master list
-    events: DataFrame       # events incl. fillers
+    real_events: DataFrame  # events built from reports (no fillers)
     metrics: DataFrame      # numeric, unrounded, NULL = no data
+    served_hist: DataFrame | None = None
+
+    @property
+    def events(self) -> DataFrame:
+        """Events incl. one filler row per silent spine county (built on use)."""
+        return with_fillers(self.real_events, self.spine, self.served_hist)
 
 
 def metric_daily(
@@ -38,6 +44,5 @@ def metric_daily(
     spine = build_spine(master, run_keys)
     restricted = restrict_to_spine(reports, master, run_keys)
     events = build_events(restricted, gap_minutes=gap_minutes, by_provider=by_provider, chunk_rows=chunk_rows)
-    all_events = with_fillers(events, spine, served_hist)
     metrics = metrics_from_events(events, spine, served_hist, report_hours=report_hours)
-    return DailyResult(spine=spine, reports=restricted, events=all_events, metrics=metrics)
+    return DailyResult(spine=spine, reports=restricted, real_events=events, metrics=metrics, served_hist=served_hist)

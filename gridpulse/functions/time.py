@@ -23,7 +23,12 @@ def parse_timestamp(c: Column | str, formats=TIMESTAMP_FORMATS) -> Column:
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    """Whole microseconds from ``start`` to ``end`` (no session time zone involved)."""
+    """Whole microseconds from ``start`` to ``end`` of two ``timestamp_ntz``.
+
+    ``timestamp_diff`` casts NTZ values through the session time zone (an
+    hour off across a DST change); the NTZ difference is an exact day-time
+    interval, turned into microseconds by adding it to the epoch instant.
+    """
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
-    return F.timestamp_diff("MICROSECOND", s, e)
+    return F.unix_micros(F.timestamp_micros(F.lit(0)) + (e - s))

@@ -78,7 +78,8 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
     base_cols = reports.columns
 
     # 1. Per-key size and time span (partial aggregation: skew-safe), then a
-    #    chunk number proportional to the position in the key's time span.
+    #    chunk number proportional to the position in the key's time span;
+    #    ``_nc`` = number of chunks of the key (1 for every normal key).
     stats = reports.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1")
     ).select(
@@ -93,11 +94,14 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
         F.col("_nc") - F.lit(1),
         F.floor(micros_between("_t0", ts).cast("double") / F.col("_span") * F.col("_nc")),
     ).cast("long")
-    rows = reports.join(stats, keys, "inner").select(*base_cols, chunk.alias("_chunk"))
+    rows = reports.join(stats, keys, "inner").select(*base_cols, "_nc", chunk.alias("_chunk"))
 
     # 2. Window per (key, chunk): local lag, last-row flag, local new-event
     #    flag, then the local running flag count (same spec: one sort).
-    w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    #    ``_nc`` is a partition column too (it is constant per key), so a
+    #    filter on it can be pushed below the window.
+    part = [*keys, "_nc", "_chunk"]
+    w1 = Window.partitionBy(*part).orderBy(*order)
     prev_ts = F.lag(ts).over(w1)
     rows = rows.select(
         "*",
@@ -111,9 +115,11 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
         F.sum(F.col("_lflag").cast("long")).over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_lseq"),
     )
 
-    # 3. One summary row per (key, chunk) -- already partitioned that way, so
-    #    no shuffle -- then a window over the summaries (one row per chunk).
-    summ = rows.groupBy(*keys, "_chunk").agg(
+    # 3. Carry-in for keys cut into several chunks only: one summary row per
+    #    chunk, then a window over the summaries.  ``_nc > 1`` is pushed below
+    #    the window into the stats join, so only rows of big keys take this
+    #    second pass; for ordinary data the branch is empty.
+    summ = rows.where(F.col("_nc") > 1).groupBy(*part).agg(
         F.min(ts).alias("_cfirst"),
         F.max(ts).alias("_clast"),
         # value of the chunk's last row, flagged by the window: a plain max
@@ -124,23 +130,26 @@ def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows
     w2 = Window.partitionBy(*keys).orderBy("_chunk")
     plast = F.lag("_clast").over(w2)
     fnew = plast.isNull() | ((F.col("_cfirst") - plast) > gap)
-    summ = summ.select(*keys, "_chunk", "_cflags", fnew.alias("_fnew"), F.lag("_clastv").over(w2).alias("_plastv"))
+    summ = summ.select(*part, "_cflags", fnew.alias("_fnew"), F.lag("_clastv").over(w2).alias("_plastv"))
     summ = summ.select(
-        *keys, "_chunk", "_fnew", "_plastv",
+        *part, "_fnew", "_plastv",
         (F.sum(F.col("_fnew").cast("long") + F.col("_cflags")).over(
             w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cflags")).alias("_base"),
     )
 
-    # 4. Join the carry-in back on (key, chunk) and finish each row.
-    out = rows.join(summ, [*keys, "_chunk"], "inner")
+    # 4. Join the carry-in back (left: single-chunk keys have none; their
+    #    first row starts event 1) and finish each row.
+    out = rows.join(summ, part, "left")
     first_in_chunk = F.col("_pts").isNull()
-    is_new = F.when(first_in_chunk, F.col("_fnew")).otherwise(F.col("_lflag"))
+    fnew_c = F.coalesce(F.col("_fnew"), F.lit(True))
+    base_c = F.coalesce(F.col("_base"), F.lit(1).cast("long"))
+    is_new = F.when(first_in_chunk, fnew_c).otherwise(F.col("_lflag"))
     carried = F.when(first_in_chunk, F.col("_plastv")).otherwise(F.col("_pv"))
     prev = F.when(is_new, F.lit(0.0)).otherwise(carried).cast("double")
     return out.select(
         *base_cols,
         is_new.alias("is_new"),
-        (F.col("_base") + F.col("_lseq")).cast("long").alias("event_id"),
+        (base_c + F.col("_lseq")).cast("long").alias("event_id"),
         prev.alias("prev_affected"),
         F.greatest(F.col(value) - prev, F.lit(0.0)).alias("delta"),
     )

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.constants import KEY
-from gridpulse.functions.numeric import display_metric, half_even_round
 from gridpulse.functions.text import fn_title
+from gridpulse.functions.time import micros_between
 from gridpulse.operators import enrich, events as ev_ops, metrics as met_ops
 from gridpulse.operators.sessionize import sessionize
 from gridpulse.plans.daily import metric_daily
@@ -31,7 +31,7 @@ def query(name: str):
 
 def _minutes(c) -> "F.Column":
     """Interval/timestamp difference as double minutes (portable to SQL)."""
-    return (F.timestamp_diff("MICROSECOND", F.col(c[0]), F.col(c[1])) / F.lit(60_000_000.0))
+    return micros_between(c[0], c[1]) / F.lit(60_000_000.0)
 
 
 def _daily(spark: SparkSession, sf: str):
@@ -76,7 +76,7 @@ def q_win_time_gap(spark, sf):
     w = Window.partitionBy(*KEY).orderBy("ts", "emc", "source_file", "row_id")
     return s.select(
         *KEY, "row_id",
-        (F.timestamp_diff("MICROSECOND", F.lag("ts").over(w), F.col("ts")) / F.lit(60_000_000.0)).alias("gap_minutes"),
+        (micros_between(F.lag("ts").over(w), F.col("ts")) / F.lit(60_000_000.0)).alias("gap_minutes"),
     )
 
 

@@ -71,3 +71,18 @@ def test_invariants_lower_middle_upper(spark):
     w = Window.partitionBy("state", "report_date", "county").orderBy("event_id")
     gaps = ev.withColumn("prev_end", F.lag("end_time").over(w)).where(F.col("prev_end").isNotNull())
     assert gaps.where((F.col("start_time") - F.col("prev_end")) <= F.expr("INTERVAL 59 MINUTES")).count() == 0
+
+
+def test_dst_session_time_zone_does_not_shift_gaps(spark):
+    # 01:30 -> 02:30 on a spring-forward day is 60 minutes of wall time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [("ny", dt.date(2024, 3, 10), "c", "e", dt.datetime(2024, 3, 10, h, m), 1.0, 10.0, "f", i)
+                for i, (h, m) in enumerate([(1, 30), (2, 29), (3, 28)])]
+        df = spark.createDataFrame(rows, SCHEMA)
+        for chunk in (None, 1):
+            s = sessionize(df, chunk_rows=chunk).orderBy("ts").collect()
+            assert [r.event_id for r in s] == [1, 1, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -89,6 +89,24 @@ def job_daily(
     return JobResult(display, raw_export, history, None, summary, groups)
 
 
+def finish_from_reports(
+    spark: SparkSession,
+    std: DataFrame,
+    run_keys: DataFrame,
+    master: DataFrame,
+    served: DataFrame | None,
+    fips: DataFrame,
+    out_root: str,
+) -> JobResult:
+    """Tail of the daily job from standardized reports: silver, metrics,
+    gold, history upsert and dashboard for exactly ``run_keys``."""
+    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root, {})
+    raw_export, display, history = _outputs(metrics, fips)
+    upsert_history(history, f"{out_root}/history")
+    summary = write_dashboard(display, f"{out_root}/dashboard")
+    return JobResult(display, raw_export, history, None, summary, [])
+
+
 def _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs) -> DataFrame:
     """Silver reports -> metrics -> gold metrics, each a written table.
 

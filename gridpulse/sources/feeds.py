@@ -211,6 +211,19 @@ def read_feeds(
         manifest = stale_filter(manifest, as_of, stale_days)
     headers = file_headers(spark, manifest)
     groups = header_groups(headers, manifest, col_maps)
+    return read_planned(spark, groups, require_provider=require_provider, drop_null_provider=drop_null_provider), groups
+
+
+def read_planned(
+    spark: SparkSession,
+    groups: Sequence[HeaderGroup],
+    only_paths: set[str] | None = None,
+    require_provider: bool = True,
+    drop_null_provider: bool = True,
+) -> DataFrame | None:
+    """Read planned header groups (optionally only some of their files, e.g.
+    the new files of a stream batch; the served decision still comes from
+    all groups of the state)."""
     usable = [g for g in groups if g.skipped_reason is None]
     if require_provider and usable and not any(PROVIDER_COLUMN in g.header for g in usable):
         raise ValueError(f"Expected column '{PROVIDER_COLUMN}' not found in data")
@@ -220,13 +233,20 @@ def read_feeds(
     has_served = {}
     for g in usable:
         has_served[g.state] = has_served.get(g.state, False) or SERVED in g.plan.sources
-    frames = [read_group(spark, g, impute=not has_served[g.state]) for g in usable]
+    frames = []
+    for g in usable:
+        if only_paths is not None:
+            paths = [p for p in g.paths if p in only_paths]
+            if not paths:
+                continue
+            g = HeaderGroup(g.state, g.header, paths, g.plan, g.skipped_reason)
+        frames.append(read_group(spark, g, impute=not has_served[g.state]))
     if not frames:
-        return None, groups
+        return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return (out.where(F.col("emc").isNotNull()) if drop_null_provider else out), groups
+    return out.where(F.col("emc").isNotNull()) if drop_null_provider else out
 
 
 def group_report(spark: SparkSession, groups: Sequence[HeaderGroup]) -> DataFrame:

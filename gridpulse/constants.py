@@ -41,7 +41,9 @@ FEED_NAME_PATTERN = r"(?i)per_?count(y|ies)?"
 FEED_SUFFIX_PATTERN = r"(?i)\.csv$"
 MUNICIPAL_KEY = "muni"
 
-# --- fixed values: timestamp formats seen in feeds and history files ----------
+# --- fixed values: timestamp shapes accepted in feeds and history files --------
+# (documentation of what parse_timestamp handles; it normalizes US dates to ISO
+# and casts once)
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",

@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridpulse.constants import TIMESTAMP_FORMATS
 
 
-def parse_timestamp(c: Column | str, formats=TIMESTAMP_FORMATS) -> Column:
+def parse_timestamp(c: Column | str) -> Column:
     """Parse mixed-format text to ``timestamp_ntz``; unparseable -> NULL.
 
-    Every known format is tried in turn (``try_to_timestamp`` never raises
-    under ANSI mode), then a generic cast for ISO variants such as a
-    fractional part of any length.
+    Accepted shapes (``TIMESTAMP_FORMATS``): ISO date-times with space or
+    ``T``, optional seconds and fraction, plain dates, and US-style
+    ``MM-dd-yyyy`` / ``MM/dd/yyyy`` with a time.  US dates are rewritten to
+    ISO with one regex, then a single ``try_cast`` parses everything: no
+    per-format attempt, so no per-row parse exception on the hot path.
     """
     c = F.col(c) if isinstance(c, str) else c
-    text = F.trim(c.cast("string"))
-    attempts = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    attempts.append(text.try_cast("timestamp_ntz"))
-    return F.coalesce(*attempts)
+    iso = F.regexp_replace(F.trim(c.cast("string")), r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "$3-$1-$2")
+    return iso.try_cast("timestamp_ntz")
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:

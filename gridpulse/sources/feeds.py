@@ -89,13 +89,54 @@ def bytes_summary(manifest: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
 
 
 # ------------------------------------------------------------------ headers --
+HEADER_PROBE_BYTES = 64 * 1024
+
+
+def _first_lines(batches):
+    """mapInPandas body: first line of each file, reading at most
+    HEADER_PROBE_BYTES per file through the Arrow file system layer."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        headers = []
+        for path in pdf["path"]:
+            try:
+                fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_stream(inner) as stream:
+                    head = stream.read(HEADER_PROBE_BYTES)
+                line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
+                headers.append(line.lstrip("\ufeff"))
+            except Exception:  # noqa: BLE001 - unreadable file: no header, group skipped
+                headers.append(None)
+        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str] | DataFrame) -> DataFrame:
-    """First line of each file: one text scan, keeping only the splits that
-    start at byte 0 and, per file, the earliest line of that split."""
+    """First line of each file.
+
+    Spark has no "first line only" read: a text scan would read the whole
+    first split of every file (up to a block per file, i.e. a second pass
+    over small files).  The path list is spread over tasks instead and each
+    task reads only the first bytes of its files (``mapInPandas``).  A file
+    the Arrow file system cannot open gets a NULL header, so its group is
+    reported as skipped; ``file_headers_by_scan`` is the Spark-reader
+    alternative for such schemes.
+    """
     if isinstance(paths, DataFrame):
-        paths = [r.path for r in paths.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "path string, header string")
+        listing = paths.select("path").distinct()
+    else:
+        if not paths:
+            return spark.createDataFrame([], "path string, header string")
+        listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    heads = listing.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
+        _first_lines, "path string, header string"
+    )
+    return heads
+
+
+def file_headers_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Fallback: one text scan, splits starting at byte 0, earliest line."""
     text = spark.read.text(list(paths)).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
     )

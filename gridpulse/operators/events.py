@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.constants import GAP_MINUTES, KEY
 from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS, DEFAULT_ORDER, sessionize
+from gridpulse.functions.time import micros_between
 from gridpulse.session import maybe_broadcast
 
 EVENT_COLUMNS = (
@@ -34,26 +35,73 @@ def restrict_to_spine(reports: DataFrame, master: DataFrame, run_keys: DataFrame
     return restrict_to_master(reports, master).join(days, ["state", "report_date"], "left_semi")
 
 
-def aggregate_events(sessions: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
+# Provider dictionaries up to this many rows are collected and broadcast;
+# larger ones (never seen in practice: it is the list of utilities) use the
+# sort-based string aggregate instead.
+PROVIDER_DICT_LIMIT = 200_000
+_CODE_SPACE = 1_000_000          # codes per state must stay below this
+
+
+def provider_codes(reports: DataFrame) -> DataFrame | None:
+    """(state, emc, emc_code): providers numbered in name order per state.
+
+    Returns a small local frame, or None when the dictionary is larger than
+    PROVIDER_DICT_LIMIT rows or a state has too many providers.  At most
+    LIMIT + 1 rows ever reach the driver (one aggregate job).
+    """
+    from pyspark.sql import Window
+
+    d = reports.where(F.col("emc").isNotNull()).select("state", "emc").distinct()
+    codes = d.withColumn("emc_code", F.row_number().over(Window.partitionBy("state").orderBy("emc")) - F.lit(1))
+    rows = codes.limit(PROVIDER_DICT_LIMIT + 1).collect()      # bounded: at most LIMIT + 1 rows
+    if len(rows) > PROVIDER_DICT_LIMIT or any(r.emc_code >= _CODE_SPACE for r in rows):
+        return None
+    return reports.sparkSession.createDataFrame(rows, "state string, emc string, emc_code long")
+
+
+def aggregate_events(
+    sessions: DataFrame,
+    keys: Sequence[str] = KEY,
+    order: Sequence[str] = DEFAULT_ORDER,
+    codes: DataFrame | None = None,
+) -> DataFrame:
     """agg_outage_events + agg_event_middle over sessionized reports.
 
     upper = sum of positive steps, lower = largest report, served = largest
     served value, first/last time, emc of the earliest report with an emc.
     Every aggregate is partial-aggregation friendly, so a long event of a
     hot key is combined map-side before the shuffle.
+
+    With a provider dictionary (``codes``, rows carry ``emc_code``) the
+    first provider is ``min(time * 10^6 + code)`` as ``decimal(38,0)``: a
+    numeric min keeps the whole aggregate hash-based (a string in an
+    aggregation buffer forces a sort-based aggregate); the code is turned
+    back into the name with a broadcast join on the (much smaller) events.
+    Without it, ``min_by(emc, (ts, emc, ...))`` is used.
     """
     keys = list(keys)
-    first_emc_order = F.when(F.col("emc").isNotNull(), F.struct(*order))
-    ev = sessions.groupBy(*keys, "event_id").agg(
+    common = [
         F.sum("delta").alias("upper"),
         F.max("affected").alias("lower"),
         F.max("customers_served").alias("customers_served"),
         F.min("ts").alias("start_time"),
         F.max("ts").alias("end_time"),
-        F.min_by("emc", first_emc_order).alias("emc"),
         F.count(F.lit(1)).alias("n_reports"),
         F.sum("affected").alias("sum_affected"),
-    )
+    ]
+    if codes is not None and "emc_code" in sessions.columns:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        packed = micros_between(epoch, F.col("ts")).cast("decimal(38,0)") * F.lit(_CODE_SPACE).cast(
+            "decimal(38,0)") + F.col("emc_code").cast("decimal(38,0)")
+        ev = sessions.groupBy(*keys, "event_id").agg(
+            *common, F.min(F.when(F.col("emc_code").isNotNull(), packed)).alias("_first")
+        )
+        code = F.pmod(F.col("_first"), F.lit(_CODE_SPACE).cast("decimal(38,0)")).cast("long")
+        ev = ev.withColumn("emc_code", code).join(F.broadcast(codes), ["state", "emc_code"], "left").drop(
+            "_first", "emc_code")
+    else:
+        first_emc_order = F.when(F.col("emc").isNotNull(), F.struct(*order))
+        ev = sessions.groupBy(*keys, "event_id").agg(*common, F.min_by("emc", first_emc_order).alias("emc"))
     return ev.select(
         *keys,
         "event_id",
@@ -86,8 +134,12 @@ def build_events(
     separately.
     """
     keys = list(keys) + (["emc"] if by_provider else [])
+    codes = provider_codes(reports) if "state" in keys and not by_provider else None
+    if codes is not None:
+        # the dictionary is size-checked and local: a map-side join
+        reports = reports.join(F.broadcast(codes), ["state", "emc"], "left")
     sess = sessionize(reports, keys=keys, order=order, gap_minutes=gap_minutes, chunk_rows=chunk_rows)
-    ev = aggregate_events(sess, keys=keys, order=order)
+    ev = aggregate_events(sess, keys=keys, order=order, codes=codes)
     if by_provider:
         ev = ev.select(*EVENT_COLUMNS)
     return ev

@@ -20,14 +20,16 @@ def land_bronze(raw_canonical: DataFrame, path: str) -> None:
     present in this batch (dynamic overwrite), so later reads of recent days
     prune to their partitions instead of re-reading whole files.
 
-    No shuffle: each task sorts its rows by partition and writes them; a hot
-    (state, day) is spread over every task that holds its rows.
+    ``rebalance`` groups rows by output partition so files are few and
+    full, while AQE splits a hot (state, day) over several tasks and merges
+    small ones (no single task gets a skewed day).
     """
     df = raw_canonical.withColumn("_ts", parse_timestamp(F.col("timestamp"))).withColumn(
         "report_date", F.to_date("_ts")
     ).drop("_ts").where(F.col("report_date").isNotNull())
     (
-        df.sortWithinPartitions("state", "report_date")
+        df.hint("rebalance", "state", "report_date")
+        .sortWithinPartitions("state", "report_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -40,9 +42,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -
     """Dynamic-overwrite Parquet write (silver reports, gold metrics): only
     the partitions present in ``df`` are replaced.  Written tables are also
     the lineage cut of a job: after an executor loss, later stages re-read
-    them instead of recomputing the scan and parse."""
+    them instead of recomputing the scan and parse.  ``rebalance`` lets AQE
+    size the write tasks: skewed partitions split, small ones merged."""
     (
-        df.sortWithinPartitions(*partition_cols)
+        df.hint("rebalance", *partition_cols)
+        .sortWithinPartitions(*partition_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -113,7 +117,8 @@ def upsert_history(history: DataFrame, path: str) -> None:
         F.col("Date").alias("report_date"),
     )
     (
-        df.sortWithinPartitions("state_code", "report_date", "County")
+        df.hint("rebalance", "state_code", "report_date")
+        .sortWithinPartitions("state_code", "report_date", "County")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("state_code", "year", "month", "report_date")

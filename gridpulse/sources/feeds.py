@@ -92,26 +92,6 @@ def bytes_summary(manifest: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
 HEADER_PROBE_BYTES = 64 * 1024
 
 
-def _first_lines(batches):
-    """mapInPandas body: first line of each file, reading at most
-    HEADER_PROBE_BYTES per file through the Arrow file system layer."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        headers = []
-        for path in pdf["path"]:
-            try:
-                fs, inner = pafs.FileSystem.from_uri(path)
-                with fs.open_input_stream(inner) as stream:
-                    head = stream.read(HEADER_PROBE_BYTES)
-                line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
-                headers.append(line.lstrip("\ufeff"))
-            except Exception:  # noqa: BLE001 - unreadable file: no header, group skipped
-                headers.append(None)
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
-
-
 def file_headers(spark: SparkSession, paths: Sequence[str] | DataFrame) -> DataFrame:
     """First line of each file.
 
@@ -123,6 +103,27 @@ def file_headers(spark: SparkSession, paths: Sequence[str] | DataFrame) -> DataF
     reported as skipped; ``file_headers_by_scan`` is the Spark-reader
     alternative for such schemes.
     """
+    probe = HEADER_PROBE_BYTES
+
+    def first_lines(batches):
+        # Defined here so it is shipped by value: Python workers need not
+        # import this package.  Reads at most ``probe`` bytes per file.
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            headers = []
+            for path in pdf["path"]:
+                try:
+                    fs, inner = pafs.FileSystem.from_uri(path)
+                    with fs.open_input_stream(inner) as stream:
+                        head = stream.read(probe)
+                    line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
+                    headers.append(line.lstrip("\ufeff"))
+                except Exception:  # noqa: BLE001 - unreadable file: no header, group skipped
+                    headers.append(None)
+            yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
     if isinstance(paths, DataFrame):
         listing = paths.select("path").distinct()
     else:
@@ -130,7 +131,7 @@ def file_headers(spark: SparkSession, paths: Sequence[str] | DataFrame) -> DataF
             return spark.createDataFrame([], "path string, header string")
         listing = spark.createDataFrame([(p,) for p in paths], "path string")
     heads = listing.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
-        _first_lines, "path string, header string"
+        first_lines, "path string, header string"
     )
     return heads
 

@@ -89,7 +89,10 @@ def aggregate_events(
         F.count(F.lit(1)).alias("n_reports"),
         F.sum("affected").alias("sum_affected"),
     ]
-    if codes is not None and "emc_code" in sessions.columns:
+    if "emc" in keys:
+        # by provider: the provider is a grouping key, nothing to pick
+        ev = sessions.groupBy(*keys, "event_id").agg(*common)
+    elif codes is not None and "emc_code" in sessions.columns:
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         packed = micros_between(epoch, F.col("ts")).cast("decimal(38,0)") * F.lit(_CODE_SPACE).cast(
             "decimal(38,0)") + F.col("emc_code").cast("decimal(38,0)")

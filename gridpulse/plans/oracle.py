@@ -326,9 +326,10 @@ ORACLE.update({
         f"ON lower(trim(g.state)) = m.map_state AND {norm_county('g.county')} = m.map_raw"
     ),
     "std_pick_larger_column": with_raw(
-        f"SELECT state, row_id, {clean('CASE WHEN t.ta >= t.tb THEN aff ELSE alt END')} AS affected "
+        f"SELECT state, row_id, CASE WHEN t.ta >= t.tb THEN {clean('aff')} ELSE {clean('alt')} END AS affected "
         f"FROM (SELECT *, '\"' || CAST(row_id % 7 AS VARCHAR) || '\"' AS alt FROM canon) c, "
-        f"(SELECT sum({clean('aff')}) AS ta, sum({clean(chr(39) + chr(34) + chr(39) + ' || CAST(row_id % 7 AS VARCHAR) || ' + chr(39) + chr(34) + chr(39))}) AS tb FROM canon) t"
+        f"(SELECT sum({clean('aff')}) AS ta, sum({clean('alt')}) AS tb "
+        f"FROM (SELECT *, '\"' || CAST(row_id % 7 AS VARCHAR) || '\"' AS alt FROM canon)) t"
     ),
     "std_standardize": with_raw(
         f"SELECT t.state, t.report_date, m.map_std AS county, t.emc, t.ts, t.affected, t.customers_served, "

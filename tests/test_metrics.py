@@ -82,3 +82,25 @@ def test_round_half_even_like_numpy(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     out = [r.r for r in df.select(half_even_round(F.col("x")).alias("r")).collect()]
     assert out == [float(np.round(v, 4)) for v in vals]
+
+
+def test_metric_daily_chunked_equals_single_window(spark):
+    from gridpulse.sources import adapter
+    from conftest import SF_MID
+
+    reports = adapter.outage_reports(spark, SF_MID)
+    master, keys = adapter.master_counties(spark, SF_MID), adapter.run_keys(reports)
+    hist = adapter.served_history(spark, SF_MID)
+    a = metric_daily(reports, master, keys, hist, chunk_rows=None).metrics
+    b = metric_daily(reports, master, keys, hist, chunk_rows=2).metrics
+    assert a.count() == b.count() == 2160
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_by_provider_events(spark):
+    rows = [_r("x", "10:00", 5, "a", 100.0, 1), _r("x", "10:15", 7, "b", 50.0, 2), _r("x", "10:30", 9, "a", 100.0, 3)]
+    reports = spark.createDataFrame(rows, SCHEMA)
+    from gridpulse.operators.events import build_events
+
+    ev = {(r.emc, r.event_id): (r.lower, r.upper) for r in build_events(reports, by_provider=True).collect()}
+    assert ev == {("a", 1): (9.0, 9.0), ("b", 1): (7.0, 7.0)}

@@ -208,7 +208,8 @@ def q_metric_add_date(spark, sf):
 
 @query("sort_counties")
 def q_sort_counties(spark, sf):
-    return adapter.master_counties(spark, sf).select("state", "county").distinct().orderBy("state", "county")
+    """Metric rows in county order (one per master county and day)."""
+    return _daily(spark, sf).metrics.select(*KEY).orderBy(*KEY)
 
 
 # ------------------------------------------------------------- presentation --
@@ -238,11 +239,10 @@ def q_sort_history(spark, sf):
 
 @query("fn_title")
 def q_fn_title(spark, sf):
-    nation = adapter.read_table(spark, sf, "nation")
-    region = adapter.read_table(spark, sf, "region")
-    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    text = F.concat(F.lower("r_name"), F.lit("-"), F.lower("n_name"), F.lit("'s x"), F.col("n_nationkey").cast("string"), F.lit("y"))
-    return j.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), text.alias("raw"), fn_title(text).alias("title"))
+    """Python-style title case of every raw county text of the feed
+    (``xx-c12`` -> ``Xx-C12``, ``c7 county`` -> ``C7 County``)."""
+    raw = adapter.raw_feed(spark, sf)
+    return raw.select("state", "row_id", F.col("county_a").alias("raw"), fn_title(F.col("county_a")).alias("title"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

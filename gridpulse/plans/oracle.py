@@ -32,9 +32,10 @@ run_keys AS (SELECT DISTINCT state, report_date FROM reports),
 spine AS (
   SELECT m.state, r.report_date, m.county FROM master m JOIN run_keys r ON m.state = r.state),
 hist AS (
-  SELECT 's' || CAST(k % 2 AS VARCHAR) AS state, 'c' || CAST(k AS VARCHAR) AS county,
-         p + CAST(k AS DOUBLE) AS customers_served
-  FROM mnum, (SELECT unnest([250.25, 250.5]) AS p) pp WHERE k % 3 = 0),
+  SELECT 's' || CAST((user_id % 50 + 25) % 2 AS VARCHAR) AS state,
+         'c' || CAST(user_id % 50 + 25 AS VARCHAR) AS county,
+         CAST(floor(value) AS DOUBLE) + 0.25 AS customers_served
+  FROM events WHERE event_type = 'signup' AND (user_id % 50 + 25) % 3 = 0),
 hist_tot AS (
   SELECT state, county, CAST(trunc(sum(customers_served)) AS BIGINT) AS hist_served
   FROM hist GROUP BY state, county),
@@ -196,7 +197,7 @@ ORACLE: dict[str, str] = {
         f"{disp('middle_saifi')} AS middle_saifi, {disp('upper_saifi')} AS upper_saifi, "
         f"strftime(report_date, '%Y-%m-%d') AS date FROM metrics"
     ),
-    "sort_counties": with_base("SELECT DISTINCT state, county FROM master ORDER BY state, county"),
+    "sort_counties": with_base("SELECT state, report_date, county FROM metrics ORDER BY state, report_date, county"),
     "final_projection": with_base(
         f"SELECT {title('county')} AS County, fips AS FIPS, {disp('saidi')} AS SAIDI, "
         f"{disp('lower_saifi')} AS LOWER_SAIFI, {disp('middle_saifi')} AS SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI, "
@@ -211,12 +212,6 @@ ORACLE: dict[str, str] = {
         f"middle_saifi AS SAIFI, report_date AS Date FROM (" + ENRICHED.format(src="metrics") + ") "
         f"ORDER BY State, Date, County"
     ),
-    "fn_title": (
-        "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, raw, "
-        + title("raw")
-        + " AS title FROM (SELECT n_nationkey, lower(r_name) || '-' || lower(n_name) || '''s x' || "
-        "CAST(n_nationkey AS VARCHAR) || 'y' AS raw FROM nation JOIN region ON n_regionkey = r_regionkey)"
-    ),
 }
 
 
@@ -301,6 +296,9 @@ def with_raw(select: str) -> str:
 
 
 ORACLE.update({
+    "fn_title": with_raw(
+        "SELECT state, row_id, county_a AS raw, " + title("county_a") + " AS title FROM feed"
+    ),
     "std_coalesce_duplicates": with_raw("SELECT state, row_id, county FROM canon"),
     "std_drop_bad_county": with_raw("SELECT state, row_id, county FROM good"),
     "std_impute_served": with_raw(

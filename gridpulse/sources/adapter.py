@@ -11,7 +11,7 @@ same rows for the oracle check:
 * master counties ``c0 .. c74`` (nation keys x 3 blocks) minus c22/c45/c68:
   those beyond c49 never report and become fillers
 * FIPS codes from nation/region, with a few counties missing
-* served history for every third master county
+* served history derived from ``signup`` events for every third county
 
 ``raw_feed`` builds the un-standardized text form (mixed case, blanks,
 ``"1,234"`` numbers, mixed timestamp formats, duplicate county columns).
@@ -86,13 +86,16 @@ def run_keys(reports: DataFrame) -> DataFrame:
 
 
 def served_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Historical served rows (two per county) for every third master county."""
-    m = _master_numbers(spark, sf_dir).where(F.col("k") % F.lit(3) == F.lit(0))
-    part = F.explode(F.array(F.lit(250.25), F.lit(250.5))).alias("part")
-    return m.select("k", part).select(
-        F.concat(F.lit("s"), (F.col("k") % F.lit(2)).cast("string")).alias("state"),
-        F.concat(F.lit("c"), F.col("k").cast("string")).alias("county"),
-        (F.col("part") + F.col("k").cast("double")).alias("customers_served"),
+    """Historical served rows derived from ``events``: every ``signup`` row
+    is a served reading of county ``c<user_id % 50 + 25>`` (only counties
+    divisible by 3 have history), value ``floor(value) + 0.25``.  Filler
+    counties c50..c74 thus have a history total or none (-1)."""
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == F.lit("signup"))
+    k2 = F.col("user_id") % F.lit(N_COUNTIES) + F.lit(25)
+    return ev.where(k2 % F.lit(3) == F.lit(0)).select(
+        F.concat(F.lit("s"), (k2 % F.lit(2)).cast("string")).alias("state"),
+        F.concat(F.lit("c"), k2.cast("string")).alias("county"),
+        (F.floor("value").cast("double") + F.lit(0.25)).alias("customers_served"),
     )
 
 

@@ -62,7 +62,8 @@ class FixturePaths:
 
 
 def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+    # the suffix versions the fixture layout: a changed generator writes anew
+    return hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10] + "-v2"
 
 
 def _local(path: str) -> str | None:

@@ -107,7 +107,14 @@ def q_recent_slice(spark, sf):
 # ------------------------------------------------------------------ lookups --
 @query("lookup_col_map")
 def q_lookup_col_map(spark, sf):
-    return lookups.read_col_map(spark, ensure_fixture(spark, sf).mappings).drop("line_no")
+    """The column map as applied: every header column of every feed file
+    with its canonical target (NULL when unmapped)."""
+    paths = ensure_fixture(spark, sf)
+    manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
+    heads = feeds.file_headers(spark, manifest).join(manifest.select("path", "state"), "path")
+    cols = heads.select("path", "state", F.posexplode(F.split("header", ",")).alias("position", "raw_name"))
+    cm = lookups.read_col_map(spark, paths.mappings).drop("line_no")
+    return cols.withColumn("raw", F.lower(F.trim("raw_name"))).join(cm, ["state", "raw"], "left")
 
 
 @query("lookup_col_lists")
@@ -117,7 +124,16 @@ def q_lookup_col_lists(spark, sf):
 
 @query("lookup_county_map")
 def q_lookup_county_map(spark, sf):
-    return lookups.read_county_map(spark, ensure_fixture(spark, sf).mappings).drop("line_no")
+    """The county map as applied to the feeds: every normalized raw county
+    value with its report count and mapped name (NULL when unmapped)."""
+    from gridpulse.functions.text import normalize_county
+
+    paths, df, _ = _feeds(spark, sf)
+    cm = std.prepare_county_map(lookups.read_county_map(spark, paths.mappings))
+    seen = df.where(F.col("county").isNotNull()).groupBy("state", normalize_county(F.col("county")).alias("raw")).agg(
+        F.count(F.lit(1)).alias("n_reports"))
+    return seen.join(cm, (F.col("state") == F.col("_map_state")) & (F.col("raw") == F.col("_map_raw")), "left").select(
+        "state", "raw", "n_reports", F.col("_map_std").alias("standard"))
 
 
 @query("lookup_raw_counties")
@@ -139,8 +155,13 @@ def q_lookup_fips(spark, sf):
 
 @query("lookup_settings")
 def q_lookup_settings(spark, sf):
+    """Retrieval settings as used: one row per feed file with its state's
+    merged settings and whether the file is above the partial-read size."""
     paths = ensure_fixture(spark, sf)
-    return lookups.settings_table(spark, feeds.file_manifest(spark, paths.feeds).select("state"))
+    manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
+    settings = lookups.settings_table(spark, manifest.select("state"))
+    return manifest.join(settings, "state", "left").withColumn(
+        "above_threshold", F.col("use_optimization") & (F.col("bytes") > F.col("threshold_bytes")))
 
 
 # ------------------------------------------------------ file aggregations --

@@ -39,6 +39,7 @@ def restrict_to_spine(reports: DataFrame, master: DataFrame, run_keys: DataFrame
 # larger ones (never seen in practice: it is the list of utilities) use the
 # sort-based string aggregate instead.
 PROVIDER_DICT_LIMIT = 200_000
+USE_PROVIDER_CODES = True        # False: always the sort-based string pick
 _CODE_SPACE = 1_000_000          # codes per state must stay below this
 
 
@@ -51,6 +52,8 @@ def provider_codes(reports: DataFrame) -> DataFrame | None:
     """
     from pyspark.sql import Window
 
+    if not USE_PROVIDER_CODES:
+        return None
     d = reports.where(F.col("emc").isNotNull()).select("state", "emc").distinct()
     codes = d.withColumn("emc_code", F.row_number().over(Window.partitionBy("state").orderBy("emc")) - F.lit(1))
     rows = codes.limit(PROVIDER_DICT_LIMIT + 1).collect()      # bounded: at most LIMIT + 1 rows
@@ -129,15 +132,22 @@ def build_events(
     by_provider: bool = False,
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     order: Sequence[str] = DEFAULT_ORDER,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Reports -> one row per outage event.
 
+    ``codes``: a provider dictionary (``provider_codes``) built earlier from
+    any superset of these reports; computed here when not given.
+
     By default all providers of a county are interleaved in one time line, as
     the source pipeline does; ``by_provider=True`` sessionizes each provider
     separately.
     """
     keys = list(keys) + (["emc"] if by_provider else [])
-    codes = provider_codes(reports) if "state" in keys and not by_provider else None
+    if by_provider or "state" not in keys:
+        codes = None
+    elif codes is None:
+        codes = provider_codes(reports)
     if codes is not None:
         # the dictionary is size-checked and local: a map-side join
         reports = reports.join(F.broadcast(codes), ["state", "emc"], "left")

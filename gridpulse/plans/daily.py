@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from gridpulse.constants import GAP_MINUTES, REPORT_HOURS
-from gridpulse.operators.events import build_events, restrict_to_spine, with_fillers
+from gridpulse.operators.events import build_events, provider_codes, restrict_to_spine, with_fillers
 from gridpulse.operators.metrics import build_spine, metrics_from_events
 from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS
 
@@ -43,6 +43,9 @@ def metric_daily(
     """SAIDI and lower/middle/upper SAIFI for every master county and requested day."""
     spine = build_spine(master, run_keys)
     restricted = restrict_to_spine(reports, master, run_keys)
-    events = build_events(restricted, gap_minutes=gap_minutes, by_provider=by_provider, chunk_rows=chunk_rows)
+    # provider dictionary from the unrestricted input: a plain scan + distinct
+    codes = None if by_provider else provider_codes(reports)
+    events = build_events(restricted, gap_minutes=gap_minutes, by_provider=by_provider, chunk_rows=chunk_rows,
+                          codes=codes)
     metrics = metrics_from_events(events, spine, served_hist, report_hours=report_hours)
     return DailyResult(spine=spine, reports=restricted, real_events=events, metrics=metrics, served_hist=served_hist)

@@ -108,9 +108,16 @@ def compare_results(
     return stacked.where(~ok).select(*keys, "Column", "Baseline", "Optimized")
 
 
-def mapping_coverage(raw_counties: DataFrame, county_map: DataFrame, master: DataFrame) -> DataFrame:
+def mapping_coverage(
+    raw_counties: DataFrame,
+    county_map: DataFrame,
+    master: DataFrame,
+    col_map: DataFrame | None = None,
+) -> DataFrame:
     """qa_mapping_coverage: raw county names without a mapping, mapped names
-    that are not master counties, and master counties no raw name reaches."""
+    that are not master counties, master counties no raw name reaches, and
+    (with a column map) percent-named raw columns mapped to count columns
+    -- reported, never fixed silently."""
     unmapped = raw_counties.join(county_map.select("state", "raw"), ["state", "raw"], "left_anti").select(
         "state", F.lit("raw_unmapped").alias("issue"), F.col("raw").alias("name")
     )
@@ -121,4 +128,22 @@ def mapping_coverage(raw_counties: DataFrame, county_map: DataFrame, master: Dat
     never = master.select("state", "county").join(reached.distinct(), ["state", "county"], "left_anti").select(
         "state", F.lit("master_never_hit").alias("issue"), F.col("county").alias("name")
     )
-    return unmapped.unionByName(stray).unionByName(never)
+    out = unmapped.unionByName(stray).unionByName(never)
+    if col_map is not None:
+        out = out.unionByName(percent_mapped_to_counts(col_map))
+    return out
+
+
+# fixed values: canonical count columns a percentage must not feed
+COUNT_COLUMNS = ("per_outage_customers_affected", "customers_served")
+
+
+def percent_mapped_to_counts(col_map: DataFrame) -> DataFrame:
+    """Column-map rows whose raw name looks like a percentage (``%`` or
+    ``percent``) but whose target is a count column."""
+    raw = F.lower(F.col("raw"))
+    bad = (F.instr(raw, "%") > 0) | (F.instr(raw, "percent") > 0)
+    return col_map.where(bad & F.col("standard").isin(list(COUNT_COLUMNS))).select(
+        "state", F.lit("percent_mapped_to_count").alias("issue"),
+        F.concat(F.col("raw"), F.lit(" -> "), F.col("standard")).alias("name"),
+    )

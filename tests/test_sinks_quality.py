@@ -60,3 +60,15 @@ def test_null_profile(spark):
                                "emc string, source_file string, a string, b string")
     out = sorted((r.provider, r.column, r.total_rows, r.null_count) for r in quality.null_profile(df, "emc", ["a", "b"]).collect())
     assert out == [("p", "a", 2, 1), ("p", "b", 2, 1)]
+
+
+def test_mapping_coverage_reports_percent_columns(spark):
+    raw = spark.createDataFrame([("nc", "wake"), ("nc", "xx")], "state string, raw string")
+    cmap = spark.createDataFrame([("nc", "wake", "wake"), ("nc", "durham", "zzz")], "state string, raw string, standard string")
+    master = spark.createDataFrame([("nc", "wake"), ("nc", "durham")], "state string, county string")
+    cols = spark.createDataFrame([("nc", "% out", "per_outage_customers_affected"), ("nc", "percent served", "customers_served"),
+                                  ("nc", "# out", "per_outage_customers_affected")], "state string, raw string, standard string")
+    out = sorted((r.issue, r.name) for r in quality.mapping_coverage(raw, cmap, master, cols).collect())
+    assert out == [("mapped_not_master", "zzz"), ("master_never_hit", "durham"),
+                   ("percent_mapped_to_count", "% out -> per_outage_customers_affected"),
+                   ("percent_mapped_to_count", "percent served -> customers_served"), ("raw_unmapped", "xx")]

@@ -1,4 +1,84 @@
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""Training-data pipeline: five stages over ``documents``, each one operator.
+
+Every stage reads the Parquet output of the one before.  All but the last
+return the columns of documents; the last returns packed pieces.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridpulse.llm.common import fold_share, spool
+from gridpulse.llm.decontaminate import contamination
+from gridpulse.llm.language_id import UND, identify_language
+from gridpulse.llm.line_dedup import line_dedup
+from gridpulse.llm.packing import pack
+from gridpulse.llm.simhash_dedup import simhash_classes
+
+# A text whose n-grams lie further from every profile is in none of the learnt languages.
+LEAST_SCORE = 0.15
+
+
+def _keep(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is (``left_semi``) or is not (``left_anti``) in ``keys``; a null id equals a null id."""
+    ids = keys.select(F.col("doc_id").alias("__key")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__key"]), how)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled documents teach."""
+    found = identify_language(docs, fold_share("doc_id") != 0)
+    rejected = found.where((F.col("lang_pred") == UND) | (F.col("score") < LEAST_SCORE))
+    return _keep(docs, rejected, "left_anti")
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more documents share."""
+    kept = line_dedup(docs, min_docs=10, min_chars=1).where("n_dropped > 0")
+    kept = spool(kept.select("doc_id", F.col("text").alias("__kept")).distinct(), "pipeline-lines")
+    kept = kept.withColumnRenamed("doc_id", "__key")
+    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__key"]), "left")
+    text = F.coalesce("__kept", docs["text"])
+    out = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)}
+    return joined.select(*[out[c].alias(c) if c in out else docs[c] for c in docs.columns])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every near-duplicate class: the smallest id."""
+    classes = simhash_classes(docs, width=3, radius=3)
+    return _keep(docs, classes.where("doc_id = component_id"), "left_semi")
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _keep(docs, found, "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces, packed into sequences of 1024 tokens."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), "byte", capacity=1024, end_id=2)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("decontamination", benchmark_stage),
+    ("packing", packing_stage),
+]
+
+# Tokenizing and SimHash over XXH64 are not expressible in DuckDB SQL; tests hold the pipeline against a brute-force version.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = spool(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -40,3 +40,14 @@ def fold_share(id_col: Column | str, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo ``folds`` (a null id counts as fold 0)."""
     col = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.coalesce(F.crc32(F.encode(col.cast("string"), "UTF-8")) % folds, F.lit(0))
+
+
+# Lower-cases A-Z and turns every other ASCII character but digits and letters into a blank.
+_PLAIN = bytes(
+    c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
+)
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split()

@@ -8,14 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import documents, fold_share
+from gridpulse.llm.decontaminate import contamination
 from gridpulse.llm.exact_dedup import exact_dedup
 from gridpulse.llm.language_id import identify_language
+from gridpulse.llm.license_scan import license_scan
 from gridpulse.llm.line_dedup import line_dedup
+from gridpulse.llm.lm_score import lm_score
+from gridpulse.llm.packing import pack
+from gridpulse.llm.pseudonyms import pseudonymise
 from gridpulse.llm.simhash_dedup import simhash_classes
+from gridpulse.llm.token_files import read_token_files, write_token_files
+from gridpulse.session import unique_scratch
+
+# The pseudonym key of the query; a user passes a secret of their own.
+DEMO_KEY = "demonstration key"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +38,39 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score(documents(spark, sf_dir), fold_share("doc_id") != 1)
+    held_out = (fold_share("doc_id") == 1).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(documents(spark, sf_dir), DEMO_KEY).select("doc_id", "text", "n_found", "found")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir)).drop("matches")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_classes(documents(spark, sf_dir), width=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), "byte", capacity=1024, end_id=2)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = unique_scratch(spark, "llm/token-files")
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1)
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(documents(spark, sf_dir), min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -40,7 +79,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
+    "op4_pii_pseudonyms": op4_pii_pseudonyms,
+    "op5_license_scan": op5_license_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_packing": op8_packing,
+    "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
 

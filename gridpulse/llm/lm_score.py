@@ -3,10 +3,12 @@
 A text is a sequence of words (A-Z lower-cased) and one end.  A word of the
 vocabulary is a symbol with a Huffman code; any other word is an escape and
 its bytes, with a code of their own.  So a text is a sequence of binary
-decisions, and each is predicted by several hashed contexts: none (the code
-node alone), a short and a long history (the last one and two words, or the
-last two and four bytes of a spelled word).  A context's prediction comes
-from counts over the whole training corpus.  The predictions are mixed in
+decisions, and each is predicted from three contexts: the code node alone; a
+short history (the last very common word, or the last two bytes of a spelled
+word); a long one (the last word if common, or the last four bytes).  The
+histories are hashed into tables of counts over the whole training corpus;
+rare nodes, whose entries would only collide, have no history.  Each context
+is smoothed towards the next shorter one.  The predictions are mixed in
 the logistic domain with weights that a gate chooses (kind of symbol and
 confidence of the two histories) and that learn online while the text is
 read; an adaptive map then refines the mixed probability.  The negative
@@ -17,7 +19,7 @@ many lanes are computed side by side; weights learn in steps of ``STEP``.
 
 Spark sums word counts and context counts over all training documents; the
 vocabulary (``VOCABULARY`` words of bounded length) and the context tables
-(``TABLE_BITS``) have a fixed size and are broadcast.  Counts of the words
+(``TABLES``) have a fixed size and are broadcast.  Counts of the words
 beyond the vocabulary are met by an equi-join, so the base score is exact.
 """
 
@@ -37,8 +39,15 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import id_and_text, spool
 
 VOCABULARY = 1 << 17
+# Rarer training words are spelled, so that spelling and escapes are learnt from words as rare as unknown ones.
+LEAST_COUNT = 3
 WORD_BYTES = 64
-TABLE_BITS = 20
+# Entries of the hashed tables: short and long history of words, then of bytes.
+TABLES = (20, 21, 18, 20)
+# Words that count as history, and nodes (the most used ones) that have it.
+SHORT_WORDS, SHORT_NODES, LONG_WORDS, LONG_NODES = 64, 1 << 15, 4096, 4096
+# Weight of the shorter context in the smoothing of the short and the long history.
+SHORT_PRIOR, LONG_PRIOR = 8.0, 4.0
 LANE = 4096
 STEP = 32
 GATES = 32
@@ -129,8 +138,10 @@ class Coder:
         self.first = np.cumsum(self.length) - self.length
         self.node = np.array([n for c in codes for n, _ in c], np.uint32)
         self.bit = np.array([b for c in codes for _, b in c], np.uint8)
-        bounds = [0, self.nodes, self.nodes + (1 << TABLE_BITS), self.nodes + 2 * (1 << TABLE_BITS)]
-        self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1]
+        self.word_nodes = word_nodes
+        # Nodes first, then the tables; the last entry stands for no history and stays empty.
+        bounds = np.cumsum([0, self.nodes, *(1 << b for b in TABLES)]).tolist()
+        self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1] + 1
 
     def decisions(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all texts: table entries (decision, context), bits, kinds (1: spelling), and decisions per text."""
@@ -147,7 +158,6 @@ class Coder:
         # Histories of words; 0 where the text begins.
         known = (tokens + 1).astype(np.uint32)
         one = np.concatenate(([0], known[:-1])).astype(np.uint32) * (begin == 0)
-        two = np.concatenate(([0], one[:-1])).astype(np.uint32) * (begin == 0)
         # Histories of bytes; 0 where the word begins.
         lengths = np.array([len(w) + 1 for w in spelled], np.int64)
         inside = np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -163,11 +173,16 @@ class Coder:
         symbol[head] = tokens
         symbol[spell] = letters + np.int64(escape + 1)
         short, long = np.empty(n, np.uint32), np.empty(n, np.uint32)
-        short[head] = one * np.uint32(0x2C1B3C6D) + np.uint32(1)
-        long[head] = (one * np.uint32(0x297A2D39) ^ two * np.uint32(0x7FEB352D)) + np.uint32(2)
+        # Vocabulary ids are ranks; a history word beyond the common ones is "other".
+        at_word = np.arange(len(tokens))
+        mark = np.where((tokens < SHORT_WORDS) | (begin == 1), at_word, 0)
+        last = np.maximum.accumulate(np.concatenate(([0], mark[:-1])))
+        cue = np.where((begin == 1) | (tokens[last] >= SHORT_WORDS), SHORT_WORDS, tokens[last]) if len(tokens) else tokens
+        short[head] = cue
+        long[head] = np.minimum(one, LONG_WORDS + 1)
         two_bytes = back[0] | back[1] << np.uint32(8)
-        short[spell] = two_bytes * np.uint32(0x846CA68B) + np.uint32(3)
-        long[spell] = (two_bytes | back[2] << np.uint32(16) | back[3] << np.uint32(24)) * np.uint32(0x31848BAB) + np.uint32(4)
+        short[spell] = two_bytes
+        long[spell] = two_bytes | back[2] << np.uint32(16) | back[3] << np.uint32(24)
         # The decisions of every symbol.
         count = self.length[symbol]
         at = np.repeat(np.arange(n), count)
@@ -175,15 +190,18 @@ class Coder:
         node = self.node[place]
         entries = np.empty((len(at), CONTEXTS), np.int64)
         entries[:, 0] = node
-        salted = node * np.uint32(0x9E3779B1)
-        for k, context in ((1, short), (2, long)):
-            mixed = (context[at] ^ salted) * np.uint32(0x85EBCA6B)
+        spelling = spell[at]
+        for k, history, used in ((1, short, SHORT_NODES), (2, long, LONG_NODES)):
+            mixed = (history[at] * np.uint32(0x9E3779B1) ^ node) * np.uint32(0x85EBCA6B)
             mixed = (mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35)
-            entries[:, k] = (mixed >> np.uint32(32 - TABLE_BITS)).astype(np.int64) + self.tables[k][0]
+            for kind, table in ((spelling, k + 2), (~spelling & (node + used >= self.word_nodes), k)):
+                lo = self.tables[table][0]
+                entries[kind, k] = (mixed[kind] >> np.uint32(32 - TABLES[table - 1])).astype(np.int64) + lo
+            entries[~spelling & (node + used < self.word_nodes), k] = self.size - 1
         symbols = np.add.reduceat(per, starts) if len(starts) else per
         ends = np.cumsum(symbols)
         totals = np.concatenate(([0], np.cumsum(count)))
-        return entries, self.bit[place], spell[at].astype(np.uint8), totals[ends] - totals[ends - symbols]
+        return entries, self.bit[place], spelling.astype(np.uint8), totals[ends] - totals[ends - symbols]
 
 
 def batched(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
@@ -212,8 +230,10 @@ def count_contexts(texts: DataFrame, coder) -> np.ndarray:
         total = np.zeros(2 * own.size, np.uint32)
         for group in batched((0, t) for batch in batches for t in batch.column(0).to_pylist()):
             entries, bits, _, _ = own.decisions([w for _, w in group])
-            for k, (lo, hi) in enumerate(own.tables):
-                total[2 * lo : 2 * hi] += np.bincount((entries[:, k] - lo) * 2 + bits, minlength=2 * (hi - lo)).astype(np.uint32)
+            for k in range(CONTEXTS):
+                for lo, hi in own.tables[k::2] if k else own.tables[:1]:
+                    here = (entries[:, k] >= lo) & (entries[:, k] < hi)
+                    total[2 * lo : 2 * hi] += np.bincount((entries[here, k] - lo) * 2 + bits[here], minlength=2 * (hi - lo)).astype(np.uint32)
         yield from chunks(total.astype(np.uint64), TaskContext.get().partitionId())
 
     def chunks(total: np.ndarray, part: int) -> Iterator[pa.RecordBatch]:
@@ -259,23 +279,22 @@ class Model:
 
     def __init__(self, coder: Coder, counts: np.ndarray):
         self.coder = coder
-        zeros, ones = counts[0::2], counts[1::2]
-        self.logit = np.log((ones + 0.4) / (zeros + 0.4)).clip(-9, 9).astype(np.float32)
-        self.sure = np.digitize(zeros + ones, (1, 4, 32)).astype(np.uint8)
-        # Surer histories start with more weight.
-        trust = np.array([0.0, 0.3, 0.6, 0.9], np.float32)
-        short, long = np.meshgrid(trust, trust, indexing="ij")
-        rest = np.maximum(1.0 - np.maximum(short, long), 0.15)
-        start = np.stack((rest, short * (1 - 0.6 * long), long), axis=-1).reshape(16, CONTEXTS)
-        self.weights = np.tile(start, (2, 1)).astype(np.float32)
+        self.ones, self.seen = counts[1::2].copy(), counts[0::2] + counts[1::2]
+        self.weights = np.tile(np.array([0.0, 0.4, 0.6], np.float32), (GATES, 1))
         level = (np.arange(LEVELS) + 0.5) - LEVELS / 2
         self.map = np.tile(1 / (1 + np.exp(-level)), 2).astype(np.float32)
 
     def bits(self, texts: list[list[bytes]]) -> np.ndarray:
         """Total bits of every text."""
         entries, y, kind, per = self.coder.decisions(texts)
-        x = self.logit[entries]
-        gate = kind.astype(np.int64) * 16 + self.sure[entries[:, 1]] * 4 + self.sure[entries[:, 2]]
+        ones, seen = self.ones[entries], self.seen[entries]
+        p = np.empty_like(ones)
+        p[:, 0] = (ones[:, 0] + 0.4) / (seen[:, 0] + 0.8)
+        p[:, 1] = (ones[:, 1] + SHORT_PRIOR * p[:, 0]) / (seen[:, 1] + SHORT_PRIOR)
+        p[:, 2] = (ones[:, 2] + LONG_PRIOR * p[:, 1]) / (seen[:, 2] + LONG_PRIOR)
+        x = np.log(p / (1 - p)).clip(-11, 11)
+        sure = np.digitize(seen[:, 1:], (1, 16, 256))
+        gate = kind.astype(np.int64) * 16 + sure[:, 0] * 4 + sure[:, 1]
         # Lanes: documents cut every LANE decisions, the longest first.
         lanes = (per + LANE - 1) // LANE
         owner = np.repeat(np.arange(len(per)), lanes)
@@ -330,12 +349,13 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     training = id_and_text(docs.where(learn_from), id_col, text_col)
     counted = spool(count_words(training), "lm-words")
     total, different = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counted.where(F.length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    eligible = (F.length("word") <= WORD_BYTES) & (F.col("n") >= LEAST_COUNT)
+    top = counted.where(eligible).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocabulary = [(bytes(r["word"]), r["n"]) for r in top]
     if all(w for w, _ in vocabulary):
         vocabulary.append((b"", 0))  # the end always has a code
-    least = vocabulary[-1][1] if len(top) == VOCABULARY else 0
-    rare = counted.where((F.col("n") <= least) | (F.length("word") > WORD_BYTES))
+    least = max(LEAST_COUNT, top[-1]["n"]) if len(top) == VOCABULARY else LEAST_COUNT
+    rare = counted.where((F.col("n") < least) | (F.length("word") > WORD_BYTES))
     coder = Coder(vocabulary, int(total - sum(n for _, n in vocabulary)), count_bytes(rare))
     held = spark.sparkContext.broadcast(coder)
     model = spark.sparkContext.broadcast(Model(coder, count_contexts(training, held)))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.constants import GAP_MINUTES, KEY
-from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS, DEFAULT_ORDER, sessionize
-from gridpulse.functions.time import micros_between
+from gridpulse.operators.sessionize import DEFAULT_ORDER, MINUTE, event_number, in_minutes, starts_event, value_before
 from gridpulse.session import maybe_broadcast
 
 EVENT_COLUMNS = (
@@ -24,92 +23,63 @@ def restrict_to_master(reports: DataFrame, master: DataFrame) -> DataFrame:
     return reports.join(maybe_broadcast(master.select("state", "county").distinct()), ["state", "county"], "left_semi")
 
 
-def restrict_to_spine(reports: DataFrame, master: DataFrame, run_keys: DataFrame) -> DataFrame:
-    """Reports of master counties on requested (state, day) pairs.
-
-    Same rows as a semi join with the spine (= master x run keys on state),
-    but as two semi joins with the small inputs, so the large side is never
-    shuffled for it.
-    """
-    days = maybe_broadcast(run_keys.select("state", "report_date").distinct())
-    return restrict_to_master(reports, master).join(days, ["state", "report_date"], "left_semi")
-
-
-# Provider dictionaries up to this many rows are collected and broadcast;
-# larger ones (never seen in practice: it is the list of utilities) use the
-# sort-based string aggregate instead.
-PROVIDER_DICT_LIMIT = 200_000
-USE_PROVIDER_CODES = True        # False: always the sort-based string pick
-_CODE_SPACE = 1_000_000          # codes per state must stay below this
-
-
-def provider_codes(reports: DataFrame) -> DataFrame | None:
-    """(state, emc, emc_code): providers numbered in name order per state.
-
-    Returns a small local frame, or None when the dictionary is larger than
-    PROVIDER_DICT_LIMIT rows or a state has too many providers.  At most
-    LIMIT + 1 rows ever reach the driver (one aggregate job).
-    """
-    from pyspark.sql import Window
-
-    if not USE_PROVIDER_CODES:
-        return None
-    d = reports.where(F.col("emc").isNotNull()).select("state", "emc").distinct()
-    codes = d.withColumn("emc_code", F.row_number().over(Window.partitionBy("state").orderBy("emc")) - F.lit(1))
-    rows = codes.limit(PROVIDER_DICT_LIMIT + 1).collect()      # bounded: at most LIMIT + 1 rows
-    if len(rows) > PROVIDER_DICT_LIMIT or any(r.emc_code >= _CODE_SPACE for r in rows):
-        return None
-    return reports.sparkSession.createDataFrame(rows, "state string, emc string, emc_code long")
-
-
-def aggregate_events(
-    sessions: DataFrame,
+def build_events(
+    reports: DataFrame,
     keys: Sequence[str] = KEY,
+    gap_minutes: int = GAP_MINUTES,
+    by_provider: bool = False,
     order: Sequence[str] = DEFAULT_ORDER,
-    codes: DataFrame | None = None,
 ) -> DataFrame:
-    """agg_outage_events + agg_event_middle over sessionized reports.
+    """agg_outage_events + agg_event_middle: reports -> one row per event.
 
     upper = sum of positive steps, lower = largest report, served = largest
     served value, first/last time, emc of the earliest report with an emc.
-    Every aggregate is partial-aggregation friendly, so a long event of a
-    hot key is combined map-side before the shuffle.
-
-    With a provider dictionary (``codes``, rows carry ``emc_code``) the
-    first provider is ``min(time * 10^6 + code)`` as ``decimal(38,0)``: a
-    numeric min keeps the whole aggregate hash-based (a string in an
-    aggregation buffer forces a sort-based aggregate); the code is turned
-    back into the name with a broadcast join on the (much smaller) events.
-    Without it, ``min_by(emc, (ts, emc, ...))`` is used.
+    Reports are summed up per (key, minute) first; the minutes of a key are
+    then joined into events (see ``sessionize``).  Reports are shuffled once.
+
+    By default all providers of a county are interleaved in one time line, as
+    the source pipeline does; ``by_provider=True`` sessionizes each provider
+    separately.
     """
-    keys = list(keys)
-    common = [
-        F.sum("delta").alias("upper"),
+    keys = list(keys) + (["emc"] if by_provider else [])
+    part = [*keys, MINUTE]
+    rows = in_minutes(reports, keys, "ts", "affected", order, gap_minutes)
+    step = F.when(F.col("_first"), F.lit(0.0)).otherwise(F.greatest(F.col("affected") - F.col("_pv"), F.lit(0.0)))
+    sums = [
         F.max("affected").alias("lower"),
+        F.sum(step).alias("_steps"),
         F.max("customers_served").alias("customers_served"),
         F.min("ts").alias("start_time"),
         F.max("ts").alias("end_time"),
         F.count(F.lit(1)).alias("n_reports"),
         F.sum("affected").alias("sum_affected"),
+        F.max(F.when(F.col("_first"), F.col("affected"))).alias("_v0"),
+        F.max(F.when(F.col("_last"), F.col("affected"))).alias("_v1"),
+    ]
+    if not by_provider:
+        # the window has the rows in order: the first provider is the minute's, for every row
+        whole = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.withColumn("_emc", F.first("emc", ignorenulls=True).over(whole))
+        sums.append(F.max("_emc").alias("_emc"))
+    minutes = rows.groupBy(*part).agg(*sums)
+    minutes = minutes.select(
+        "*", starts_event("start_time", "end_time", keys, gap_minutes).alias("_new"), value_before("_v1", keys).alias("_carried")
+    ).withColumn("event_id", event_number("_new", keys))
+    before = F.when(F.col("_new"), F.lit(0.0)).otherwise(F.col("_carried"))
+    joined = [
+        F.max("lower").alias("lower"),
+        F.sum(F.col("_steps") + F.greatest(F.col("_v0") - before, F.lit(0.0))).alias("upper"),
+        F.max("customers_served").alias("customers_served"),
+        F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"),
+        F.sum("n_reports").alias("n_reports"),
+        F.sum("sum_affected").alias("sum_affected"),
     ]
-    if "emc" in keys:
-        # by provider: the provider is a grouping key, nothing to pick
-        ev = sessions.groupBy(*keys, "event_id").agg(*common)
-    elif codes is not None and "emc_code" in sessions.columns:
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        packed = micros_between(epoch, F.col("ts")).cast("decimal(38,0)") * F.lit(_CODE_SPACE).cast(
-            "decimal(38,0)") + F.col("emc_code").cast("decimal(38,0)")
-        ev = sessions.groupBy(*keys, "event_id").agg(
-            *common, F.min(F.when(F.col("emc_code").isNotNull(), packed)).alias("_first")
-        )
-        code = F.pmod(F.col("_first"), F.lit(_CODE_SPACE).cast("decimal(38,0)")).cast("long")
-        ev = ev.withColumn("emc_code", code).join(F.broadcast(codes), ["state", "emc_code"], "left").drop(
-            "_first", "emc_code")
-    else:
-        first_emc_order = F.when(F.col("emc").isNotNull(), F.struct(*order))
-        ev = sessions.groupBy(*keys, "event_id").agg(*common, F.min_by("emc", first_emc_order).alias("emc"))
-    return ev.select(
-        *keys,
+    if not by_provider:
+        joined.append(F.min_by("_emc", F.when(F.col("_emc").isNotNull(), F.col(MINUTE))).alias("emc"))
+    events = minutes.groupBy(*keys, "event_id").agg(*joined)
+    return events.select(
+        *[c for c in keys if c != "emc"],
         "event_id",
         "lower",
         ((F.col("lower") + F.col("upper")) / F.lit(2.0)).alias("middle"),
@@ -125,39 +95,6 @@ def aggregate_events(
     )
 
 
-def build_events(
-    reports: DataFrame,
-    keys: Sequence[str] = KEY,
-    gap_minutes: int = GAP_MINUTES,
-    by_provider: bool = False,
-    chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
-    order: Sequence[str] = DEFAULT_ORDER,
-    codes: DataFrame | None = None,
-) -> DataFrame:
-    """Reports -> one row per outage event.
-
-    ``codes``: a provider dictionary (``provider_codes``) built earlier from
-    any superset of these reports; computed here when not given.
-
-    By default all providers of a county are interleaved in one time line, as
-    the source pipeline does; ``by_provider=True`` sessionizes each provider
-    separately.
-    """
-    keys = list(keys) + (["emc"] if by_provider else [])
-    if by_provider or "state" not in keys:
-        codes = None
-    elif codes is None:
-        codes = provider_codes(reports)
-    if codes is not None:
-        # the dictionary is size-checked and local: a map-side join
-        reports = reports.join(F.broadcast(codes), ["state", "emc"], "left")
-    sess = sessionize(reports, keys=keys, order=order, gap_minutes=gap_minutes, chunk_rows=chunk_rows)
-    ev = aggregate_events(sess, keys=keys, order=order, codes=codes)
-    if by_provider:
-        ev = ev.select(*EVENT_COLUMNS)
-    return ev
-
-
 def served_history_totals(served_hist: DataFrame) -> DataFrame:
     """agg_served_history: sum of the historical rows per county, truncated to an integer."""
     return served_hist.groupBy("state", "county").agg(
@@ -165,41 +102,32 @@ def served_history_totals(served_hist: DataFrame) -> DataFrame:
     )
 
 
-def fill_counties(events: DataFrame, spine: DataFrame, served_hist: DataFrame | None = None) -> DataFrame:
-    """join_missing_counties + join_served_history + fill_counties.
-
-    Every (state, day, county) of the spine without an event gets one filler
-    row: event 1, no times, zero duration, emc '', served = history total or
-    -1.  Amounts are 0: sums over a filler give 0 like the source pipeline
-    (whose filler amounts end up missing and are summed as 0).
+def with_fillers(events: DataFrame, spine: DataFrame, served_hist: DataFrame | None = None) -> DataFrame:
+    """set_union_counties with join_missing_counties, join_served_history and
+    fill_counties: events of the spine's counties, and for every (state, day,
+    county) without an event one filler row.
+
+    A filler is event 1 with no times, zero duration, emc '', served =
+    history total or -1, and amounts 0: sums over a filler give 0 like the
+    source pipeline (whose filler amounts end up missing and are summed as
+    0).  One left join of the spine with the events finds both.
     """
-    missing = spine.select(*KEY).join(events.select(*KEY).distinct(), list(KEY), "left_anti")
+    joined = spine.select(*KEY).join(events.drop("is_filler"), list(KEY), "left")
+    silent = F.col("event_id").isNull()
+    served = F.lit(-1.0)
     if served_hist is not None:
-        missing = missing.join(served_history_totals(served_hist), ["state", "county"], "left")
+        joined = joined.join(maybe_broadcast(served_history_totals(served_hist)), ["state", "county"], "left")
         served = F.coalesce(F.col("hist_served"), F.lit(-1)).cast("double")
-    else:
-        served = F.lit(-1.0)
-    return missing.select(
-        *KEY,
-        F.lit(1).cast("long").alias("event_id"),
-        F.lit(0.0).alias("lower"),
-        F.lit(0.0).alias("middle"),
-        F.lit(0.0).alias("upper"),
-        served.alias("customers_served"),
-        F.lit(None).cast("timestamp_ntz").alias("start_time"),
-        F.lit(None).cast("timestamp_ntz").alias("end_time"),
-        F.expr("INTERVAL '0' SECOND").cast("interval day to second").alias("duration"),
-        F.lit("").alias("emc"),
-        F.lit(True).alias("is_filler"),
-        F.lit(0).cast("long").alias("n_reports"),
-        F.lit(0.0).alias("sum_affected"),
-    )
-
-
-def with_fillers(events: DataFrame, spine: DataFrame, served_hist: DataFrame | None = None) -> DataFrame:
-    """set_union_counties: events of the spine's counties plus fillers."""
-    kept = events.join(spine.select(*KEY), list(KEY), "left_semi")
-    return kept.select(*EVENT_COLUMNS).unionByName(fill_counties(events, spine, served_hist).select(*EVENT_COLUMNS))
+    filled = {
+        "event_id": F.lit(1).cast("long"),
+        "customers_served": served,
+        "duration": F.expr("INTERVAL '0' SECOND").cast("interval day to second"),
+        "emc": F.lit(""),
+        "n_reports": F.lit(0).cast("long"),
+    } | {c: F.lit(0.0) for c in ("lower", "middle", "upper", "sum_affected")}
+    shown = {c: F.when(silent, x).otherwise(F.col(c)).alias(c) for c, x in filled.items()}
+    shown["is_filler"] = silent.alias("is_filler")
+    return joined.select(*[shown.get(c, F.col(c)) for c in EVENT_COLUMNS])
 
 
 def county_served_totals(events: DataFrame) -> DataFrame:
@@ -216,16 +144,3 @@ def county_served_totals(events: DataFrame) -> DataFrame:
         .agg(F.max(served_int).alias("emc_served"))
     )
     return per_emc.groupBy(*KEY).agg(F.sum("emc_served").cast("long").alias("served_total"))
-
-
-def events_with_county_served(events: DataFrame) -> DataFrame:
-    """Events whose customers_served is replaced by the county total (the
-    shape the source pipeline hands to the SAIFI stage)."""
-    totals = county_served_totals(events)
-    return (
-        events.drop("customers_served")
-        .join(totals, list(KEY), "left")
-        .withColumn("customers_served", F.coalesce(F.col("served_total"), F.lit(0).cast("long")))
-        .drop("served_total")
-        .select(*EVENT_COLUMNS)
-    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.constants import KEY, METRIC_COLUMNS, REPORT_HOURS
 from gridpulse.functions.numeric import display_metric, half_even_round
-from gridpulse.operators.events import county_served_totals
+from gridpulse.operators.events import served_history_totals
 from gridpulse.session import maybe_broadcast
 
 METRIC_OUTPUT = ("state", "report_date", "county", *METRIC_COLUMNS)
@@ -24,68 +24,14 @@ def build_spine(master: DataFrame, run_keys: DataFrame) -> DataFrame:
     ).select(*KEY)
 
 
-def compute_saidi(reports: DataFrame, report_hours: float = REPORT_HOURS) -> DataFrame:
-    """agg_saidi: sum(affected) * hours per report / max(served), per county-day."""
-    return reports.groupBy(*KEY).agg(
-        F.try_divide(F.sum("affected") * F.lit(report_hours), F.max("customers_served")).alias("saidi")
-    )
-
-
-def compute_saifi(events: DataFrame) -> DataFrame:
-    """agg_saifi: event sums / county served total; NULL when the total <= 0.
-
-    Sums are taken per (county, emc) first and added up per county, so the
-    served total (sum over emc of max) and the amounts share one pass.
-    """
-    amounts = events.groupBy(*KEY).agg(
-        F.sum("lower").alias("sum_lower"),
-        F.sum("middle").alias("sum_middle"),
-        F.sum("upper").alias("sum_upper"),
-    )
-    totals = county_served_totals(events)
-    joined = amounts.join(totals, list(KEY), "left")
-    served = F.col("served_total")
-    ok = served.isNotNull() & (served > 0)
-
-    def ratio(c):
-        return F.when(ok, F.coalesce(F.col(c), F.lit(0.0)) / served.cast("double"))
-
-    return joined.select(
-        *KEY,
-        ratio("sum_lower").alias("lower_saifi"),
-        ratio("sum_middle").alias("middle_saifi"),
-        ratio("sum_upper").alias("upper_saifi"),
-    )
-
-
-def join_county_spine(spine: DataFrame, saidi: DataFrame, saifi: DataFrame) -> DataFrame:
-    """join_county_spine: every spine row, metrics NULL where nothing was reported."""
-    return (
-        spine.join(saidi, list(KEY), "left")
-        .join(saifi, list(KEY), "left")
-        .select(*METRIC_OUTPUT)
-    )
-
-
-def reliability_metrics(
-    reports: DataFrame,
-    events: DataFrame,
-    spine: DataFrame,
-    report_hours: float = REPORT_HOURS,
-) -> DataFrame:
-    """Numeric metrics (unrounded, NULL = no data) for every spine row."""
-    saidi = compute_saidi(reports.join(spine, list(KEY), "left_semi"), report_hours)
-    saifi = compute_saifi(events)
-    return join_county_spine(spine, saidi, saifi)
-
-
-def metrics_from_events(
+def spine_metrics(
     events: DataFrame,
     spine: DataFrame,
     served_hist: DataFrame | None = None,
     report_hours: float = REPORT_HOURS,
 ) -> DataFrame:
-    """metric_daily core in one two-level aggregation over real events.
+    """agg_saidi, agg_saifi and join_county_spine in one two-level aggregation
+    over real events; ``has_events`` tells reported counties from silent ones.
 
     Every report belongs to exactly one event, so SAIDI's report sums can be
     taken from the events (``sum_affected``, per-event max served) instead of
@@ -111,17 +57,15 @@ def metrics_from_events(
         F.sum("sum_lower").alias("sum_lower"),
         F.sum("sum_middle").alias("sum_middle"),
         F.sum("sum_upper").alias("sum_upper"),
-        F.lit(True).alias("_has_events"),
+        F.lit(True).alias("has_events"),
     )
     joined = spine.select(*KEY).join(per_key, list(KEY), "left")
     if served_hist is not None:
-        from gridpulse.operators.events import served_history_totals
-
         joined = joined.join(maybe_broadcast(served_history_totals(served_hist)), ["state", "county"], "left")
         filler_served = F.coalesce(F.col("hist_served"), F.lit(-1).cast("long"))
     else:
         filler_served = F.lit(-1).cast("long")
-    has = F.col("_has_events").isNotNull()
+    has = F.col("has_events").isNotNull()
     served = F.when(has, F.coalesce(F.col("served_total"), F.lit(0).cast("long"))).otherwise(filler_served)
     ok = served > 0
 
@@ -135,9 +79,20 @@ def metrics_from_events(
         ratio("sum_lower").alias("lower_saifi"),
         ratio("sum_middle").alias("middle_saifi"),
         ratio("sum_upper").alias("upper_saifi"),
+        has.alias("has_events"),
     )
 
 
+def metrics_from_events(
+    events: DataFrame,
+    spine: DataFrame,
+    served_hist: DataFrame | None = None,
+    report_hours: float = REPORT_HOURS,
+) -> DataFrame:
+    """Numeric metrics (unrounded, NULL = no data) for every spine row."""
+    return spine_metrics(events, spine, served_hist, report_hours).select(*METRIC_OUTPUT)
+
+
 def round_metrics(metrics: DataFrame) -> DataFrame:
     """metric_round: the export copy, 4 decimals (NumPy-style half-even)."""
     return metrics.select(

@@ -5,16 +5,13 @@ than ``gap_minutes`` (or the first report) starts a new event.  Each row
 gets its event number, the previous ``affected`` value inside the event
 (0 at the start) and the clipped positive step.
 
-Skew safety
------------
-A plain window partitioned by the county key sends every report of a key
-to one task.  With ``chunk_rows`` set (the default), each key is first cut
-into time chunks of about ``chunk_rows`` reports; the window runs per
-(key, chunk), one small per-chunk summary carries the last timestamp, last
-value and flag count across chunk borders, and a second window over the
-summaries (one row per chunk) turns them into event-number offsets.  So a
-key holding a third of all rows is spread over many tasks, and the only
-per-key sequential work is over chunk summaries.
+One method serves every size.  Reports are windowed per (key, minute): a gap
+of an hour cannot fall inside a minute, so a minute's reports always belong
+to one event and only its first and last report matter to the others.  One
+summary row per minute (at most 1,440 per county and day, however many
+reports there are) is windowed per key to find the events and what each
+minute carries in.  A county that holds a third of all reports is so spread
+over its minutes; nothing is measured, collected or switched beforehand.
 """
 
 from __future__ import annotations
@@ -27,14 +24,41 @@ from pyspark.sql import functions as F
 from gridpulse.constants import GAP_MINUTES, KEY
 from gridpulse.functions.time import micros_between
 
-# Target reports per window partition; a county-day of real feeds has about
-# 96 polls per provider, so real keys normally stay in one chunk.
-DEFAULT_CHUNK_ROWS = 2_000_000
 DEFAULT_ORDER = ("ts", "emc", "source_file", "row_id")
+MINUTE = "_minute"
+
+
+def in_minutes(reports: DataFrame, keys: Sequence[str], ts: str, value: str, order: Sequence[str], gap_minutes: int) -> DataFrame:
+    """Reports with their minute, the value before them in it (``_pv``) and
+    whether they are its ``_first`` or ``_last`` report."""
+    if gap_minutes < 1:
+        raise ValueError("gap_minutes must be at least 1")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    minute = F.floor(micros_between(epoch, F.col(ts)) / F.lit(60_000_000)).cast("long")
+    w = Window.partitionBy(*keys, MINUTE).orderBy(*order)
+    return reports.withColumn(MINUTE, minute).select(
+        "*",
+        F.lag(value).over(w).alias("_pv"),
+        F.lag(ts).over(w).isNull().alias("_first"),
+        F.lead(ts).over(w).isNull().alias("_last"),
+    )
+
+
+def starts_event(first_ts: str, last_ts: str, keys: Sequence[str], gap_minutes: int) -> Column:
+    """Whether a minute starts a new event, given its first and last time."""
+    before = F.lag(last_ts).over(Window.partitionBy(*keys).orderBy(MINUTE))
+    return before.isNull() | ((F.col(first_ts) - before) > F.expr(f"INTERVAL '{int(gap_minutes)}' MINUTE"))
+
 
+def event_number(is_new: str, keys: Sequence[str]) -> Column:
+    """Running count of event starts over a key's minutes."""
+    running = Window.partitionBy(*keys).orderBy(MINUTE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(F.col(is_new).cast("long")).over(running)
 
-def _gap(gap_minutes: int) -> Column:
-    return F.expr(f"INTERVAL '{int(gap_minutes)}' MINUTE")
+
+def value_before(last_value: str, keys: Sequence[str]) -> Column:
+    """The last value of the key's minute before."""
+    return F.lag(last_value).over(Window.partitionBy(*keys).orderBy(MINUTE))
 
 
 def sessionize(
@@ -44,112 +68,37 @@ def sessionize(
     value: str = "affected",
     order: Sequence[str] = DEFAULT_ORDER,
     gap_minutes: int = GAP_MINUTES,
-    chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``is_new`` (bool), ``event_id`` (long, 1-based per key),
-    ``prev_affected`` and ``delta`` to every report row.
+    ``prev_ts`` (the key's report before, of any event), ``prev_affected``
+    and ``delta`` to every report row.
 
     ``order`` must end in a unique tie-breaker so the result is deterministic.
     """
     keys = list(keys)
-    order = list(order)
-    if chunk_rows is None:
-        return _sessionize_single(reports, keys, ts, value, order, gap_minutes)
-    return _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows)
-
-
-def _sessionize_single(reports, keys, ts, value, order, gap_minutes):
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev_ts = F.lag(ts).over(w)
-    is_new = prev_ts.isNull() | ((F.col(ts) - prev_ts) > _gap(gap_minutes))
-    out = reports.select("*", is_new.alias("is_new"), F.lag(value).over(w).alias("_pv"))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = F.when(F.col("is_new"), F.lit(0.0)).otherwise(F.col("_pv")).cast("double")
-    return out.select(
-        *[c for c in out.columns if c != "_pv"],
-        F.sum(F.col("is_new").cast("long")).over(running).alias("event_id"),
-        prev.alias("prev_affected"),
-        F.greatest(F.col(value) - prev, F.lit(0.0)).alias("delta"),
-    )
-
-
-def _sessionize_chunked(reports, keys, ts, value, order, gap_minutes, chunk_rows):
-    gap = _gap(gap_minutes)
-    base_cols = reports.columns
-
-    # 1. Per-key size and time span (partial aggregation: skew-safe), then a
-    #    chunk number proportional to the position in the key's time span;
-    #    ``_nc`` = number of chunks of the key (1 for every normal key).
-    stats = reports.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1")
-    ).select(
-        *keys,
-        "_t0",
-        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_rows)))).cast("long").alias("_nc"),
-        (micros_between("_t0", "_t1") + F.lit(1)).cast("double").alias("_span"),
+    part = [*keys, MINUTE]
+    within = Window.partitionBy(*part).orderBy(*order)
+    rows = in_minutes(reports, keys, ts, value, order, gap_minutes).withColumn("_pt", F.lag(ts).over(within))
+    minutes = rows.groupBy(*part).agg(
+        F.min(ts).alias("_t0"),
+        F.max(ts).alias("_t1"),
+        F.max(F.when(F.col("_last"), F.col(value))).alias("_v1"),
     )
-    # One row per key: broadcast when Catalyst/AQE prove it small, otherwise
-    # a shuffle join that AQE can split for skewed keys.
-    chunk = F.least(
-        F.col("_nc") - F.lit(1),
-        F.floor(micros_between("_t0", ts).cast("double") / F.col("_span") * F.col("_nc")),
-    ).cast("long")
-    rows = reports.join(stats, keys, "inner").select(*base_cols, "_nc", chunk.alias("_chunk"))
-
-    # 2. Window per (key, chunk): local lag, last-row flag, local new-event
-    #    flag, then the local running flag count (same spec: one sort).
-    #    ``_nc`` is a partition column too (it is constant per key), so a
-    #    filter on it can be pushed below the window.
-    part = [*keys, "_nc", "_chunk"]
-    w1 = Window.partitionBy(*part).orderBy(*order)
-    prev_ts = F.lag(ts).over(w1)
-    rows = rows.select(
-        "*",
-        prev_ts.alias("_pts"),
-        F.lag(value).over(w1).alias("_pv"),
-        F.lead(ts).over(w1).isNull().alias("_last"),
-        (prev_ts.isNotNull() & ((F.col(ts) - prev_ts) > gap)).alias("_lflag"),
-    )
-    rows = rows.select(
-        "*",
-        F.sum(F.col("_lflag").cast("long")).over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_lseq"),
+    minutes = minutes.select(
+        *part,
+        starts_event("_t0", "_t1", keys, gap_minutes).alias("_new"),
+        value_before("_t1", keys).alias("_carried_ts"),
+        value_before("_v1", keys).alias("_carried"),
     )
-
-    # 3. Carry-in for keys cut into several chunks only: one summary row per
-    #    chunk, then a window over the summaries.  ``_nc > 1`` is pushed below
-    #    the window into the stats join, so only rows of big keys take this
-    #    second pass; for ordinary data the branch is empty.
-    summ = rows.where(F.col("_nc") > 1).groupBy(*part).agg(
-        F.min(ts).alias("_cfirst"),
-        F.max(ts).alias("_clast"),
-        # value of the chunk's last row, flagged by the window: a plain max
-        # keeps this a hash aggregate (max_by over a struct would sort)
-        F.max(F.when(F.col("_last"), F.col(value))).alias("_clastv"),
-        F.sum(F.col("_lflag").cast("long")).alias("_cflags"),
-    )
-    w2 = Window.partitionBy(*keys).orderBy("_chunk")
-    plast = F.lag("_clast").over(w2)
-    fnew = plast.isNull() | ((F.col("_cfirst") - plast) > gap)
-    summ = summ.select(*part, "_cflags", fnew.alias("_fnew"), F.lag("_clastv").over(w2).alias("_plastv"))
-    summ = summ.select(
-        *part, "_fnew", "_plastv",
-        (F.sum(F.col("_fnew").cast("long") + F.col("_cflags")).over(
-            w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cflags")).alias("_base"),
-    )
-
-    # 4. Join the carry-in back (left: single-chunk keys have none; their
-    #    first row starts event 1) and finish each row.
-    out = rows.join(summ, part, "left")
-    first_in_chunk = F.col("_pts").isNull()
-    fnew_c = F.coalesce(F.col("_fnew"), F.lit(True))
-    base_c = F.coalesce(F.col("_base"), F.lit(1).cast("long"))
-    is_new = F.when(first_in_chunk, fnew_c).otherwise(F.col("_lflag"))
-    carried = F.when(first_in_chunk, F.col("_plastv")).otherwise(F.col("_pv"))
-    prev = F.when(is_new, F.lit(0.0)).otherwise(carried).cast("double")
-    return out.select(
-        *base_cols,
+    minutes = minutes.withColumn("event_id", event_number("_new", keys))
+    is_new = F.col("_first") & F.col("_new")
+    before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_pv"))
+    prev = F.when(is_new, F.lit(0.0)).otherwise(before).cast("double")
+    return rows.join(minutes, part).select(
+        *reports.columns,
         is_new.alias("is_new"),
-        (base_c + F.col("_lseq")).cast("long").alias("event_id"),
+        "event_id",
+        F.when(F.col("_first"), F.col("_carried_ts")).otherwise(F.col("_pt")).alias("prev_ts"),
         prev.alias("prev_affected"),
         F.greatest(F.col(value) - prev, F.lit(0.0)).alias("delta"),
     )

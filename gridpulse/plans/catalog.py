@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridpulse.constants import KEY
@@ -70,14 +70,7 @@ def q_metric_daily(spark, sf):
 # ------------------------------------------------------------------ windows --
 @query("win_time_gap")
 def q_win_time_gap(spark, sf):
-    s = _sessions(spark, sf)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*KEY).orderBy("ts", "emc", "source_file", "row_id")
-    return s.select(
-        *KEY, "row_id",
-        (micros_between(F.lag("ts").over(w), F.col("ts")) / F.lit(60_000_000.0)).alias("gap_minutes"),
-    )
+    return _sessions(spark, sf).select(*KEY, "row_id", _minutes(("prev_ts", "ts")).alias("gap_minutes"))
 
 
 @query("win_session_flag")
@@ -125,12 +118,12 @@ def q_agg_served_history(spark, sf):
 
 @query("agg_saidi")
 def q_agg_saidi(spark, sf):
-    return met_ops.compute_saidi(_daily(spark, sf).reports)
+    return _daily(spark, sf).all_metrics.where("has_events").select(*KEY, "saidi")
 
 
 @query("agg_saifi")
 def q_agg_saifi(spark, sf):
-    return met_ops.compute_saifi(_daily(spark, sf).events)
+    return _daily(spark, sf).metrics.drop("saidi")
 
 
 # -------------------------------------------------------------------- joins --
@@ -142,9 +135,7 @@ def q_join_county_restrict(spark, sf):
 
 @query("join_missing_counties")
 def q_join_missing_counties(spark, sf):
-    d = _daily(spark, sf)
-    real = d.events.where(~F.col("is_filler"))
-    return d.spine.join(real.select(*KEY).distinct(), list(KEY), "left_anti")
+    return _daily(spark, sf).events.where("is_filler").select(*KEY)
 
 
 @query("join_served_history")
@@ -155,9 +146,7 @@ def q_join_served_history(spark, sf):
 
 @query("join_county_spine")
 def q_join_county_spine(spark, sf):
-    d = _daily(spark, sf)
-    saidi = met_ops.compute_saidi(d.reports)
-    return d.spine.join(saidi, list(KEY), "left").select(*KEY, "saidi")
+    return _daily(spark, sf).metrics
 
 
 @query("join_fips")
@@ -208,8 +197,10 @@ def q_metric_add_date(spark, sf):
 
 @query("sort_counties")
 def q_sort_counties(spark, sf):
-    """Metric rows in county order (one per master county and day)."""
-    return _daily(spark, sf).metrics.select(*KEY).orderBy(*KEY)
+    """Metric rows in county order (one per master county and day); ``place``
+    is the row's place within its state and day, so the order can be checked."""
+    place = F.row_number().over(Window.partitionBy("state", "report_date").orderBy("county"))
+    return _daily(spark, sf).metrics.select(*KEY, place.alias("place")).orderBy(*KEY)
 
 
 # ------------------------------------------------------------- presentation --
@@ -233,8 +224,9 @@ def q_history_projection(spark, sf):
 
 @query("sort_history")
 def q_sort_history(spark, sf):
-    h = enrich.history_projection(_exports(spark, sf)[0])
-    return h.drop("state_code").orderBy("State", "Date", "County")
+    h = enrich.history_projection(_exports(spark, sf)[0]).drop("state_code")
+    place = F.row_number().over(Window.partitionBy("State", "Date").orderBy("County"))
+    return h.withColumn("place", place).orderBy("State", "Date", "County")
 
 
 @query("fn_title")

@@ -11,19 +11,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from gridpulse.constants import GAP_MINUTES, REPORT_HOURS
-from gridpulse.operators.events import build_events, provider_codes, restrict_to_spine, with_fillers
-from gridpulse.operators.metrics import build_spine, metrics_from_events
-from gridpulse.operators.sessionize import DEFAULT_CHUNK_ROWS
+from gridpulse.operators.events import build_events, restrict_to_master, with_fillers
+from gridpulse.operators.metrics import METRIC_OUTPUT, build_spine, spine_metrics
 
 
 @dataclass
 class DailyResult:
     spine: DataFrame
-    reports: DataFrame      # standardized reports restricted to the master list
     real_events: DataFrame  # events built from reports (no fillers)
-    metrics: DataFrame      # numeric, unrounded, NULL = no data
+    all_metrics: DataFrame  # numeric, unrounded, NULL = no data; has_events
     served_hist: DataFrame | None = None
 
+    @property
+    def metrics(self) -> DataFrame:
+        return self.all_metrics.select(*METRIC_OUTPUT)
+
     @property
     def events(self) -> DataFrame:
         """Events incl. one filler row per silent spine county (built on use)."""
@@ -37,15 +39,14 @@ def metric_daily(
     served_hist: DataFrame | None = None,
     gap_minutes: int = GAP_MINUTES,
     report_hours: float = REPORT_HOURS,
-    chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     by_provider: bool = False,
 ) -> DailyResult:
-    """SAIDI and lower/middle/upper SAIFI for every master county and requested day."""
+    """SAIDI and lower/middle/upper SAIFI for every master county and requested day.
+
+    Requested days select at the spine, which holds only them; reports of
+    other days are best kept out by reading the partitions of the run.
+    """
     spine = build_spine(master, run_keys)
-    restricted = restrict_to_spine(reports, master, run_keys)
-    # provider dictionary from the unrestricted input: a plain scan + distinct
-    codes = None if by_provider else provider_codes(reports)
-    events = build_events(restricted, gap_minutes=gap_minutes, by_provider=by_provider, chunk_rows=chunk_rows,
-                          codes=codes)
-    metrics = metrics_from_events(events, spine, served_hist, report_hours=report_hours)
-    return DailyResult(spine=spine, reports=restricted, real_events=events, metrics=metrics, served_hist=served_hist)
+    events = build_events(restrict_to_master(reports, master), gap_minutes=gap_minutes, by_provider=by_provider)
+    found = spine_metrics(events, spine, served_hist, report_hours=report_hours)
+    return DailyResult(spine=spine, real_events=events, all_metrics=found, served_hist=served_hist)

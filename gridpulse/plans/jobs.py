@@ -68,7 +68,6 @@ def job_daily(
     out_root: str | None = None,
     as_of=None,
     stale_days: int | None = None,
-    chunk_rows: int | None = None,
 ) -> JobResult:
     """job_daily: feeds -> standardize -> events -> metrics -> FIPS ->
     history upsert + dashboard.  Every requested (state, day) gets one row
@@ -77,12 +76,11 @@ def job_daily(
     if raw is None:
         raise ValueError("no usable feed files")
     std = standardize(raw, county_map, run_keys=run_keys)
-    kwargs = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
     if out_root is None:
-        d = metric_daily(std, master, run_keys, served, **kwargs)
+        d = metric_daily(std, master, run_keys, served)
         raw_export, display, history = _outputs(d.metrics, fips)
         return JobResult(display, raw_export, history, None, None, groups)
-    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs)
+    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root)
     raw_export, display, history = _outputs(metrics, fips)
     upsert_history(history, f"{out_root}/history")
     summary = write_dashboard(display, f"{out_root}/dashboard")
@@ -100,14 +98,14 @@ def finish_from_reports(
 ) -> JobResult:
     """Tail of the daily job from standardized reports: silver, metrics,
     gold, history upsert and dashboard for exactly ``run_keys``."""
-    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root, {})
+    metrics = _materialized_metrics(spark, std, master, run_keys, served, out_root)
     raw_export, display, history = _outputs(metrics, fips)
     upsert_history(history, f"{out_root}/history")
     summary = write_dashboard(display, f"{out_root}/dashboard")
     return JobResult(display, raw_export, history, None, summary, [])
 
 
-def _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs) -> DataFrame:
+def _materialized_metrics(spark, std, master, run_keys, served, out_root) -> DataFrame:
     """Silver reports -> metrics -> gold metrics, each a written table.
 
     The raw scan and parse run once (silver write); sessionization reads
@@ -117,7 +115,7 @@ def _materialized_metrics(spark, std, master, run_keys, served, out_root, kwargs
     gold = f"{out_root}/gold/metrics"
     write_partitioned(std, silver, ["state", "report_date"])
     reports = read_partitioned(spark, silver, run_keys)
-    d = metric_daily(reports, master, run_keys, served, **kwargs)
+    d = metric_daily(reports, master, run_keys, served)
     write_partitioned(d.metrics, gold, ["state", "report_date"])
     return read_partitioned(spark, gold, run_keys).select(*d.metrics.columns)
 

@@ -171,10 +171,7 @@ ORACLE: dict[str, str] = {
         "WHERE e.state = s.state AND e.report_date = s.report_date AND e.county = s.county)"
     ),
     "join_served_history": with_base("SELECT state, report_date, county, customers_served FROM fillers"),
-    "join_county_spine": with_base(
-        "SELECT s.state, s.report_date, s.county, d.saidi FROM spine s LEFT JOIN saidi d "
-        "ON s.state = d.state AND s.report_date = d.report_date AND s.county = d.county"
-    ),
+    "join_county_spine": with_base(f"SELECT state, report_date, county, {METRICS} FROM metrics"),
     "join_fips": with_base(
         "SELECT state, report_date, county, fips, state_name FROM (" + ENRICHED.format(src="metrics") + ")"
     ),
@@ -197,7 +194,10 @@ ORACLE: dict[str, str] = {
         f"{disp('middle_saifi')} AS middle_saifi, {disp('upper_saifi')} AS upper_saifi, "
         f"strftime(report_date, '%Y-%m-%d') AS date FROM metrics"
     ),
-    "sort_counties": with_base("SELECT state, report_date, county FROM metrics ORDER BY state, report_date, county"),
+    "sort_counties": with_base(
+        "SELECT state, report_date, county, row_number() OVER (PARTITION BY state, report_date ORDER BY county) AS place "
+        "FROM metrics"
+    ),
     "final_projection": with_base(
         f"SELECT {title('county')} AS County, fips AS FIPS, {disp('saidi')} AS SAIDI, "
         f"{disp('lower_saifi')} AS LOWER_SAIFI, {disp('middle_saifi')} AS SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI, "
@@ -209,8 +209,8 @@ ORACLE: dict[str, str] = {
     ),
     "sort_history": with_base(
         f"SELECT {title('state_name')} AS State, {title('county')} AS County, fips AS FIPS, saidi AS SAIDI, "
-        f"middle_saifi AS SAIFI, report_date AS Date FROM (" + ENRICHED.format(src="metrics") + ") "
-        f"ORDER BY State, Date, County"
+        f"middle_saifi AS SAIFI, report_date AS Date, row_number() OVER (PARTITION BY {title('state_name')}, report_date "
+        f"ORDER BY {title('county')}) AS place FROM (" + ENRICHED.format(src="metrics") + ")"
     ),
 }
 

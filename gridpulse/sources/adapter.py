@@ -26,17 +26,9 @@ N_COUNTIES = 50
 MASTER_BLOCKS = 3
 
 
-_TABLES: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table as a DataFrame; the relation is reused within a session
-    (the driver tables are read-only), saving repeated listing and footer reads."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """Driver table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k():

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.functions.numeric import display_metric, half_even_round
-from gridpulse.operators import metrics as met
+from gridpulse.operators.events import county_served_totals
 from gridpulse.plans.daily import metric_daily
 
 SCHEMA = ("state string, report_date date, county string, emc string, ts timestamp_ntz, "
@@ -41,11 +41,6 @@ def test_fixture_metrics(daily):
     assert m["hall"].saidi is None and m["hall"].lower_saifi is None
 
 
-def test_fused_metrics_equal_direct_aggregates(daily):
-    direct = met.reliability_metrics(daily.reports, daily.events, daily.spine)
-    assert direct.exceptAll(daily.metrics).count() == 0 and daily.metrics.exceptAll(direct).count() == 0
-
-
 def test_fillers_rows(daily):
     fill = {r.county: r for r in daily.events.where("is_filler").collect()}
     assert set(fill) == {"cobb", "hall"}
@@ -61,7 +56,7 @@ def test_served_total_sums_provider_maxima(spark):
     keys = spark.createDataFrame([("ga", D)], "state string, report_date date")
     d = metric_daily(reports, master, keys)
     # events: (a,b) first emc a served max 100.9 ; (a) 120.2 -> per emc a max trunc 120; b never first
-    tot = met.county_served_totals(d.events).collect()[0].served_total
+    tot = county_served_totals(d.events).collect()[0].served_total
     assert tot == 120
     m = d.metrics.collect()[0]
     assert m.lower_saifi == pytest.approx((5 + 5) / 120)
@@ -84,19 +79,6 @@ def test_round_half_even_like_numpy(spark):
     assert out == [float(np.round(v, 4)) for v in vals]
 
 
-def test_metric_daily_chunked_equals_single_window(spark):
-    from gridpulse.sources import adapter
-    from conftest import SF_MID
-
-    reports = adapter.outage_reports(spark, SF_MID)
-    master, keys = adapter.master_counties(spark, SF_MID), adapter.run_keys(reports)
-    hist = adapter.served_history(spark, SF_MID)
-    a = metric_daily(reports, master, keys, hist, chunk_rows=None).metrics
-    b = metric_daily(reports, master, keys, hist, chunk_rows=2).metrics
-    assert a.count() == b.count() == 2160
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_by_provider_events(spark):
     rows = [_r("x", "10:00", 5, "a", 100.0, 1), _r("x", "10:15", 7, "b", 50.0, 2), _r("x", "10:30", 9, "a", 100.0, 3)]
     reports = spark.createDataFrame(rows, SCHEMA)

@@ -10,11 +10,21 @@ def _plan(df) -> str:
 
 def test_flagship_plan_shape(spark):
     plan = _plan(E.queries()["metric_daily"](spark, SF_SMALL))
-    assert "SortAggregate" not in plan                 # every aggregate is hash based
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "props" not in plan                         # unused column never read
-    assert "_chunk" in plan                            # window partitioned by (key, chunk)
-    assert "Window" in plan
+    assert "_minute" in plan                           # reports are windowed per (key, minute)
+    assert plan.count("events.parquet") <= 3           # the reports, the days to report on, the served history
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan")
+    try:
+        E.queries()["metric_daily"](spark, SF_SMALL)
+        # reading a table's footer for its schema is the only job
+        assert len(tracker.getJobIdsForGroup("plan-only")) <= 5
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_fuzzy_match_has_no_cross_product(spark):

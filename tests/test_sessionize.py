@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.operators.events import build_events
@@ -24,41 +23,65 @@ def _rows(spec, county="fulton", emc="e1", served=100.0):
 def test_hand_computed_fixture(spark):
     # 10:00 10, 10:15 4, 11:14 9 (gap 59 -> same event), 12:14 7 (gap 60 -> new)
     df = spark.createDataFrame(_rows([("10:00", 10), ("10:15", 4), ("11:14", 9), ("12:14", 7)]), SCHEMA)
-    for chunk in (None, 2_000_000, 1):
-        s = sessionize(df, chunk_rows=chunk).orderBy("ts").collect()
-        assert [r.event_id for r in s] == [1, 1, 1, 2]
-        assert [r.delta for r in s] == [10.0, 0.0, 5.0, 7.0]
-        assert [r.prev_affected for r in s] == [0.0, 10.0, 4.0, 0.0]
-        ev = build_events(df, chunk_rows=chunk).orderBy("event_id").collect()
-        assert [(e.lower, e.upper, e.middle) for e in ev] == [(10.0, 15.0, 12.5), (7.0, 7.0, 7.0)]
-        assert ev[0].duration == dt.timedelta(minutes=74)
-        assert ev[1].duration == dt.timedelta(0)
+    s = sessionize(df).orderBy("ts").collect()
+    assert [r.event_id for r in s] == [1, 1, 1, 2]
+    assert [r.delta for r in s] == [10.0, 0.0, 5.0, 7.0]
+    assert [r.prev_affected for r in s] == [0.0, 10.0, 4.0, 0.0]
+    ev = build_events(df).orderBy("event_id").collect()
+    assert [(e.lower, e.upper, e.middle) for e in ev] == [(10.0, 15.0, 12.5), (7.0, 7.0, 7.0)]
+    assert ev[0].duration == dt.timedelta(minutes=74)
+    assert ev[1].duration == dt.timedelta(0)
 
 
 def test_first_report_and_exact_59_minutes(spark):
     df = spark.createDataFrame(_rows([("00:00", 3), ("00:59", 1), ("01:58", 2), ("02:58", 5)]), SCHEMA)
-    s = sessionize(df, chunk_rows=None).orderBy("ts").collect()
+    s = sessionize(df).orderBy("ts").collect()
     assert [r.is_new for r in s] == [True, False, False, True]
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 2, 3, 7])
-def test_chunked_equals_single_window(spark, chunk_rows):
+def single_window(reports, gap="INTERVAL 59 MINUTES"):
+    """The plain form: one window per county and day."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("state", "report_date", "county").orderBy("ts", "emc", "source_file", "row_id")
+    prev = F.lag("ts").over(w)
+    flagged = reports.select("*", (prev.isNull() | (F.col("ts") - prev > F.expr(gap))).alias("is_new"), F.lag("affected").over(w).alias("pv"))
+    before = F.when(F.col("is_new"), F.lit(0.0)).otherwise(F.col("pv"))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return flagged.select("*", F.sum(F.col("is_new").cast("long")).over(running).alias("event_id"), before.alias("prev_affected"),
+                          F.greatest(F.col("affected") - before, F.lit(0.0)).alias("delta"))
+
+
+COLS = ["state", "report_date", "county", "row_id", "event_id", "is_new", "prev_affected", "delta"]
+
+
+def same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_minutes_give_the_single_window_result(spark):
     reports = adapter.outage_reports(spark, SF_MID)
-    cols = ["state", "report_date", "county", "row_id", "event_id", "is_new", "prev_affected", "delta"]
-    single = sessionize(reports, chunk_rows=None).select(*cols)
-    chunked = sessionize(reports, chunk_rows=chunk_rows).select(*cols)
-    assert single.count() == chunked.count()
-    assert single.exceptAll(chunked).count() == 0
-    assert chunked.exceptAll(single).count() == 0
+    assert same(sessionize(reports).select(*COLS), single_window(reports).select(*COLS))
+
+
+def test_bursts_of_one_county(spark):
+    # many reports at the same instant and in the same minute, between quiet hours
+    rows = spark.range(3000).selectExpr(
+        "'ga' AS state", "DATE'2024-01-01' AS report_date", "'c' AS county", "concat('e', id % 7) AS emc",
+        "CAST(TIMESTAMP_NTZ'2024-01-01 05:00:00' + make_dt_interval(0, IF(id < 2990, 0, CAST(id % 10 AS int)), 0, IF(id < 2000, 0, id % 50)) AS timestamp_ntz) AS ts",
+        "CAST(id * 37 % 101 AS double) AS affected", "100D AS customers_served", "'f' AS source_file", "id AS row_id")
+    assert same(sessionize(rows).select(*COLS), single_window(rows).select(*COLS))
+    plain = single_window(rows).groupBy("event_id").agg(F.sum("delta").alias("upper"), F.max("affected").alias("lower"),
+        F.min_by("emc", F.struct("ts", "emc", "source_file", "row_id")).alias("emc"), F.count(F.lit(1)).alias("n_reports"))
+    assert same(build_events(rows).select("event_id", "upper", "lower", "emc", "n_reports"), plain)
 
 
-def test_hot_key_is_split_into_chunks(spark):
-    # one county holding every row still runs as many window partitions
+def test_no_window_task_holds_a_whole_hot_county(spark):
+    # one county with every report of the day: no (county, minute) group has more than a small share
     reports = adapter.outage_reports(spark, SF_MID).withColumn("county", F.lit("hot"))
-    s = sessionize(reports, chunk_rows=100)
-    single = sessionize(reports, chunk_rows=None)
-    cols = ["state", "report_date", "row_id", "event_id", "delta"]
-    assert s.select(*cols).exceptAll(single.select(*cols)).count() == 0
+    assert same(sessionize(reports).select(*COLS), single_window(reports).select(*COLS))
+    largest = reports.groupBy("state", "report_date", F.minute("ts"), F.hour("ts")).count().agg({"count": "max"}).first()[0]
+    assert largest < 20
 
 
 def test_invariants_lower_middle_upper(spark):
@@ -81,8 +104,6 @@ def test_dst_session_time_zone_does_not_shift_gaps(spark):
         rows = [("ny", dt.date(2024, 3, 10), "c", "e", dt.datetime(2024, 3, 10, h, m), 1.0, 10.0, "f", i)
                 for i, (h, m) in enumerate([(1, 30), (2, 29), (3, 28)])]
         df = spark.createDataFrame(rows, SCHEMA)
-        for chunk in (None, 1):
-            s = sessionize(df, chunk_rows=chunk).orderBy("ts").collect()
-            assert [r.event_id for r in s] == [1, 1, 1]
+        assert [r.event_id for r in sessionize(df).orderBy("ts").collect()] == [1, 1, 1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)

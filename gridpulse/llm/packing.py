@@ -13,6 +13,7 @@ all rows share is numbered in parallel.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import id_and_text, spool
 from gridpulse.llm.tokens import encoder
 
-# Pieces that are numbered together.
-PART_ROWS = 100_000
+# Pieces are numbered in about sqrt(n) / PARTS parts: both a part's share of one length and the parts of a length stay small.
+PARTS = 40
 
 
 def _two(counts: np.ndarray, room: int) -> tuple[int, int]:
@@ -140,7 +141,7 @@ def pack(
     table gives an empty result; other columns are ignored.
     """
     cut = spool(token_pieces(id_and_text(docs, id_col, text_col), capacity, end_id, tokenizer_path, kind), "pack-pieces")
-    parts = cut.count() // PART_ROWS + 1
+    parts = math.isqrt(cut.count()) // PARTS + 1
     pieces = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
     sizes = spool(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "pack-lengths")
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -41,21 +41,6 @@ FEED_NAME_PATTERN = r"(?i)per_?count(y|ies)?"
 FEED_SUFFIX_PATTERN = r"(?i)\.csv$"
 MUNICIPAL_KEY = "muni"
 
-# --- fixed values: timestamp shapes accepted in feeds and history files --------
-# (documentation of what parse_timestamp handles; it normalizes US dates to ISO
-# and casts once)
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm",
-    "MM-dd-yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "yyyy-MM-dd",
-)
-
 # --- fixed values: retrieval settings (defaults, then per-state overrides) ----
 SETTINGS_DEFAULTS = {
     "head_bytes": 500,

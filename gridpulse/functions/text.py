@@ -15,10 +15,10 @@ def _col(c: Column | str) -> Column:
 def null_if_literal(c: Column | str, literals=NULL_LITERALS) -> Column:
     """Text the CSV reader of the source pipeline treats as missing -> NULL.
 
-    The comparison is on the trimmed text, so ``' NA '`` is missing as well.
+    The text is compared as it is: ``' NA '`` and blanks are values, as there.
     """
     c = _col(c)
-    return F.when(F.trim(c).isin(list(literals)), F.lit(None).cast("string")).otherwise(c)
+    return F.when(c.isin(list(literals)), F.lit(None).cast("string")).otherwise(c)
 
 
 def normalize_name(c: Column | str) -> Column:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.constants import CONTAINMENT_SCORE, FUZZY_MIN_SCORE, MUNICIPAL_KEY
@@ -33,11 +33,17 @@ from gridpulse.functions.text import normalize_name
 MAX_EDIT_SHARE = 1.0 - FUZZY_MIN_SCORE / 100.0   # 0.15
 
 
+def header_names(header: str) -> Column:
+    """Column names of a header line by CSV rules: quoted names may hold commas and doubled quotes."""
+    fields = F.regexp_extract_all(header, F.lit('(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(fields, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
+
+
 def distinct_columns(headers: DataFrame) -> DataFrame:
     """agg_distinct_columns: (state, column_name) trimmed lower, distinct,
     from a (state, header) table of raw header lines."""
-    names = headers.select("state", F.explode(F.split("header", ",")).alias("name"))
-    return names.select("state", normalize_name(F.regexp_replace("name", '"', "")).alias("column_name")).distinct()
+    names = headers.select("state", F.explode(header_names("header")).alias("name"))
+    return names.select("state", normalize_name(F.col("name")).alias("column_name")).distinct()
 
 
 def distinct_counties(df: DataFrame, county_cols: Sequence[str], key_col: str | None = None) -> DataFrame:

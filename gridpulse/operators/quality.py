@@ -18,7 +18,7 @@ def file_utilization(raw: DataFrame, manifest: DataFrame, settings: DataFrame, t
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.to_date("ts") == F.lit(target_day).cast("date")).alias("n_target_rows"),
     )
-    j = per_file.join(manifest.select(F.col("path").alias("source_file"), "bytes"), "source_file", "left").join(
+    j = per_file.join(manifest.select(F.col("uri").alias("source_file"), "bytes"), "source_file", "left").join(
         settings.select("state", "utilization_threshold_high", "utilization_log_low"), "state", "left"
     )
     share = F.try_divide(F.col("n_target_rows").cast("double"), F.col("n_rows").cast("double"))

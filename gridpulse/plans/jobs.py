@@ -163,7 +163,7 @@ def job_mapping_build(spark: SparkSession, feeds_root: str, mapping_root: str, o
     """job_mapping_build: distinct raw columns -> distinct raw counties (of
     the columns the column map sends to ``county``) -> fuzzy county map."""
     manifest = feeds.file_manifest(spark, feeds_root).where("is_feed")
-    headers = feeds.file_headers(spark, manifest).join(manifest.select("path", "state"), "path")
+    headers = feeds.file_headers(spark, feeds_root).join(manifest.select("uri", "state"), "uri")
     columns = mapping.distinct_columns(headers)
     col_maps = lookups.col_map_dict(lookups.read_col_map(spark, mapping_root))
     raw, _ = feeds.read_feeds(spark, feeds_root, col_maps, drop_null_provider=False)

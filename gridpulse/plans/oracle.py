@@ -434,3 +434,141 @@ ORACLE.update({
         "WHERE Date = DATE '2024-01-15'"
     ),
 })
+
+
+# ------------------------------------------------------------ sinks, files --
+HISTORY = (
+    f"SELECT {title('state_name')} AS State, {title('county')} AS County, fips AS FIPS, saidi AS SAIDI, "
+    f"middle_saifi AS SAIFI, report_date AS Date, state AS state_code FROM (" + ENRICHED.format(src="metrics") + ")"
+)
+ORACLE.update({
+    "sink_dashboard_csv": with_base(
+        f"SELECT {title('county')} AS County, fips AS FIPS, {disp('saidi')} AS SAIDI, "
+        f"{disp('lower_saifi')} AS LOWER_SAIFI, {disp('middle_saifi')} AS SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI, "
+        f"{title('state_name')} AS State, strftime(report_date, '%Y-%m-%d') AS Date, state AS state_code "
+        f"FROM (" + ENRICHED.format(src="metrics") + ")"
+    ),
+    "agg_write_summary": with_base(
+        "SELECT count(*) AS n_rows, CAST(8 AS INTEGER) AS n_columns, TRUE AS success FROM (" + ENRICHED.format(src="metrics") + ")"
+    ),
+    "sink_history_upsert": with_base(
+        f"SELECT *, CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month, Date AS report_date FROM ({HISTORY})"
+    ),
+})
+
+# The feed files that ``sources.fixtures`` writes, as the reader should see them.
+FILES = """
+ev AS (
+  SELECT *, 's' || CAST(user_id % 2 AS VARCHAR) AS state, 'c' || CAST(user_id % 50 AS VARCHAR) AS c,
+         CASE WHEN event_type IN ('click', 'view', 'purchase', 'signup', 'error') THEN event_type ELSE 'other' END AS layout
+  FROM events),
+headers AS (
+  SELECT * FROM (VALUES
+    ('click', 'timestamp,EMC,name,cust_a,cust_s,n_out'), ('other', 'timestamp,EMC,name,cust_a,cust_s,n_out'),
+    ('view', 'timestamp,EMC,countyname,customersOutNow,customersServed'),
+    ('purchase', 'timestamp,EMC,Counties,# Out,# Served,% Out'), ('signup', 'timestamp,EMC,county,# out,% out'),
+    ('error', 'last updated,EMC,location,customers out')) AS h(layout, header)),
+files AS (
+  SELECT ev.*, header,
+         CASE event_id % 9 WHEN 0 THEN upper(c) WHEN 1 THEN c || '   ' WHEN 2 THEN 'xx-' || c
+              WHEN 3 THEN 'Unknown' WHEN 4 THEN 'NA' ELSE c END AS county_raw,
+         CASE WHEN event_id % 7 = 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ',' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0')
+              WHEN event_id % 7 = 1 THEN 'n/a' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS affected,
+         CASE WHEN event_id % 5 = 0 THEN '<1%' ELSE CAST(event_id % 30 + 1 AS VARCHAR) || '.25%' END AS pct_text,
+         CASE WHEN event_id % 13 = 0 THEN '0' ELSE format('{:,}', 1000 + 10 * (user_id % 50) + length(event_type)) END AS served_text
+  FROM ev JOIN headers USING (layout)),
+seen AS (
+  SELECT *, CASE WHEN county_raw <> 'NA' THEN rtrim(county_raw) END AS county_read,
+         CASE WHEN affected <> 'n/a' THEN affected END AS affected_read,
+         CASE WHEN layout <> 'signup' THEN served_text END AS served_read,
+         CASE WHEN layout = 'signup' THEN pct_text END AS pct_read,
+         CASE layout WHEN 'view' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') WHEN 'purchase' THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_read,
+         CASE layout WHEN 'view' THEN date_trunc('millisecond', ts) ELSE date_trunc('second', ts) END AS ts_parsed
+  FROM files WHERE layout <> 'error'),
+kmap AS (
+  SELECT DISTINCT 's' || CAST(k % 2 AS VARCHAR) AS map_state, raw, 'c' || CAST(k AS VARCHAR) AS standard
+  FROM mnum, (SELECT unnest([0, 1]) AS v) vv,
+       LATERAL (SELECT CASE WHEN v = 0 THEN 'c' || CAST(k AS VARCHAR) ELSE 'xx - c' || CAST(k AS VARCHAR) END AS raw))
+"""
+
+
+def with_files(select: str) -> str:
+    return f"WITH {BASE.strip()},\n{FILES.strip()}\n{select}"
+
+
+ORACLE.update({
+    "scan_csv_dynamic": with_files("SELECT state, header, count(*) AS n_rows FROM seen GROUP BY state, header"),
+    "scan_provider_key": with_files("SELECT state, event_type AS emc, count(*) AS n_rows FROM seen GROUP BY state, event_type"),
+    "scan_source_lineage": with_files("SELECT state, layout, count(*) AS n_rows FROM seen GROUP BY state, layout"),
+    "lookup_raw_counties": with_files(
+        "SELECT DISTINCT state, lower(trim(county_raw)) AS raw FROM files WHERE trim(county_raw) <> ''"
+    ),
+    "lookup_master_counties": with_files("SELECT DISTINCT state, county FROM master"),
+    "lookup_fips": with_files(
+        "SELECT lower(trim(state_abbr)) AS _fips_state, lower(trim(county_name)) AS _fips_county, fips, state_name FROM fips"
+    ),
+    "lookup_county_map": with_files(
+        f"SELECT s.state, s.raw, s.n_reports, m.standard FROM (SELECT state, {norm_county('county_read')} AS raw, count(*) AS n_reports "
+        "FROM seen WHERE county_read IS NOT NULL GROUP BY ALL) s LEFT JOIN kmap m ON s.state = m.map_state AND s.raw = m.raw"
+    ),
+    "agg_distinct_columns": with_files(
+        "SELECT DISTINCT state, lower(trim(unnest(string_split(header, ',')))) AS column_name FROM files"
+    ),
+})
+
+
+# The same metrics over the reports that the files hold once standardized.
+FILE_REPORTS = f"""
+{FILES.strip()},
+reports AS (
+  SELECT s.state, CAST(s.ts_parsed AS DATE) AS report_date, m.standard AS county, s.event_type AS emc,
+         CAST(s.ts_parsed AS TIMESTAMP) AS ts, {clean('s.affected_read')} AS affected,
+         {clean('s.served_read')} AS customers_served, s.layout AS source_file, CAST(s.event_id AS BIGINT) AS row_id
+  FROM seen s JOIN kmap m ON s.state = m.map_state AND {norm_county('s.county_read')} = m.raw
+  WHERE s.county_read NOT IN ('unknown', 'Unknown', 'UNKNOWN', '') AND {clean('s.served_read')} <> 0),
+"""
+
+
+def with_jobs(select: str, run_keys: str) -> str:
+    """BASE over the files' reports: mnum moves to the front, as the files' county map needs it."""
+    base = BASE.strip()
+    rest = base[base.index("mnum AS (") :]
+    mnum, rest = rest[: rest.index("master AS (")], rest[rest.index("master AS (") :]
+    rest = rest.replace("run_keys AS (SELECT DISTINCT state, report_date FROM reports)", f"run_keys AS ({run_keys})")
+    return f"WITH {mnum.strip()}\n{FILE_REPORTS.strip()}\n{rest}\n{select}"
+
+
+ALL_DAYS = "SELECT DISTINCT state, CAST(ts AS DATE) AS report_date FROM ev"
+REPORTED_DAYS = "SELECT DISTINCT state, report_date FROM reports"
+JOB_HISTORY = (
+    f"SELECT *, CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month, Date AS report_date FROM ({HISTORY})"
+)
+ORACLE.update({
+    "scan_union_by_name": with_files(
+        'SELECT state, ts_read AS "timestamp", event_type AS emc, county_read AS county, '
+        'affected_read AS per_outage_customers_affected, served_read AS customers_served, pct_read AS "% out", '
+        "FALSE AS _impute FROM seen"
+    ),
+    "scan_null_literals": with_files(
+        "SELECT state, CAST(0 AS BIGINT) AS null_timestamp, CAST(0 AS BIGINT) AS null_emc, count(*) FILTER (county_read IS NULL) AS null_county, "
+        "count(*) FILTER (affected_read IS NULL) AS null_per_outage_customers_affected, "
+        "count(*) FILTER (served_read IS NULL) AS null_customers_served, "
+        'count(*) FILTER (pct_read IS NULL) AS "null_% out", CAST(0 AS BIGINT) AS null__impute FROM seen GROUP BY state'
+    ),
+    "job_daily": with_jobs(
+        f"SELECT {title('county')} AS County, fips AS FIPS, {disp('saidi')} AS SAIDI, "
+        f"{disp('lower_saifi')} AS LOWER_SAIFI, {disp('middle_saifi')} AS SAIFI, {disp('upper_saifi')} AS UPPER_SAIFI, "
+        f"{title('state_name')} AS State, report_date AS Date FROM (" + ENRICHED.format(src="metrics") + ")",
+        ALL_DAYS,
+    ),
+    "job_backfill": with_jobs(JOB_HISTORY, REPORTED_DAYS),
+    "sink_history_backfill": with_jobs(
+        f"SELECT h.state_code, year, month, n_rows, n_days, n_skipped AS n_skipped_days FROM "
+        f"(SELECT state_code, year, month, count(*) AS n_rows, count(DISTINCT report_date) AS n_days FROM ({JOB_HISTORY}) "
+        f"GROUP BY state_code, year, month) h JOIN "
+        f"(SELECT state AS state_code, (SELECT date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 2 FROM ev) "
+        f"- count(*) AS n_skipped FROM run_keys GROUP BY state) k ON h.state_code = k.state_code",
+        REPORTED_DAYS,
+    ),
+})

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpulse.operators import quality
+from gridpulse.operators import mapping, quality
 from gridpulse.operators import standardize as std
 from gridpulse.plans.catalog import query
 from gridpulse.sources import feeds, lookups
@@ -40,14 +40,15 @@ def q_manifest(spark, sf):
 def q_stale(spark, sf):
     paths = ensure_fixture(spark, sf)
     m = feeds.file_manifest(spark, paths.feeds).where("is_feed")
-    return feeds.stale_filter(m, F.current_timestamp(), 2)
+    newest = m.agg(F.max("modified").alias("at")).first()["at"]
+    return feeds.stale_filter(m, newest, 2)
 
 
 @query("scan_csv_dynamic")
 def q_csv_dynamic(spark, sf):
     paths = ensure_fixture(spark, sf)
     groups = [g for g in feeds.header_groups(
-        feeds.file_headers(spark, feeds.file_manifest(spark, paths.feeds).where("is_feed")),
+        feeds.file_headers(spark, paths.feeds),
         feeds.file_manifest(spark, paths.feeds), _maps(spark, paths)) if g.skipped_reason is None]
     out = None
     for i, g in enumerate(groups):
@@ -59,7 +60,7 @@ def q_csv_dynamic(spark, sf):
 
 @query("scan_union_by_name")
 def q_union(spark, sf):
-    return _feeds(spark, sf)[1]
+    return _feeds(spark, sf)[1].drop("source_file", "row_id")
 
 
 @query("scan_require_timestamp")
@@ -78,7 +79,8 @@ def q_null_literals(spark, sf):
 @query("scan_source_lineage")
 def q_lineage(spark, sf):
     df = _feeds(spark, sf)[1]
-    return df.groupBy("state", "source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    layout = F.regexp_extract("source_file", r"/([^/]+)_per_county/", 1)
+    return df.groupBy("state", layout.alias("layout")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("scan_provider_key")
@@ -91,7 +93,7 @@ def q_provider_key(spark, sf):
 def q_full_history(spark, sf):
     paths, df, _ = _feeds(spark, sf)
     cm = lookups.read_county_map(spark, paths.mappings)
-    return std.standardize(df, cm)
+    return std.standardize(df, cm).drop("source_file", "row_id")
 
 
 @query("scan_recent_slice")
@@ -111,10 +113,11 @@ def q_lookup_col_map(spark, sf):
     with its canonical target (NULL when unmapped)."""
     paths = ensure_fixture(spark, sf)
     manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
-    heads = feeds.file_headers(spark, manifest).join(manifest.select("path", "state"), "path")
-    cols = heads.select("path", "state", F.posexplode(F.split("header", ",")).alias("position", "raw_name"))
+    heads = feeds.file_headers(spark, paths.feeds).join(manifest.select("uri", "state"), "uri")
+    cols = heads.select("state", "uri", F.posexplode(mapping.header_names("header")).alias("position", "raw_name"))
     cm = lookups.read_col_map(spark, paths.mappings).drop("line_no")
-    return cols.withColumn("raw", F.lower(F.trim("raw_name"))).join(cm, ["state", "raw"], "left")
+    applied = cols.withColumn("raw", F.lower(F.trim("raw_name"))).join(cm, ["state", "raw"], "left")
+    return applied.groupBy("state", "position", "raw", "standard").agg((F.count(F.lit(1)) > 0).alias("seen"))
 
 
 @query("lookup_col_lists")
@@ -177,16 +180,15 @@ def q_file_utilization(spark, sf):
 @query("agg_bytes_summary")
 def q_bytes_summary(spark, sf):
     paths = ensure_fixture(spark, sf)
-    return feeds.bytes_summary(feeds.file_manifest(spark, paths.feeds), F.current_timestamp(), 2)
+    manifest = feeds.file_manifest(spark, paths.feeds)
+    return feeds.bytes_summary(manifest, manifest.agg(F.max("modified").alias("at")).first()["at"], 2)
 
 
 @query("agg_distinct_columns")
 def q_distinct_columns(spark, sf):
     paths = ensure_fixture(spark, sf)
-    h = feeds.file_headers(spark, feeds.file_manifest(spark, paths.feeds).where("is_feed"))
-    m = feeds.file_manifest(spark, paths.feeds).select("path", "state")
-    names = h.join(m, "path").select("state", F.explode(F.split("header", ",")).alias("name"))
-    return names.select("state", F.lower(F.trim(F.regexp_replace("name", '"', ""))).alias("column_name")).distinct()
+    manifest = feeds.file_manifest(spark, paths.feeds).select("uri", "state")
+    return mapping.distinct_columns(feeds.file_headers(spark, paths.feeds).join(manifest, "uri"))
 
 
 # ---------------------------------------------------------- header plans --

@@ -13,9 +13,8 @@ from gridpulse.sinks import tables
 from gridpulse.sources import adapter
 from gridpulse.sources.fixtures import ensure_fixture
 
-# fixed values: the day replaced by set_replace_date and the backfill range
+# fixed values: the day replaced by set_replace_date
 REPLACE_DAY = "2024-01-15"
-BACKFILL_RANGE = ("2024-01-01", "2024-01-31")
 # fixed values: the candidate run of the comparison uses a different hours-per-report
 CANDIDATE_REPORT_HOURS = 0.26
 
@@ -103,14 +102,15 @@ def q_sink_dashboard(spark, sf):
     display, _ = _outputs(spark, sf)
     path = unique_scratch(spark, "dashboard")
     tables.write_dashboard(display, path)
-    return spark.read.option("header", "true").csv(path)
+    return tables.read_dashboard(spark, path)
 
 
 @query("agg_write_summary")
 def q_write_summary(spark, sf):
     display, _ = _outputs(spark, sf)
     summary = tables.write_dashboard(display, unique_scratch(spark, "dashboard"))
-    return spark.createDataFrame([summary], "rows long, columns int, target string, success boolean")
+    shown = [(summary["rows"], summary["columns"], summary["success"])]
+    return spark.createDataFrame(shown, "n_rows long, n_columns int, success boolean")
 
 
 @query("sink_history_upsert")
@@ -130,10 +130,16 @@ def _fixture_inputs(spark, sf):
     return jobs.Inputs(p.feeds, p.mappings, p.fips, f"{p.served}/*_customers_served.csv")
 
 
+def _day_range(spark, sf):
+    """First and last day of the events, and one day more (which has no reports)."""
+    day = F.col("ts").cast("date")
+    return adapter.read_table(spark, sf, "events").agg(F.min(day), F.date_add(F.max(day), 1)).first()
+
+
 @query("job_daily")
 def q_job_daily(spark, sf):
     inp = _fixture_inputs(spark, sf)
-    keys = jobs.run_keys_for(spark, ["s0", "s1"], [REPLACE_DAY])
+    keys = adapter.run_keys(adapter.outage_reports(spark, sf))
     res = jobs.job_daily(spark, inp, keys, out_root=unique_scratch(spark, "daily"))
     return res.display.drop("state_code")
 
@@ -142,7 +148,7 @@ def q_job_daily(spark, sf):
 def q_job_backfill(spark, sf):
     inp = _fixture_inputs(spark, sf)
     out = unique_scratch(spark, "backfill")
-    res = jobs.job_backfill(spark, inp, ["s0", "s1"], *BACKFILL_RANGE, out_root=out)
+    jobs.job_backfill(spark, inp, ["s0", "s1"], *_day_range(spark, sf), out_root=out)
     return spark.read.parquet(f"{out}/history")
 
 
@@ -152,7 +158,7 @@ def q_sink_backfill(spark, sf):
     counts of the written table, plus the skipped (state, day) pairs."""
     inp = _fixture_inputs(spark, sf)
     out = unique_scratch(spark, "backfill")
-    res = jobs.job_backfill(spark, inp, ["s0", "s1"], *BACKFILL_RANGE, out_root=out)
+    res = jobs.job_backfill(spark, inp, ["s0", "s1"], *_day_range(spark, sf), out_root=out)
     written = spark.read.parquet(f"{out}/history").groupBy("state_code", "year", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("report_date").alias("n_days"))
     skipped = res.skipped.groupBy(F.col("state").alias("state_code")).agg(F.count(F.lit(1)).alias("n_skipped_days"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +16,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def land_bronze(raw_canonical: DataFrame, path: str) -> None:
-    """scan_recent_slice, landing side: canonical raw rows as Parquet
+    """scan_recent_slice, landing side (rows whose time does not parse are kept,
+    in the partition of the null day): canonical raw rows as Parquet
     partitioned by (state, report_date), replacing only the partitions
     present in this batch (dynamic overwrite), so later reads of recent days
     prune to their partitions instead of re-reading whole files.
@@ -26,7 +28,7 @@ def land_bronze(raw_canonical: DataFrame, path: str) -> None:
     """
     df = raw_canonical.withColumn("_ts", parse_timestamp(F.col("timestamp"))).withColumn(
         "report_date", F.to_date("_ts")
-    ).drop("_ts").where(F.col("report_date").isNotNull())
+    ).drop("_ts")
     (
         df.hint("rebalance", "state", "report_date")
         .sortWithinPartitions("state", "report_date")
@@ -74,33 +76,61 @@ def read_bronze(spark: SparkSession, path: str, days: Sequence | None = None, st
     return df
 
 
-def latest_day_per_state(display: DataFrame) -> DataFrame:
-    """The dashboard shows one day per state: the latest requested one."""
-    last = display.groupBy("state_code").agg(F.max("Date").alias("_last"))
-    return display.join(F.broadcast(last), "state_code").where(F.col("Date") == F.col("_last")).drop("_last")
-
-
 def write_dashboard(display: DataFrame, path: str) -> dict:
-    """sink_dashboard_csv: one CSV with header per state
-    (``<path>/state_code=<st>/part-*.csv``), replacing that state's file.
-    Returns agg_write_summary (rows, columns, target, success)."""
-    df = latest_day_per_state(display).select(*DASHBOARD_COLUMNS, "state_code")
+    """sink_dashboard_csv: one CSV with header per state and run day, under its
+    public name: ``<path>/Date=<day>/<STATE>_DATA.csv``.  All days of the run
+    are written; a day's folder replaces the one of an earlier run.
+
+    Spark writes the files into a staging folder (a state's day is a few
+    hundred county rows: one file), then each is renamed.  Any failure
+    raises.  Returns agg_write_summary (rows, columns, target, success).
+    """
+    spark = display.sparkSession
+    df = display.select(*[c for c in DASHBOARD_COLUMNS if c != "Date"], "Date", "state_code")
+    df = df.select("*", F.col("Date").alias("run_day"))
     obs = Observation("dashboard_write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    ok = True
-    try:
-        (
-            observed.repartition("state_code")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("header", "true")
-            .partitionBy("state_code")
-            .csv(path)
-        )
-    except Exception:  # noqa: BLE001 - reported in the summary like the source
-        ok = False
-    rows = obs.get.get("rows", 0) if ok else 0
-    return {"rows": int(rows), "columns": len(DASHBOARD_COLUMNS), "target": path, "success": ok}
+    staging = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
+    (
+        df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        .repartition("state_code", "run_day")
+        .write.option("header", "true")
+        .partitionBy("run_day", "state_code")
+        .csv(staging)
+    )
+    _publish(spark, staging, path)
+    return {"rows": int(obs.get["rows"]), "columns": len(DASHBOARD_COLUMNS), "target": path, "success": True}
+
+
+def _publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Rename ``staging/run_day=D/state_code=st/part-*`` to ``path/Date=D/ST_DATA.csv``."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in fs.listStatus(at(staging)):
+        name = day.getPath().getName()
+        if not name.startswith("run_day="):
+            continue
+        folder = at(f"{path}/{name.replace('run_day=', 'Date=', 1)}")
+        fs.mkdirs(folder)
+        for state in fs.listStatus(day.getPath()):
+            code = state.getPath().getName().split("=", 1)[1]
+            parts = [f.getPath() for f in fs.listStatus(state.getPath()) if f.getPath().getName().startswith("part-")]
+            target = at(folder, f"{code.upper()}_DATA.csv")
+            if len(parts) != 1:
+                raise RuntimeError(f"{len(parts)} files for {target}")
+            if fs.exists(target):
+                fs.delete(target, False)
+            if not fs.rename(parts[0], target):
+                raise RuntimeError(f"could not publish {target}")
+    fs.delete(at(staging), True)
+
+
+def read_dashboard(spark: SparkSession, path: str) -> DataFrame:
+    """The published files, with the state of their names."""
+    schema = ", ".join(f"`{c}` string" for c in DASHBOARD_COLUMNS if c != "Date")
+    df = spark.read.option("header", "true").schema(f"{schema}, day string").option("recursiveFileLookup", "true").csv(path)
+    code = F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)_DATA\.csv$", 1))
+    return df.withColumn("state_code", code).withColumnRenamed("day", "Date")
 
 
 def upsert_history(history: DataFrame, path: str) -> None:

@@ -35,6 +35,7 @@ from gridpulse.operators.standardize import ColumnPlan, coalesce_duplicates, pla
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     """scan_file_manifest: every file under ``root`` with state, size and
     modification time; ``is_feed`` marks names matching the feed pattern.
+    ``path`` opens the file, ``uri`` is its escaped name in lineage columns.
 
     Uses the binaryFile source for its listing only: ``content`` is never
     selected, so no file body is read.
@@ -43,12 +44,14 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path", "length", "modificationTime")
+        .select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime")
     )
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape(root.rstrip("/")) + "/", "")
+    named = F.regexp_extract("path", r"/state=([^/]+)/", 1)  # a folder named so, else the first one
     return listing.select(
         "path",
-        F.lower(F.split(rel, "/").getItem(0)).alias("state"),
+        "uri",
+        F.lower(F.coalesce(F.nullif(named, F.lit("")), F.split(rel, "/").getItem(0))).alias("state"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
         (F.col("path").rlike(FEED_SUFFIX_PATTERN) & F.col("path").rlike(FEED_NAME_PATTERN)).alias("is_feed"),
@@ -89,60 +92,27 @@ def bytes_summary(manifest: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
 
 
 # ------------------------------------------------------------------ headers --
-HEADER_PROBE_BYTES = 64 * 1024
-
-
-def file_headers(spark: SparkSession, paths: Sequence[str] | DataFrame) -> DataFrame:
-    """First line of each file.
-
-    Spark has no "first line only" read: a text scan would read the whole
-    first split of every file (up to a block per file, i.e. a second pass
-    over small files).  The path list is spread over tasks instead and each
-    task reads only the first bytes of its files (``mapInPandas``).  A file
-    the Arrow file system cannot open gets a NULL header, so its group is
-    reported as skipped; ``file_headers_by_scan`` is the Spark-reader
-    alternative for such schemes.
+def file_headers(spark: SparkSession, files: str | Sequence[str]) -> DataFrame:
+    """(uri, header): the first line of each file, whole, however long.
+
+    ``files``: a root folder (its feed files, found recursively) or a list of
+    paths.  Spark's text reader opens them, on any file system it knows; only
+    the split at byte 0 of a file counts, and in it the earliest line.  A
+    file that cannot be opened fails the job.  ``uri`` is the file's name as
+    ``_metadata.file_path`` has it (escaped), the same as the lineage column.
     """
-    probe = HEADER_PROBE_BYTES
-
-    def first_lines(batches):
-        # Defined here so it is shipped by value: Python workers need not
-        # import this package.  Reads at most ``probe`` bytes per file.
-        import pandas as pd
-        import pyarrow.fs as pafs
-
-        for pdf in batches:
-            headers = []
-            for path in pdf["path"]:
-                try:
-                    fs, inner = pafs.FileSystem.from_uri(path)
-                    with fs.open_input_stream(inner) as stream:
-                        head = stream.read(probe)
-                    line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
-                    headers.append(line.lstrip("\ufeff"))
-                except Exception:  # noqa: BLE001 - unreadable file: no header, group skipped
-                    headers.append(None)
-            yield pd.DataFrame({"path": pdf["path"], "header": headers})
-
-    if isinstance(paths, DataFrame):
-        listing = paths.select("path").distinct()
+    name = F.col("_metadata.file_path")
+    if isinstance(files, str):
+        text = spark.read.option("recursiveFileLookup", "true").text(files)
+        text = text.where(name.rlike(FEED_SUFFIX_PATTERN) & name.rlike(FEED_NAME_PATTERN))
+    elif files:
+        text = spark.read.text(list(files))
     else:
-        if not paths:
-            return spark.createDataFrame([], "path string, header string")
-        listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    heads = listing.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
-        first_lines, "path string, header string"
-    )
-    return heads
-
-
-def file_headers_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Fallback: one text scan, splits starting at byte 0, earliest line."""
-    text = spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
-    )
-    first = text.where(F.col("start") == 0).withColumn("_pos", F.monotonically_increasing_id())
-    return first.groupBy("path").agg(F.min_by("value", "_pos").alias("header"))
+        return spark.createDataFrame([], "uri string, header string")
+    lines = text.select("value", name.alias("uri"), F.col("_metadata.file_block_start").alias("start"))
+    first = lines.where(F.col("start") == 0).withColumn("_pos", F.monotonically_increasing_id())
+    header = F.regexp_replace(F.min_by("value", "_pos"), "^\ufeff", "")
+    return first.groupBy("uri").agg(header.alias("header"))
 
 
 def split_header(line: str) -> list[str]:
@@ -175,7 +145,7 @@ def header_groups(
     (std_required_columns), are kept with a reason and not read.
     """
     rows = (
-        headers.join(manifest.select("path", "state"), "path")
+        headers.join(manifest.select("uri", "path", "state"), "uri")
         .groupBy("state", "header")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
         .orderBy("state", "header")
@@ -211,16 +181,26 @@ def read_group(spark: SparkSession, group: HeaderGroup, impute: bool | None = No
     """scan_csv_dynamic for one header group: positional all-string read,
     null literals -> NULL, lineage column, canonical projection.
 
+    Quotes inside a quoted field are doubled, and a quoted field may hold
+    line breaks.  A short record lacks its last fields (NULL); a record with
+    more fields than the header fails the job, naming the file.
+
     ``impute``: estimate served from ``% out`` for this group's rows (the
     state has no served column in any file); see ``read_feeds``."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(group.header))])
+    width = len(group.header)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
     df = (
         spark.read.schema(schema)
         .option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", "true")
         .csv(group.paths)
     )
+    too_long = F.raise_error(F.concat(F.lit("record with more fields than the header in "), F.col("_metadata.file_path")))
+    df = df.where(F.when(F.col(f"_c{width}").isNotNull(), too_long.cast("boolean")).otherwise(F.lit(True)))
     df = df.select(
         F.lit(group.state).alias("state"),
         F.col("_metadata.file_path").alias("source_file"),
@@ -251,7 +231,7 @@ def read_feeds(
     manifest = file_manifest(spark, root).where("is_feed")
     if stale_days is not None and as_of is not None:
         manifest = stale_filter(manifest, as_of, stale_days)
-    headers = file_headers(spark, manifest)
+    headers = file_headers(spark, root)
     groups = header_groups(headers, manifest, col_maps)
     return read_planned(spark, groups, require_provider=require_provider, drop_null_provider=drop_null_provider), groups
 

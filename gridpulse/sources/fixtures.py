@@ -17,7 +17,6 @@ once per scale factor, so the registered file queries grow with the data:
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +40,9 @@ LAYOUTS = {
               ("customers out", "affected")],
 }
 
+# Event types beyond these are one more provider feed, laid out like ``OTHER_LIKE``.
+OTHER, OTHER_LIKE = "other", "click"
+
 # fixed values: the column map every state uses for these layouts
 COL_MAP_ROWS = [
     ("name", "county"), ("countyname", "county"), ("counties", "county"), ("county", "county"),
@@ -61,21 +63,26 @@ class FixturePaths:
     served: str
 
 
-def _tag(sf_dir: str) -> str:
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """Names the state of the tables: changed files get new fixtures."""
+    tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "nation", "region")]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tables)
+    seen = files.select("path", "length", "modificationTime").collect()
     # the suffix versions the fixture layout: a changed generator writes anew
-    return hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10] + "-v2"
-
-
-def _local(path: str) -> str | None:
-    p = path.replace("file://", "").replace("file:", "")
-    return p if p.startswith("/") else None
+    return hashlib.sha1(repr(sorted(map(tuple, seen))).encode()).hexdigest()[:16] + "-v3"
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str) -> FixturePaths:
-    root = scratch_path(spark, "fixtures", _tag(sf_dir))
+    root = scratch_path(spark, "fixtures", _tag(spark, sf_dir))
     return FixturePaths(root, f"{root}/feeds", f"{root}/mappings", f"{root}/fips.csv", f"{root}/served")
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether Spark has finished writing ``path`` (its last output)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def _feed_columns(ev: DataFrame) -> DataFrame:
     k = ev.user_id % 50
     c = F.concat(F.lit("c"), k.cast("string"))
@@ -113,75 +120,40 @@ def _feed_columns(ev: DataFrame) -> DataFrame:
 
 
 def ensure_fixture(spark: SparkSession, sf_dir: str) -> FixturePaths:
-    """Write the file inputs for ``sf_dir`` unless already complete."""
+    """Write the file inputs for ``sf_dir`` unless already complete.
+
+    Everything is written by Spark, on any file system it knows; names like
+    ``col_map.csv`` are folders of part files, which readers take as one file.
+    """
     paths = fixture_paths(spark, sf_dir)
-    marker = f"{paths.root}/_COMPLETE"
-    local_marker = _local(marker)
-    if local_marker and os.path.exists(local_marker):
+    if _complete(spark, paths.fips):
         return paths
-    ev = adapter.read_table(spark, sf_dir, "events")
-    cols = _feed_columns(ev)
-    for provider, layout in LAYOUTS.items():
-        sel = [F.col(src).alias(name) for name, src in layout]
+    cols = _feed_columns(adapter.read_table(spark, sf_dir, "events"))
+    known = F.col("provider").isin(list(LAYOUTS))
+    for name, layout in [*LAYOUTS.items(), (OTHER, LAYOUTS[OTHER_LIKE])]:
+        rows = cols.where(~known if name == OTHER else F.col("provider") == name)
         (
-            cols.where(F.col("provider") == provider)
-            .select("state", *sel)
-            .repartition(2, "state")
+            rows.select("state", *[F.col(src).alias(column) for column, src in layout])
+            .hint("rebalance", "state")
             .write.mode("overwrite")
             .option("header", "true")
             .partitionBy("state")
-            .csv(f"{paths.root}/_staging/{provider}_per_county")
+            .csv(f"{paths.feeds}/{name}_per_county")
         )
-    # the writer puts partitions under state=<s>/: expose them as <s>/<provider>_per_county
-    _relayout(paths)
-    # a non-feed file in every state folder (must be skipped by the name filter)
-    (
-        cols.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-        .repartition(1)
-        .write.mode("overwrite").option("header", "true").partitionBy("state")
-        .csv(f"{paths.root}/_staging/daily_summary")
-    )
-    _relayout(paths, names=("daily_summary",))
+    # a non-feed file per state (must be skipped by the name filter)
+    summary = cols.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    summary.write.mode("overwrite").option("header", "true").partitionBy("state").csv(f"{paths.feeds}/daily_summary")
     _write_mappings(spark, sf_dir, paths)
-    if local_marker:
-        open(local_marker, "w").close()
     return paths
 
 
-def _relayout(paths: FixturePaths, names=None) -> None:
-    """Copy ``_staging/<name>/state=<s>/part-*.csv`` to ``feeds/<s>/<name>/``.
-
-    Local file system only (tests and the local driver); a cluster run
-    reads feeds from its own ingestion layout.
-    """
-    import shutil
-
-    staging = _local(f"{paths.root}/_staging")
-    feeds = _local(paths.feeds)
-    if staging is None or feeds is None:
-        raise RuntimeError("fixture layout needs a local scratch folder")
-    for name in names or list(LAYOUTS):
-        src = os.path.join(staging, f"{name}_per_county" if name in LAYOUTS else name)
-        if not os.path.isdir(src):
-            continue
-        for part_dir in sorted(os.listdir(src)):
-            if not part_dir.startswith("state="):
-                continue
-            state = part_dir.split("=", 1)[1]
-            dest = os.path.join(feeds, state, os.path.basename(src))
-            os.makedirs(dest, exist_ok=True)
-            for f in sorted(os.listdir(os.path.join(src, part_dir))):
-                if f.startswith("part-"):
-                    shutil.copyfile(os.path.join(src, part_dir, f), os.path.join(dest, f))
-
-
-def _write_single_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", str(header).lower()).csv(path)
+def _write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def _write_mappings(spark: SparkSession, sf_dir: str, paths: FixturePaths) -> None:
     m = adapter.master_counties(spark, sf_dir)
-    states = [r.state for r in m.select("state").distinct().collect()]
+    states = [r.state for r in m.select("state").distinct().collect()]  # a few codes: one folder each
     cm = adapter.county_map(spark, sf_dir)
     raw_names = (
         _feed_columns(adapter.read_table(spark, sf_dir, "events"))
@@ -190,50 +162,23 @@ def _write_mappings(spark: SparkSession, sf_dir: str, paths: FixturePaths) -> No
         .distinct()
     )
     col_map = spark.createDataFrame(COL_MAP_ROWS, "raw string, standard string")
+    lists = spark.createDataFrame(
+        [("name", "cust_s", "cust_a", "timestamp"), ("countyname", "customersserved", "customersoutnow", None),
+         ("counties", "# served", "# out", None), ("county", None, "n_out", None)],
+        "county string, customers_served string, per_outage_customers_affected string, timestamp string",
+    )
     for st in states:
         base = f"{paths.mappings}/{st.upper()}"
-        _write_single_csv(col_map, f"{base}/_col_map")
-        lists = spark.createDataFrame(
-            [("name", "cust_s", "cust_a", "timestamp"), ("countyname", "customersserved", "customersoutnow", None),
-             ("counties", "# served", "# out", None), ("county", None, "n_out", None)],
-            "county string, customers_served string, per_outage_customers_affected string, timestamp string",
-        )
-        _write_single_csv(lists, f"{base}/_raw_col_lists")
-        _write_single_csv(
-            cm.where(F.col("state") == st).select("raw", "standard", F.lit(100.0).alias("score")).orderBy("raw"),
-            f"{base}/_county_map",
-        )
-        m.where(F.col("state") == st).select(
-            F.concat(F.upper(F.substring("county", 1, 1)), F.substring("county", 2, 10), F.lit(" County")).alias("value")
-        ).orderBy("value").coalesce(1).write.mode("overwrite").text(f"{base}/_master_county_list")
-        raw_names.where(F.col("state") == st).select(F.col("raw").alias("value")).orderBy("value").coalesce(
-            1).write.mode("overwrite").text(f"{base}/_raw_county_list")
-        _flatten(base, {"_col_map": "col_map.csv", "_raw_col_lists": "raw_col_lists.csv",
-                        "_county_map": "county_map.csv", "_master_county_list": "master_county_list.txt",
-                        "_raw_county_list": "raw_county_list.txt"})
-        hist = adapter.served_history(spark, sf_dir).where(F.col("state") == st).select(
+        own = F.col("state") == st
+        _write_csv(col_map, f"{base}/col_map.csv")
+        _write_csv(lists, f"{base}/raw_col_lists.csv")
+        _write_csv(cm.where(own).select("raw", "standard", F.lit(100.0).alias("score")), f"{base}/county_map.csv")
+        shown = F.concat(F.upper(F.substring("county", 1, 1)), F.substring("county", 2, 10), F.lit(" County"))
+        m.where(own).select(shown.alias("value")).write.mode("overwrite").text(f"{base}/master_county_list.txt")
+        raw_names.where(own).select(F.col("raw").alias("value")).write.mode("overwrite").text(f"{base}/raw_county_list.txt")
+        hist = adapter.served_history(spark, sf_dir).where(own).select(
             F.monotonically_increasing_id().alias("idx"), "county", "customers_served",
             F.lit("01-15-2024 00:00:00").alias("timestamp"),
         )
-        _write_single_csv(hist, f"{paths.served}/_{st}")
-        _flatten(paths.served, {f"_{st}": f"{st.upper()}_customers_served.csv"})
-    _write_single_csv(adapter.fips_table(spark, sf_dir), f"{paths.root}/_fips")
-    _flatten(paths.root, {"_fips": "fips.csv"})
-
-
-def _flatten(base: str, moves: dict[str, str]) -> None:
-    """Copy Spark's single part file of each output folder to a plain file
-    name (the folders stay; lookups only match the plain names)."""
-    import shutil
-
-    lb = _local(base)
-    if lb is None:
-        raise RuntimeError("fixture layout needs a local scratch folder")
-    for folder, name in moves.items():
-        d = os.path.join(lb, folder)
-        parts = sorted(f for f in os.listdir(d) if f.startswith("part-"))
-        target = os.path.join(lb, name)
-        if parts:
-            shutil.copyfile(os.path.join(d, parts[0]), target)
-        else:
-            open(target, "w").close()
+        _write_csv(hist, f"{paths.served}/{st.upper()}_customers_served.csv")
+    _write_csv(adapter.fips_table(spark, sf_dir), paths.fips)

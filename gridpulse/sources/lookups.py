@@ -9,6 +9,7 @@ table and served-history files are separate CSVs.  Every lookup gets a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,30 +20,48 @@ from gridpulse.functions.text import normalize_name, strip_county_word
 from gridpulse.functions.time import parse_timestamp
 
 
-def _state_from_path() -> F.Column:
-    return F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1))
+def _state_folder(name: str) -> F.Column:
+    """The folder that holds the file (or folder of part files) ``name``."""
+    return F.lower(F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(name)}(?:/[^/]+)?$", 1))
+
+
+def _read_csv_by_header(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(state, line_no, fields: map of header name -> text) over all states'
+    files ``name``.  Column order differs from file to file, so every record
+    is read by position and named by its own file's first record."""
+    widths = spark.read.text(f"{root}/*/{name}").select(F.max(F.size(F.split("value", ","))).alias("n")).first().n or 1
+    schema = ", ".join(f"_c{i} string" for i in range(widths))
+    records = (
+        spark.read.option("header", "false").option("quote", '"').option("escape", '"').option("multiLine", "true")
+        .schema(schema).csv(f"{root}/*/{name}")
+        .select(
+            _state_folder(name).alias("state"),
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("line_no"),
+            F.array(*[f"_c{i}" for i in range(widths)]).alias("fields"),
+        )
+    )
+    first = records.groupBy("file").agg(F.min("line_no").alias("line_no"))
+    heads = records.join(first, ["file", "line_no"]).select("file", F.col("line_no").alias("head_no"), F.col("fields").alias("names"))
+    rows = records.join(heads, "file").where(F.col("line_no") > F.col("head_no"))
+    named = F.filter(F.arrays_zip("names", "fields"), lambda x: x["names"].isNotNull())
+    clean = F.transform(named, lambda x: F.struct(F.lower(F.trim(F.regexp_replace(x["names"], "^\ufeff", ""))).alias("k"), x["fields"].alias("v")))
+    return rows.select("state", "line_no", F.col("names"), F.map_from_entries(clean).alias("fields"))
 
 
 def _read_csv_all_strings(spark: SparkSession, pattern: str) -> DataFrame:
-    return (
-        spark.read.option("header", "true")
-        .option("inferSchema", "false")
-        .option("recursiveFileLookup", "false")
-        .csv(pattern)
-    )
+    return spark.read.option("header", "true").option("inferSchema", "false").csv(pattern)
 
 
 def read_col_map(spark: SparkSession, root: str) -> DataFrame:
     """lookup_col_map: (state, raw, standard, line_no), trimmed lower-case;
     rows with fewer than two fields are skipped; the last row wins for a
     repeated raw name."""
-    df = _read_csv_all_strings(spark, f"{root}/*/col_map.csv")
-    raw, std = df.columns[0], df.columns[1]
-    rows = df.select(
-        _state_from_path().alias("state"),
-        normalize_name(F.col(f"`{raw}`")).alias("raw"),
-        normalize_name(F.col(f"`{std}`")).alias("standard"),
-        F.monotonically_increasing_id().alias("line_no"),
+    rows = _read_csv_by_header(spark, root, "col_map.csv").select(
+        "state",
+        normalize_name(F.col("fields")["raw"]).alias("raw"),
+        normalize_name(F.col("fields")["standard"]).alias("standard"),
+        "line_no",
     ).where(F.col("raw").isNotNull() & F.col("standard").isNotNull())
     return rows.groupBy("state", "raw").agg(
         F.max_by("standard", "line_no").alias("standard"), F.max("line_no").alias("line_no")
@@ -61,9 +80,8 @@ def col_map_dict(col_map: DataFrame) -> dict[str, dict[str, str]]:
 def read_col_lists(spark: SparkSession, root: str) -> DataFrame:
     """lookup_col_lists: (state, canonical, raw) from the column-wise lists,
     blanks dropped."""
-    df = _read_csv_all_strings(spark, f"{root}/*/raw_col_lists.csv").withColumn("state", _state_from_path())
-    cols = [c for c in df.columns if c != "state"]
-    stacked = df.unpivot("state", [F.col(f"`{c}`").alias(c.strip().lower()) for c in cols], "canonical", "raw")
+    rows = _read_csv_by_header(spark, root, "raw_col_lists.csv")
+    stacked = rows.select("state", F.explode("fields").alias("canonical", "raw"))
     return stacked.where(F.col("raw").isNotNull() & (F.trim("raw") != "")).select(
         "state", F.trim("canonical").alias("canonical"), "raw"
     ).distinct()
@@ -72,15 +90,12 @@ def read_col_lists(spark: SparkSession, root: str) -> DataFrame:
 def read_county_map(spark: SparkSession, root: str) -> DataFrame:
     """lookup_county_map: (state, raw, standard, score, line_no); score is
     carried but not used by the mapping."""
-    df = _read_csv_all_strings(spark, f"{root}/*/county_map.csv")
-    raw, std = df.columns[0], df.columns[1]
-    score = df.columns[2] if len(df.columns) > 2 else None
-    return df.select(
-        _state_from_path().alias("state"),
-        normalize_name(F.col(f"`{raw}`")).alias("raw"),
-        normalize_name(F.col(f"`{std}`")).alias("standard"),
-        (F.col(f"`{score}`").try_cast("double") if score else F.lit(None).cast("double")).alias("score"),
-        F.monotonically_increasing_id().alias("line_no"),
+    return _read_csv_by_header(spark, root, "county_map.csv").select(
+        "state",
+        normalize_name(F.col("fields")["raw"]).alias("raw"),
+        normalize_name(F.col("fields")["standard"]).alias("standard"),
+        F.col("fields")["score"].try_cast("double").alias("score"),
+        "line_no",
     ).where(F.col("raw").isNotNull() & F.col("standard").isNotNull())
 
 
@@ -88,7 +103,7 @@ def read_raw_counties(spark: SparkSession, root: str) -> DataFrame:
     """lookup_raw_counties: distinct trimmed lower non-empty lines."""
     df = spark.read.text(f"{root}/*/raw_county_list.txt")
     return (
-        df.select(_state_from_path().alias("state"), normalize_name(F.col("value")).alias("raw"))
+        df.select(_state_folder("raw_county_list.txt").alias("state"), normalize_name(F.col("value")).alias("raw"))
         .where(F.col("raw") != "")
         .distinct()
     )
@@ -99,7 +114,7 @@ def read_master_counties(spark: SparkSession, root: str) -> DataFrame:
     trimmed, empty lines dropped, distinct."""
     df = spark.read.text(f"{root}/*/master_county_list.txt")
     return (
-        df.select(_state_from_path().alias("state"), strip_county_word(F.col("value")).alias("county"))
+        df.select(_state_folder("master_county_list.txt").alias("state"), strip_county_word(F.col("value")).alias("county"))
         .where(F.col("county") != "")
         .distinct()
     )
@@ -115,7 +130,7 @@ def read_served_history(spark: SparkSession, pattern: str) -> DataFrame:
     """Historical served rows: (state, county, customers_served, as_of);
     state from the ``<ST>_customers_served.csv`` file name."""
     df = _read_csv_all_strings(spark, pattern)
-    state = F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([A-Za-z]+)_customers_served\.csv$", 1))
+    state = F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)_customers_served\.csv(?:/[^/]+)?$", 1))
     return df.select(
         state.alias("state"),
         F.col("county").cast("string").alias("county"),

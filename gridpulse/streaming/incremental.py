@@ -50,7 +50,7 @@ def process_batch(spark: SparkSession, inp: Inputs, out_root: str, new_files: Da
     header_cache = f"{out_root}/_headers"
     heads = feeds.file_headers(spark, sorted(new_paths)).withColumn("epoch", F.lit(int(epoch_id)))
     heads.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(header_cache)
-    all_heads = spark.read.parquet(header_cache).groupBy("path").agg(F.max_by("header", "epoch").alias("header"))
+    all_heads = spark.read.parquet(header_cache).groupBy("uri").agg(F.max_by("header", "epoch").alias("header"))
     manifest = feeds.file_manifest(spark, inp.feeds_root).where("is_feed")
     col_maps = lookups.col_map_dict(lookups.read_col_map(spark, inp.mapping_root))
     groups = feeds.header_groups(all_heads, manifest, col_maps)

@@ -46,7 +46,7 @@ def test_manifest_filters_names(spark, feed_root):
 
 def test_headers_and_groups(spark, feed_root):
     man = feeds.file_manifest(spark, feed_root).where("is_feed")
-    groups = feeds.header_groups(feeds.file_headers(spark, man), man, COL_MAP)
+    groups = feeds.header_groups(feeds.file_headers(spark, feed_root), man, COL_MAP)
     reasons = {(g.state, g.header[0]): g.skipped_reason for g in groups}
     assert reasons[("ga", "last updated")] == "no timestamp column"   # alias never rescues a file
     assert reasons[("ga", "timestamp")] is None
@@ -114,3 +114,91 @@ def test_lookups(spark, tmpdir_path):
     assert lists == {("county", "name"), ("county", "countyname"), ("timestamp", "timestamp")}
     st = lookups.settings_table(spark, ["GA", "zz"]).orderBy("state").collect()
     assert st[0].tail_bytes == 200000 and st[1].tail_bytes == 524288 and st[1].utilization_log_low == 0.3
+
+
+def _state_file(root, name, text, state="xx"):
+    folder = os.path.join(root, state)
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+PLAIN_MAP = {"xx": {"name": "county", "n_out": "per_outage_customers_affected", "cust_s": "customers_served", "timestamp": "timestamp"}}
+
+
+def test_quotes_line_breaks_and_blanks(spark, tmpdir_path):
+    _state_file(tmpdir_path, "b per_county.csv", (
+        "timestamp,EMC,name,n_out,cust_s\n"
+        '2024-01-01 00:00:00,e1,"Fulton ""North"", GA",5,100\n'
+        '2024-01-01 00:00:00,e1,"two\nlines",6,100\n'
+        "2024-01-01 00:00:00, NA ,padded,7,100\n"
+        "2024-01-01 00:00:00,NA,dropped,8,100\n"
+        "2024-01-01 00:00:00,e1,short\n"))
+    df, groups = feeds.read_feeds(spark, tmpdir_path, PLAIN_MAP)
+    rows = sorted((r.county, r.emc, r.per_outage_customers_affected, r.customers_served) for r in df.collect())
+    assert rows == [('Fulton "North", GA', "e1", "5", "100"), ("padded", " NA ", "7", "100"), ("short", "e1", None, None), ("two\nlines", "e1", "6", "100")]
+    # the lineage name is the manifest's, for a name with a blank too
+    manifest = feeds.file_manifest(spark, tmpdir_path)
+    assert df.select("source_file").distinct().join(manifest, F.col("source_file") == F.col("uri")).count() == 1
+
+
+def test_long_header_is_read_whole(spark, tmpdir_path):
+    names = [f"column_number_{i:05d}_with_a_long_name" for i in range(2600)]
+    header = ",".join([*names, "timestamp", "EMC", "name", "n_out", "cust_s"])
+    assert len(header) > 64 * 1024
+    _state_file(tmpdir_path, "per_county.csv", header + "\n" + "," * 2600 + "2024-01-01 00:00:00,e1,c,5,100\n")
+    df, groups = feeds.read_feeds(spark, tmpdir_path, PLAIN_MAP)
+    assert [g.skipped_reason for g in groups] == [None] and [r.county for r in df.collect()] == ["c"]
+
+
+def test_unreadable_and_malformed_files_fail_the_job(spark, tmpdir_path):
+    path = _state_file(tmpdir_path, "per_county.csv", "timestamp,EMC,name,n_out,cust_s\n2024-01-01 00:00:00,e1,c,5,100,7\n")
+    df, _ = feeds.read_feeds(spark, tmpdir_path, PLAIN_MAP)
+    with pytest.raises(Exception, match="more fields than the header"):
+        df.collect()
+    headers = feeds.file_headers(spark, tmpdir_path)
+    os.remove(path)
+    with pytest.raises(Exception):
+        headers.collect()
+
+
+def test_mapping_files_are_read_by_their_own_headers(spark, tmpdir_path):
+    from gridpulse.sources import lookups
+
+    _state_file(tmpdir_path, "raw_col_lists.csv", "county,customers_served,per_outage_customers_affected\nname,cust_s,cust_a\n", "AL")
+    _state_file(tmpdir_path, "raw_col_lists.csv", "county,per_outage_customers_affected,customers_served\nlocation,n_out,\n", "AR")
+    got = {(r.state, r.canonical, r.raw) for r in lookups.read_col_lists(spark, tmpdir_path).collect()}
+    assert got == {("al", "county", "name"), ("al", "customers_served", "cust_s"), ("al", "per_outage_customers_affected", "cust_a"),
+                   ("ar", "county", "location"), ("ar", "per_outage_customers_affected", "n_out")}
+    _state_file(tmpdir_path, "col_map.csv", "raw,standard\nName , county\nname,COUNTY2\nblank,\n", "AL")
+    _state_file(tmpdir_path, "col_map.csv", "standard,raw\ncounty,location\n", "AR")
+    assert lookups.col_map_dict(lookups.read_col_map(spark, tmpdir_path)) == {"al": {"name": "county2"}, "ar": {"location": "county"}}
+    _state_file(tmpdir_path, "county_map.csv", "raw,standard,score\n\"du, page\",dupage,92.3\n", "AL")
+    _state_file(tmpdir_path, "county_map.csv", "score,raw,standard\n100,x,y\n", "AR")
+    assert {(r.state, r.raw, r.standard, r.score) for r in lookups.read_county_map(spark, tmpdir_path).collect()} == {("al", "du, page", "dupage", 92.3), ("ar", "x", "y", 100.0)}
+
+
+def test_header_names_by_csv_rules(spark):
+    from gridpulse.operators.mapping import header_names
+
+    lines = ['a,"b, c","d ""q""",,e', "x", ""]
+    got = [r.n for r in spark.createDataFrame([(t,) for t in lines], "h string").select(header_names("h").alias("n")).collect()]
+    assert got == [["a", "b, c", 'd "q"', "", "e"], ["x"], [""]]
+
+
+def test_timestamp_shapes(spark):
+    from gridpulse.functions.time import parse_timestamp
+
+    shapes = {
+        "1/5/2024 3:15 PM": "2024-01-05 15:15:00", "Jan 5, 2024 3:15": "2024-01-05 03:15:00", "1/5/24 3:15": "2024-01-05 03:15:00",
+        "2024/01/15 10:00:00": "2024-01-15 10:00:00", "20240115 10:00:00": "2024-01-15 10:00:00",
+        "2024-01-15T10:00:00.123456": "2024-01-15 10:00:00.123456", "2024-01-15": "2024-01-15 00:00:00",
+        "01-15-2024 00:54:37": "2024-01-15 00:54:37", "5 January 2024": "2024-01-05 00:00:00", "12/31/99 12:00 AM": "1999-12-31 00:00:00",
+        "May 3 2024 11:59:59 p.m.": "2024-05-03 23:59:59", "not a time": None, "": None, "2024-13-01 00:00:00": None,
+        "1/5/2024 13:15 PM": None, "2024-02-30": None, None: None,
+    }
+    df = spark.createDataFrame([(t,) for t in shapes], "t string")
+    got = {r.t: None if r.p is None else str(r.p) for r in df.select("t", parse_timestamp("t").alias("p")).collect()}
+    assert got == shapes

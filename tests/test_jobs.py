@@ -41,7 +41,7 @@ def test_job_daily_dashboard_and_history(spark, inputs):
     dash = {r.County: r for r in spark.read.option("header", "true").csv(f"{root}/out/dashboard").collect()}
     f = dash["Fulton"]
     assert (f.SAIDI, f.LOWER_SAIFI, f.SAIFI, f.UPPER_SAIFI) == ("0.075", "0.17", "0.195", "0.22")
-    assert f.FIPS == "13121" and f.State == "Georgia" and f.Date == "2025-05-01"
+    assert f.FIPS == "13121" and f.State == "Georgia" and str(f.Date) == "2025-05-01"
     # silent county with a served history: SAIFI is a true 0, shown as "<0.0001"; SAIDI missing -> "0.0"
     assert (dash["Cobb"].SAIDI, dash["Cobb"].SAIFI) == ("0.0", "<0.0001")
     # silent county without history, and no FIPS row

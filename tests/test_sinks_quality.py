@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.operators import quality
@@ -39,9 +40,22 @@ def test_dashboard_write_summary(spark, tmpdir_path):
             ("Fulton", "1", "0.2", "0.2", "0.2", "0.2", "Georgia", d2, "ga")]
     path = os.path.join(tmpdir_path, "dash")
     summary = tables.write_dashboard(spark.createDataFrame(rows, schema), path)
-    assert summary["rows"] == 1 and summary["success"] and summary["columns"] == 8
-    back = spark.read.option("header", "true").csv(path).collect()
-    assert [r.SAIDI for r in back] == ["0.2"]
+    assert summary["rows"] == 2 and summary["success"] and summary["columns"] == 8
+    assert os.path.exists(os.path.join(path, "Date=2025-05-01", "GA_DATA.csv"))
+    with open(os.path.join(path, "Date=2025-05-02", "GA_DATA.csv")) as f:
+        assert f.readline().strip() == ",".join(tables.DASHBOARD_COLUMNS)
+    # a second run of one day replaces that day's file only
+    tables.write_dashboard(spark.createDataFrame([(*rows[1][:2], "0.9", *rows[1][3:])], schema), path)
+    back = sorted((r.Date, r.SAIDI, r.state_code) for r in tables.read_dashboard(spark, path).collect())
+    assert back == [("2025-05-01", "0.1", "ga"), ("2025-05-02", "0.9", "ga")]
+
+
+def test_dashboard_write_failure_raises(spark, tmpdir_path):
+    blocked = os.path.join(tmpdir_path, "file")
+    open(blocked, "w").close()
+    schema = "County string, FIPS string, SAIDI string, LOWER_SAIFI string, SAIFI string, UPPER_SAIFI string, State string, Date date, state_code string"
+    with pytest.raises(Exception):
+        tables.write_dashboard(spark.createDataFrame([("F", "1", "0", "0", "0", "0", "G", dt.date(2025, 5, 1), "ga")], schema), blocked)
 
 
 def test_compare_tolerance_rules(spark):

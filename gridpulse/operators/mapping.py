@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from gridpulse.constants import CONTAINMENT_SCORE, FUZZY_MIN_SCORE, MUNICIPAL_KEY
 from gridpulse.functions.text import normalize_name
 
+SCORER = "edit distance or containment"
 MAX_EDIT_SHARE = 1.0 - FUZZY_MIN_SCORE / 100.0   # 0.15
 
 

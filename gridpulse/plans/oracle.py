@@ -399,7 +399,10 @@ _CMP = " UNION ALL ".join(
 
 ORACLE.update({
     "agg_distinct_counties": with_extra("SELECT state, raw FROM rcf ORDER BY state, raw"),
-    "join_fuzzy_top1": with_extra("SELECT state, raw, standard, score FROM fz WHERE score >= 85.0"),
+    "join_fuzzy_top1": with_extra(
+        "SELECT state, raw, standard, score, 'edit distance or containment' AS scorer FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn FROM fz WHERE score >= 85.0) WHERE rn = 1"
+    ),
     "win_best_match": with_extra(
         "SELECT state, raw, standard, score FROM (SELECT *, row_number() OVER "
         "(PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn FROM fz WHERE score >= 85.0) WHERE rn = 1"
@@ -423,8 +426,9 @@ ORACLE.update({
         "WHERE null_count > 0"
     ),
     "join_compare": with_extra(
-        "SELECT b.state_code, b.Date, b.County, b.SAIDI AS SAIDI_base, b.SAIFI AS SAIFI_base, "
-        "o.SAIDI AS SAIDI_opt, o.SAIFI AS SAIFI_opt FROM disp_base b JOIN disp_cand o "
+        "SELECT b.state_code, b.Date, b.County, "
+        + ", ".join(f"b.{c} AS {c}_base, o.{c} AS {c}_opt" for c in ("SAIDI", "LOWER_SAIFI", "SAIFI", "UPPER_SAIFI"))
+        + " FROM disp_base b JOIN disp_cand o "
         "ON b.state_code = o.state_code AND b.Date = o.Date AND b.County = o.County"
     ),
     "qa_compare_tolerance": with_extra(_CMP),

@@ -44,10 +44,11 @@ def q_distinct_counties(spark, sf):
 
 
 @query("join_fuzzy_top1")
-def q_fuzzy_candidates(spark, sf):
-    cand = mapping.fuzzy_candidates(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
-    scored = cand.withColumn("score", mapping.fuzzy_score(F.col("raw"), F.col("standard")))
-    return scored.where(F.col("score") >= F.lit(85.0))
+def q_fuzzy_top1(spark, sf):
+    """The best master county of every raw name, with the scorer's name: its
+    scores are not those of the original's scorer near the cut-off."""
+    best = mapping.fuzzy_map(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
+    return best.withColumn("scorer", F.lit(mapping.SCORER))
 
 
 @query("win_best_match")
@@ -75,8 +76,9 @@ def q_join_compare(spark, sf):
     base, _ = _outputs(spark, sf)
     cand, _ = _outputs(spark, sf, CANDIDATE_REPORT_HOURS)
     keys = ["state_code", "Date", "County"]
-    b = base.select(*keys, *[F.col(c).alias(f"{c}_base") for c in ("SAIDI", "SAIFI")])
-    o = cand.select(*keys, *[F.col(c).alias(f"{c}_opt") for c in ("SAIDI", "SAIFI")])
+    metrics = ("SAIDI", "LOWER_SAIFI", "SAIFI", "UPPER_SAIFI")
+    b = base.select(*keys, *[F.col(c).alias(f"{c}_base") for c in metrics])
+    o = cand.select(*keys, *[F.col(c).alias(f"{c}_opt") for c in metrics])
     return b.join(o, keys, "inner")
 
 

@@ -6,17 +6,18 @@ table and derives the contract's columns from the operator's output.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import documents, fold_share
+from gridpulse.llm.common import documents, fold_share, plain_words
 from gridpulse.llm.decontaminate import contamination
 from gridpulse.llm.exact_dedup import exact_dedup
 from gridpulse.llm.language_id import identify_language
-from gridpulse.llm.license_scan import license_scan
+from gridpulse.llm.license_scan import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.lm_score import lm_score
 from gridpulse.llm.packing import pack
@@ -89,9 +90,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+
+
+def _license_sql() -> str:
+    """Every block against every template, in plain SQL."""
+
+    def listed(words: list[bytes]) -> str:
+        return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+    sets = [sorted(set(plain_words(text))) for _, text in TEMPLATES]
+    templates = ", ".join(
+        f"({i}, '{label}', {math.ceil(0.8 * len(words) - 1e-9)}, {listed(words)})"
+        for i, ((label, _), words) in enumerate(zip(TEMPLATES, sets, strict=True))
+    )
+    phrases = ", ".join(f"('{label}', {listed(plain_words(text))})" for text, label in PHRASES)
+    half = BLOCK_WORDS // 2
+    text = _LOWER.format("coalesce(text, '')")
+    return f"""
+        WITH t(template, label, need, own) AS (VALUES {templates}),
+        p(label, phrase) AS (VALUES {phrases}),
+        l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos
+              FROM (SELECT doc_id, string_split({text}, chr(10)) AS ls FROM documents)),
+        w AS (SELECT doc_id, pos, regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM l),
+        d AS (SELECT doc_id, flatten(list(words ORDER BY pos)) AS words FROM w GROUP BY doc_id),
+        places AS (SELECT doc_id, label, unnest(list_filter(range(len(words)), lambda i: words[i + 1 : i + len(phrase)] = phrase)) AS spot
+                   FROM d, p),
+        base AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_distinct(list(label)) AS base
+                 FROM places GROUP BY doc_id),
+        blocks AS (SELECT doc_id, pos, lo, list_distinct(words[lo + 1 : lo + {BLOCK_WORDS}]) AS block
+                   FROM (SELECT *, unnest(range(0, greatest(1, len(words) - {half}), {half})) AS lo FROM w)),
+        found AS (SELECT doc_id, pos, lo, template, label, len(own) AS size, len(list_intersect(own, block)) AS shared, need
+                  FROM blocks, t),
+        best AS (SELECT *, shared / size AS containment, row_number() OVER (PARTITION BY doc_id, pos, lo
+                        ORDER BY shared / size DESC, size DESC, template) AS place FROM found WHERE shared >= need),
+        m AS (SELECT doc_id, list(label) AS labels, max(containment) AS score FROM best WHERE place = 1 GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(labels, [])))), ',') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op5_license_scan": _license_sql(),
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

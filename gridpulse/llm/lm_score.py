@@ -2,17 +2,19 @@
 
 A text is a sequence of words (A-Z lower-cased) and one end.  A word of the
 vocabulary is a symbol with a Huffman code; any other word is an escape and
-its bytes, with a code of their own.  So a text is a sequence of binary
-decisions, and each is predicted from three contexts: the code node alone; a
+its bytes, each with a code chosen by the byte before.  So a text is a
+sequence of binary decisions.  A decision is predicted by hashed contexts, a
 short history (the last very common word, or the last two bytes of a spelled
-word); a long one (the last word if common, or the last four bytes).  The
-histories are hashed into tables of counts over the whole training corpus;
-rare nodes, whose entries would only collide, have no history.  Each context
-is smoothed towards the next shorter one.  The predictions are mixed in
-the logistic domain with weights that a gate chooses (kind of symbol and
-confidence of the two histories) and that learn online while the text is
-read; an adaptive map then refines the mixed probability.  The negative
-logarithms add up to the text's total bits, with bits per byte beside them.
+word) and a long one (the last word if common, or the last four bytes), each
+smoothed towards the next shorter one and at last towards the code tree's
+own weights.  The histories are hashed into tables of counts over the whole
+training corpus.  The predictions are mixed in the logistic domain with
+weights that a gate chooses (kind of symbol and confidence of the two
+histories) and that learn online while the text is read; an adaptive map then
+refines the mixed probability.  Decisions deep in the word tree, below the
+``HISTORY_NODES`` most used nodes, have no history and cost what the tree
+says.  The negative logarithms add up to the text's total bits, with bits
+per byte beside them.
 
 Mixing state starts anew every ``LANE`` decisions of a document, so that
 many lanes are computed side by side; weights learn in steps of ``STEP``.
@@ -42,22 +44,21 @@ VOCABULARY = 1 << 17
 # Rarer training words are spelled, so that spelling and escapes are learnt from words as rare as unknown ones.
 LEAST_COUNT = 3
 WORD_BYTES = 64
-# Entries of the hashed tables: short and long history of words, then of bytes.
-TABLES = (20, 21, 18, 20)
+# Bits of the hashed tables: short and long history of words, then of bytes.
+TABLES = (19, 21, 19, 20)
 # Words that count as history, and nodes (the most used ones) that have it.
-SHORT_WORDS, SHORT_NODES, LONG_WORDS, LONG_NODES = 64, 1 << 15, 4096, 4096
+SHORT_WORDS, LONG_WORDS, HISTORY_NODES = 64, 4096, 4096
 # Weight of the shorter context in the smoothing of the short and the long history.
 SHORT_PRIOR, LONG_PRIOR = 8.0, 4.0
 LANE = 4096
 STEP = 32
-GATES = 32
-CONTEXTS = 3
+GATES = 16
 LEVELS = 24  # of the adaptive map
 RATE, MAP_RATE = 0.004, 0.02
-# Bytes of text that are computed at once; entries of a table chunk; words a task counts before it hands them on.
-BATCH, CHUNK, FLUSH = 1 << 20, 1 << 16, 400_000
-# The end of a spelled word; no word holds it.
-STOP = 10
+# Bytes of text that are computed at once; entries of a table chunk; words, and pairs of words, a task holds at once.
+BATCH, CHUNK, FLUSH, PAIRS = 1 << 20, 1 << 16, 400_000, 2_000_000
+# The byte before a spelled word's first.
+START = 256
 
 
 def words_of(text: str) -> list[bytes]:
@@ -86,122 +87,147 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_bytes(words: DataFrame) -> np.ndarray:
-    """How often each byte is spelled in the words (word, n), ends included."""
+def spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all words, each word ended by a line feed (which no word
+    holds), and the place of every byte in its word."""
+    letters = np.frombuffer(b"\n".join(words) + b"\n" if words else b"", np.uint8).astype(np.int64)
+    lengths = np.array([len(w) + 1 for w in words], np.int64)
+    return letters, np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256)
-        for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total += np.bincount(np.frombuffer(word + b"\n", np.uint8), minlength=256) * n
-        yield pa.RecordBatch.from_pydict({"byte": np.arange(256), "n": total.astype(np.int64)})
 
-    summed = words.select("word", "n").mapInArrow(count, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n"))
-    out = np.zeros(256, np.int64)
-    for r in summed.collect():
-        out[r["byte"]] = r["n"]
-    return out
+def before(letters: np.ndarray, inside: np.ndarray, k: int, at_start: int) -> np.ndarray:
+    """The byte ``k`` places before each byte of its word."""
+    moved = np.full(len(letters), at_start, np.int64)
+    moved[k:] = letters[: max(0, len(letters) - k)]
+    return np.where(inside >= k, moved, at_start)
 
 
-def huffman(weights: list[int]) -> tuple[list[list[tuple[int, int]]], int]:
-    """For every symbol its decisions (node, bit) from the root; number of nodes."""
+def count_bytes(words: DataFrame) -> np.ndarray:
+    """Counts (byte before, byte) over the spelled words (word, n)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((START + 1) * 256)
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            letters, inside = spelling(own)
+            n = np.repeat(batch.column(1).to_numpy(), [len(w) + 1 for w in own])
+            total += np.bincount(before(letters, inside, 1, START) * 256 + letters, weights=n, minlength=len(total))
+        pair = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pair, "n": total[pair].astype(np.int64)})
+
+    summed = words.select("word", "n").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    out = np.zeros((START + 1) * 256, np.int64)
+    for r in summed.collect():  # at most 257 * 256 rows
+        out[r["pair"]] = r["n"]
+    return out.reshape(START + 1, 256)
+
+
+def huffman(weights: list[int]) -> tuple[list[list[tuple[int, int]]], list[float]]:
+    """For every symbol its decisions (node, bit) from the root; for every
+    node the share of bit 1.  Nodes are numbered by rising weight."""
     heap = [(w, i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
     up: dict[int, tuple[int, int]] = {}
-    top = len(weights)
-    while len(heap) > 1:
+    share = []
+    for node in range(len(weights) - 1):
         (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-        up[i], up[j] = (top, 0), (top, 1)
-        heapq.heappush(heap, (a + b, top))
-        top += 1
+        up[i], up[j] = (node, 0), (node, 1)
+        share.append(b / (a + b))
+        heapq.heappush(heap, (a + b, len(weights) + node))
     codes = []
     for i in range(len(weights)):
         code, at = [], i
         while at in up:
-            at, bit = up[at]
-            code.append((at - len(weights), bit))
+            node, bit = up[at]
+            code.append((node, bit))
+            at = len(weights) + node
         codes.append(code[::-1])
-    return codes, max(0, top - len(weights))
+    return codes, share
 
 
-class Coder:
-    """Turns texts into decisions with their contexts; the same in learning and scoring."""
+class Codes:
+    """Codes of many symbols in flat arrays."""
 
-    def __init__(self, vocabulary: list[tuple[bytes, int]], escapes: int, byte_counts: np.ndarray):
-        self.ids = {w: i for i, (w, _) in enumerate(vocabulary)}
-        self.escape = len(vocabulary)
-        words, word_nodes = huffman([n + 1 for _, n in vocabulary] + [escapes + 1])
-        letters, letter_nodes = huffman((byte_counts + 1).tolist())
-        codes = words + [[(n + word_nodes, b) for n, b in code] for code in letters]
-        self.nodes = word_nodes + letter_nodes
+    def __init__(self, codes: list[list[tuple[int, int]]], share: list[float]):
         self.length = np.array([len(c) for c in codes], np.int64)
         self.first = np.cumsum(self.length) - self.length
         self.node = np.array([n for c in codes for n, _ in c], np.uint32)
         self.bit = np.array([b for c in codes for _, b in c], np.uint8)
-        self.word_nodes = word_nodes
-        # Nodes first, then the tables; the last entry stands for no history and stays empty.
-        bounds = np.cumsum([0, self.nodes, *(1 << b for b in TABLES)]).tolist()
-        self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1] + 1
+        self.share = np.array(share, np.float32)[self.node] if len(self.node) else np.empty(0, np.float32)
 
-    def decisions(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of all texts: table entries (decision, context), bits, kinds (1: spelling), and decisions per text."""
+    def decisions(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all decisions of the symbols, and how many each has."""
+        count = self.length[symbols]
+        starts = self.first[symbols] - (np.cumsum(count) - count)
+        return np.arange(int(count.sum())) + np.repeat(starts, count), count
+
+
+def hashed(history: np.ndarray, count: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    """Table entries of (history, node)."""
+    mixed = (np.repeat((history.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1), count) ^ node) * np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE35)
+    return (mixed >> np.uint32(32 - bits)).astype(np.int64)
+
+
+class Coder:
+    """Turns texts into decisions with their contexts; the same in learning and scoring."""
+
+    def __init__(self, vocabulary: list[tuple[bytes, int]], escapes: int, byte_counts: np.ndarray):
+        self.ids = {w: i for i, (w, _) in enumerate(vocabulary)}
+        self.escape = len(vocabulary)
+        codes, share = huffman([n + 1 for _, n in vocabulary] + [escapes + 1])
+        known = len(share) - HISTORY_NODES
+        ones = np.array(share)
+        # Nodes fall in weight along a code, so those with history come first; the rest costs what the tree says.
+        self.tail = np.array([-sum(np.log2(ones[n] if b else 1 - ones[n]) for n, b in c if n < known) for c in codes])
+        self.words = Codes([[(n, b) for n, b in c if n >= known] for c in codes], share)
+        spelled, shares = [], []
+        for weights in byte_counts:
+            own, share = huffman((weights * 16 + 1).tolist())
+            spelled += [[(n + len(shares), b) for n, b in c] for c in own]
+            shares += share
+        self.letters = Codes(spelled, shares)
+        bounds = np.cumsum([0, *(1 << b for b in TABLES)]).tolist()
+        self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1]
+
+    def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+        """Word ids with their histories (last very common word, last word)
+        and text numbers; the words to spell, and their texts."""
         get, escape = self.ids.get, self.escape
-        tokens = np.array([get(w, escape) for words in texts for w in (*words, b"")], np.int64)
+        flat = [w for words in texts for w in (*words, b"")]
+        ids = np.array([get(w, escape) for w in flat], np.int64)
         sizes = np.array([len(words) + 1 for words in texts], np.int64)
-        begin = np.zeros(len(tokens), np.int64)
-        starts = np.cumsum(sizes) - sizes
-        begin[starts] = 1
-        unknown = np.flatnonzero(tokens == escape)
-        wanted = set(unknown.tolist())
-        spelled = [w for i, w in enumerate(w for words in texts for w in (*words, b"")) if i in wanted] if wanted else []
-        letters = np.frombuffer(b"".join([w + b"\n" for w in spelled]), np.uint8).astype(np.uint32)
-        # Histories of words; 0 where the text begins.
-        known = (tokens + 1).astype(np.uint32)
-        one = np.concatenate(([0], known[:-1])).astype(np.uint32) * (begin == 0)
-        # Histories of bytes; 0 where the word begins.
+        text = np.repeat(np.arange(len(texts)), sizes)
+        place = np.arange(len(ids))
+        start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        # The last place before this one with a very common word, if in the same text.
+        common = np.maximum.accumulate(np.concatenate(([-1], np.where(ids < SHORT_WORDS, place, -1)[:-1])))
+        short = np.where(common >= start, ids[np.maximum(common, 0)], SHORT_WORDS)
+        last = np.minimum(np.concatenate(([0], ids[:-1])), LONG_WORDS)
+        long = np.where(place > start, last, LONG_WORDS + 1)
+        unknown = np.flatnonzero(ids == escape)
+        return ids, short, long, text, [flat[i] for i in unknown.tolist()], text[unknown]
+
+    def word_entries(self, history: np.ndarray, which: int, count: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return hashed(history, count, self.words.node[place], TABLES[which]) + self.tables[which][0]
+
+    def letter_stream(self, spelled: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Of all spelled words: places of the decisions, their entries for
+        both histories, and decisions of every word."""
+        letters, inside = spelling(spelled)
+        one = before(letters, inside, 1, START)
+        back = [before(letters, inside, k, 0) for k in (1, 2, 3, 4)]
+        place, count = self.letters.decisions(one * 256 + letters)
+        node = self.letters.node[place]
+        short = back[0] | back[1] << 8
+        entries = [
+            hashed(history, count, node, TABLES[k]) + self.tables[k][0]
+            for k, history in ((2, short), (3, short | back[2] << 16 | back[3] << 24))
+        ]
         lengths = np.array([len(w) + 1 for w in spelled], np.int64)
-        inside = np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        back = [np.where(inside >= k, np.concatenate((np.zeros(min(k, len(letters)), np.uint32), letters[: max(0, len(letters) - k)])), 0).astype(np.uint32) for k in (1, 2, 3, 4)]
-        # The stream: every token, an escape followed by its bytes.
-        per = np.ones(len(tokens), np.int64)
-        per[unknown] += lengths
-        head = np.cumsum(per) - per
-        n = int(per.sum())
-        spell = np.ones(n, bool)
-        spell[head] = False
-        symbol = np.empty(n, np.int64)
-        symbol[head] = tokens
-        symbol[spell] = letters + np.int64(escape + 1)
-        short, long = np.empty(n, np.uint32), np.empty(n, np.uint32)
-        # Vocabulary ids are ranks; a history word beyond the common ones is "other".
-        at_word = np.arange(len(tokens))
-        mark = np.where((tokens < SHORT_WORDS) | (begin == 1), at_word, 0)
-        last = np.maximum.accumulate(np.concatenate(([0], mark[:-1])))
-        cue = np.where((begin == 1) | (tokens[last] >= SHORT_WORDS), SHORT_WORDS, tokens[last]) if len(tokens) else tokens
-        short[head] = cue
-        long[head] = np.minimum(one, LONG_WORDS + 1)
-        two_bytes = back[0] | back[1] << np.uint32(8)
-        short[spell] = two_bytes
-        long[spell] = two_bytes | back[2] << np.uint32(16) | back[3] << np.uint32(24)
-        # The decisions of every symbol.
-        count = self.length[symbol]
-        at = np.repeat(np.arange(n), count)
-        place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count - self.first[symbol], count)
-        node = self.node[place]
-        entries = np.empty((len(at), CONTEXTS), np.int64)
-        entries[:, 0] = node
-        spelling = spell[at]
-        for k, history, used in ((1, short, SHORT_NODES), (2, long, LONG_NODES)):
-            mixed = (history[at] * np.uint32(0x9E3779B1) ^ node) * np.uint32(0x85EBCA6B)
-            mixed = (mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35)
-            for kind, table in ((spelling, k + 2), (~spelling & (node + used >= self.word_nodes), k)):
-                lo = self.tables[table][0]
-                entries[kind, k] = (mixed[kind] >> np.uint32(32 - TABLES[table - 1])).astype(np.int64) + lo
-            entries[~spelling & (node + used < self.word_nodes), k] = self.size - 1
-        symbols = np.add.reduceat(per, starts) if len(starts) else per
-        ends = np.cumsum(symbols)
-        totals = np.concatenate(([0], np.cumsum(count)))
-        return entries, self.bit[place], spelling.astype(np.uint8), totals[ends] - totals[ends - symbols]
+        per_word = np.add.reduceat(count, np.cumsum(lengths) - lengths) if len(lengths) else count
+        return place, *entries, per_word
 
 
 def batched(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
@@ -227,14 +253,38 @@ def count_contexts(texts: DataFrame, coder) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder.value
-        total = np.zeros(2 * own.size, np.uint32)
+        total = np.zeros(2 * own.size)
+        pairs: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+
+        def add_up(k: int) -> None:
+            """Pairs (history, word) are counted first: there are far fewer of them than words."""
+            codes = np.concatenate([c for c, _ in pairs[k]])
+            weights = np.concatenate([n for _, n in pairs[k]])
+            codes, back = np.unique(codes, return_inverse=True)
+            weights = np.bincount(back, weights=weights)
+            lo, hi = own.tables[k]
+            for some in range(0, len(codes), 100_000):
+                history, words = np.divmod(codes[some : some + 100_000], own.escape + 1)
+                place, times = own.words.decisions(words)
+                at = own.word_entries(history, k, times, place) - lo
+                n = np.repeat(weights[some : some + 100_000], times)
+                total[2 * lo : 2 * hi] += np.bincount(at * 2 + own.words.bit[place], weights=n, minlength=2 * (hi - lo))
+            pairs[k].clear()
+
         for group in batched((0, t) for batch in batches for t in batch.column(0).to_pylist()):
-            entries, bits, _, _ = own.decisions([w for _, w in group])
-            for k in range(CONTEXTS):
-                for lo, hi in own.tables[k::2] if k else own.tables[:1]:
-                    here = (entries[:, k] >= lo) & (entries[:, k] < hi)
-                    total[2 * lo : 2 * hi] += np.bincount((entries[here, k] - lo) * 2 + bits[here], minlength=2 * (hi - lo)).astype(np.uint32)
-        yield from chunks(total.astype(np.uint64), TaskContext.get().partitionId())
+            ids, short, long, _, spelled, _ = own.tokens([w for _, w in group])
+            for k, history in enumerate((short, long)):
+                pairs[k].append(np.unique(history * (own.escape + 1) + ids, return_counts=True))
+                if sum(len(c) for c, _ in pairs[k]) > PAIRS:
+                    add_up(k)
+            place, *entries, _ = own.letter_stream(spelled)
+            for k, at in zip((2, 3), entries, strict=True):
+                lo, hi = own.tables[k]
+                total[2 * lo : 2 * hi] += np.bincount((at - lo) * 2 + own.letters.bit[place], minlength=2 * (hi - lo))
+        for k in (0, 1):
+            if pairs[k]:
+                add_up(k)
+        yield from chunks(np.rint(total).astype(np.uint64), TaskContext.get().partitionId())
 
     def chunks(total: np.ndarray, part: int) -> Iterator[pa.RecordBatch]:
         for c in range(0, len(total), CHUNK):
@@ -280,21 +330,34 @@ class Model:
     def __init__(self, coder: Coder, counts: np.ndarray):
         self.coder = coder
         self.ones, self.seen = counts[1::2].copy(), counts[0::2] + counts[1::2]
-        self.weights = np.tile(np.array([0.0, 0.4, 0.6], np.float32), (GATES, 1))
+        self.weights = np.tile(np.array([0.4, 0.6], np.float32), (GATES, 1))
         level = (np.arange(LEVELS) + 0.5) - LEVELS / 2
-        self.map = np.tile(1 / (1 + np.exp(-level)), 2).astype(np.float32)
+        self.map = (1 / (1 + np.exp(-level))).astype(np.float32)
 
     def bits(self, texts: list[list[bytes]]) -> np.ndarray:
         """Total bits of every text."""
-        entries, y, kind, per = self.coder.decisions(texts)
-        ones, seen = self.ones[entries], self.seen[entries]
-        p = np.empty_like(ones)
-        p[:, 0] = (ones[:, 0] + 0.4) / (seen[:, 0] + 0.8)
-        p[:, 1] = (ones[:, 1] + SHORT_PRIOR * p[:, 0]) / (seen[:, 1] + SHORT_PRIOR)
-        p[:, 2] = (ones[:, 2] + LONG_PRIOR * p[:, 1]) / (seen[:, 2] + LONG_PRIOR)
-        x = np.log(p / (1 - p)).clip(-11, 11)
-        sure = np.digitize(seen[:, 1:], (1, 16, 256))
-        gate = kind.astype(np.int64) * 16 + sure[:, 0] * 4 + sure[:, 1]
+        own = self.coder
+        ids, short, long, text, spelled, owner = own.tokens(texts)
+        place, count = own.words.decisions(ids)
+        entries = [own.word_entries(h, k, count, place) for k, h in enumerate((short, long))]
+        n = len(texts)
+        out = np.bincount(text, weights=own.tail[ids], minlength=n)
+        out += self.mixed(own.words, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64))
+        place, *entries, count = own.letter_stream(spelled)
+        return out + self.mixed(own.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64))
+
+    def mixed(self, codes: Codes, place: np.ndarray, entries: list[np.ndarray], per: np.ndarray) -> np.ndarray:
+        """Bits of every text's decisions, of which text i has ``per[i]`` in a row."""
+        if not len(place):
+            return np.zeros(len(per))
+        y, p = codes.bit[place], codes.share[place]
+        x = np.empty((2, len(y)), np.float32)
+        gate = np.zeros(len(y), np.int64)
+        for k, (at, prior) in enumerate(zip(entries, (SHORT_PRIOR, LONG_PRIOR), strict=True)):
+            seen = self.seen[at]
+            p = (self.ones[at] + np.float32(prior) * p) / (seen + np.float32(prior))
+            x[k] = np.log(p / (1 - p)).clip(-11, 11)
+            gate = gate * 4 + (seen >= 1) + (seen >= 16) + (seen >= 256)
         # Lanes: documents cut every LANE decisions, the longest first.
         lanes = (per + LANE - 1) // LANE
         owner = np.repeat(np.arange(len(per)), lanes)
@@ -304,28 +367,31 @@ class Model:
         order = np.argsort(-length, kind="stable")
         start, length, owner = start[order], length[order], owner[order]
         n = len(start)
-        weights = np.tile(self.weights, (n, 1))
+        weights = [np.tile(self.weights[:, k], n) for k in (0, 1)]
         refined = np.tile(self.map, n)
         cost = np.zeros(n)
         steps = np.arange(STEP)
-        for t in range(0, int(length[0]) if n else 0, STEP):
+        for t in range(0, int(length[0]), STEP):
             live = int(np.searchsorted(-length, -t, side="left"))
-            there = t + steps < length[:live, None]
-            at = np.minimum(start[:live, None] + (t + steps), len(y) - 1).reshape(-1)
-            there = there.reshape(-1)
+            at = (start[:live, None] + (t + steps)).reshape(-1)
             lane = np.repeat(np.arange(live), STEP)
-            xs, ys, own = x[at], y[at].astype(np.float32), gate[at]
-            pick = lane * GATES + own
-            dot = np.einsum("ik,ik->i", xs, weights[pick]).clip(-11.9, 11.9)
+            full = int(np.searchsorted(-length, -(t + STEP), side="right"))
+            if full < live:  # lanes that end in this step
+                there = (t + steps < length[:live, None]).reshape(-1)
+                at, lane = at[there], lane[there]
+            x0, x1, ys = x[0][at], x[1][at], y[at].astype(np.float32)
+            pick = lane * GATES + gate[at]
+            dot = (x0 * weights[0][pick] + x1 * weights[1][pick]).clip(-11.9, 11.9)
             p = 1 / (1 + np.exp(-dot))
-            spot = (lane * 2 + (own >> 4)) * LEVELS + (dot + LEVELS / 2).astype(np.int64)
+            spot = lane * LEVELS + (dot + LEVELS / 2).astype(np.int64)
             q = refined[spot]
-            final = (0.5 * (p + q)).clip(1e-7, 1 - 1e-7)
-            cost[:live] -= (np.log2(np.where(ys > 0, final, 1 - final)) * there).reshape(live, STEP).sum(axis=1)
-            error = (ys - p) * there * RATE
-            for k in range(CONTEXTS):
-                weights[: live * GATES, k] += np.bincount(pick, weights=error * xs[:, k], minlength=live * GATES)
-            refined[: live * 2 * LEVELS] += np.bincount(spot, weights=(ys - q) * there * MAP_RATE, minlength=live * 2 * LEVELS)
+            final = 0.5 * (p + q)
+            cost[:live] -= np.bincount(lane, weights=np.log2(np.where(ys > 0, final, 1 - final)), minlength=live)
+            error = (ys - p) * np.float32(RATE)
+            for k, xk in enumerate((x0, x1)):
+                weights[k][: live * GATES] += np.bincount(pick, weights=error * xk, minlength=live * GATES).astype(np.float32)
+            refined[: live * LEVELS] += np.bincount(spot, weights=(ys - q) * np.float32(MAP_RATE), minlength=live * LEVELS).astype(np.float32)
+        np.clip(cost, 0, None, out=cost)
         return np.bincount(owner, weights=cost, minlength=len(per))
 
 

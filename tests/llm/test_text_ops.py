@@ -168,9 +168,10 @@ def test_pseudonyms_are_permutations(spark):
 
 
 def test_huffman_codes_are_prefix_free():
-    codes, nodes = huffman([5, 1, 1, 9, 3])
+    codes, share = huffman([5, 1, 1, 9, 3])
     paths = ["".join(str(b) for _, b in c) for c in codes]
-    assert nodes == 4 and len(set(paths)) == 5 and sum(2.0 ** -len(p) for p in paths) == 1.0
+    assert all([n for n, _ in c] == sorted((n for n, _ in c), reverse=True) for c in codes)
+    assert len(share) == 4 and len(set(paths)) == 5 and sum(2.0 ** -len(p) for p in paths) == 1.0
 
 
 def test_lm_score_base_is_exact_and_model_beats_chance(spark, docs):

@@ -12,11 +12,13 @@ from gridpulse.constants import COMPARE_TOLERANCE
 
 def file_utilization(raw: DataFrame, manifest: DataFrame, settings: DataFrame, target_day) -> DataFrame:
     """agg_file_utilization: per file, rows read, rows on the target day,
-    their share, estimated useful bytes (share x bytes) and a ``high`` /
+    rows whose time did not parse, the target share, estimated useful bytes
+    (share x bytes) and a ``high`` /
     ``low`` note from the state's thresholds; NULL share for an empty file."""
     per_file = raw.groupBy("state", "source_file").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.to_date("ts") == F.lit(target_day).cast("date")).alias("n_target_rows"),
+        F.count_if(F.col("ts").isNull()).alias("n_unparsed"),
     )
     j = per_file.join(manifest.select(F.col("uri").alias("source_file"), "bytes"), "source_file", "left").join(
         settings.select("state", "utilization_threshold_high", "utilization_log_low"), "state", "left"
@@ -29,7 +31,7 @@ def file_utilization(raw: DataFrame, manifest: DataFrame, settings: DataFrame, t
         .otherwise(F.lit(""))
     )
     return j.select(
-        "state", "source_file", "bytes", "n_rows", "n_target_rows", "row_utilization",
+        "state", "source_file", "bytes", "n_rows", "n_target_rows", "n_unparsed", "row_utilization",
         F.coalesce(F.col("row_utilization") * F.col("bytes"), F.lit(0.0)).alias("est_target_bytes"),
         note.alias("note"),
     )

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.constants import SETTINGS_DEFAULTS, SETTINGS_STATE_OVERRIDES
+from gridpulse.constants import HISTORY_COLUMNS, SETTINGS_DEFAULTS, SETTINGS_STATE_OVERRIDES
 from gridpulse.functions.text import normalize_name, strip_county_word
 from gridpulse.functions.time import parse_timestamp
 
@@ -25,17 +25,17 @@ def _state_folder(name: str) -> F.Column:
     return F.lower(F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(name)}(?:/[^/]+)?$", 1))
 
 
-def _read_csv_by_header(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """(state, line_no, fields: map of header name -> text) over all states'
-    files ``name``.  Column order differs from file to file, so every record
+def _read_csv_by_header(spark: SparkSession, files: str, state: F.Column) -> DataFrame:
+    """(state, line_no, fields: map of header name -> text) over all ``files``
+    (a glob).  Column order differs from file to file, so every record
     is read by position and named by its own file's first record."""
-    widths = spark.read.text(f"{root}/*/{name}").select(F.max(F.size(F.split("value", ","))).alias("n")).first().n or 1
+    widths = spark.read.text(files).select(F.max(F.size(F.split("value", ","))).alias("n")).first().n or 1
     schema = ", ".join(f"_c{i} string" for i in range(widths))
     records = (
         spark.read.option("header", "false").option("quote", '"').option("escape", '"').option("multiLine", "true")
-        .schema(schema).csv(f"{root}/*/{name}")
+        .schema(schema).csv(files)
         .select(
-            _state_folder(name).alias("state"),
+            state.alias("state"),
             F.col("_metadata.file_path").alias("file"),
             F.monotonically_increasing_id().alias("line_no"),
             F.array(*[f"_c{i}" for i in range(widths)]).alias("fields"),
@@ -57,7 +57,7 @@ def read_col_map(spark: SparkSession, root: str) -> DataFrame:
     """lookup_col_map: (state, raw, standard, line_no), trimmed lower-case;
     rows with fewer than two fields are skipped; the last row wins for a
     repeated raw name."""
-    rows = _read_csv_by_header(spark, root, "col_map.csv").select(
+    rows = _read_csv_by_header(spark, f"{root}/*/col_map.csv", _state_folder("col_map.csv")).select(
         "state",
         normalize_name(F.col("fields")["raw"]).alias("raw"),
         normalize_name(F.col("fields")["standard"]).alias("standard"),
@@ -80,7 +80,7 @@ def col_map_dict(col_map: DataFrame) -> dict[str, dict[str, str]]:
 def read_col_lists(spark: SparkSession, root: str) -> DataFrame:
     """lookup_col_lists: (state, canonical, raw) from the column-wise lists,
     blanks dropped."""
-    rows = _read_csv_by_header(spark, root, "raw_col_lists.csv")
+    rows = _read_csv_by_header(spark, f"{root}/*/raw_col_lists.csv", _state_folder("raw_col_lists.csv"))
     stacked = rows.select("state", F.explode("fields").alias("canonical", "raw"))
     return stacked.where(F.col("raw").isNotNull() & (F.trim("raw") != "")).select(
         "state", F.trim("canonical").alias("canonical"), "raw"
@@ -90,7 +90,7 @@ def read_col_lists(spark: SparkSession, root: str) -> DataFrame:
 def read_county_map(spark: SparkSession, root: str) -> DataFrame:
     """lookup_county_map: (state, raw, standard, score, line_no); score is
     carried but not used by the mapping."""
-    return _read_csv_by_header(spark, root, "county_map.csv").select(
+    return _read_csv_by_header(spark, f"{root}/*/county_map.csv", _state_folder("county_map.csv")).select(
         "state",
         normalize_name(F.col("fields")["raw"]).alias("raw"),
         normalize_name(F.col("fields")["standard"]).alias("standard"),
@@ -139,6 +139,33 @@ def read_served_history(spark: SparkSession, pattern: str) -> DataFrame:
     )
 
 
+def read_monthly_history(spark: SparkSession, root: str) -> DataFrame:
+    """History files of an earlier system, ``<ST>/<yyyy>_<mm>.csv`` by month:
+    the history columns and ``state_code``, ready for ``upsert_history``.
+    Rows whose Date does not parse are kept with a NULL Date."""
+    state = F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/\d{4}_\d{1,2}\.csv(?:/[^/]+)?$", 1))
+    rows = _read_csv_by_header(spark, f"{root}/*/[0-9][0-9][0-9][0-9]_*.csv", state)
+    shown = {"SAIDI": "double", "SAIFI": "double"}
+    columns = [F.col("fields")[c.lower()].try_cast(shown.get(c, "string")).alias(c) for c in HISTORY_COLUMNS if c != "Date"]
+    day = parse_timestamp(F.col("fields")["date"]).cast("date")
+    return rows.select(*columns, day.alias("Date"), F.col("state").alias("state_code"))
+
+
+def read_settings(spark: SparkSession, path: str, defaults=SETTINGS_DEFAULTS) -> dict[str, dict]:
+    """State overrides of the retrieval settings from a CSV (state, setting,
+    value), for ``settings_table``.  An unknown setting is an error; values
+    take the type of the default.  A few rows per state."""
+    out: dict[str, dict] = {}
+    for r in _read_csv_all_strings(spark, path).collect():
+        state, name = r["state"].strip().lower(), r["setting"].strip()
+        if name not in defaults:
+            raise ValueError(f"unknown setting {name!r}")
+        kind = type(defaults[name])
+        text = r["value"].strip()
+        out.setdefault(state, {})[name] = text.lower() in ("true", "1", "yes") if kind is bool else kind(text)
+    return out
+
+
 def settings_table(spark: SparkSession, states: Iterable[str] | DataFrame,
                    defaults=SETTINGS_DEFAULTS, overrides=SETTINGS_STATE_OVERRIDES) -> DataFrame:
     """lookup_settings: defaults overlaid by each state's overrides (left join

@@ -202,3 +202,32 @@ def test_timestamp_shapes(spark):
     df = spark.createDataFrame([(t,) for t in shapes], "t string")
     got = {r.t: None if r.p is None else str(r.p) for r in df.select("t", parse_timestamp("t").alias("p")).collect()}
     assert got == shapes
+
+
+def test_monthly_history_import(spark, tmpdir_path):
+    import datetime as dt
+
+    from gridpulse.sinks import tables
+    from gridpulse.sources import lookups
+
+    _state_file(tmpdir_path, "2024_01.csv", "State,County,FIPS,SAIDI,SAIFI,Date\nGeorgia,Fulton,13121,0.1,0.2,2024-01-05\nGeorgia,Cobb,13067,0.3,,not a day\n", "GA")
+    _state_file(tmpdir_path, "2024_02.csv", "Date,County,State,FIPS,SAIFI,SAIDI\n2/1/2024,Autauga,Alabama,01001,0.5,0.4\n", "AL")
+    rows = lookups.read_monthly_history(spark, tmpdir_path)
+    got = sorted((r.state_code, r.County, r.FIPS, r.SAIDI, r.SAIFI, r.Date) for r in rows.collect())
+    assert got == [("al", "Autauga", "01001", 0.4, 0.5, dt.date(2024, 2, 1)), ("ga", "Cobb", "13067", 0.3, None, None),
+                   ("ga", "Fulton", "13121", 0.1, 0.2, dt.date(2024, 1, 5))]
+    out = os.path.join(tmpdir_path, "out")
+    tables.upsert_history(rows, out)
+    assert spark.read.parquet(out).count() == 3  # the row without a day included
+
+
+def test_settings_from_a_file(spark, tmpdir_path):
+    from gridpulse.sources import lookups
+
+    path = os.path.join(tmpdir_path, "settings.csv")
+    with open(path, "w") as f:
+        f.write("state,setting,value\nGA,tail_bytes,1000\nga,use_optimization,false\nAL,stale_threshold_days,5\n")
+    table = lookups.settings_table(spark, ["ga", "al", "tx"], overrides=lookups.read_settings(spark, path))
+    rows = {r.state: r for r in table.collect()}
+    assert (rows["ga"].tail_bytes, rows["ga"].use_optimization, rows["al"].stale_threshold_days) == (1000, False, 5)
+    assert rows["tx"].tail_bytes == 524288

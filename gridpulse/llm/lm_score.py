@@ -122,38 +122,14 @@ def count_bytes(words: DataFrame) -> np.ndarray:
     return out.reshape(START + 1, 256)
 
 
-def huffman(weights: list[int]) -> tuple[list[list[tuple[int, int]]], list[float]]:
-    """For every symbol its decisions (node, bit) from the root; for every
-    node the share of bit 1.  Nodes are numbered by rising weight."""
-    heap = [(w, i) for i, w in enumerate(weights)]
-    heapq.heapify(heap)
-    up: dict[int, tuple[int, int]] = {}
-    share = []
-    for node in range(len(weights) - 1):
-        (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-        up[i], up[j] = (node, 0), (node, 1)
-        share.append(b / (a + b))
-        heapq.heappush(heap, (a + b, len(weights) + node))
-    codes = []
-    for i in range(len(weights)):
-        code, at = [], i
-        while at in up:
-            node, bit = up[at]
-            code.append((node, bit))
-            at = len(weights) + node
-        codes.append(code[::-1])
-    return codes, share
-
-
 class Codes:
-    """Codes of many symbols in flat arrays."""
+    """Binary codes of many symbols in flat arrays: symbol s has the
+    decisions ``first[s]`` to ``first[s] + length[s]``, each with its node,
+    bit and the share of bit 1 at the node."""
 
-    def __init__(self, codes: list[list[tuple[int, int]]], share: list[float]):
-        self.length = np.array([len(c) for c in codes], np.int64)
-        self.first = np.cumsum(self.length) - self.length
-        self.node = np.array([n for c in codes for n, _ in c], np.uint32)
-        self.bit = np.array([b for c in codes for _, b in c], np.uint8)
-        self.share = np.array(share, np.float32)[self.node] if len(self.node) else np.empty(0, np.float32)
+    def __init__(self, length: np.ndarray, node: np.ndarray, bit: np.ndarray, share: np.ndarray):
+        self.length, self.first = length, np.cumsum(length) - length
+        self.node, self.bit, self.share = node.astype(np.uint32), bit.astype(np.uint8), share.astype(np.float32)
 
     def decisions(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of all decisions of the symbols, and how many each has."""
@@ -162,6 +138,33 @@ class Codes:
         return np.arange(int(count.sum())) + np.repeat(starts, count), count
 
 
+def huffman(weights: list[int]) -> Codes:
+    """Huffman codes; nodes are numbered by rising weight."""
+    n = len(weights)
+    heap = [(w, i) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    up, side, share = np.full(2 * n - 1, -1, np.int64), np.zeros(2 * n - 1, np.uint8), np.zeros(max(1, n - 1))
+    for node in range(n - 1):
+        (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+        up[i] = up[j] = node
+        side[j] = 1
+        share[node] = b / (a + b)
+        heapq.heappush(heap, (a + b, n + node))
+    # All symbols climb to the root together; a step is one decision of each that is still below it.
+    at, length, climbed = np.arange(n), np.zeros(n, np.int64), []
+    going = np.flatnonzero(up[at] >= 0)
+    while len(going):
+        climbed.append((going, up[at[going]], side[at[going]]))
+        at[going] = n + up[at[going]]
+        length[going] += 1
+        going = going[up[at[going]] >= 0]
+    last = np.cumsum(length) - 1
+    node, bit = np.empty(int(length.sum()), np.int64), np.empty(int(length.sum()), np.uint8)
+    for step, (symbols, nodes, bits) in enumerate(climbed):
+        node[last[symbols] - step], bit[last[symbols] - step] = nodes, bits
+    return Codes(length, node, bit, share[node])
+
+
 def hashed(history: np.ndarray, count: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     """Table entries of (history, node)."""
     mixed = (np.repeat((history.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1), count) ^ node) * np.uint32(0x85EBCA6B)
@@ -176,18 +179,21 @@ class Coder:
     def __init__(self, vocabulary: list[tuple[bytes, int]], escapes: int, byte_counts: np.ndarray):
         self.ids = {w: i for i, (w, _) in enumerate(vocabulary)}
         self.escape = len(vocabulary)
-        codes, share = huffman([n + 1 for _, n in vocabulary] + [escapes + 1])
-        known = len(share) - HISTORY_NODES
-        ones = np.array(share)
+        whole = huffman([n + 1 for _, n in vocabulary] + [escapes + 1])
         # Nodes fall in weight along a code, so those with history come first; the rest costs what the tree says.
-        self.tail = np.array([-sum(np.log2(ones[n] if b else 1 - ones[n]) for n, b in c if n < known) for c in codes])
-        self.words = Codes([[(n, b) for n, b in c if n >= known] for c in codes], share)
-        spelled, shares = [], []
-        for weights in byte_counts:
-            own, share = huffman((weights * 16 + 1).tolist())
-            spelled += [[(n + len(shares), b) for n, b in c] for c in own]
-            shares += share
-        self.letters = Codes(spelled, shares)
+        used = whole.node.astype(np.int64) >= len(vocabulary) - HISTORY_NODES
+        symbol = np.repeat(np.arange(len(whole.length)), whole.length)
+        price = -np.log2(np.where(whole.bit > 0, whole.share, 1 - whole.share.astype(np.float64)))
+        self.tail = np.bincount(symbol[~used], weights=price[~used], minlength=len(whole.length))
+        kept = np.bincount(symbol[used], minlength=len(whole.length))
+        self.words = Codes(kept, whole.node[used], whole.bit[used], whole.share[used])
+        trees = [huffman((weights * 16 + 1).tolist()) for weights in byte_counts]
+        self.letters = Codes(
+            np.concatenate([t.length for t in trees]),
+            np.concatenate([t.node + np.uint32(255 * i) for i, t in enumerate(trees)]),
+            np.concatenate([t.bit for t in trees]),
+            np.concatenate([t.share for t in trees]),
+        )
         bounds = np.cumsum([0, *(1 << b for b in TABLES)]).tolist()
         self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1]
 
@@ -293,12 +299,12 @@ def count_contexts(texts: DataFrame, coder) -> np.ndarray:
                 yield chunk_row(c // CHUNK, part, some)
 
     def chunk_row(chunk: int, part: int, some: np.ndarray) -> pa.RecordBatch:
-        payload = zstandard.ZstdCompressor(level=3).compress(some.view(np.uint8).reshape(-1, 8).T.tobytes())
+        narrow = np.min_scalar_type(some.max())  # most counts of a task fit a byte
+        payload = narrow.char.encode() + zstandard.ZstdCompressor(level=1).compress(some.astype(narrow).tobytes())
         return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "part": pa.array([part], pa.int32()), "payload": pa.array([payload], pa.binary())})
 
     def unpacked(payload: bytes) -> np.ndarray:
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8).reshape(8, -1)
-        return np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1)
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[1:]), np.dtype(payload[:1].decode())).astype(np.uint64)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, None
@@ -307,7 +313,7 @@ def count_contexts(texts: DataFrame, coder) -> np.ndarray:
                 if key != (row["chunk"], row["part"]):
                     if total is not None:
                         yield chunk_row(*key, total)
-                    key, total = (row["chunk"], row["part"]), unpacked(row["payload"]).copy()
+                    key, total = (row["chunk"], row["part"]), unpacked(row["payload"])
                 else:
                     total += unpacked(row["payload"])
         if total is not None:
@@ -418,9 +424,10 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     eligible = (F.length("word") <= WORD_BYTES) & (F.col("n") >= LEAST_COUNT)
     top = counted.where(eligible).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocabulary = [(bytes(r["word"]), r["n"]) for r in top]
+    least = max(LEAST_COUNT, top[-1]["n"]) if len(top) == VOCABULARY else LEAST_COUNT
+    del top
     if all(w for w, _ in vocabulary):
         vocabulary.append((b"", 0))  # the end always has a code
-    least = max(LEAST_COUNT, top[-1]["n"]) if len(top) == VOCABULARY else LEAST_COUNT
     rare = counted.where((F.col("n") < least) | (F.length("word") > WORD_BYTES))
     coder = Coder(vocabulary, int(total - sum(n for _, n in vocabulary)), count_bytes(rare))
     held = spark.sparkContext.broadcast(coder)

@@ -168,10 +168,14 @@ def test_pseudonyms_are_permutations(spark):
 
 
 def test_huffman_codes_are_prefix_free():
-    codes, share = huffman([5, 1, 1, 9, 3])
-    paths = ["".join(str(b) for _, b in c) for c in codes]
-    assert all([n for n, _ in c] == sorted((n for n, _ in c), reverse=True) for c in codes)
-    assert len(share) == 4 and len(set(paths)) == 5 and sum(2.0 ** -len(p) for p in paths) == 1.0
+    codes = huffman([5, 1, 1, 9, 3])
+    spans = [slice(f, f + n) for f, n in zip(codes.first, codes.length, strict=True)]
+    paths = ["".join(map(str, codes.bit[x])) for x in spans]
+    assert all((np.diff(codes.node[x].astype(int)) < 0).all() for x in spans)  # by falling weight
+    assert len(set(paths)) == 5 and sum(2.0 ** -len(p) for p in paths) == 1.0
+    assert [len(p) for p in paths] == [2, 4, 4, 1, 3]
+    assert codes.share[spans[3]][0] in (np.float32(0.5), np.float32(9 / 19), np.float32(10 / 19))
+    assert len(huffman([7]).node) == 0
 
 
 def test_lm_score_base_is_exact_and_model_beats_chance(spark, docs):

@@ -48,9 +48,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate class: the smallest id."""
+    """One document of every near-duplicate class: the smallest id (rows
+    without an id stay if one of them is like no numbered document)."""
     classes = simhash_classes(docs, width=3, radius=3)
-    return _keep(docs, classes.where("doc_id = component_id"), "left_semi")
+    return _keep(docs, classes.where("doc_id <=> component_id"), "left_semi")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

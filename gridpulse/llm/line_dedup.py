@@ -37,6 +37,7 @@ class LineRuns:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.root = unique_scratch(spark, "llm/line-runs")
         self.levels: list[list[str]] = [[]]
+        self.written: list[str] = []
 
     def _write(self, counts: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -47,6 +48,7 @@ class LineRuns:
             .option("path", f"{self.root}/{name}")
             .saveAsTable(name)
         )
+        self.written.append(name)
         return name
 
     def _merged(self, names: list[str]) -> DataFrame:
@@ -76,6 +78,11 @@ class LineRuns:
         """Keys found in at least ``min_docs`` documents."""
         return self._merged(self.names()).where(F.col("n") >= self.min_docs).select(*KEY)
 
+    def close(self) -> None:
+        """Take the runs out of the catalog; their files stay in the scratch folder."""
+        for name in self.written:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
 
 def line_occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, th, h1, h2, positions): for every document and line key of at
@@ -127,6 +134,7 @@ def line_dedup(
     for b in range(batches):
         runs.add(counts.where(F.col("batch") == b))
     common = spool(runs.common(), "line-common")
+    runs.close()
     drops = (
         occ.join(common, KEY)
         .groupBy("doc_id", "th")

@@ -53,7 +53,10 @@ def parse_timestamp(c: Column | str) -> Column:
 
     # A one-element array, so that the parts are pulled out once however often they are used.
     parts = F.array(F.regexp_extract_all(text, F.lit("[0-9]+|[A-Za-z]+"), F.lit(0)))
-    return F.when(text.rlike(SHAPES), F.get(F.transform(parts, iso), 0)).otherwise(raw).try_cast("timestamp_ntz")
+    apart = F.when(text.rlike(SHAPES), F.get(F.transform(parts, iso), 0)).try_cast("timestamp_ntz")
+    # Most feeds write ISO or US dates, which need one replacement and one cast.
+    plain = F.regexp_replace(raw, r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "$3-$1-$2").try_cast("timestamp_ntz")
+    return F.coalesce(plain, apart)
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:

@@ -1,7 +1,11 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block (a line, or a window of a long line) matches a template if it holds
-at least ``threshold`` of the template's different words.  Words are put in
+A block matches a template if it holds at least ``threshold`` of the
+template's different words.  Blocks are the lines (long ones in windows) and,
+since notices are wrapped over lines, half-overlapping windows over the words
+of the whole text.  A template of up to s words (s a power of two) is held
+against windows of 2 s words that start every s, so any stretch of its length
+lies whole in one and no window is much wider than the notice.  Words are put in
 one global order, rarest in the corpus first.  Of a template that needs o of
 its t words, any matching block must hold one of the first t - o + 1 (prefix
 filter) and at least o words of the templates' vocabulary (length filter);
@@ -21,7 +25,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import id_and_text, plain_words, spool
@@ -61,6 +64,31 @@ def blocks_of(text: str) -> Iterator[tuple[int, list[bytes]]]:
         at += len(words)
 
 
+def span_of(words: list[bytes]) -> int:
+    """Step of the windows that a template of these words is held against."""
+    return max(8, 1 << (len(words) - 1).bit_length())
+
+
+def windows_of(words: list[bytes], place: dict[bytes, int], spans: list[int]) -> Iterator[tuple[int, int, set[int]]]:
+    """(span, first word, places of the vocabulary words) of every window of a text that holds any."""
+    hits = [(i, place[w]) for i, w in enumerate(words) if w in place]
+    for span in spans:
+        cells: dict[int, set[int]] = {}
+        for i, p in hits:
+            cells.setdefault(i // span, set()).add(p)
+        last = max(0, -(-len(words) // span) - 2)  # the window that reaches the end
+        for c in sorted({max(0, min(c, last)) for k in cells for c in (k - 1, k)}):
+            yield span, c * span, cells.get(c, set()) | cells.get(c + 1, set())
+
+
+def best_of_blocks(found: list[dict]) -> list[dict]:
+    """The best match of every block: the largest containment, then the longer template, then the first."""
+    best: dict[tuple, dict] = {}
+    for m in sorted(found, key=lambda m: (-m["containment"], -m["size"], m["template"])):
+        best.setdefault((m["first_word"], m["n_words"], m["span"]), m)
+    return list(best.values())
+
+
 def phrase_places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, str]]:
     """(start, label) of every place where a phrase's words stand consecutively."""
     ends = {p[-1] for p, _ in phrases}
@@ -103,13 +131,13 @@ def license_scan(
     places where a phrase stands), first_word and last_word (their smallest
     and largest start, or null), base_labels, labels (the phrases' and the
     templates', distinct, sorted, comma-joined), matches (first_word,
-    template, label, containment of every block's best template: the largest
-    containment, then the longer template, then the first) and score (the
-    largest containment; a phrase counts as 1).
+    n_words, template, label, containment of every block's best template: the
+    largest containment, then the longer template, then the first) and score
+    (the largest containment; a phrase counts as 1).
 
     Defined cases: a null, empty or wordless text has 0 words, empty labels,
     no matches and score 0; long lines are taken in half-overlapping windows,
-    all of them; repeated rows and null ids are answered row by row; an empty
+    all of them; a notice may run over any number of lines; repeated rows and null ids are answered row by row; an empty
     table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -118,10 +146,14 @@ def license_scan(
     vocabulary = set().union(*sets)
     counts = word_counts(rows, vocabulary)
     place = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w.decode(), 0), w)))}
+    step = [span_of(plain_words(text)) for _, text in templates]
     need = [math.ceil(threshold * len(s) - 1e-9) for s in sets]
     ordered = [sorted(place[w] for w in s) for s in sets]
-    prefix = [(t, o, len(ws), ws[i], i) for t, (ws, o) in enumerate(zip(ordered, need, strict=True)) for i in range(len(ws) - o + 1)]
+    prefix = [(t, o, len(ws), step[t], ws[i], i) for t, (ws, o) in enumerate(zip(ordered, need, strict=True)) for i in range(len(ws) - o + 1)]
     in_prefix = {w for w, i in place.items() if any(i == p for *_, p, _ in prefix)}
+    ahead = {place[w] for w in in_prefix}
+    spans = sorted(set(step))
+    fewest = {span: min(o for o, s in zip(need, step, strict=True) if s == span) for span in spans}
     spelled = [(plain_words(p), label) for p, label in phrases]
     least = min(need)
 
@@ -137,35 +169,43 @@ def license_scan(
                     for first, block in blocks_of(text):
                         own = sorted(place[w] for w in vocabulary.intersection(block))
                         if len(own) >= least and not in_prefix.isdisjoint(block):
-                            blocks.append({"first_word": first, "words": own})
+                            blocks.append({"first_word": first, "n_words": len(block), "span": 0, "words": own})
+                    for span, first, own in windows_of(words, place, spans):
+                        if len(own) >= fewest[span] and not ahead.isdisjoint(own):
+                            blocks.append({"first_word": first, "n_words": min(2 * span, len(words) - first), "span": span, "words": sorted(own)})
                 labels = sorted({label for _, label in found})
                 out.append({"doc_id": doc_id, "n_words": len(words), "n_base": len(found), "first_word": min(starts, default=None), "last_word": max(starts, default=None), "base": labels, "blocks": blocks})
             yield pa.RecordBatch.from_pylist(out, schema=SCANNED_ARROW)
 
     scanned = spool(rows.mapInArrow(scan, SCANNED).withColumn("row", F.monotonically_increasing_id()), "license-blocks")
-    blocks = scanned.select("row", F.explode("blocks").alias("b")).select("row", "b.first_word", "b.words", F.posexplode("b.words").alias("j", "word"))
-    prefixes = spark.createDataFrame(prefix, "template int, need int, size int, word int, i int")
+    blocks = scanned.select("row", F.explode("blocks").alias("b")).select("row", "b.*", F.posexplode("b.words").alias("j", "word"))
+    prefixes = spark.createDataFrame(prefix, "template int, need int, size int, step int, word int, i int")
     candidates = (
         blocks.join(F.broadcast(prefixes), "word")
-        .groupBy("row", "first_word", "template", "need", "size")
+        .where("span = 0 or span = step")
+        .groupBy("row", "first_word", "n_words", "span", "template", "need", "size")
         .agg(F.min(F.struct("i", "j")).alias("at"), F.first("words").alias("words"))
         .where(F.least(F.col("size") - F.col("at.i"), F.size("words") - F.col("at.j")) >= F.col("need"))
     )
     wanted = spark.createDataFrame([(t, label, ws) for t, ((label, _), ws) in enumerate(zip(templates, ordered, strict=True))], "template int, label string, own array<int>")
     verified = (
         candidates.join(F.broadcast(wanted), "template")
-        .withColumn("shared", F.size(F.array_intersect("words", "own")))
-        .where("shared >= need")
-        .withColumn("containment", F.col("shared") / F.col("size"))
-    )
-    best = F.row_number().over(W.partitionBy("row", "first_word").orderBy(F.desc("containment"), F.desc("size"), "template"))
-    matches = (
-        verified.withColumn("best", best)
-        .where("best = 1")
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("first_word", "template", "label", "containment"))).alias("matches"))
+        .withColumn("common", F.array_intersect("words", "own"))
+        .where(F.size("common") >= F.col("need"))
+        .withColumn("containment", F.size("common") / F.col("size"))
     )
-    empty = F.array().cast("array<struct<first_word:bigint,template:int,label:string,containment:double>>")
+
+    def suppress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                kept = [{k: m[k] for k in MATCH} for m in best_of_blocks(found)]
+                out.append({"row": row, "matches": sorted(kept, key=lambda m: tuple(m.values()))})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.int64()), ("matches", pa.list_(MATCHES_ARROW))]))
+
+    of_row = F.collect_list(F.struct("first_word", "n_words", "span", "template", "label", "size", "containment", "common"))
+    matches = verified.groupBy("row").agg(of_row.alias("found")).mapInArrow(suppress, f"row long, matches {MATCHES}")
+    empty = F.array().cast(MATCHES)
     return (
         scanned.join(matches, "row", "left")
         .withColumn("matches", F.coalesce("matches", empty))
@@ -183,10 +223,13 @@ def license_scan(
     )
 
 
-SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, blocks array<struct<first_word:bigint,words:array<int>>>"
+MATCHES = "array<struct<first_word:bigint,n_words:bigint,template:int,label:string,containment:double>>"
+MATCH = ("first_word", "n_words", "template", "label", "containment")
+MATCHES_ARROW = pa.struct(list(zip(MATCH, (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64()), strict=True)))
+SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, blocks array<struct<first_word:bigint,n_words:bigint,span:int,words:array<int>>>"
 SCANNED_ARROW = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
-        ("base", pa.list_(pa.string())), ("blocks", pa.list_(pa.struct([("first_word", pa.int64()), ("words", pa.list_(pa.int32()))]))),
+        ("base", pa.list_(pa.string())), ("blocks", pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("span", pa.int32()), ("words", pa.list_(pa.int32()))]))),
     ]
 )

@@ -82,6 +82,32 @@ def test_license_scan_matches_brute_force(spark, docs):
     assert license_scan(frame(spark, [])).count() == 0
 
 
+def license_places(text, threshold=0.8):
+    """(label, containment) of every stretch of a template's length, or line, that reaches the threshold."""
+    words = plain_words(text)
+    out = []
+    for label, template in TEMPLATES:
+        own, n = set(plain_words(template)), len(plain_words(template))
+        stretches = [words[i : i + n] for i in range(max(1, len(words) - n + 1))]
+        best = max(len(own & set(b)) / len(own) for b in [*stretches, *(plain_words(line) for line in text.split("\n"))])
+        if best >= threshold - 1e-9:
+            out.append((label, best))
+    return out
+
+
+def test_license_scan_finds_notices_wrapped_over_lines(spark):
+    wrapped = lambda t, start: "\n".join(start + " ".join(t.split()[i : i + 6]) for i in range(0, len(t.split()), 6))
+    filler = "\n".join(f"alpha beta gamma{k} delta" for k in range(40))
+    rows = [(100 * c + i, f"{filler[: 170 * c]}\n{wrapped(t, start)}\n{filler}") for c, start in ((0, ""), (1, "# "), (2, " * ")) for i, (_, t) in enumerate(TEMPLATES)]
+    got = {r.doc_id: r for r in license_scan(frame(spark, rows)).collect()}
+    for key, text in rows:
+        label = TEMPLATES[key % 100][0]
+        assert label in got[key].labels.split(",") and (label, 1.0) in license_places(text)
+        assert max(m.containment for m in got[key].matches) == 1.0
+        assert {m.label for m in got[key].matches} <= {found for found, _ in license_places(text)}
+        assert {m.label for m in got[key].matches if m.containment == 1.0} == {label}
+
+
 def test_multi_index_finds_all_pairs_in_the_radius():
     rng = np.random.default_rng(3)
     items = rng.integers(0, 1 << 63, 60).astype(np.uint64)

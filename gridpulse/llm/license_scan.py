@@ -20,6 +20,7 @@ The templates are a parameter of bounded size; only they are broadcast.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -81,12 +82,29 @@ def windows_of(words: list[bytes], place: dict[bytes, int], spans: list[int]) ->
             yield span, c * span, cells.get(c, set()) | cells.get(c + 1, set())
 
 
-def best_of_blocks(found: list[dict]) -> list[dict]:
-    """The best match of every block: the largest containment, then the longer template, then the first."""
-    best: dict[tuple, dict] = {}
-    for m in sorted(found, key=lambda m: (-m["containment"], -m["size"], m["template"])):
-        best.setdefault((m["first_word"], m["n_words"], m["span"]), m)
-    return list(best.values())
+def unsuppressed(found: list[dict]) -> list[dict]:
+    """The matches of one text without those whose common words a better
+    match holds as well: one in the same block (larger containment, then the
+    longer template, then the first), or one of larger containment in an
+    overlapping block."""
+    found = sorted(found, key=lambda m: m["first_word"])
+    widest = max((m["n_words"] for m in found), default=0)
+    firsts = [m["first_word"] for m in found]
+    out = []
+    for m in found:
+        lo, hi = m["first_word"], m["first_word"] + m["n_words"]
+        rank, own = (m["containment"], m["size"], -m["template"]), set(m["common"])
+        near = found[bisect_left(firsts, lo - widest) : bisect_left(firsts, hi)]
+        if not any(
+            own.issubset(b["common"])
+            and (
+                (b["first_word"], b["n_words"], b["span"]) == (lo, m["n_words"], m["span"]) and (b["containment"], b["size"], -b["template"]) > rank
+                or b["containment"] > m["containment"] and b["first_word"] + b["n_words"] > lo
+            )
+            for b in near
+        ):
+            out.append(m)
+    return out
 
 
 def phrase_places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, str]]:
@@ -131,9 +149,11 @@ def license_scan(
     places where a phrase stands), first_word and last_word (their smallest
     and largest start, or null), base_labels, labels (the phrases' and the
     templates', distinct, sorted, comma-joined), matches (first_word,
-    n_words, template, label, containment of every block's best template: the
-    largest containment, then the longer template, then the first) and score
-    (the largest containment; a phrase counts as 1).
+    n_words, template, label, containment of every block and template that
+    reach the threshold, but for those whose common words a better match in
+    the block holds too, as cc-by beside cc-by-sa, or a fuller one in an
+    overlapping block) and score (the largest containment; a phrase counts
+    as 1).
 
     Defined cases: a null, empty or wordless text has 0 words, empty labels,
     no matches and score 0; long lines are taken in half-overlapping windows,
@@ -199,7 +219,7 @@ def license_scan(
         for batch in batches:
             out = []
             for row, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                kept = [{k: m[k] for k in MATCH} for m in best_of_blocks(found)]
+                kept = [{k: m[k] for k in MATCH} for m in unsuppressed(found)]
                 out.append({"row": row, "matches": sorted(kept, key=lambda m: tuple(m.values()))})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.int64()), ("matches", pa.list_(MATCHES_ARROW))]))
 

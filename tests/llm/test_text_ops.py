@@ -108,6 +108,19 @@ def test_license_scan_finds_notices_wrapped_over_lines(spark):
         assert {m.label for m in got[key].matches if m.containment == 1.0} == {label}
 
 
+def test_license_scan_keeps_every_template_of_a_block(spark):
+    rows = [
+        (1, "Licensed under CC BY 4.0. This is free and unencumbered software released into the public domain"),
+        (2, "Licensed under CC BY-SA 4.0"),
+        (3, "Licensed under CC BY 4.0"),
+        (4, "Released under the MIT License or licensed under the Apache License, Version 2.0"),
+        (5, "Licensed under CC BY 4.0\nLicensed under CC BY-SA 4.0\nLicensed under CC BY-NC 4.0"),
+        (6, TEMPLATES[5][1]),
+    ]
+    labels = {r.doc_id: sorted({m.label for m in r.matches}) for r in license_scan(frame(spark, rows)).collect()}
+    assert labels == {1: ["cc-by-4.0", "unlicense"], 2: ["cc-by-sa-4.0"], 3: ["cc-by-4.0"], 4: ["apache-2.0", "mit"], 5: ["cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0"], 6: ["gpl"]}
+
+
 def test_multi_index_finds_all_pairs_in_the_radius():
     rng = np.random.default_rng(3)
     items = rng.integers(0, 1 << 63, 60).astype(np.uint64)

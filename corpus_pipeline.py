@@ -21,43 +21,55 @@ from gridpulse.llm.simhash_dedup import simhash_classes
 
 # A text whose n-grams lie further from every profile is in none of the learnt languages.
 LEAST_SCORE = 0.15
+# Key of a stage's rows.
+ROW = "__row"
 
 
-def _keep(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (``left_semi``) or is not (``left_anti``) in ``keys``; a null id equals a null id."""
-    ids = keys.select(F.col("doc_id").alias("__key")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__key"]), how)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, ``ROW``, written out so that it never
+    changes: ids may be null or repeated, and decisions belong to rows."""
+    return spool(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _keep(docs: DataFrame, rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Keyed ``rows`` whose key is (``left_semi``) or is not (``left_anti``) the doc_id of ``keys``, as in ``docs``."""
+    return rows.join(keys.select(F.col("doc_id").alias(ROW)).distinct(), ROW, how).select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled documents teach."""
-    found = identify_language(docs, fold_share("doc_id") != 0)
+    rows = _keyed(docs)
+    found = identify_language(rows, fold_share("doc_id") != 0, id_col=ROW)
     rejected = found.where((F.col("lang_pred") == UND) | (F.col("score") < LEAST_SCORE))
-    return _keep(docs, rejected, "left_anti")
+    return _keep(docs, rows, rejected, "left_anti")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more documents share."""
-    kept = line_dedup(docs, min_docs=10, min_chars=1).where("n_dropped > 0")
-    kept = spool(kept.select("doc_id", F.col("text").alias("__kept")).distinct(), "pipeline-lines")
-    kept = kept.withColumnRenamed("doc_id", "__key")
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__key"]), "left")
-    text = F.coalesce("__kept", docs["text"])
+    """Documents without the lines that ten or more documents (rows) share."""
+    rows = _keyed(docs)
+    kept = line_dedup(rows, min_docs=10, min_chars=1, id_col=ROW).where("n_dropped > 0")
+    kept = spool(kept.select(F.col("doc_id").alias(ROW), F.col("text").alias("__kept")), "pipeline-lines")
+    joined = rows.join(kept, ROW, "left")
+    text = F.coalesce("__kept", rows["text"])
     out = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)}
-    return joined.select(*[out[c].alias(c) if c in out else docs[c] for c in docs.columns])
+    return joined.select(*[out[c].alias(c) if c in out else rows[c] for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate class: the smallest id (rows
-    without an id stay if one of them is like no numbered document)."""
-    classes = simhash_classes(docs, width=3, radius=3)
-    return _keep(docs, classes.where("doc_id <=> component_id"), "left_semi")
+    """One row of every near-duplicate class: the first of the smallest id
+    (of a class without any id, its first row)."""
+    rows = _keyed(docs)
+    classes = simhash_classes(rows, width=3, radius=3, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(rows["doc_id"].isNull(), rows["doc_id"], F.col(ROW).alias("row"))
+    first = rows.join(classes, ROW).groupBy("component_id").agg(F.min(order).alias("first"))
+    return _keep(docs, rows, first.select(F.col("first.row").alias("doc_id")), "left_semi")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _keep(docs, found, "left_anti")
+    rows = _keyed(docs)
+    found = contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return _keep(docs, rows, found, "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,6 +77,28 @@ def test_stages_match_brute_force(spark, documents):
     check_packing(last, {i: [*whole(expected[i]), 2] for i in clean}, 1024)
 
 
+def test_decisions_belong_to_rows(spark, documents):
+    """Rows of one id, or without any, are each answered by their own text."""
+    stages = dict(corpus_pipeline.STAGES)
+    schema = documents.schema
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in rows], schema)
+    texts = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+
+    english = [r.text for r in documents.where("lang = 'en' and doc_id < 10000").limit(6).collect()]
+    found = stages["language_id"](spark, documents.union(make([(None, english[0]), (None, "123 !!"), (10_200, english[1]), (10_200, "456 ??")])), SF)
+    assert texts(found.where("doc_id is null or doc_id = 10200")) == Counter([(None, english[0]), (10_200, english[1])])
+
+    rows = [(i, f"a common line\nown {i}") for i in range(10)] + [(None, f"a common line\nnull {k}") for k in range(3)] + [(None, "nothing"), (5, "other"), (5, "a common line\nagain"), (5, "a common line\nagain")]
+    assert texts(stages["line_dedup"](spark, make(rows), SF)) == Counter((i, t.replace("a common line\n", "")) for i, t in rows)
+
+    rows = [(7, english[0]), (7, english[0]), (3, english[0]), (None, english[0]), (None, english[1]), (None, english[1]), (7, english[2]), (3, english[3])]
+    assert texts(stages["simhash_near_dedup"](spark, make(rows), SF)) == Counter([(3, english[0]), (None, english[1]), (7, english[2]), (3, english[3])])
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, item), (None, "clean"), (4, item), (4, "clean too")]
+    assert texts(stages["decontamination"](spark, make(rows), SF)) == Counter([(None, "clean"), (4, "clean too")])
+
+
 def test_empty_documents_go_through(spark, documents):
     docs = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:

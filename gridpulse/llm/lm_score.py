@@ -5,29 +5,30 @@ vocabulary is a symbol with a Huffman code; any other word is an escape and
 its bytes, each with a code chosen by the byte before.  So a text is a
 sequence of binary decisions.  A decision is predicted by hashed contexts, a
 short history (the last very common word, or the last two bytes of a spelled
-word) and a long one (the last word if common, or the last four bytes), each
-smoothed towards the next shorter one and at last towards the code tree's
-own weights.  The histories are hashed into tables of counts over the whole
-training corpus.  The predictions are mixed in the logistic domain with
-weights that a gate chooses (kind of symbol and confidence of the two
-histories) and that learn online while the text is read; an adaptive map then
-refines the mixed probability.  Decisions deep in the word tree, below the
-``HISTORY_NODES`` most used nodes, have no history and cost what the tree
-says.  The negative logarithms add up to the text's total bits, with bits
-per byte beside them.
-
-Mixing state starts anew every ``LANE`` decisions of a document, so that
-many lanes are computed side by side; weights learn in steps of ``STEP``.
-
-Spark sums word counts and context counts over all training documents; the
-vocabulary (``VOCABULARY`` words of bounded length) and the context tables
-(``TABLES``) have a fixed size and are broadcast.  Counts of the words
+word) and a long one (the last word, or the last four bytes), each smoothed
+towards the next shorter one and at last towards the code tree's own weights.
+The predictions of both histories and of the tree are mixed in the logistic
+domain with weights that a gate chooses (kind of symbol and confidence of the
+two histories) and that learn online while the text is read; an adaptive map
+then refines the mixed probability.  Mixing state runs from a text's first
+decision to its last.  The negative logarithms add up to the text's total
+bits, with bits per byte beside them.  Texts are computed side by side;
+weights learn in steps of ``STEP``.
+
+What is learnt grows with the training texts.  The vocabulary is every word
+that occurs ``LEAST_COUNT`` times (Spark counts words; what is broadcast is a
+hash and a tree node of each), the very common words are its square root, and
+a context is counted under its exact key, in no table of a fixed size.  The
+counts are dealt over shards by key; batches of texts ask the shards for the
+contexts they need and the answers come back by batch.  Counts of the words
 beyond the vocabulary are met by an equi-join, so the base score is exact.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,23 +41,17 @@ from pyspark.sql import functions as F
 
 from gridpulse.llm.common import id_and_text, spool
 
-VOCABULARY = 1 << 17
 # Rarer training words are spelled, so that spelling and escapes are learnt from words as rare as unknown ones.
 LEAST_COUNT = 3
 WORD_BYTES = 64
-# Bits of the hashed tables: short and long history of words, then of bytes.
-TABLES = (19, 21, 19, 20)
-# Words that count as history, and nodes (the most used ones) that have it.
-SHORT_WORDS, LONG_WORDS, HISTORY_NODES = 64, 4096, 4096
 # Weight of the shorter context in the smoothing of the short and the long history.
 SHORT_PRIOR, LONG_PRIOR = 8.0, 4.0
-LANE = 4096
 STEP = 32
 GATES = 16
 LEVELS = 24  # of the adaptive map
 RATE, MAP_RATE = 0.004, 0.02
-# Bytes of text that are computed at once; entries of a table chunk; words, and pairs of words, a task holds at once.
-BATCH, CHUNK, FLUSH, PAIRS = 1 << 20, 1 << 16, 400_000, 2_000_000
+# Characters of text that are computed at once; words, and pairs of words, a task holds at once.
+BATCH, FLUSH, PAIRS = 1 << 20, 400_000, 500_000
 # The byte before a spelled word's first.
 START = 256
 
@@ -150,8 +145,37 @@ def huffman(weights: list[int]) -> Codes:
         side[j] = 1
         share[node] = b / (a + b)
         heapq.heappush(heap, (a + b, n + node))
+    return climb(up, side, share, np.arange(n))
+
+
+def code_tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree of many symbols: of all leaves and nodes the node above and the side, of the nodes the share of bit 1."""
+    n = len(weights)
+    order = np.argsort(weights, kind="stable")
+    leaves, joined = weights[order].tolist(), []
+    up, side, share = np.full(2 * n - 1, -1, np.int32), np.zeros(2 * n - 1, np.uint8), np.zeros(max(1, n - 1), np.float32)
+    i = j = 0
+    for node in range(n - 1):
+        pair = []
+        for bit in (0, 1):
+            if j == len(joined) or i < n and leaves[i] <= joined[j]:
+                at, w = order[i], leaves[i]
+                i += 1
+            else:
+                at, w = n + j, joined[j]
+                j += 1
+            up[at], side[at] = node, bit
+            pair.append(w)
+        joined.append(pair[0] + pair[1])
+        share[node] = pair[1] / joined[-1]
+    return up, side, share
+
+
+def climb(up: np.ndarray, side: np.ndarray, share: np.ndarray, symbols: np.ndarray) -> Codes:
+    """Codes of the symbols in the order given."""
+    n = (len(up) + 1) // 2
     # All symbols climb to the root together; a step is one decision of each that is still below it.
-    at, length, climbed = np.arange(n), np.zeros(n, np.int64), []
+    at, length, climbed = np.array(symbols, np.int64), np.zeros(len(symbols), np.int64), []
     going = np.flatnonzero(up[at] >= 0)
     while len(going):
         climbed.append((going, up[at[going]], side[at[going]]))
@@ -165,28 +189,61 @@ def huffman(weights: list[int]) -> Codes:
     return Codes(length, node, bit, share[node])
 
 
-def hashed(history: np.ndarray, count: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    """Table entries of (history, node)."""
-    mixed = (np.repeat((history.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1), count) ^ node) * np.uint32(0x85EBCA6B)
-    mixed ^= mixed >> np.uint32(15)
-    mixed *= np.uint32(0xC2B2AE35)
-    return (mixed >> np.uint32(32 - bits)).astype(np.int64)
+def digests(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes by which words are looked up."""
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words), np.uint64)
+
+
+def keys_of(kind: int, history: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Exact keys of (kind, history, node): 0 and 1 short and long history of words (31 bits each part), 2 and 3 of bytes."""
+    return np.uint64(kind << 62) | history.astype(np.uint64) << np.uint64(31 if kind < 2 else 17) | node.astype(np.uint64)
+
+
+def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its keys) of every shard that has any."""
+    mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+    shard = ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    bounds = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), len(keys)], strict=True):
+        yield int(shard[order[lo]]), order[lo:hi]
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length as bytes; keys (unsigned) as differences."""
+    cut = [np.diff(x, prepend=np.uint64(0)) if x.dtype == np.uint64 else x.astype(np.min_scalar_type(x.max())) for x in arrays]
+    kinds = b"".join(b"K" if x.dtype == np.uint64 else c.dtype.char.encode() for x, c in zip(arrays, cut, strict=True))
+    return kinds + b" " + zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in cut))
+
+
+def unpacked(payload: bytes) -> list[np.ndarray]:
+    at = payload.index(b" ")
+    names = payload[:at].decode()
+    kinds, data = [np.dtype("u8" if c == "K" else c) for c in names], zstandard.ZstdDecompressor().decompress(payload[at + 1 :])
+    n, lo, out = len(data) // sum(k.itemsize for k in kinds), 0, []
+    for name, kind in zip(names, kinds, strict=True):
+        x = np.frombuffer(data, kind, n, lo)
+        out.append(np.cumsum(x, dtype=np.uint64) if name == "K" else x.astype(np.int64))
+        lo += n * kind.itemsize
+    return out
+
+
+def summed(keys: np.ndarray, ones: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted different keys with the sums of their counts."""
+    keys, back = np.unique(keys, return_inverse=True)
+    return keys, *(np.rint(np.bincount(back, weights=x, minlength=len(keys))).astype(np.int64) for x in (ones, seen))
 
 
 class Coder:
     """Turns texts into decisions with their contexts; the same in learning and scoring."""
 
-    def __init__(self, vocabulary: list[tuple[bytes, int]], escapes: int, byte_counts: np.ndarray):
-        self.ids = {w: i for i, (w, _) in enumerate(vocabulary)}
-        self.escape = len(vocabulary)
-        whole = huffman([n + 1 for _, n in vocabulary] + [escapes + 1])
-        # Nodes fall in weight along a code, so those with history come first; the rest costs what the tree says.
-        used = whole.node.astype(np.int64) >= len(vocabulary) - HISTORY_NODES
-        symbol = np.repeat(np.arange(len(whole.length)), whole.length)
-        price = -np.log2(np.where(whole.bit > 0, whole.share, 1 - whole.share.astype(np.float64)))
-        self.tail = np.bincount(symbol[~used], weights=price[~used], minlength=len(whole.length))
-        kept = np.bincount(symbol[used], minlength=len(whole.length))
-        self.words = Codes(kept, whole.node[used], whole.bit[used], whole.share[used])
+    def __init__(self, words: np.ndarray, counts: np.ndarray, escapes: int, byte_counts: np.ndarray):
+        """Words are given by their digests, the most frequent first."""
+        self.order = np.argsort(words).astype(np.int32)
+        self.digests = words[self.order]
+        self.escape = len(words)
+        self.common = max(64, math.isqrt(len(words)))
+        self.tree = code_tree(np.append(counts, escapes) + 1)
         trees = [huffman((weights * 16 + 1).tolist()) for weights in byte_counts]
         self.letters = Codes(
             np.concatenate([t.length for t in trees]),
@@ -194,46 +251,74 @@ class Coder:
             np.concatenate([t.bit for t in trees]),
             np.concatenate([t.share for t in trees]),
         )
-        bounds = np.cumsum([0, *(1 << b for b in TABLES)]).tolist()
-        self.tables, self.size = list(zip(bounds, bounds[1:], strict=False)), bounds[-1]
 
     def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         """Word ids with their histories (last very common word, last word)
         and text numbers; the words to spell, and their texts."""
-        get, escape = self.ids.get, self.escape
+        index: dict[bytes, int] = {}
         flat = [w for words in texts for w in (*words, b"")]
-        ids = np.array([get(w, escape) for w in flat], np.int64)
+        local = np.array([index.setdefault(w, len(index)) for w in flat], np.int64)
+        asked = digests(list(index))
+        spot = np.minimum(np.searchsorted(self.digests, asked), len(self.digests) - 1)
+        ids = np.where(self.digests[spot] == asked, self.order[spot], self.escape).astype(np.int64)[local]
         sizes = np.array([len(words) + 1 for words in texts], np.int64)
         text = np.repeat(np.arange(len(texts)), sizes)
         place = np.arange(len(ids))
         start = np.repeat(np.cumsum(sizes) - sizes, sizes)
         # The last place before this one with a very common word, if in the same text.
-        common = np.maximum.accumulate(np.concatenate(([-1], np.where(ids < SHORT_WORDS, place, -1)[:-1])))
-        short = np.where(common >= start, ids[np.maximum(common, 0)], SHORT_WORDS)
-        last = np.minimum(np.concatenate(([0], ids[:-1])), LONG_WORDS)
-        long = np.where(place > start, last, LONG_WORDS + 1)
-        unknown = np.flatnonzero(ids == escape)
+        common = np.maximum.accumulate(np.concatenate(([-1], np.where(ids < self.common, place, -1)[:-1])))
+        short = np.where(common >= start, ids[np.maximum(common, 0)], self.escape + 1)
+        long = np.where(place > start, np.concatenate(([0], ids[:-1])), self.escape + 1)
+        unknown = np.flatnonzero(ids == self.escape)
         return ids, short, long, text, [flat[i] for i in unknown.tolist()], text[unknown]
 
-    def word_entries(self, history: np.ndarray, which: int, count: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return hashed(history, count, self.words.node[place], TABLES[which]) + self.tables[which][0]
-
     def letter_stream(self, spelled: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Of all spelled words: places of the decisions, their entries for
-        both histories, and decisions of every word."""
+        """Of all spelled words: places of the decisions, their keys for both
+        histories, and decisions of every word."""
         letters, inside = spelling(spelled)
         one = before(letters, inside, 1, START)
         back = [before(letters, inside, k, 0) for k in (1, 2, 3, 4)]
         place, count = self.letters.decisions(one * 256 + letters)
         node = self.letters.node[place]
         short = back[0] | back[1] << 8
-        entries = [
-            hashed(history, count, node, TABLES[k]) + self.tables[k][0]
-            for k, history in ((2, short), (3, short | back[2] << 16 | back[3] << 24))
-        ]
+        keys = [keys_of(k, np.repeat(h, count), node) for k, h in ((2, short), (3, short | back[2] << 16 | back[3] << 24))]
         lengths = np.array([len(w) + 1 for w in spelled], np.int64)
         per_word = np.add.reduceat(count, np.cumsum(lengths) - lengths) if len(lengths) else count
-        return place, *entries, per_word
+        return place, *keys, per_word
+
+    def pair_keys(self, kind: int, codes: Codes, history: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of pairs (history, symbol of the codes): places of the decisions, their keys, and decisions of every pair."""
+        place, count = codes.decisions(symbols)
+        return place, keys_of(kind, np.repeat(history, count), codes.node[place]), count
+
+    def contexts(self, tokens: tuple[np.ndarray, ...], n: int) -> tuple[np.ndarray, list[tuple]]:
+        """All different keys of a batch of ``n`` texts, and of words and
+        letters (codes, places, the keys' places for both histories,
+        decisions of every text)."""
+        ids, short, long, text, spelled, owner = tokens
+        found, total, streams = [], 0, []
+        different, local = np.unique(ids, return_inverse=True)
+        codes = climb(*self.tree, different)
+        place, count = codes.decisions(local)
+        entries = []
+        for kind, history in enumerate((short, long)):
+            pairs, back = np.unique(history * len(different) + local, return_inverse=True)
+            _, keys, per = self.pair_keys(kind, codes, *np.divmod(pairs, len(different)))
+            keys, spot = np.unique(keys, return_inverse=True)
+            starts = (np.cumsum(per) - per)[back] - (np.cumsum(count) - count)
+            entries.append(spot[np.arange(len(place)) + np.repeat(starts, count)] + total)
+            found.append(keys)
+            total += len(keys)
+        streams.append((codes, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64)))
+        place, *both, count = self.letter_stream(spelled)
+        entries = []
+        for keys in both:
+            keys, spot = np.unique(keys, return_inverse=True)
+            entries.append(spot + total)
+            found.append(keys)
+            total += len(keys)
+        streams.append((self.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64)))
+        return np.concatenate(found), streams
 
 
 def batched(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
@@ -250,130 +335,111 @@ def batched(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield group
 
 
-def count_contexts(texts: DataFrame, coder) -> np.ndarray:
-    """Counts (entry, bit) of all tables over all texts.
+ASKED = "shard int, batch long, payload binary"
+ASKED_ARROW = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("payload", pa.binary())])
 
-    A task hands on its tables as compressed chunks; chunks are summed one
-    after the other, in two rounds, so that no task gathers more than one.
-    """
+
+def asked_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ASKED_ARROW.types, strict=True)], schema=ASKED_ARROW)
+
+
+def count_contexts(texts: DataFrame, coder, shards: int) -> DataFrame:
+    """Counts (keys, ones, seen) of all contexts over all texts, packed, by shard, under batch -1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder.value
-        total = np.zeros(2 * own.size)
         pairs: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+        letters: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def add_up(k: int) -> None:
+        def handed_on() -> Iterator[pa.RecordBatch]:
             """Pairs (history, word) are counted first: there are far fewer of them than words."""
-            codes = np.concatenate([c for c, _ in pairs[k]])
-            weights = np.concatenate([n for _, n in pairs[k]])
-            codes, back = np.unique(codes, return_inverse=True)
-            weights = np.bincount(back, weights=weights)
-            lo, hi = own.tables[k]
-            for some in range(0, len(codes), 100_000):
-                history, words = np.divmod(codes[some : some + 100_000], own.escape + 1)
-                place, times = own.words.decisions(words)
-                at = own.word_entries(history, k, times, place) - lo
-                n = np.repeat(weights[some : some + 100_000], times)
-                total[2 * lo : 2 * hi] += np.bincount(at * 2 + own.words.bit[place], weights=n, minlength=2 * (hi - lo))
-            pairs[k].clear()
+            for k in (0, 1, 2):
+                if k == 2:
+                    part = summed(*(np.concatenate(x) for x in zip(*letters, strict=True))) if letters else None
+                elif pairs[k]:
+                    different, back = np.unique(np.concatenate([c for c, _ in pairs[k]]), return_inverse=True)
+                    weights = np.bincount(back, weights=np.concatenate([n for _, n in pairs[k]]))
+                    history, words = np.divmod(different, own.escape + 1)
+                    symbols, local = np.unique(words, return_inverse=True)
+                    codes = climb(*own.tree, symbols)
+                    place, keys, per = own.pair_keys(k, codes, history, local)
+                    n = np.repeat(weights, per)
+                    part = summed(keys, n * codes.bit[place], n)
+                else:
+                    part = None
+                if part is not None and len(part[0]):
+                    yield asked_rows([(shard, -1, packed(*(x[at] for x in part))) for shard, at in by_shard(part[0], shards)])
+            letters.clear()
+            for k in (0, 1):
+                pairs[k].clear()
 
         for group in batched((0, t) for batch in batches for t in batch.column(0).to_pylist()):
             ids, short, long, _, spelled, _ = own.tokens([w for _, w in group])
             for k, history in enumerate((short, long)):
                 pairs[k].append(np.unique(history * (own.escape + 1) + ids, return_counts=True))
-                if sum(len(c) for c, _ in pairs[k]) > PAIRS:
-                    add_up(k)
-            place, *entries, _ = own.letter_stream(spelled)
-            for k, at in zip((2, 3), entries, strict=True):
-                lo, hi = own.tables[k]
-                total[2 * lo : 2 * hi] += np.bincount((at - lo) * 2 + own.letters.bit[place], minlength=2 * (hi - lo))
-        for k in (0, 1):
-            if pairs[k]:
-                add_up(k)
-        yield from chunks(np.rint(total).astype(np.uint64), TaskContext.get().partitionId())
-
-    def chunks(total: np.ndarray, part: int) -> Iterator[pa.RecordBatch]:
-        for c in range(0, len(total), CHUNK):
-            some = total[c : c + CHUNK]
-            if some.any():
-                yield chunk_row(c // CHUNK, part, some)
-
-    def chunk_row(chunk: int, part: int, some: np.ndarray) -> pa.RecordBatch:
-        narrow = np.min_scalar_type(some.max())  # most counts of a task fit a byte
-        payload = narrow.char.encode() + zstandard.ZstdCompressor(level=1).compress(some.astype(narrow).tobytes())
-        return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "part": pa.array([part], pa.int32()), "payload": pa.array([payload], pa.binary())})
-
-    def unpacked(payload: bytes) -> np.ndarray:
-        return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[1:]), np.dtype(payload[:1].decode())).astype(np.uint64)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if key != (row["chunk"], row["part"]):
-                    if total is not None:
-                        yield chunk_row(*key, total)
-                    key, total = (row["chunk"], row["part"]), unpacked(row["payload"])
-                else:
-                    total += unpacked(row["payload"])
-        if total is not None:
-            yield chunk_row(*key, total)
-
-    schema = "chunk int, part int, payload binary"
-    found = texts.select("text").mapInArrow(count, schema)
-    for parts in (16, 1):
-        found = found.withColumn("part", F.pmod("part", F.lit(parts))).repartition("chunk", "part").sortWithinPartitions("chunk", "part").mapInArrow(add, schema)
-    total = np.zeros(2 * coder.value.size, np.float32)
-    for r in found.toLocalIterator():  # a fixed number of chunks
-        some = unpacked(r["payload"])
-        total[r["chunk"] * CHUNK :][: len(some)] = some
-    return total
+            place, *both, _ = own.letter_stream(spelled)
+            for keys in both:
+                letters.append(summed(keys, own.letters.bit[place], np.ones(len(place))))
+            if sum(len(c) for held in pairs for c, _ in held) > PAIRS or sum(len(c) for c, *_ in letters) > 8 * PAIRS:
+                yield from handed_on()
+        yield from handed_on()
+
+    return texts.select("text").mapInArrow(count, ASKED)
+
+
+def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ones and seen of the keys that every batch asks a shard for; a shard's counts come before."""
+    shard, parts, table = None, [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["shard"] != shard:
+                shard, parts, table = row["shard"], [], None
+            if row["batch"] < 0:
+                parts.append(unpacked(row["payload"]))
+                if sum(len(p[0]) for p in parts[1:]) > max(1 << 20, len(parts[0][0])):
+                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                continue
+            if table is None:
+                table = summed(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else (np.zeros(1, np.uint64), *np.zeros((2, 1), np.int64))
+                parts = []
+            (asked,) = unpacked(row["payload"])
+            spot = np.minimum(np.searchsorted(table[0], asked), len(table[0]) - 1)
+            met = table[0][spot] == asked
+            yield asked_rows([(shard, row["batch"], packed(*(np.where(met, x[spot], 0) for x in table[1:])))])
 
 
 class Model:
-    """Predictions of all table entries, with the mixing that scores texts."""
+    """The mixing that scores texts, from counts of the contexts they ask for."""
 
-    def __init__(self, coder: Coder, counts: np.ndarray):
-        self.coder = coder
-        self.ones, self.seen = counts[1::2].copy(), counts[0::2] + counts[1::2]
-        self.weights = np.tile(np.array([0.4, 0.6], np.float32), (GATES, 1))
+    def __init__(self):
+        self.weights = np.tile(np.array([0.4, 0.6, 0.0], np.float32), (GATES, 1))
         level = (np.arange(LEVELS) + 0.5) - LEVELS / 2
         self.map = (1 / (1 + np.exp(-level))).astype(np.float32)
 
-    def bits(self, texts: list[list[bytes]]) -> np.ndarray:
+    def bits(self, streams: list[tuple], ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
         """Total bits of every text."""
-        own = self.coder
-        ids, short, long, text, spelled, owner = own.tokens(texts)
-        place, count = own.words.decisions(ids)
-        entries = [own.word_entries(h, k, count, place) for k, h in enumerate((short, long))]
-        n = len(texts)
-        out = np.bincount(text, weights=own.tail[ids], minlength=n)
-        out += self.mixed(own.words, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64))
-        place, *entries, count = own.letter_stream(spelled)
-        return out + self.mixed(own.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64))
+        self.ones, self.seen = ones.astype(np.float32), seen.astype(np.float32)
+        return sum(self.mixed(*stream) for stream in streams)
 
     def mixed(self, codes: Codes, place: np.ndarray, entries: list[np.ndarray], per: np.ndarray) -> np.ndarray:
         """Bits of every text's decisions, of which text i has ``per[i]`` in a row."""
         if not len(place):
             return np.zeros(len(per))
         y, p = codes.bit[place], codes.share[place]
-        x = np.empty((2, len(y)), np.float32)
+        x = np.empty((3, len(y)), np.float32)
+        x[2] = np.log(p / (1 - p)).clip(-11, 11)
         gate = np.zeros(len(y), np.int64)
         for k, (at, prior) in enumerate(zip(entries, (SHORT_PRIOR, LONG_PRIOR), strict=True)):
             seen = self.seen[at]
             p = (self.ones[at] + np.float32(prior) * p) / (seen + np.float32(prior))
             x[k] = np.log(p / (1 - p)).clip(-11, 11)
             gate = gate * 4 + (seen >= 1) + (seen >= 16) + (seen >= 256)
-        # Lanes: documents cut every LANE decisions, the longest first.
-        lanes = (per + LANE - 1) // LANE
-        owner = np.repeat(np.arange(len(per)), lanes)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        start = (np.cumsum(per) - per)[owner] + nth * LANE
-        length = np.minimum(per[owner] - nth * LANE, LANE)
-        order = np.argsort(-length, kind="stable")
-        start, length, owner = start[order], length[order], owner[order]
+        # One lane a text, the longest first.
+        owner = np.argsort(-per, kind="stable")[: np.count_nonzero(per)]
+        start, length = (np.cumsum(per) - per)[owner], per[owner]
         n = len(start)
-        weights = [np.tile(self.weights[:, k], n) for k in (0, 1)]
+        weights = [np.tile(self.weights[:, k], n) for k in range(len(x))]
         refined = np.tile(self.map, n)
         cost = np.zeros(n)
         steps = np.arange(STEP)
@@ -385,16 +451,16 @@ class Model:
             if full < live:  # lanes that end in this step
                 there = (t + steps < length[:live, None]).reshape(-1)
                 at, lane = at[there], lane[there]
-            x0, x1, ys = x[0][at], x[1][at], y[at].astype(np.float32)
+            xs, ys = [xk[at] for xk in x], y[at].astype(np.float32)
             pick = lane * GATES + gate[at]
-            dot = (x0 * weights[0][pick] + x1 * weights[1][pick]).clip(-11.9, 11.9)
+            dot = sum(xk * w[pick] for xk, w in zip(xs, weights, strict=True)).clip(-11.9, 11.9)
             p = 1 / (1 + np.exp(-dot))
             spot = lane * LEVELS + (dot + LEVELS / 2).astype(np.int64)
             q = refined[spot]
             final = 0.5 * (p + q)
             cost[:live] -= np.bincount(lane, weights=np.log2(np.where(ys > 0, final, 1 - final)), minlength=live)
             error = (ys - p) * np.float32(RATE)
-            for k, xk in enumerate((x0, x1)):
+            for k, xk in enumerate(xs):
                 weights[k][: live * GATES] += np.bincount(pick, weights=error * xk, minlength=live * GATES).astype(np.float32)
             refined[: live * LEVELS] += np.bincount(spot, weights=(ys - q) * np.float32(MAP_RATE), minlength=live * LEVELS).astype(np.float32)
         np.clip(cost, 0, None, out=cost)
@@ -422,37 +488,88 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     counted = spool(count_words(training), "lm-words")
     total, different = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     eligible = (F.length("word") <= WORD_BYTES) & (F.col("n") >= LEAST_COUNT)
-    top = counted.where(eligible).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    vocabulary = [(bytes(r["word"]), r["n"]) for r in top]
-    least = max(LEAST_COUNT, top[-1]["n"]) if len(top) == VOCABULARY else LEAST_COUNT
-    del top
-    if all(w for w, _ in vocabulary):
-        vocabulary.append((b"", 0))  # the end always has a code
-    rare = counted.where((F.col("n") < least) | (F.length("word") > WORD_BYTES))
-    coder = Coder(vocabulary, int(total - sum(n for _, n in vocabulary)), count_bytes(rare))
-    held = spark.sparkContext.broadcast(coder)
-    model = spark.sparkContext.broadcast(Model(coder, count_contexts(training, held)))
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"word": digests(batch.column(0).to_pylist()).view(np.int64), "n": batch.column(1)})
+
+    top = counted.where(eligible).select("word", "n").mapInArrow(shorten, "word long, n long").toArrow()
+    words, counts = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
+    end = digests([b""])
+    if end[0] not in words:
+        words, counts = np.append(words, end), np.append(counts, counted.where(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])  # the end always has a code
+    order = np.lexsort((words, -counts))
+    words, counts = words[order], counts[order]
+    rare = counted.where(~eligible & (F.length("word") > 0))
+    held = spark.sparkContext.broadcast(Coder(words, counts, int(total - counts.sum()), count_bytes(rare)))
+    # More training texts make more and larger shards.
+    shards = max(128, math.isqrt(total) // 64)
     unit = float(np.log10(total + 0.5 * (different + 1)))
-    logs = np.log10(np.array([n for _, n in vocabulary]) + 0.5) - unit
-    seen = np.array([n > 0 for _, n in vocabulary])
-    known = spark.sparkContext.broadcast((logs, seen))
+    known = spark.sparkContext.broadcast((np.append(np.log10(counts + 0.5) - unit, 0.0), np.append(counts > 0, False)))
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, docs, size, nth = TaskContext.get().partitionId() << 32, [], 0, 0
+        for batch in batches:
+            for doc in batch.to_pylist():
+                docs.append(doc)
+                size += len(doc["text"])
+                if size >= BATCH:
+                    yield pa.RecordBatch.from_pylist([{"batch": part + nth, "docs": docs}], schema=GROUPED_ARROW)
+                    docs, size, nth = [], 0, nth + 1
+        if docs:
+            yield pa.RecordBatch.from_pylist([{"batch": part + nth, "docs": docs}], schema=GROUPED_ARROW)
+
+    grouped = spool(rows.mapInArrow(group, GROUPED), "lm-batches")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                texts = [words_of(d["text"]) for d in row["docs"]]
+                keys, _ = held.value.contexts(held.value.tokens(texts), len(texts))
+                yield asked_rows([(shard, row["batch"], packed(keys[at])) for shard, at in by_shard(keys, shards)])
+
+    asked = count_contexts(training, held, shards).union(grouped.mapInArrow(ask, ASKED))
+    answers = asked.repartition("shard").sortWithinPartitions("shard", "batch").mapInArrow(answer, ASKED)
+
+    def finish(docs: list[dict], payloads: dict[int, bytes]) -> pa.RecordBatch:
+        own, (log, counts) = held.value, known.value
+        texts = [words_of(d["text"]) for d in docs]
+        tokens = own.tokens(texts)
+        keys, streams = own.contexts(tokens, len(texts))
+        ones, seen = np.zeros((2, len(keys)), np.int64)
+        for shard, at in by_shard(keys, shards):
+            ones[at], seen[at] = unpacked(payloads[shard])
+        bits = Model().bits(streams, ones, seen).tolist()
+        ids, _, _, text, spelled, owner = tokens
+        n_known = np.bincount(text, weights=counts[ids], minlength=len(docs))
+        base = np.bincount(text, weights=log[ids], minlength=len(docs))
+        others: list[Counter] = [Counter() for _ in docs]
+        for word, i in zip(spelled, owner.tolist(), strict=True):
+            others[i][word] += 1
+        out = [
+            (d["doc_id"], len(words) + 1, int(n_known[i]), float(base[i]), bits[i], bits[i] / max(1, len(d["text"].encode("utf-8", "surrogatepass"))), [{"word": w, "k": k} for w, k in others[i].items()])
+            for i, (d, words) in enumerate(zip(docs, texts, strict=True))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SCORED_ARROW.types, strict=True)], schema=SCORED_ARROW)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (log, counts) = model.value, known.value
-        get = own.coder.ids.get
-        pairs = ((i, t) for batch in batches for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-        for group in batched(((i, len(t.encode("utf-8", "surrogatepass"))), t) for i, t in pairs):
-            bits = own.bits([w for _, w in group])
-            out = []
-            for ((doc_id, n_bytes), words), b in zip(group, bits.tolist(), strict=True):
-                ids = np.array([get(w, -1) for w in words] + [get(b"")])
-                among = ids[ids >= 0]
-                others = Counter(w for w, i in zip(words, ids.tolist(), strict=False) if i < 0) if len(among) < len(ids) else {}
-                out.append((doc_id, len(ids), int(counts[among].sum()), float(log[among].sum()), b, b / max(1, n_bytes), [{"word": w, "k": k} for w, k in others.items()]))
-            cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, SCORED_ARROW.types, strict=True)], schema=SCORED_ARROW)
-
-    scored = spool(rows.mapInArrow(score, SCORED).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+        """A batch's texts come first, then the answers to it."""
+        now, docs, payloads = None, [], {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["batch"] != now:
+                    if docs:
+                        yield finish(docs, payloads)
+                    now, docs, payloads = row["batch"], row["docs"], {}
+                else:
+                    payloads[row["shard"]] = row["payload"]
+        if docs:
+            yield finish(docs, payloads)
+
+    texts_of = grouped.select("batch", F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("payload"), "docs")
+    answers = answers.select("batch", "shard", "payload", F.lit(None).cast(grouped.schema["docs"].dataType).alias("docs"))
+    met = texts_of.union(answers).repartition("batch").sortWithinPartitions("batch", "shard")
+    scored = spool(met.mapInArrow(score, SCORED).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     # Words beyond the vocabulary: their counts, by an equi-join.
     others = scored.select("row", F.inline("others"))
     met = (
@@ -475,6 +592,8 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     )
 
 
+GROUPED = "batch long, docs array<struct<doc_id:bigint,text:string>>"
+GROUPED_ARROW = pa.schema([("batch", pa.int64()), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("text", pa.string())])))])
 SCORED = "doc_id long, n_tokens long, n_known long, base double, bits double, bits_per_byte double, others array<struct<word:binary,k:bigint>>"
 SCORED_ARROW = pa.schema(
     [

@@ -217,6 +217,17 @@ def test_huffman_codes_are_prefix_free():
     assert len(huffman([7]).node) == 0
 
 
+def test_lm_score_learns_what_follows_rare_words(spark):
+    """5,000 pairs of words that always stand together: the second word costs far less than its share of all words."""
+    rng = np.random.default_rng(5)
+    pairs = np.repeat(np.arange(5000), 12)
+    rng.shuffle(pairs)
+    text = lambda some: " ".join(f"a{i} b{i}" for i in some)
+    rows = [(k, text(pairs[k * 600 : (k + 1) * 600])) for k in range(100)] + [(1000, text(rng.permutation(5000)))]
+    got = {r.doc_id: r for r in lm_score(frame(spark, rows), F.col("doc_id") < 1000).collect()}
+    assert got[1000].n_tokens == got[1000].n_known == 10_001 and got[1000].bits / 5000 < 15.5  # 17.3 if only 4,096 words are history
+
+
 def test_lm_score_base_is_exact_and_model_beats_chance(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     rows += [(10_001, None), (10_002, ""), (10_003, "日本語 ÿ \x00 unseen"), (None, "the of"), (10_004, "w" * 100_000), (10_004, "w" * 100_000)]

@@ -10,7 +10,10 @@ values.  Candidates are verified exactly by the weighted Jaccard similarity
 of the shingles (sum of the smaller counts by sum of the larger).
 
 A window that holds too few shingles of the items of its size cannot reach
-the similarity and is not fingerprinted; this bound loses no match.
+the similarity and is not fingerprinted; this bound loses no match.  A radius
+alone would lose some (by a binomial estimate 0.6 percent of the windows at
+0.8), so a window that holds enough shingles of one item is verified against
+it at any distance.
 
 Documents stay where they are: nothing is shuffled, so no passage that many
 documents share gathers in one task.  The benchmark is the query set; it is
@@ -96,6 +99,7 @@ class ItemBlock:
         self.items: dict[int, list[tuple[int, Counter]]] = defaultdict(list)  # by number of words
         self.sizes: dict[bytes, set[int]] = defaultdict(set)
         self.lengths = {WORDS}
+        self.holders: dict[bytes, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # items of every size that hold a shingle
         fps: dict[int, list] = defaultdict(list)
         for item_id, text in items:
             words = plain_words(text)
@@ -106,6 +110,8 @@ class ItemBlock:
                 self.lengths.add(min(WORDS, len(words)))
                 for g in grams:
                     self.sizes[g].add(len(words))
+                for g in set(grams):
+                    self.holders[g][len(words)].append(len(self.items[len(words)]) - 1)
         self.index = {size: MultiIndex(to_fingerprints(np.array(sums)), RADIUS) for size, sums in fps.items()}
 
     def anchors(self, words: list[bytes]) -> dict[int, set[int]]:
@@ -122,12 +128,26 @@ class ItemBlock:
                             at[size].add(i)
         return at
 
+    def counted(self, own: list[bytes], size: int, starts: np.ndarray, grams: int, least: int) -> set[tuple[int, int]]:
+        """(place in ``starts``, item) of the windows of ``grams`` shingles that hold ``least`` of an item's."""
+        where: dict[int, list[int]] = defaultdict(list)
+        for i, g in enumerate(own):
+            if g in self.holders:
+                for item in self.holders[g].get(size, ()):
+                    where[item].append(i)
+        out = set()
+        for item, at in where.items():
+            if len(at) >= least:
+                inside = np.searchsorted(at, starts + grams) - np.searchsorted(at, starts)
+                out.update((place, item) for place in np.flatnonzero(inside >= least).tolist())
+        return out
+
     def matches(self, text: str) -> list[tuple[int, int, int, int, float]]:
         """(item_id, first word, words, distance, similarity): the best window of every item found."""
         words = plain_words(text)
         if not words:
             return []
-        best: dict[int, tuple] = {}
+        best: dict[tuple, tuple] = {}  # by item id; items without an id by their place
         share = self.similarity / (1 + self.similarity)
         for size, at in self.anchors(words).items():
             width = min(size, len(words))
@@ -137,7 +157,8 @@ class ItemBlock:
             hits = np.cumsum(hits)
             windows = np.arange(len(words) - width + 1)
             inside = hits[windows + grams] - hits[windows]
-            windows = windows[inside >= math.ceil(share * (grams + item_grams) - 1e-9)]
+            least = math.ceil(share * (grams + item_grams) - 1e-9)
+            windows = windows[inside >= least]
             # Neighbouring windows share their shingles' sums.
             for run in np.split(windows, np.flatnonzero(np.diff(windows) > grams) + 1):
                 if len(run) == 0:
@@ -146,14 +167,17 @@ class ItemBlock:
                 own = shingles(words[lo : hi + width], min(size, WORDS))
                 sums = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(signs(own), axis=0)))
                 fps = to_fingerprints(sums[run - lo + grams] - sums[run - lo])
-                for place, item, far in self.index[size].near(fps):
+                pairs = {(place, item) for place, item, _ in self.index[size].near(fps)}
+                for place, item in sorted(pairs | self.counted(own, size, run - lo, grams, least)):
                     item_id, wanted = self.items[size][item]
                     start = int(run[place]) - lo
                     got = Counter(own[start : start + grams])
                     alike = (got & wanted).total() / (got | wanted).total()
-                    if alike >= self.similarity and (-alike, lo + start) < best.get(item_id, (0.0, 0))[:2]:
-                        best[item_id] = (-alike, lo + start, width, far)
-        return [(i, start, width, far, -alike) for i, (alike, start, width, far) in sorted(best.items())]
+                    key = (True, size, item) if item_id is None else (False, item_id, 0)
+                    if alike >= self.similarity and (-alike, lo + start) < best.get(key, (None, 0.0, 0))[1:3]:
+                        far = int(np.bitwise_count(fps[place] ^ self.index[size].fps[item]))
+                        best[key] = (item_id, -alike, lo + start, width, far)
+        return [(i, start, width, far, -alike) for _, (i, alike, start, width, far) in sorted(best.items())]
 
 
 def contamination(
@@ -176,7 +200,7 @@ def contamination(
     fewer than five words is one shingle and matches where these words stand;
     a document shorter than an item is compared whole; of equally similar
     windows the first is given; repeated items give the largest similarity
-    under each id; repeated documents are answered each; null ids are kept;
+    under each id, items without an id are each their own; repeated documents are answered each; null ids are kept;
     an empty table on either side gives an empty result; other columns are
     ignored.
     """

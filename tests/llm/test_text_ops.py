@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import fold_share, plain_words
-from gridpulse.llm.decontaminate import RADIUS, MultiIndex, contamination, shingles
+from gridpulse.llm.decontaminate import RADIUS, ItemBlock, MultiIndex, contamination, shingles
 from gridpulse.llm.language_id import identify_language, ngrams
 from gridpulse.llm.license_scan import PHRASES, TEMPLATES, blocks_of, license_scan
 from gridpulse.llm.lm_score import huffman, lm_score
@@ -166,6 +166,27 @@ def test_contamination_finds_exact_and_edited_passages(spark):
     assert contamination(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_contamination_loses_no_match_to_the_radius():
+    """One word changed in the middle of 49 leaves 40 of 50 shingles: exactly 0.8, at whatever distance."""
+    rng = np.random.default_rng(11)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 49))) for i in range(1500)]
+    block = ItemBlock(items, 0.8)
+    far = []
+    for i, text in items:
+        words = text.split()
+        words[24] = "changed"
+        ((item_id, first, width, distance, alike),) = block.matches(" ".join(words))
+        assert (item_id, first, width) == (i, 0, 49) and alike == pytest.approx(0.8)
+        far.append(distance)
+    assert max(far) > RADIUS
+
+
+def test_contamination_with_items_without_an_id():
+    texts = [" ".join(f"{k}{i}" for i in range(20)) for k in "xyz"]
+    found = ItemBlock([(None, texts[0]), (3, texts[1]), (None, texts[2])], 0.8).matches(" ".join(texts))
+    assert sorted((str(i), first) for i, first, *_ in found) == [("3", 20), ("None", 0), ("None", 40)]
+
+
 def luhn(digits):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 

@@ -13,13 +13,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.llm.collocations import collocations
 from gridpulse.llm.common import documents, fold_share, plain_words
 from gridpulse.llm.decontaminate import contamination
 from gridpulse.llm.exact_dedup import exact_dedup
+from gridpulse.llm.hard_negatives import hard_negatives
 from gridpulse.llm.language_id import identify_language
 from gridpulse.llm.license_scan import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.lm_score import lm_score
+from gridpulse.llm.minhash_dedup import setsketch_classes
 from gridpulse.llm.packing import pack
 from gridpulse.llm.pseudonyms import pseudonymise
 from gridpulse.llm.simhash_dedup import simhash_classes
@@ -77,6 +80,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations(documents(spark, sf_dir), min_count=10, longest=3, inside_percent=50, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = setsketch_classes(documents(spark, sf_dir), width=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -88,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -134,6 +156,41 @@ def _license_sql() -> str:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op11_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                          unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]'), lambda x: x <> '') AS ws FROM p),
+        g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i : i + m - 1], ' '))) AS phrase
+              FROM w, (VALUES (1), (2), (3)) AS t(m)),
+        f AS (SELECT lang, m, phrase, count(*) AS n FROM g GROUP BY ALL),
+        tot AS (SELECT lang, sum(n) AS n FROM f WHERE m = 1 GROUP BY lang),
+        c AS (SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM f WHERE m > 1 AND n >= 10),
+        s AS (SELECT c.lang, c.m, c.phrase, a, k, x.n AS l, y.n AS r,
+                     (1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS score
+              FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1 : k], ' ')
+                     JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1 :], ' ')),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        around AS (SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase,
+                          a FROM b WHERE m = 3),
+        kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM around o WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.a >= 50 * b.a)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, CAST(tot.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN tot USING (lang) WHERE rank <= 2000""",
+    "op13_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other_id, a.label = e.label AS alike,
+                         CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+                  FROM e a, e WHERE a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id),
+        pos AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+        neg AS (SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+                       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+                FROM pos JOIN pairs USING (anchor_id)
+                WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5""",
     "op5_license_scan": _license_sql(),
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS norm FROM documents)

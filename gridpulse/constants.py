@@ -37,7 +37,7 @@ NULL_LITERALS = (
 )
 
 # --- fixed values: feed file naming -------------------------------------------
-FEED_NAME_PATTERN = r"(?i)per_?count(y|ies)?"
+FEED_NAME_PATTERN = r"(?i)per[_]?count(y|ies)?"
 FEED_SUFFIX_PATTERN = r"(?i)\.csv$"
 MUNICIPAL_KEY = "muni"
 

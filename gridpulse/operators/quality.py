@@ -10,28 +10,33 @@ from pyspark.sql import functions as F
 from gridpulse.constants import COMPARE_TOLERANCE
 
 
-def file_utilization(raw: DataFrame, manifest: DataFrame, settings: DataFrame, target_day) -> DataFrame:
-    """agg_file_utilization: per file, rows read, rows on the target day,
-    rows whose time did not parse, the target share, estimated useful bytes
-    (share x bytes) and a ``high`` /
-    ``low`` note from the state's thresholds; NULL share for an empty file."""
-    per_file = raw.groupBy("state", "source_file").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.to_date("ts") == F.lit(target_day).cast("date")).alias("n_target_rows"),
-        F.count_if(F.col("ts").isNull()).alias("n_unparsed"),
-    )
-    j = per_file.join(manifest.select(F.col("uri").alias("source_file"), "bytes"), "source_file", "left").join(
-        settings.select("state", "utilization_threshold_high", "utilization_log_low"), "state", "left"
+def file_utilization(counters: DataFrame, settings: DataFrame, target_day, by: Sequence[str] = ("state", "source_file"), size: str = "bytes") -> DataFrame:
+    """agg_file_utilization: per file (or other group ``by``), rows read,
+    rows on the target day, rows whose time did not parse, the target share,
+    estimated useful bytes (share x bytes) and a ``high`` / ``low`` note from
+    the state's thresholds; NULL share for an empty file.
+
+    ``counters``: a row per file and day (state, source_file, day text or
+    ``none``, n_rows and the file's ``size``), as the landing keeps them; a
+    file without rows has one of day NULL."""
+    by = list(by)
+    files = counters.select(*by, "source_file", size).distinct().groupBy(*by).agg(F.sum(size).alias("bytes"))
+    n = F.coalesce("n_rows", F.lit(0))
+    rows = counters.groupBy(*by).agg(
+        F.sum(n).alias("n_rows"),
+        F.sum(F.when(F.col("day") == F.lit(str(target_day)), n).otherwise(0)).alias("n_target_rows"),
+        F.sum(F.when(F.col("day") == F.lit("none"), n).otherwise(0)).alias("n_unparsed"),
     )
     share = F.try_divide(F.col("n_target_rows").cast("double"), F.col("n_rows").cast("double"))
-    j = j.withColumn("row_utilization", share)
+    limits = settings.select("state", "utilization_threshold_high", "utilization_log_low")
+    j = rows.join(files, by).join(limits, "state", "left").withColumn("row_utilization", share)
     note = (
         F.when(F.col("row_utilization") >= F.col("utilization_threshold_high"), F.lit("high"))
         .when(F.col("row_utilization") <= F.col("utilization_log_low"), F.lit("low"))
         .otherwise(F.lit(""))
     )
     return j.select(
-        "state", "source_file", "bytes", "n_rows", "n_target_rows", "n_unparsed", "row_utilization",
+        *by, "bytes", "n_rows", "n_target_rows", "n_unparsed", "row_utilization",
         F.coalesce(F.col("row_utilization") * F.col("bytes"), F.lit(0.0)).alias("est_target_bytes"),
         note.alias("note"),
     )

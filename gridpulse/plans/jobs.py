@@ -19,6 +19,7 @@ from gridpulse.operators.standardize import standardize
 from gridpulse.plans.daily import metric_daily
 from gridpulse.sinks.tables import read_partitioned, upsert_history, write_dashboard, write_partitioned
 from gridpulse.sources import feeds, lookups
+from gridpulse.sources.landing import Landing
 
 
 @dataclass
@@ -27,6 +28,8 @@ class Inputs:
     mapping_root: str
     fips_path: str
     served_pattern: str | None = None
+    landing: str | None = None          # store of landed feed rows; without it the feeds are read whole
+    settings_path: str | None = None    # overrides of the retrieval settings
 
 
 @dataclass
@@ -45,9 +48,25 @@ def run_keys_for(spark: SparkSession, states: Sequence[str], days: Sequence) ->
     return spark.createDataFrame(rows, "state string, report_date date")
 
 
-def _inputs(spark: SparkSession, inp: Inputs, as_of=None, stale_days=None):
+def _rows(spark: SparkSession, inp: Inputs, as_of=None, stale_days=None, days=None):
+    """Feed rows: from the landing, brought up to date first (only files that
+    are new or have changed are opened, only the days asked for are read), or
+    else from the files.  Stale files count by the settings' days, if given."""
     col_maps = lookups.col_map_dict(lookups.read_col_map(spark, inp.mapping_root))
-    raw, groups = feeds.read_feeds(spark, inp.feeds_root, col_maps, as_of=as_of, stale_days=stale_days)
+    if inp.landing:
+        landing = Landing(spark, inp.landing)
+        landing.land(inp.feeds_root, col_maps)
+        files = landing.files()
+        return landing.read(col_maps, days=days), feeds.header_groups(files, files, col_maps)
+    settings = None
+    if inp.settings_path and as_of is not None:
+        manifest = feeds.file_manifest(spark, inp.feeds_root)
+        settings = lookups.settings_table(spark, manifest, overrides=lookups.read_settings(spark, inp.settings_path))
+    return feeds.read_feeds(spark, inp.feeds_root, col_maps, as_of=as_of, stale_days=stale_days, settings=settings)
+
+
+def _inputs(spark: SparkSession, inp: Inputs, as_of=None, stale_days=None, days=None):
+    raw, groups = _rows(spark, inp, as_of, stale_days, days)
     county_map = lookups.read_county_map(spark, inp.mapping_root)
     master = lookups.read_master_counties(spark, inp.mapping_root)
     fips = lookups.read_fips(spark, inp.fips_path)

@@ -468,10 +468,19 @@ ev AS (
   FROM events),
 headers AS (
   SELECT * FROM (VALUES
-    ('click', 'timestamp,EMC,name,cust_a,cust_s,n_out'), ('other', 'timestamp,EMC,name,cust_a,cust_s,n_out'),
-    ('view', 'timestamp,EMC,countyname,customersOutNow,customersServed'),
-    ('purchase', 'timestamp,EMC,Counties,# Out,# Served,% Out'), ('signup', 'timestamp,EMC,county,# out,% out'),
-    ('error', 'last updated,EMC,location,customers out')) AS h(layout, header)),
+    ('click', 'timestamp,EMC,Place,out_now,meters,out_alt'), ('other', 'timestamp,EMC,Place,out_now,meters,out_alt'),
+    ('view', 'timestamp,EMC,Place_Name,OutCount,MeterCount'),
+    ('purchase', 'timestamp,EMC,Area,Out Total,Meter Total,% Out'), ('signup', 'timestamp,EMC,county,out,% out'),
+    ('error', 'updated,EMC,zone,people out')) AS h(layout, header)),
+colmap AS (
+  SELECT * FROM (VALUES
+    ('place', 'county'), ('place_name', 'county'), ('area', 'county'), ('county', 'county'), ('zone', 'county'),
+    ('out_now', 'per_outage_customers_affected'), ('out_alt', 'per_outage_customers_affected'),
+    ('outcount', 'per_outage_customers_affected'), ('out total', 'per_outage_customers_affected'),
+    ('out', 'per_outage_customers_affected'), ('people out', 'per_outage_customers_affected'),
+    ('meters', 'customers_served'), ('metercount', 'customers_served'), ('meter total', 'customers_served'),
+    ('timestamp', 'timestamp'), ('updated', 'timestamp')) AS m(normalized, standard)),
+last_day AS (SELECT max(CAST(ts AS DATE)) AS d FROM ev),
 files AS (
   SELECT ev.*, header,
          CASE event_id % 9 WHEN 0 THEN upper(c) WHEN 1 THEN c || '   ' WHEN 2 THEN 'xx-' || c
@@ -481,6 +490,14 @@ files AS (
          CASE WHEN event_id % 5 = 0 THEN '<1%' ELSE CAST(event_id % 30 + 1 AS VARCHAR) || '.25%' END AS pct_text,
          CASE WHEN event_id % 13 = 0 THEN '0' ELSE format('{:,}', 1000 + 10 * (user_id % 50) + length(event_type)) END AS served_text
   FROM ev JOIN headers USING (layout)),
+lines AS (
+  SELECT *, CAST(ts AS DATE) = (SELECT d FROM last_day) AS late,
+         CASE layout WHEN 'view' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') WHEN 'purchase' THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END || ',' || event_type || ',' || rtrim(county_raw) || ',' || (CASE WHEN affected LIKE '%,%' THEN '"' || affected || '"' ELSE affected END)
+         || CASE layout WHEN 'view' THEN ',' || (CASE WHEN served_text LIKE '%,%' THEN '"' || served_text || '"' ELSE served_text END) WHEN 'purchase' THEN ',' || (CASE WHEN served_text LIKE '%,%' THEN '"' || served_text || '"' ELSE served_text END) || ',' || pct_text
+              WHEN 'signup' THEN ',' || pct_text WHEN 'error' THEN ''
+              ELSE ',' || (CASE WHEN served_text LIKE '%,%' THEN '"' || served_text || '"' ELSE served_text END) || ',' || CASE WHEN event_id % 3 = 0 THEN (CASE WHEN affected LIKE '%,%' THEN '"' || affected || '"' ELSE affected END) ELSE '' END END AS line
+  FROM files),
 seen AS (
   SELECT *, CASE WHEN county_raw <> 'NA' THEN rtrim(county_raw) END AS county_read,
          CASE WHEN affected <> 'n/a' THEN affected END AS affected_read,
@@ -576,3 +593,79 @@ ORACLE.update({
         REPORTED_DAYS,
     ),
 })
+
+
+# ------------------------------------------------ landing, layouts, settings --
+LAYOUTS = """
+lay AS (SELECT DISTINCT state, header FROM files),
+cols AS (SELECT state, header, CAST(unnest(range(len(names))) AS INTEGER) AS position, unnest(names) AS raw
+         FROM (SELECT *, string_split(header, ',') AS names FROM lay)),
+named AS (SELECT *, lower(trim(raw)) AS normalized FROM cols),
+renamed AS (SELECT n.*, m.standard, coalesce(m.standard, n.normalized) AS renamed FROM named n LEFT JOIN colmap m USING (normalized)),
+kept AS (SELECT * FROM renamed r WHERE (standard IS NOT NULL OR renamed IN ('% out', 'emc'))
+           AND (renamed <> '% out' OR NOT EXISTS (SELECT 1 FROM renamed s
+                WHERE s.state = r.state AND s.header = r.header AND s.renamed = 'customers_served'))),
+missing AS (
+  SELECT state, header, missing_column FROM lay, (SELECT unnest(['county', 'per_outage_customers_affected', 'customers_served', 'timestamp']) AS missing_column) w
+  WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.state = lay.state AND k.header = lay.header
+                    AND CASE WHEN k.renamed = '% out' THEN 'customers_served' ELSE k.renamed END = missing_column)),
+report AS (
+  SELECT l.state, l.header, coalesce(string_agg(missing_column, ',' ORDER BY missing_column), '') AS missing,
+         CASE WHEN NOT list_contains(string_split(l.header, ','), 'timestamp') THEN 'no timestamp column' END AS skipped_reason
+  FROM lay l LEFT JOIN missing m ON l.state = m.state AND l.header = m.header GROUP BY l.state, l.header)
+"""
+
+
+def with_layouts(select: str) -> str:
+    return f"WITH {BASE.strip()},\n{FILES.strip()},\n{LAYOUTS.strip()}\n{select}"
+
+
+_N = "CAST(count(*) AS BIGINT)"
+_BYTES = "CAST(sum(strlen(line) + 1) AS BIGINT)"
+ORACLE.update({
+    "scan_file_manifest": with_files(
+        f"SELECT state, layout, CASE WHEN late THEN 'new' ELSE 'same' END AS change, {_N} AS n_records FROM lines GROUP BY ALL"
+    ),
+    "scan_stale_filter": with_files(f"SELECT state, layout, {_N} AS n_records FROM lines WHERE late GROUP BY ALL"),
+    "scan_recent_slice": with_files(
+        'SELECT state, ts_read AS "timestamp", event_type AS emc, county_read AS county, '
+        'affected_read AS per_outage_customers_affected, served_read AS customers_served, pct_read AS "% out", '
+        "FALSE AS _impute, CAST(ts_parsed AS DATE) AS report_date FROM seen "
+        "WHERE CAST(ts_parsed AS DATE) IN (SELECT DISTINCT CAST(ts_parsed AS DATE) FROM seen ORDER BY 1 DESC LIMIT 2)"
+    ),
+    "scan_full_history": with_jobs(
+        "SELECT state, report_date, county, emc, ts, affected, customers_served FROM reports", REPORTED_DAYS
+    ),
+    "agg_bytes_summary": with_files(
+        f"SELECT state, {_BYTES} AS bytes_available, CAST(coalesce(sum(strlen(line) + 1) FILTER (WHERE late), 0) AS BIGINT) AS bytes_read, "
+        "100.0 - CAST(coalesce(sum(strlen(line) + 1) FILTER (WHERE late), 0) AS DOUBLE) / CAST(sum(strlen(line) + 1) AS DOUBLE) * 100.0 AS reduction_pct "
+        "FROM lines GROUP BY state"
+    ),
+    "agg_file_utilization": with_files(
+        "SELECT state, layout, bytes, n_rows, n_target_rows, CAST(0 AS BIGINT) AS n_unparsed, row_utilization, "
+        "coalesce(row_utilization * bytes, 0.0) AS est_target_bytes, "
+        "CASE WHEN row_utilization >= 0.8 THEN 'high' WHEN row_utilization <= CASE WHEN state = 's1' THEN 0.02 ELSE 0.3 END THEN 'low' ELSE '' END AS note "
+        f"FROM (SELECT state, layout, {_BYTES} AS bytes, CAST(count(*) FILTER (WHERE layout <> 'error') AS BIGINT) AS n_rows, "
+        "CAST(count(*) FILTER (WHERE late AND layout <> 'error') AS BIGINT) AS n_target_rows, "
+        "CASE WHEN layout <> 'error' THEN CAST(count(*) FILTER (WHERE late) AS DOUBLE) / CAST(count(*) AS DOUBLE) END AS row_utilization "
+        "FROM lines GROUP BY state, layout)"
+    ),
+    "lookup_settings": with_files(
+        f"SELECT l.state, data_bytes, CAST(500 AS BIGINT) AS head_bytes, "
+        "CAST(CASE WHEN l.state = 's1' THEN n * 1000 ELSE 524288 END AS BIGINT) AS tail_bytes, "
+        "CAST(CASE WHEN l.state = 's1' THEN n * 100 ELSE 2097152 END AS BIGINT) AS threshold_bytes, "
+        "CAST(2 AS BIGINT) AS stale_threshold_days, TRUE AS use_optimization, CAST(0.8 AS DOUBLE) AS utilization_threshold_high, "
+        "CAST(CASE WHEN l.state = 's1' THEN 0.02 ELSE 0.3 END AS DOUBLE) AS utilization_log_low, "
+        "data_bytes > CASE WHEN l.state = 's1' THEN n * 100 ELSE 2097152 END AS above_threshold "
+        f"FROM (SELECT state, {_BYTES} AS data_bytes FROM lines GROUP BY state) l "
+        "JOIN (SELECT state, count(*) AS n FROM master GROUP BY state) m ON l.state = m.state"
+    ),
+    "scan_require_timestamp": with_layouts("SELECT state, header, skipped_reason FROM report"),
+    "lookup_col_map": with_layouts("SELECT state, header, position, normalized, standard FROM renamed"),
+    "lookup_col_lists": with_layouts("SELECT DISTINCT state, standard AS canonical, normalized AS raw FROM renamed WHERE standard IS NOT NULL"),
+    "std_normalize_names": with_layouts("SELECT state, header, position, raw, normalized FROM named"),
+    "std_rename_columns": with_layouts("SELECT state, header, position, normalized, renamed FROM renamed"),
+    "std_prune_columns": with_layouts("SELECT state, header, position, renamed FROM kept"),
+    "std_required_columns": with_layouts("SELECT state, header, missing, skipped_reason FROM report"),
+    "set_missing_columns": with_layouts("SELECT state, header, missing_column FROM missing"),
+})

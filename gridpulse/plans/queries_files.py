@@ -1,22 +1,23 @@
 """Registered queries over file inputs (feeds, mapping files, reference CSVs).
 
 The files are written by Spark from the driver tables (``sources.fixtures``)
-into the shared scratch folder; these queries get a rows-only check from
-the driver and are covered by unit tests on temporary files.
+into the shared scratch folder, in two deliveries; the landing takes them up
+one after the other.  The oracle rebuilds their rows from ``events``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.operators import mapping, quality
+from gridpulse.operators import header_plan, quality
 from gridpulse.operators import standardize as std
 from gridpulse.plans.catalog import query
 from gridpulse.sources import feeds, lookups
-from gridpulse.sources.fixtures import ensure_fixture
-
-# fixed values: target day for the utilization report and the recent slice
-TARGET_DAY = "2024-01-15"
+from gridpulse.sources.fixtures import ensure_fixture, first_delivery
+from gridpulse.sources.landing import Landing, file_counters
 
 
 def _maps(spark, paths):
@@ -29,33 +30,51 @@ def _feeds(spark, sf, drop_null_provider=True):
     return paths, df, groups
 
 
+def _landed(spark, sf):
+    """The landing of the feeds, up to date: one run for each delivery the first time, only a listing later on."""
+    paths = ensure_fixture(spark, sf)
+    maps = _maps(spark, paths)
+    landing = Landing(spark, paths.landing)
+    if landing.files() is None:
+        landing.land(paths.feeds, maps, until=first_delivery(spark, paths))
+    landing.land(paths.feeds, maps)
+    return paths, landing, maps
+
+
+def _layout(uri) -> F.Column:
+    return F.regexp_extract(uri, r"/([^/]+)_per_county/", 1)
+
+
 # -------------------------------------------------------------------- scans --
 @query("scan_file_manifest")
 def q_manifest(spark, sf):
-    paths = ensure_fixture(spark, sf)
-    return feeds.file_manifest(spark, paths.feeds)
+    """The feed files by state, layout and what the second delivery changed, with their records."""
+    files = _landed(spark, sf)[1].files()
+    return files.groupBy("state", _layout("uri").alias("layout"), "change").agg(F.sum(F.col("n_lines") - 1).alias("n_records"))
 
 
 @query("scan_stale_filter")
 def q_stale(spark, sf):
-    paths = ensure_fixture(spark, sf)
-    m = feeds.file_manifest(spark, paths.feeds).where("is_feed")
-    newest = m.agg(F.max("modified").alias("at")).first()["at"]
-    return feeds.stale_filter(m, newest, 2)
+    """Records of the files that are not stale two days after the first delivery."""
+    paths, landing, _ = _landed(spark, sf)
+    as_of = first_delivery(spark, paths) + dt.timedelta(days=2, microseconds=1)
+    fresh = feeds.stale_filter(landing.files(), as_of, 2)
+    return fresh.groupBy("state", _layout("uri").alias("layout")).agg(F.sum(F.col("n_lines") - 1).alias("n_records"))
 
 
 @query("scan_csv_dynamic")
 def q_csv_dynamic(spark, sf):
     paths = ensure_fixture(spark, sf)
-    groups = [g for g in feeds.header_groups(
-        feeds.file_headers(spark, paths.feeds),
-        feeds.file_manifest(spark, paths.feeds), _maps(spark, paths)) if g.skipped_reason is None]
+    manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
+    groups = feeds.header_groups(feeds.profile_files(spark, paths.feeds), manifest, _maps(spark, paths))
     out = None
-    for i, g in enumerate(groups):
+    for g in groups:
+        if g.skipped_reason is not None:
+            continue
         part = feeds.read_group(spark, g).groupBy("state").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
             "header", F.lit(",".join(g.header)))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.groupBy("state", "header").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("scan_union_by_name")
@@ -63,10 +82,16 @@ def q_union(spark, sf):
     return _feeds(spark, sf)[1].drop("source_file", "row_id")
 
 
+def _layouts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The layouts of all feed files, and the column map."""
+    paths, landing, _ = _landed(spark, sf)
+    return header_plan.layouts(landing.files()), lookups.read_col_map(spark, paths.mappings)
+
+
 @query("scan_require_timestamp")
 def q_require_ts(spark, sf):
-    _, _, groups = _feeds(spark, sf)
-    return feeds.group_report(spark, groups)
+    """Every layout and why it is not read (null if it is)."""
+    return header_plan.layout_report(*_layouts(spark, sf)).select("state", "header", "skipped_reason")
 
 
 @query("scan_null_literals")
@@ -79,8 +104,7 @@ def q_null_literals(spark, sf):
 @query("scan_source_lineage")
 def q_lineage(spark, sf):
     df = _feeds(spark, sf)[1]
-    layout = F.regexp_extract("source_file", r"/([^/]+)_per_county/", 1)
-    return df.groupBy("state", layout.alias("layout")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return df.groupBy("state", _layout("source_file").alias("layout")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("scan_provider_key")
@@ -98,26 +122,20 @@ def q_full_history(spark, sf):
 
 @query("scan_recent_slice")
 def q_recent_slice(spark, sf):
-    from gridpulse.sinks.tables import land_bronze, read_bronze
-
-    paths, df, _ = _feeds(spark, sf)
-    bronze = f"{paths.root}/bronze"
-    land_bronze(df, bronze)
-    return read_bronze(spark, bronze, days=[TARGET_DAY])
+    """The rows of the last two days, from their partitions alone."""
+    _, landing, maps = _landed(spark, sf)
+    return landing.read(maps, days=landing.recent_days(2)).drop("source_file", "row_id")
 
 
 # ------------------------------------------------------------------ lookups --
 @query("lookup_col_map")
 def q_lookup_col_map(spark, sf):
-    """The column map as applied: every header column of every feed file
-    with its canonical target (NULL when unmapped)."""
-    paths = ensure_fixture(spark, sf)
-    manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
-    heads = feeds.file_headers(spark, paths.feeds).join(manifest.select("uri", "state"), "uri")
-    cols = heads.select("state", "uri", F.posexplode(mapping.header_names("header")).alias("position", "raw_name"))
-    cm = lookups.read_col_map(spark, paths.mappings).drop("line_no")
-    applied = cols.withColumn("raw", F.lower(F.trim("raw_name"))).join(cm, ["state", "raw"], "left")
-    return applied.groupBy("state", "position", "raw", "standard").agg((F.count(F.lit(1)) > 0).alias("seen"))
+    """The column map as applied: every column of every layout with its
+    canonical target (NULL when unmapped)."""
+    found, col_map = _layouts(spark, sf)
+    columns = header_plan.normalized_columns(found)
+    target = col_map.select("state", F.col("raw").alias("normalized"), "standard")
+    return columns.join(target, ["state", "normalized"], "left").select("state", "header", "position", "normalized", "standard")
 
 
 @query("lookup_col_lists")
@@ -156,80 +174,69 @@ def q_lookup_fips(spark, sf):
     return prepare_fips(lookups.read_fips(spark, ensure_fixture(spark, sf).fips))
 
 
+def _settings(spark, paths, states):
+    return lookups.settings_table(spark, states, overrides=lookups.read_settings(spark, paths.settings))
+
+
 @query("lookup_settings")
 def q_lookup_settings(spark, sf):
-    """Retrieval settings as used: one row per feed file with its state's
-    merged settings and whether the file is above the partial-read size."""
-    paths = ensure_fixture(spark, sf)
-    manifest = feeds.file_manifest(spark, paths.feeds).where("is_feed")
-    settings = lookups.settings_table(spark, manifest.select("state"))
-    return manifest.join(settings, "state", "left").withColumn(
-        "above_threshold", F.col("use_optimization") & (F.col("bytes") > F.col("threshold_bytes")))
+    """Retrieval settings as used: defaults under the overrides of the
+    settings file, with every state's feed bytes and whether they are above
+    the partial-read size."""
+    paths, landing, _ = _landed(spark, sf)
+    sizes = landing.files().groupBy("state").agg(F.sum("data_bytes").alias("data_bytes"))
+    joined = sizes.join(_settings(spark, paths, sizes), "state", "left")
+    return joined.withColumn("above_threshold", F.col("use_optimization") & (F.col("data_bytes") > F.col("threshold_bytes")))
 
 
 # ------------------------------------------------------ file aggregations --
 @query("agg_file_utilization")
 def q_file_utilization(spark, sf):
-    paths, df, _ = _feeds(spark, sf, drop_null_provider=False)
-    parsed = std.parse_types(df) if "timestamp" in df.columns else df
-    manifest = feeds.file_manifest(spark, paths.feeds)
-    settings = lookups.settings_table(spark, manifest.select("state"))
-    return quality.file_utilization(parsed, manifest, settings, TARGET_DAY)
+    """Share of the newest day in the rows of every layout, from the
+    landing's counters; no feed file is opened."""
+    paths, landing, _ = _landed(spark, sf)
+    counters = file_counters(landing).withColumn("layout", _layout("source_file"))
+    settings = _settings(spark, paths, counters)
+    return quality.file_utilization(counters, settings, landing.recent_days(1)[0], by=("state", "layout"), size="data_bytes")
 
 
 @query("agg_bytes_summary")
 def q_bytes_summary(spark, sf):
-    paths = ensure_fixture(spark, sf)
-    manifest = feeds.file_manifest(spark, paths.feeds)
-    return feeds.bytes_summary(manifest, manifest.agg(F.max("modified").alias("at")).first()["at"], 2)
+    """Bytes of records available and read two days after the first
+    delivery, from the landing's counters."""
+    paths, landing, _ = _landed(spark, sf)
+    as_of = first_delivery(spark, paths) + dt.timedelta(days=2, microseconds=1)
+    files = landing.files().withColumns({"bytes": F.col("data_bytes"), "is_feed": F.lit(True)})
+    return feeds.bytes_summary(files, as_of, 2).drop("files_available", "files_read")
 
 
 @query("agg_distinct_columns")
 def q_distinct_columns(spark, sf):
-    paths = ensure_fixture(spark, sf)
-    manifest = feeds.file_manifest(spark, paths.feeds).select("uri", "state")
-    return mapping.distinct_columns(feeds.file_headers(spark, paths.feeds).join(manifest, "uri"))
+    columns = header_plan.normalized_columns(_layouts(spark, sf)[0])
+    return columns.select("state", F.col("normalized").alias("column_name")).distinct()
 
 
 # ---------------------------------------------------------- header plans --
-def _plan_rows(spark, sf):
-    _, _, groups = _feeds(spark, sf)
-    rows = []
-    for gi, g in enumerate(groups):
-        plan = g.plan or std.plan_header(g.header, {})
-        kept = {i for pos in plan.sources.values() for i in pos}
-        for i, raw in enumerate(g.header):
-            rows.append((g.state, gi, i, raw, plan.normalized[i], plan.renamed[i], i in kept,
-                         ",".join(plan.missing), g.skipped_reason))
-    return spark.createDataFrame(
-        rows,
-        "state string, group_id int, position int, raw string, normalized string, renamed string, "
-        "kept boolean, missing string, skipped_reason string",
-    )
-
-
 @query("std_normalize_names")
 def q_normalize_names(spark, sf):
-    return _plan_rows(spark, sf).select("state", "group_id", "position", "raw", "normalized")
+    return header_plan.normalized_columns(_layouts(spark, sf)[0])
 
 
 @query("std_rename_columns")
 def q_rename_columns(spark, sf):
-    return _plan_rows(spark, sf).select("state", "group_id", "position", "normalized", "renamed")
+    return header_plan.renamed_columns(*_layouts(spark, sf)).drop("raw")
 
 
 @query("std_prune_columns")
 def q_prune_columns(spark, sf):
-    return _plan_rows(spark, sf).where("kept").select("state", "group_id", "position", "renamed")
+    return header_plan.kept_columns(*_layouts(spark, sf)).select("state", "header", "position", "renamed")
 
 
 @query("std_required_columns")
 def q_required_columns(spark, sf):
-    return _plan_rows(spark, sf).select("state", "group_id", "missing", "skipped_reason").distinct()
+    return header_plan.layout_report(*_layouts(spark, sf)).select("state", "header", "missing", "skipped_reason")
 
 
 @query("set_missing_columns")
 def q_missing_columns(spark, sf):
-    p = _plan_rows(spark, sf).select("state", "group_id", "missing").distinct()
-    return p.select("state", "group_id", F.explode(F.split("missing", ",")).alias("missing_column")).where(
-        F.col("missing_column") != "")
+    return header_plan.missing_columns(*_layouts(spark, sf))

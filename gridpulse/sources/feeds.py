@@ -1,17 +1,19 @@
 """Provider feed files: manifest, headers, per-header-group CSV reads.
 
 Layout: ``<root>/<state>/.../<name>.csv``; a file is a feed when its path
-matches ``per_?count(y|ies)?`` (any case) and ends in ``.csv``.  Files with
+matches ``per[_]?count(y|ies)?`` (any case) and ends in ``.csv``.  Files with
 different headers cannot share one CSV read (columns would be assigned by
 position across layouts), so the files are grouped by header text and each
 group is read with positional all-string columns, projected onto the
-canonical columns, and the groups are unioned by name.
+canonical columns, and the groups are unioned by name.  A profile of each
+file tells its header and whether its records may run over several lines;
+only such files are read whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from gridpulse.constants import (
 )
 from gridpulse.functions.text import null_if_literal
 from gridpulse.operators.standardize import ColumnPlan, coalesce_duplicates, plan_header
+from gridpulse.session import maybe_broadcast
 
 
 # ----------------------------------------------------------------- manifest --
@@ -65,10 +68,11 @@ def _escape(text: str) -> str:
 
 
 def stale_filter(manifest: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
-    """scan_stale_filter: keep feeds modified within ``stale_days`` of
-    ``as_of`` (a timestamp value or column); older ones are skipped."""
+    """scan_stale_filter: keep feeds modified within ``stale_days`` (a number
+    or column) of ``as_of`` (a timestamp value or column); older ones are skipped."""
     as_of = as_of if hasattr(as_of, "cast") else F.lit(as_of)
-    cutoff = as_of.cast("timestamp") - F.make_dt_interval(F.lit(stale_days))
+    stale_days = stale_days if hasattr(stale_days, "cast") else F.lit(stale_days)
+    cutoff = as_of.cast("timestamp") - F.make_dt_interval(stale_days)
     return manifest.where(F.col("modified") >= cutoff)
 
 
@@ -91,13 +95,19 @@ def bytes_summary(manifest: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
     )
 
 
-# ------------------------------------------------------------------ headers --
-def file_headers(spark: SparkSession, files: str | Sequence[str]) -> DataFrame:
-    """(uri, header): the first line of each file, whole, however long.
+# ------------------------------------------------------------------ profiles --
+def profile_files(spark: SparkSession, files: str | Sequence[str]) -> DataFrame:
+    """(uri, header, n_lines, n_odd, data_bytes), one row per file that has a
+    line, from one pass over the files in splits.
+
+    ``header`` is the first line, whole, however long.  ``n_odd`` counts the
+    lines with an odd number of quotes: a quoted field that holds a line
+    break makes at least one (its first line ends inside quotes), so a file
+    without any has one record per line and can be read in splits.
+    ``data_bytes`` is the size of the lines behind the header.
 
     ``files``: a root folder (its feed files, found recursively) or a list of
-    paths.  Spark's text reader opens them, on any file system it knows; only
-    the split at byte 0 of a file counts, and in it the earliest line.  A
+    paths.  Spark's text reader opens them, on any file system it knows; a
     file that cannot be opened fails the job.  ``uri`` is the file's name as
     ``_metadata.file_path`` has it (escaped), the same as the lineage column.
     """
@@ -108,11 +118,36 @@ def file_headers(spark: SparkSession, files: str | Sequence[str]) -> DataFrame:
     elif files:
         text = spark.read.text(list(files))
     else:
-        return spark.createDataFrame([], "uri string, header string")
+        return spark.createDataFrame([], PROFILE)
     lines = text.select("value", name.alias("uri"), F.col("_metadata.file_block_start").alias("start"))
-    first = lines.where(F.col("start") == 0).withColumn("_pos", F.monotonically_increasing_id())
-    header = F.regexp_replace(F.min_by("value", "_pos"), "^\ufeff", "")
-    return first.groupBy("uri").agg(header.alias("header"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # Only lines of a file's first split can be its header.  The groups are found by a number, whose
+    # sort is cheap; the header is the only text that a group carries on.
+    in_first = F.col("start") == 0
+    lines = lines.select(
+        F.xxhash64("uri").alias("id"), "uri", F.when(in_first, F.col("value")).alias("text"),
+        F.when(in_first, F.monotonically_increasing_id()).alias("place"),
+        (quotes % 2 == 1).alias("odd"), (F.octet_length("value") + 1).alias("size"),
+    )
+    found = lines.groupBy("id").agg(
+        F.min("uri").alias("uri"),
+        F.max("uri").alias("last_uri"),
+        F.min_by("text", "place").alias("header"),
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if("odd").alias("n_odd"),
+        F.sum("size").alias("bytes"),
+    )
+    same = F.when(F.col("uri") != F.col("last_uri"), F.raise_error(F.lit("two file names with one hash"))).otherwise(F.col("uri"))
+    behind = F.col("bytes") - F.octet_length("header") - 1
+    return found.select(same.alias("uri"), F.regexp_replace("header", "^\ufeff", "").alias("header"), "n_lines", "n_odd", behind.alias("data_bytes"))
+
+
+PROFILE = "uri string, header string, n_lines long, n_odd long, data_bytes long"
+
+
+def file_headers(spark: SparkSession, files: str | Sequence[str]) -> DataFrame:
+    """(uri, header): the first line of each file."""
+    return profile_files(spark, files).select("uri", "header")
 
 
 def split_header(line: str) -> list[str]:
@@ -129,6 +164,8 @@ class HeaderGroup:
     paths: list[str]
     plan: ColumnPlan | None
     skipped_reason: str | None = None
+    uris: list[str] = field(default_factory=list)
+    quoted: bool = False  # some lines may go on in the next one
 
 
 def header_groups(
@@ -136,7 +173,9 @@ def header_groups(
     manifest: DataFrame,
     col_maps: Mapping[str, Mapping[str, str]],
 ) -> list[HeaderGroup]:
-    """Group feed files by (state, header); plan each group.
+    """Group feed files by (state, header, quoting); plan each group.
+    ``headers`` are file profiles, or (uri, header) alone: then every file is
+    taken for one whose records may run over several lines.
 
     Collects one row per distinct header and state (layouts are few; the
     file lists are the listing Spark already holds on the driver).  Groups
@@ -144,11 +183,13 @@ def header_groups(
     groups of a state whose files together lack a required column
     (std_required_columns), are kept with a reason and not read.
     """
+    quoted = F.col("n_odd") > 0 if "n_odd" in headers.columns else F.lit(True)
     rows = (
-        headers.join(manifest.select("uri", "path", "state"), "uri")
-        .groupBy("state", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("state", "header")
+        headers.select("uri", "header", quoted.alias("quoted"))
+        .join(manifest.select("uri", "path", "state"), "uri")
+        .groupBy("state", "header", "quoted")
+        .agg(F.sort_array(F.collect_list(F.struct("path", "uri"))).alias("files"))
+        .orderBy("state", "header", "quoted")
         .collect()
     )
     groups = []
@@ -160,7 +201,7 @@ def header_groups(
             reason = "no timestamp column"
         else:
             plan = plan_header(cols, col_maps.get(r.state, {}))
-        groups.append(HeaderGroup(r.state, cols, list(r.paths), plan, reason))
+        groups.append(HeaderGroup(r.state, cols, [f.path for f in r.files], plan, reason, [f.uri for f in r.files], r.quoted))
     # Required columns are checked on the state's union of files, as the
     # source checks its outer-unioned frame: a file lacking a column gets
     # NULLs there; only a state where no file has it is skipped.
@@ -177,16 +218,18 @@ def header_groups(
     return groups
 
 
-def read_group(spark: SparkSession, group: HeaderGroup, impute: bool | None = None) -> DataFrame:
+def read_group(spark: SparkSession, group: HeaderGroup, impute: bool | None = None, states: DataFrame | None = None) -> DataFrame:
     """scan_csv_dynamic for one header group: positional all-string read,
     null literals -> NULL, lineage column, canonical projection.
 
-    Quotes inside a quoted field are doubled, and a quoted field may hold
-    line breaks.  A short record lacks its last fields (NULL); a record with
-    more fields than the header fails the job, naming the file.
+    Quotes inside a quoted field are doubled.  Files whose quoted fields hold
+    line breaks are read whole, one task each; all others in splits.  A short
+    record lacks its last fields (NULL); a record with more fields than the
+    header fails the job, naming the file.
 
     ``impute``: estimate served from ``% out`` for this group's rows (the
-    state has no served column in any file); see ``read_feeds``."""
+    state has no served column in any file); see ``read_feeds``.  ``states``
+    gives the state of every file (uri, state) if there are several."""
     width = len(group.header)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
     df = (
@@ -194,7 +237,7 @@ def read_group(spark: SparkSession, group: HeaderGroup, impute: bool | None = No
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", "true")
+        .option("multiLine", str(group.quoted).lower())
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", "true")
         .csv(group.paths)
@@ -202,13 +245,16 @@ def read_group(spark: SparkSession, group: HeaderGroup, impute: bool | None = No
     too_long = F.raise_error(F.concat(F.lit("record with more fields than the header in "), F.col("_metadata.file_path")))
     df = df.where(F.when(F.col(f"_c{width}").isNotNull(), too_long.cast("boolean")).otherwise(F.lit(True)))
     df = df.select(
-        F.lit(group.state).alias("state"),
         F.col("_metadata.file_path").alias("source_file"),
         *[null_if_literal(F.col(f"_c{i}"), NULL_LITERALS).alias(f"_c{i}") for i in range(len(group.header))],
     )
     # deterministic tie-breaker from the row content (identical rows may
     # swap places without changing any result)
     df = df.withColumn("row_id", F.xxhash64("source_file", *[F.col(f"_c{i}") for i in range(len(group.header))]))
+    if states is None:
+        df = df.withColumn("state", F.lit(group.state))
+    else:
+        df = df.join(maybe_broadcast(states), df["source_file"] == states["uri"]).drop("uri")
     return coalesce_duplicates(df, group.plan, impute=impute)
 
 
@@ -220,22 +266,36 @@ def read_feeds(
     stale_days: int | None = None,
     require_provider: bool = True,
     drop_null_provider: bool = True,
+    settings: DataFrame | None = None,
 ) -> tuple[DataFrame | None, list[HeaderGroup]]:
-    """scan_* chain: manifest -> (stale filter) -> headers -> groups ->
+    """scan_* chain: manifest -> (stale filter) -> profiles -> groups ->
     per-group reads -> unionByName (missing canonical columns NULL).
 
+    A file is stale after ``stale_days``, or after the days of its state in
+    ``settings`` (see ``lookups.settings_table``), counted from ``as_of``.
     Rows without a provider are dropped (scan_provider_key); with
     ``require_provider`` an input where no group has the provider column is
     an error, as in the source.
     """
     manifest = file_manifest(spark, root).where("is_feed")
-    if stale_days is not None and as_of is not None:
+    if settings is not None and as_of is not None:
+        limits = maybe_broadcast(settings.select("state", "stale_threshold_days"))
+        manifest = stale_filter(manifest.join(limits, "state"), as_of, F.col("stale_threshold_days").cast("int"))
+    elif stale_days is not None and as_of is not None:
         manifest = stale_filter(manifest, as_of, stale_days)
-    headers = file_headers(spark, root)
-    groups = header_groups(headers, manifest, col_maps)
+    groups = header_groups(profile_files(spark, root), manifest, col_maps)
     return read_planned(spark, groups, require_provider=require_provider, drop_null_provider=drop_null_provider), groups
 
 
+def served_states(groups: Sequence[HeaderGroup]) -> dict[str, bool]:
+    """Whether any usable file of a state has a served column."""
+    out: dict[str, bool] = {}
+    for g in groups:
+        if g.skipped_reason is None:
+            out[g.state] = out.get(g.state, False) or SERVED in g.plan.sources
+    return out
+
+
 def read_planned(
     spark: SparkSession,
     groups: Sequence[HeaderGroup],
@@ -252,30 +312,27 @@ def read_planned(
     # Files of a state are one outer union in the source: a served column in
     # any file means the column exists (empty) for every provider, and
     # ``% out`` is then not used.  Decide it per state at plan time.
-    has_served = {}
-    for g in usable:
-        has_served[g.state] = has_served.get(g.state, False) or SERVED in g.plan.sources
-    frames = []
+    has_served = served_states(usable)
+    # Groups that are read alike are one read, whatever their states.
+    alike: dict[tuple, list[HeaderGroup]] = {}
     for g in usable:
         if only_paths is not None:
-            paths = [p for p in g.paths if p in only_paths]
-            if not paths:
+            picked = [(p, u) for p, u in zip(g.paths, g.uris, strict=True) if p in only_paths]
+            if not picked:
                 continue
-            g = HeaderGroup(g.state, g.header, paths, g.plan, g.skipped_reason)
-        frames.append(read_group(spark, g, impute=not has_served[g.state]))
+            g = replace(g, paths=[p for p, _ in picked], uris=[u for _, u in picked])
+        sources = tuple((name, tuple(at)) for name, at in g.plan.sources.items())
+        alike.setdefault((tuple(g.header), sources, g.quoted, has_served[g.state]), []).append(g)
+    frames = []
+    for (*_, served), some in alike.items():
+        whole = replace(some[0], paths=[p for g in some for p in g.paths])
+        states = None
+        if len(some) > 1:
+            states = spark.createDataFrame([(u, g.state) for g in some for u in g.uris], "uri string, state string")
+        frames.append(read_group(spark, whole, impute=not served, states=states))
     if not frames:
         return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out.where(F.col("emc").isNotNull()) if drop_null_provider else out
-
-
-def group_report(spark: SparkSession, groups: Sequence[HeaderGroup]) -> DataFrame:
-    """std_required_columns / set_missing_columns as a table: one row per
-    header group with its file count and why it was skipped (if it was)."""
-    rows = [
-        (g.state, ",".join(g.header), len(g.paths), g.skipped_reason, ",".join(g.plan.missing) if g.plan else None)
-        for g in groups
-    ]
-    return spark.createDataFrame(rows, "state string, header string, n_files int, skipped_reason string, missing string")

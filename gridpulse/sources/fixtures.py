@@ -11,7 +11,7 @@ once per scale factor, so the registered file queries grow with the data:
   non-feed ``daily_summary`` folder that the name filter must skip
 * ``mappings/<ST>/{col_map.csv, raw_col_lists.csv, county_map.csv,
   master_county_list.txt, raw_county_list.txt}``
-* ``fips.csv`` and ``served/<ST>_customers_served.csv``
+* ``fips.csv``, ``served/<ST>_customers_served.csv`` and ``settings.csv``
 """
 
 from __future__ import annotations
@@ -19,25 +19,26 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridpulse.operators import header_plan
 from gridpulse.session import scratch_path
-from gridpulse.sources import adapter
+from gridpulse.sources import adapter, feeds
 
 # fixed values: one header layout per provider of the events table
 # (provider -> ordered (header name, source expression key) pairs)
 LAYOUTS = {
-    "click": [("timestamp", "ts_iso"), ("EMC", "emc"), ("name", "county_raw"), ("cust_a", "affected"),
-              ("cust_s", "served"), ("n_out", "affected_dup")],
-    "view": [("timestamp", "ts_frac"), ("EMC", "emc"), ("countyname", "county_raw"),
-             ("customersOutNow", "affected"), ("customersServed", "served")],
-    "purchase": [("timestamp", "ts_us"), ("EMC", "emc"), ("Counties", "county_raw"), ("# Out", "affected"),
-                 ("# Served", "served"), ("% Out", "pct")],
-    "signup": [("timestamp", "ts_iso"), ("EMC", "emc"), ("county", "county_raw"), ("# out", "affected"),
+    "click": [("timestamp", "ts_iso"), ("EMC", "emc"), ("Place", "county_raw"), ("out_now", "affected"),
+              ("meters", "served"), ("out_alt", "affected_dup")],
+    "view": [("timestamp", "ts_frac"), ("EMC", "emc"), ("Place_Name", "county_raw"),
+             ("OutCount", "affected"), ("MeterCount", "served")],
+    "purchase": [("timestamp", "ts_us"), ("EMC", "emc"), ("Area", "county_raw"), ("Out Total", "affected"),
+                 ("Meter Total", "served"), ("% Out", "pct")],
+    "signup": [("timestamp", "ts_iso"), ("EMC", "emc"), ("county", "county_raw"), ("out", "affected"),
                ("% out", "pct")],
-    "error": [("last updated", "ts_iso"), ("EMC", "emc"), ("location", "county_raw"),
-              ("customers out", "affected")],
+    "error": [("updated", "ts_iso"), ("EMC", "emc"), ("zone", "county_raw"),
+              ("people out", "affected")],
 }
 
 # Event types beyond these are one more provider feed, laid out like ``OTHER_LIKE``.
@@ -45,12 +46,12 @@ OTHER, OTHER_LIKE = "other", "click"
 
 # fixed values: the column map every state uses for these layouts
 COL_MAP_ROWS = [
-    ("name", "county"), ("countyname", "county"), ("counties", "county"), ("county", "county"),
-    ("location", "county"), ("cust_a", "per_outage_customers_affected"),
-    ("n_out", "per_outage_customers_affected"), ("customersoutnow", "per_outage_customers_affected"),
-    ("# out", "per_outage_customers_affected"), ("customers out", "per_outage_customers_affected"),
-    ("cust_s", "customers_served"), ("customersserved", "customers_served"),
-    ("# served", "customers_served"), ("timestamp", "timestamp"), ("last updated", "timestamp"),
+    ("place", "county"), ("place_name", "county"), ("area", "county"), ("county", "county"), ("zone", "county"),
+    ("out_now", "per_outage_customers_affected"), ("out_alt", "per_outage_customers_affected"),
+    ("outcount", "per_outage_customers_affected"), ("out total", "per_outage_customers_affected"),
+    ("out", "per_outage_customers_affected"), ("people out", "per_outage_customers_affected"),
+    ("meters", "customers_served"), ("metercount", "customers_served"), ("meter total", "customers_served"),
+    ("timestamp", "timestamp"), ("updated", "timestamp"),
 ]
 
 
@@ -61,6 +62,8 @@ class FixturePaths:
     mappings: str
     fips: str
     served: str
+    settings: str
+    landing: str
 
 
 def _tag(spark: SparkSession, sf_dir: str) -> str:
@@ -69,12 +72,17 @@ def _tag(spark: SparkSession, sf_dir: str) -> str:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tables)
     seen = files.select("path", "length", "modificationTime").collect()
     # the suffix versions the fixture layout: a changed generator writes anew
-    return hashlib.sha1(repr(sorted(map(tuple, seen))).encode()).hexdigest()[:16] + "-v3"
+    return hashlib.sha1(repr(sorted(map(tuple, seen))).encode()).hexdigest()[:16] + "-v4"
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str) -> FixturePaths:
     root = scratch_path(spark, "fixtures", _tag(spark, sf_dir))
-    return FixturePaths(root, f"{root}/feeds", f"{root}/mappings", f"{root}/fips.csv", f"{root}/served")
+    return FixturePaths(root, f"{root}/feeds", f"{root}/mappings", f"{root}/fips.csv", f"{root}/served", f"{root}/settings.csv", f"{root}/landing")
+
+
+def first_delivery(spark: SparkSession, paths: FixturePaths):
+    """When the last feed file of the first delivery had been written."""
+    return spark.read.parquet(f"{paths.root}/deliveries").first().until
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -124,27 +132,39 @@ def ensure_fixture(spark: SparkSession, sf_dir: str) -> FixturePaths:
 
     Everything is written by Spark, on any file system it knows; names like
     ``col_map.csv`` are folders of part files, which readers take as one file.
+    The feeds arrive in two deliveries: all days but the last one, then the
+    last day in further files.
     """
     paths = fixture_paths(spark, sf_dir)
     if _complete(spark, paths.fips):
         return paths
-    cols = _feed_columns(adapter.read_table(spark, sf_dir, "events"))
+    events = adapter.read_table(spark, sf_dir, "events")
+    last = events.agg(F.max(F.col("ts").cast("date"))).first()[0]
+    on_last = F.coalesce(F.col("ts").cast("date") == F.lit(last), F.lit(False))
+    _write_feeds(_feed_columns(events.where(~on_last)), paths, "overwrite")
+    until = feeds.file_manifest(spark, paths.feeds).agg(F.max("modified").alias("until"))
+    until.write.mode("overwrite").parquet(f"{paths.root}/deliveries")
+    _write_feeds(_feed_columns(events.where(on_last)), paths, "append")
+    cols = _feed_columns(events)
+    # a non-feed file per state (must be skipped by the name filter)
+    summary = cols.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    summary.write.mode("overwrite").option("header", "true").partitionBy("state").csv(f"{paths.feeds}/daily_summary")
+    _write_mappings(spark, sf_dir, paths)
+    return paths
+
+
+def _write_feeds(cols: DataFrame, paths: FixturePaths, mode: str) -> None:
     known = F.col("provider").isin(list(LAYOUTS))
     for name, layout in [*LAYOUTS.items(), (OTHER, LAYOUTS[OTHER_LIKE])]:
         rows = cols.where(~known if name == OTHER else F.col("provider") == name)
         (
             rows.select("state", *[F.col(src).alias(column) for column, src in layout])
             .hint("rebalance", "state")
-            .write.mode("overwrite")
+            .write.mode(mode)
             .option("header", "true")
             .partitionBy("state")
             .csv(f"{paths.feeds}/{name}_per_county")
         )
-    # a non-feed file per state (must be skipped by the name filter)
-    summary = cols.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-    summary.write.mode("overwrite").option("header", "true").partitionBy("state").csv(f"{paths.feeds}/daily_summary")
-    _write_mappings(spark, sf_dir, paths)
-    return paths
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
@@ -162,16 +182,21 @@ def _write_mappings(spark: SparkSession, sf_dir: str, paths: FixturePaths) -> No
         .distinct()
     )
     col_map = spark.createDataFrame(COL_MAP_ROWS, "raw string, standard string")
-    lists = spark.createDataFrame(
-        [("name", "cust_s", "cust_a", "timestamp"), ("countyname", "customersserved", "customersoutnow", None),
-         ("counties", "# served", "# out", None), ("county", None, "n_out", None)],
-        "county string, customers_served string, per_outage_customers_affected string, timestamp string",
-    )
+    # the column lists of the headers that the feeds have, one column per canonical name
+    heads = feeds.file_headers(spark, paths.feeds).join(feeds.file_manifest(spark, paths.feeds).select("uri", "state"), "uri")
+    named = header_plan.normalized_columns(header_plan.layouts(heads)).select("state", F.col("normalized").alias("raw")).distinct()
+    listed = named.join(col_map, "raw").withColumn("place", F.row_number().over(Window.partitionBy("state", "standard").orderBy("raw")))
+    names = sorted({standard for _, standard in COL_MAP_ROWS})
+    lists = listed.groupBy("state", "place").pivot("standard", names).agg(F.first("raw")).orderBy("state", "place")
+    counties = m.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    values = {"tail_bytes": (F.col("n") * 1000).cast("string"), "threshold_bytes": (F.col("n") * 100).cast("string"), "utilization_log_low": F.lit("0.02")}
+    settings = F.explode(F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value)])).alias("setting", "value")
+    _write_csv(counties.where("state = 's1'").select("state", settings), paths.settings)
     for st in states:
         base = f"{paths.mappings}/{st.upper()}"
         own = F.col("state") == st
         _write_csv(col_map, f"{base}/col_map.csv")
-        _write_csv(lists, f"{base}/raw_col_lists.csv")
+        _write_csv(lists.where(own).select(*names).coalesce(1), f"{base}/raw_col_lists.csv")
         _write_csv(cm.where(own).select("raw", "standard", F.lit(100.0).alias("score")), f"{base}/county_map.csv")
         shown = F.concat(F.upper(F.substring("county", 1, 1)), F.substring("county", 2, 10), F.lit(" County"))
         m.where(own).select(shown.alias("value")).write.mode("overwrite").text(f"{base}/master_county_list.txt")

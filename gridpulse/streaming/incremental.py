@@ -1,17 +1,11 @@
 """Incremental daily run as a Structured Streaming query.
 
-The source handles late data only by re-running a day and replacing it.
-Here a file stream over the feed folder drives exactly that: every
-micro-batch takes the feed files that arrived since the last batch, lands
-their rows in bronze (partitioned by state, day and batch, so a retried
-batch overwrites its own partitions: idempotent), and re-runs the daily
-plan for the (state, day) pairs those rows touch, replacing them in the
-silver/gold/history/dashboard tables.  Progress (which files were seen)
-lives in the stream checkpoint under the shared checkpoint folder.
-
-Feeds that providers rewrite in place are not new files to a file stream;
-for those the batch ``job_daily`` with a ``modifiedAfter``-style manifest
-filter is the tool.
+A file stream over the feed folder is the trigger: every micro-batch with
+new files brings the landing up to date (see ``Landing``: it finds new, grown
+and removed files itself and commits once) and replaces the results of the
+days that the landing has written anew since the results were last brought up
+to date.  That state is a commit of its own beside the results, so a batch
+that fails in between is made good by the next one.
 """
 
 from __future__ import annotations
@@ -19,57 +13,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.constants import FEED_NAME_PATTERN, FEED_SUFFIX_PATTERN
-from gridpulse.functions.time import parse_timestamp
 from gridpulse.operators.standardize import standardize
 from gridpulse.plans.jobs import Inputs, finish_from_reports
-from gridpulse.session import scratch_path
-from gridpulse.sources import feeds, lookups
-
+from gridpulse.session import maybe_broadcast, scratch_path
+from gridpulse.sinks.commits import Commits
+from gridpulse.sources import lookups
+from gridpulse.sources.landing import Landing
 
-def _land(raw: DataFrame, bronze: str, epoch_id: int) -> None:
-    df = raw.withColumn("report_date", F.to_date(parse_timestamp(F.col("timestamp")))).where(
-        F.col("report_date").isNotNull()
-    ).withColumn("epoch", F.lit(int(epoch_id)))
-    (
-        df.sortWithinPartitions("state", "report_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("state", "report_date", "epoch")
-        .parquet(bronze)
-    )
 
-
-def process_batch(spark: SparkSession, inp: Inputs, out_root: str, new_files: DataFrame, epoch_id: int) -> DataFrame | None:
-    """One micro-batch: land new feed files, re-run the days they touch.
-    Returns the touched (state, report_date) pairs."""
-    feeds_only = new_files.where(F.col("path").rlike(FEED_SUFFIX_PATTERN) & F.col("path").rlike(FEED_NAME_PATTERN))
-    new_paths = {r.path for r in feeds_only.select("path").distinct().collect()}   # this batch's file names
-    if not new_paths:
-        return None
-    header_cache = f"{out_root}/_headers"
-    heads = feeds.file_headers(spark, sorted(new_paths)).withColumn("epoch", F.lit(int(epoch_id)))
-    heads.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(header_cache)
-    all_heads = spark.read.parquet(header_cache).groupBy("uri").agg(F.max_by("header", "epoch").alias("header"))
-    manifest = feeds.file_manifest(spark, inp.feeds_root).where("is_feed")
+def run_batch(spark: SparkSession, inp: Inputs, out_root: str) -> DataFrame:
+    """Land what has changed and replace the results of the touched days;
+    returns their (state, report_date) pairs."""
+    if not inp.landing:
+        raise ValueError("an incremental run needs a landing store")
     col_maps = lookups.col_map_dict(lookups.read_col_map(spark, inp.mapping_root))
-    groups = feeds.header_groups(all_heads, manifest, col_maps)
-    raw = feeds.read_planned(spark, groups, only_paths=new_paths)
-    if raw is None:
-        return None
-    bronze = f"{out_root}/bronze"
-    _land(raw, bronze, epoch_id)
-    landed = spark.read.parquet(bronze)
-    touched = landed.where(F.col("epoch") == int(epoch_id)).select("state", "report_date").distinct()
-    touched = spark.createDataFrame(touched.collect(), "state string, report_date date")  # a few (state, day) pairs
-    rows = landed.join(F.broadcast(touched), ["state", "report_date"], "left_semi").drop("epoch", "report_date")
-    std = standardize(rows, lookups.read_county_map(spark, inp.mapping_root), run_keys=touched)
+    landing = Landing(spark, inp.landing)
+    landing.land(inp.feeds_root, col_maps)
+    number, run = landing.commits.last()
+    applied = Commits(spark, f"{out_root}/_applied")
+    touched = landing.touched_since(applied.last()[0])
+    days = touched.select("state", F.col("day").try_cast("date").alias("report_date")).where("report_date is not null")
+    if applied.last()[0] == number:
+        return days
+    rows = landing.read(col_maps).join(maybe_broadcast(days), ["state", "report_date"], "left_semi").drop("report_date")
+    std = standardize(rows, lookups.read_county_map(spark, inp.mapping_root), run_keys=days)
     served = lookups.read_served_history(spark, inp.served_pattern) if inp.served_pattern else None
     finish_from_reports(
-        spark, std, touched, lookups.read_master_counties(spark, inp.mapping_root), served,
+        spark, std, days, lookups.read_master_counties(spark, inp.mapping_root), served,
         lookups.read_fips(spark, inp.fips_path), out_root,
     )
-    return touched
+    applied.add(run)
+    return days
 
 
 def run_incremental(
@@ -89,9 +63,7 @@ def run_incremental(
         .load(inp.feeds_root)
         .select("path", "modificationTime")     # content is never read
     )
-    writer = files.writeStream.foreachBatch(lambda df, eid: process_batch(spark, inp, out_root, df, eid)).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = files.writeStream.foreachBatch(lambda df, batch: run_batch(spark, inp, out_root)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
     query = writer.start()
     if available_now:

@@ -18,7 +18,7 @@ def test_incremental_reruns_touched_days(spark, tmpdir_path):
     _write(f"{maps}/GA/county_map.csv", "raw,standard,score\nfulton,fulton,100\ncobb,cobb,100\n")
     _write(f"{maps}/GA/master_county_list.txt", "Fulton County\nCobb County\n")
     _write(f"{root}/fips.csv", "state_abbr,state_name,county_name,fips\nGA,georgia,fulton,13121\nGA,georgia,cobb,13067\n")
-    inp = Inputs(feeds_root, maps, f"{root}/fips.csv")
+    inp = Inputs(feeds_root, maps, f"{root}/fips.csv", landing=f"{root}/landing")
     _write(f"{feeds_root}/ga/a1_per_county.csv",
            "timestamp,EMC,name,n_out,cust_s\n2025-05-01 10:00:00,e1,Fulton,10,100\n")
     ckpt = f"{root}/ckpt"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,9 +82,21 @@ def spine_metrics(
         ratio("sum_middle").alias("middle_saifi"),
         ratio("sum_upper").alias("upper_saifi"),
         has.alias("has_events"),
+        "sum_affected",
+        "max_served",
     )
 
 
+def with_scenarios(all_metrics: DataFrame, scenarios: Mapping[str, float]) -> DataFrame:
+    """Every row of ``spine_metrics`` once per scenario (name -> hours that a
+    report stands for), with the scenario's SAIDI.  The scenarios come after
+    the reports are summed up, so any number of them is one pass over the reports."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(float(h)).alias("hours")) for n, h in scenarios.items()]))
+    rows = all_metrics.select("*", each.alias("s"))
+    saidi = F.when(F.col("has_events"), F.try_divide(F.col("sum_affected") * F.col("s.hours"), F.col("max_served")))
+    return rows.select(*KEY, F.col("s.scenario").alias("scenario"), saidi.alias("saidi"), *METRIC_COLUMNS[1:])
+
+
 def metrics_from_events(
     events: DataFrame,
     spine: DataFrame,

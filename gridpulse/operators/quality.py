@@ -86,28 +86,32 @@ def values_match(a, b, tol: float = COMPARE_TOLERANCE) -> F.Column:
     )
 
 
-def compare_results(
-    baseline: DataFrame,
-    candidate: DataFrame,
-    keys: Sequence[str] = ("County",),
-    columns: Sequence[str] = ("SAIDI", "SAIFI", "LOWER_SAIFI", "UPPER_SAIFI"),
-    tol: float = COMPARE_TOLERANCE,
-    how: str = "inner",
-) -> DataFrame:
-    """qa_compare_tolerance: long list (keys, Column, Baseline, Optimized) of
-    mismatching values.  ``how='inner'`` mirrors the source (counties on one
-    side only are not reported); ``how='full'`` also reports them, with the
-    missing side NULL.  Columns absent on either side are skipped."""
+def pair_results(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """join_compare: rows of both results side by side: keys, ``<column>__b``
+    and ``<column>__o`` as text, and whether each side has the row."""
     keys = list(keys)
-    cols = [c for c in columns if c in baseline.columns and c in candidate.columns]
-    b = baseline.select(*keys, *[F.col(c).cast("string").alias(f"{c}__b") for c in cols]).withColumn("_in_b", F.lit(True))
-    o = candidate.select(*keys, *[F.col(c).cast("string").alias(f"{c}__o") for c in cols]).withColumn("_in_o", F.lit(True))
-    j = b.join(o, keys, "inner" if how == "inner" else "full")
-    stacked = j.select(
+    b = baseline.select(*keys, *[F.col(c).cast("string").alias(f"{c}__b") for c in columns]).withColumn("_in_b", F.lit(True))
+    o = candidate.select(*keys, *[F.col(c).cast("string").alias(f"{c}__o") for c in columns]).withColumn("_in_o", F.lit(True))
+    return b.join(o, keys, "inner" if how == "inner" else "full")
+
+
+def pair_scenarios(results: DataFrame, baseline: str, candidate: str, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """join_compare of two scenarios of one result (keys, scenario, columns):
+    both are rows of the same plan, so they meet in a grouping by the keys."""
+    sides = {"b": F.col("scenario") == baseline, "o": F.col("scenario") == candidate}
+    values = [F.max(F.when(is_side, F.col(c).cast("string"))).alias(f"{c}__{side}") for c in columns for side, is_side in sides.items()]
+    found = [F.max(F.when(is_side, F.lit(True))).alias(f"_in_{side}") for side, is_side in sides.items()]
+    return results.groupBy(*keys).agg(*values, *found)
+
+
+def mismatches(paired: DataFrame, keys: Sequence[str], columns: Sequence[str], tol: float = COMPARE_TOLERANCE) -> DataFrame:
+    """qa_compare_tolerance over rows side by side: (keys, Column, Baseline, Optimized) of the values that differ."""
+    keys = list(keys)
+    stacked = paired.select(
         *keys, "_in_b", "_in_o",
         F.explode(F.array(*[
             F.struct(F.lit(c).alias("Column"), F.col(f"{c}__b").alias("Baseline"), F.col(f"{c}__o").alias("Optimized"))
-            for c in cols
+            for c in columns
         ])).alias("_v"),
     ).select(*keys, "_in_b", "_in_o", "_v.*")
     ok = values_match(normalize_for_compare(F.col("Baseline")), normalize_for_compare(F.col("Optimized")), tol)
@@ -115,6 +119,22 @@ def compare_results(
     return stacked.where(~ok).select(*keys, "Column", "Baseline", "Optimized")
 
 
+def compare_results(
+    baseline: DataFrame,
+    candidate: DataFrame,
+    keys: Sequence[str] = ("County",),
+    columns: Sequence[str] = ("SAIDI", "SAIFI", "LOWER_SAIFI", "UPPER_SAIFI"),
+    tol: float = COMPARE_TOLERANCE,
+    how: str = "inner",
+) -> DataFrame:
+    """qa_compare_tolerance of two results: long list (keys, Column, Baseline,
+    Optimized) of mismatching values.  ``how='inner'`` mirrors the source
+    (counties on one side only are not reported); ``how='full'`` also reports
+    them, with the missing side NULL.  Columns absent on either side are skipped."""
+    cols = [c for c in columns if c in baseline.columns and c in candidate.columns]
+    return mismatches(pair_results(baseline, candidate, keys, cols, how), keys, cols, tol)
+
+
 def mapping_coverage(
     raw_counties: DataFrame,
     county_map: DataFrame,

@@ -7,17 +7,19 @@ the source's per-state / per-day Python loops become grouping keys.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.operators import enrich, mapping
-from gridpulse.operators.metrics import format_metrics
+from gridpulse.operators.metrics import METRIC_OUTPUT, format_metrics
+from gridpulse.operators.quality import compare_results
 from gridpulse.operators.standardize import standardize
 from gridpulse.plans.daily import metric_daily
-from gridpulse.sinks.tables import read_partitioned, upsert_history, write_dashboard, write_partitioned
+from gridpulse.session import maybe_broadcast
+from gridpulse.sinks.tables import read_dashboard, read_partitioned, upsert_history, write_dashboard, write_partitioned
 from gridpulse.sources import feeds, lookups
 from gridpulse.sources.landing import Landing
 
@@ -147,10 +149,18 @@ def job_backfill(
     end,
     out_root: str | None = None,
 ) -> JobResult:
-    """job_backfill: every day in [start, end] in one plan.  Days without
-    reports are skipped (no rows, listed in ``skipped``), like the source's
-    loop over empty day slices; the rest is written in one history write
-    that replaces exactly the days present (sink_history_backfill)."""
+    """job_backfill: every day in [start, end].  Days without reports are
+    skipped (no rows, listed in ``skipped``), like the source's loop over
+    empty day slices; the rest is written in history writes that replace
+    exactly the days present (sink_history_backfill).
+
+    With ``out_root`` a ledger beside the history says for every (state, day)
+    whether it is done, empty or has failed, and why.  All days run as one
+    plan; if that fails, its days are halved until the failing ones are found,
+    which are listed while all others are written.  A later call with the same
+    ``out_root`` does what is not done yet: pairs in the ledger that have not
+    failed are left out by an anti-join.
+    """
     raw, groups, county_map, master, fips, served = _inputs(spark, inp)
     if raw is None:
         raise ValueError("no usable feed files")
@@ -158,24 +168,91 @@ def job_backfill(
         "state",
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("report_date"),
     )
-    std = standardize(raw, county_map, date_range=(start, end))
-    std = std.join(F.broadcast(wanted), ["state", "report_date"], "left_semi")
-    if out_root is not None:
+
+    def reports_of(pairs: DataFrame, first, last) -> DataFrame:
+        std = standardize(raw, county_map, date_range=(first, last))
+        return std.join(maybe_broadcast(pairs), ["state", "report_date"], "left_semi")
+
+    if out_root is None:
+        std = reports_of(wanted, start, end)
+        reported = std.select("state", "report_date").distinct()
+        raw_export, display, history = _outputs(metric_daily(std, master, reported, served).metrics, fips)
+        return JobResult(display, raw_export, history, wanted.join(reported, ["state", "report_date"], "left_anti"), None, groups)
+
+    def write(pairs: DataFrame, first, last) -> None:
         silver = f"{out_root}/silver/std_reports"
-        write_partitioned(std, silver, ["state", "report_date"])
-        std = read_partitioned(spark, silver, wanted)
-    reported = std.select("state", "report_date").distinct()
-    skipped = wanted.join(reported, ["state", "report_date"], "left_anti")
-    d = metric_daily(std, master, reported, served)
-    metrics = d.metrics
-    if out_root is not None:
+        write_partitioned(reports_of(pairs, first, last), silver, ["state", "report_date"])
+        std = read_partitioned(spark, silver, pairs)
+        reported = std.select("state", "report_date").distinct()
         gold = f"{out_root}/gold/metrics"
+        metrics = metric_daily(std, master, reported, served).metrics
         write_partitioned(metrics, gold, ["state", "report_date"])
-        metrics = read_partitioned(spark, gold, wanted).select(*d.metrics.columns)
-    raw_export, display, history = _outputs(metrics, fips)
-    if out_root is not None:
-        upsert_history(history, f"{out_root}/history")
-    return JobResult(display, raw_export, history, skipped, None, groups)
+        metrics = read_partitioned(spark, gold, pairs).select(*metrics.columns)
+        upsert_history(_outputs(metrics, fips)[2], f"{out_root}/history")
+        status = F.when(F.col("reported"), "done").otherwise("empty")
+        listed = pairs.join(reported.withColumn("reported", F.lit(True)), ["state", "report_date"], "left")
+        _add_to_ledger(listed.select("state", "report_date", status.alias("status"), F.lit(None).cast("string").alias("error")), out_root)
+
+    done = backfill_ledger(spark, out_root).where("status <> 'failed'").select("state", "report_date")
+    todo = wanted.join(done, ["state", "report_date"], "left_anti")
+    days = sorted(r.report_date for r in todo.select("report_date").distinct().collect())
+    _write_or_halve(days, todo, write, out_root)
+    ledger = backfill_ledger(spark, out_root).join(wanted, ["state", "report_date"], "left_semi")
+    written = ledger.where("status = 'done'").select("state", "report_date")
+    metrics = read_partitioned(spark, f"{out_root}/gold/metrics", written) if not written.isEmpty() else None
+    if metrics is None:
+        empty = metric_daily(reports_of(wanted.limit(0), start, end), master, wanted.limit(0), served).metrics
+        metrics = empty
+    raw_export, display, history = _outputs(metrics.select(*METRIC_OUTPUT), fips)
+    return JobResult(display, raw_export, history, ledger.where("status <> 'done'"), None, groups)
+
+
+def _write_or_halve(days: list, pairs: DataFrame, write: Callable, out_root: str) -> None:
+    """Write the days as one plan; where that fails, in halves, down to single (state, day) pairs."""
+    if not days:
+        return
+    own = pairs.where(F.col("report_date").between(F.lit(days[0]), F.lit(days[-1])))
+    try:
+        write(own, days[0], days[-1])
+        return
+    except Exception as failure:  # whatever it is, the other days go on and the ledger has it
+        if len(days) > 1:
+            half = len(days) // 2
+            for part in (days[:half], days[half:]):
+                _write_or_halve(part, pairs, write, out_root)
+            return
+        states = [r.state for r in own.select("state").distinct().collect()]
+        if len(states) > 1:
+            for state in sorted(states):
+                _write_or_halve(days, own.where(F.col("state") == state), write, out_root)
+            return
+        text = str(failure).splitlines()[0][:500]
+        _add_to_ledger(own.select("state", "report_date", F.lit("failed").alias("status"), F.lit(text).alias("error")), out_root)
+
+
+LEDGER = "state string, report_date date, status string, error string"
+
+
+def _add_to_ledger(rows: DataFrame, out_root: str) -> None:
+    """One more entry of the ledger; written after the output that it speaks of."""
+    rows.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{out_root}/ledger")
+
+
+def backfill_ledger(spark: SparkSession, out_root: str) -> DataFrame:
+    """(state, report_date, status, error): the newest entry of every pair."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_root}/ledger")
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.schema(f"{LEDGER}, at timestamp").parquet(f"{out_root}/ledger")
+    newest = rows.groupBy("state", "report_date").agg(F.max_by(F.struct("status", "error"), "at").alias("x"))
+    return newest.select("state", "report_date", "x.status", "x.error")
+
+
+def job_compare(spark: SparkSession, baseline_root: str, candidate_root: str, how: str = "inner") -> DataFrame:
+    """qa_compare_tolerance of two saved results: the published dashboards
+    under both folders, county by county, day by day."""
+    keys = ("state_code", "Date", "County")
+    return compare_results(read_dashboard(spark, baseline_root), read_dashboard(spark, candidate_root), keys, how=how)
 
 
 def job_mapping_build(spark: SparkSession, feeds_root: str, mapping_root: str, out_root: str | None = None):

@@ -35,7 +35,7 @@ hist AS (
   SELECT 's' || CAST((user_id % 50 + 25) % 2 AS VARCHAR) AS state,
          'c' || CAST(user_id % 50 + 25 AS VARCHAR) AS county,
          CAST(floor(value) AS DOUBLE) + 0.25 AS customers_served
-  FROM events WHERE event_type = 'signup' AND (user_id % 50 + 25) % 3 = 0),
+  FROM events),
 hist_tot AS (
   SELECT state, county, CAST(trunc(sum(customers_served)) AS BIGINT) AS hist_served
   FROM hist GROUP BY state, county),
@@ -243,10 +243,11 @@ feed AS (
               ELSE served_n END AS served_raw,
          CASE event_id % 5 WHEN 0 THEN '0%' WHEN 1 THEN '<' || CAST(event_id % 9 + 1 AS VARCHAR) || '%'
               WHEN 2 THEN NULL ELSE CAST(event_id % 40 + 1 AS VARCHAR) || '.5%' END AS pct_out,
-         CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-              WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-              WHEN 2 THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
-              WHEN 3 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_raw,
+         CASE event_id % 11 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+              WHEN 2 THEN strftime(ts, '%m-%d-%Y %H:%M:%S') WHEN 3 THEN 'not a time' WHEN 4 THEN strftime(ts, '%-m/%-d/%Y %-I:%M %p')
+              WHEN 5 THEN strftime(ts, '%b %-d, %Y %-H:%M') WHEN 6 THEN strftime(ts, '%-m/%-d/%y %H:%M')
+              WHEN 7 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') WHEN 8 THEN strftime(ts, '%Y%m%d %H:%M:%S')
+              WHEN 9 THEN strftime(ts, '%-d %B %Y') ELSE strftime(ts, '%Y-%m-%d') END AS ts_raw,
          CASE event_id % 10 WHEN 7 THEN ' MUNI ' WHEN 8 THEN 'county' END AS key_raw
   FROM raw),
 canon AS (
@@ -272,12 +273,13 @@ def clean(x: str) -> str:
     return f"coalesce(TRY_CAST(regexp_replace(CAST({x} AS VARCHAR), '[\",]', '', 'g') AS DOUBLE), 0.0)"
 
 
+TS_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f", "%m-%d-%Y %H:%M:%S", "%m/%d/%Y %I:%M %p", "%b %d, %Y %H:%M",
+              "%m/%d/%y %H:%M", "%Y/%m/%d %H:%M:%S", "%Y%m%d %H:%M:%S", "%d %B %Y")
+
+
 def parse_ts(x: str) -> str:
     t = f"trim(CAST({x} AS VARCHAR))"
-    return (
-        f"coalesce(try_strptime({t}, '%Y-%m-%d %H:%M:%S'), try_strptime({t}, '%Y-%m-%dT%H:%M:%S.%f'), "
-        f"try_strptime({t}, '%m-%d-%Y %H:%M:%S'), TRY_CAST({t} AS TIMESTAMP))"
-    )
+    return "coalesce(" + ", ".join(f"try_strptime({t}, '{f}')" for f in TS_FORMATS) + f", TRY_CAST({t} AS TIMESTAMP))"
 
 
 def pct_frac(x: str) -> str:
@@ -414,14 +416,18 @@ ORACLE.update({
         "WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.state = c.map_state AND m.county = c.map_std) "
         "UNION ALL SELECT state, 'master_never_hit' AS issue, county AS name FROM master m WHERE NOT EXISTS "
         "(SELECT 1 FROM rcf r JOIN cmap c ON c.map_state = r.state AND c.map_raw = r.raw "
-        "WHERE r.state = m.state AND c.map_std = m.county)"
+        "WHERE r.state = m.state AND c.map_std = m.county) "
+        "UNION ALL SELECT state, 'percent_mapped_to_count' AS issue, raw || ' -> ' || standard AS name FROM ("
+        "SELECT 's' || CAST(k % 2 AS VARCHAR) AS state, CASE k % 3 WHEN 0 THEN '% out ' WHEN 1 THEN 'percent ' ELSE 'out ' END || CAST(k AS VARCHAR) AS raw, "
+        "CASE WHEN k % 2 = 0 THEN 'per_outage_customers_affected' WHEN k % 5 = 0 THEN 'customers_served' ELSE 'county' END AS standard FROM mnum) "
+        "WHERE standard <> 'county' AND (raw LIKE '%|%%' ESCAPE '|' OR raw LIKE 'percent%')"
     ),
     "agg_null_profile": with_extra(
         "SELECT provider, sample_source, \"column\", total_rows, null_count FROM ("
         "SELECT emc AS provider, min(source_file) AS sample_source, count(*) AS total_rows, "
         + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in
                     ("county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw", "key_raw"))
-        + " FROM feed WHERE emc IS NOT NULL GROUP BY emc) "
+        + " FROM feed GROUP BY emc) "
         "UNPIVOT (null_count FOR \"column\" IN (county_a, county_b, affected_raw, served_raw, pct_out, ts_raw, key_raw)) "
         "WHERE null_count > 0"
     ),

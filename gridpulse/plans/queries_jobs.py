@@ -24,13 +24,11 @@ def _raw_counties(spark, sf):
     return mapping.distinct_counties(raw, ["county_a", "county_b"], key_col="key_raw")
 
 
-def _outputs(spark, sf, report_hours=None):
+def _outputs(spark, sf):
     from gridpulse.plans.daily import metric_daily
 
     reports = adapter.outage_reports(spark, sf)
-    kw = {} if report_hours is None else {"report_hours": report_hours}
-    d = metric_daily(reports, adapter.master_counties(spark, sf), adapter.run_keys(reports),
-                     adapter.served_history(spark, sf), **kw)
+    d = metric_daily(reports, adapter.master_counties(spark, sf), adapter.run_keys(reports), adapter.served_history(spark, sf))
     fips = adapter.fips_table(spark, sf)
     display = enrich.final_projection(enrich.join_fips(met_ops.format_metrics(d.metrics), fips))
     raw = enrich.final_projection(enrich.join_fips(d.metrics, fips))
@@ -59,34 +57,46 @@ def q_best_match(spark, sf):
 @query("qa_mapping_coverage")
 def q_mapping_coverage(spark, sf):
     cm = adapter.county_map(spark, sf)
-    return quality.mapping_coverage(_raw_counties(spark, sf), cm, adapter.master_counties(spark, sf))
+    return quality.mapping_coverage(
+        _raw_counties(spark, sf), cm, adapter.master_counties(spark, sf), adapter.column_map(spark, sf))
 
 
 @query("agg_null_profile")
 def q_null_profile(spark, sf):
-    raw = adapter.raw_feed(spark, sf).where(F.col("emc").isNotNull())
     return quality.null_profile(
-        raw, "emc", ["county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw", "key_raw"]
+        adapter.raw_feed(spark, sf), "emc", ["county_a", "county_b", "affected_raw", "served_raw", "pct_out", "ts_raw", "key_raw"]
     )
 
 
 # ---------------------------------------------------------------- comparison --
+COMPARED = {"SAIDI": "saidi", "SAIFI": "middle_saifi", "LOWER_SAIFI": "lower_saifi", "UPPER_SAIFI": "upper_saifi"}
+COMPARE_KEYS = ("state_code", "Date", "County")
+
+
+def _paired(spark, sf):
+    """Display values of a baseline and a candidate run side by side, from one pass over the reports."""
+    from gridpulse.constants import KEY, REPORT_HOURS
+    from gridpulse.functions.text import fn_title
+    from gridpulse.plans.daily import metric_daily
+
+    reports = adapter.outage_reports(spark, sf)
+    d = metric_daily(reports, adapter.master_counties(spark, sf), adapter.run_keys(reports), adapter.served_history(spark, sf))
+    runs = met_ops.with_scenarios(d.all_metrics, {"baseline": REPORT_HOURS, "candidate": CANDIDATE_REPORT_HOURS})
+    shown = met_ops.format_metrics(runs).select(*KEY, "scenario", *[F.col(c).alias(name) for name, c in COMPARED.items()])
+    paired = quality.pair_scenarios(shown, "baseline", "candidate", KEY, list(COMPARED))
+    named = {"state_code": F.col("state"), "Date": F.col("report_date"), "County": fn_title(F.col("county"))}
+    return paired.select(*[c.alias(n) for n, c in named.items()], *[c for c in paired.columns if c not in KEY])
+
+
 @query("join_compare")
 def q_join_compare(spark, sf):
-    base, _ = _outputs(spark, sf)
-    cand, _ = _outputs(spark, sf, CANDIDATE_REPORT_HOURS)
-    keys = ["state_code", "Date", "County"]
-    metrics = ("SAIDI", "LOWER_SAIFI", "SAIFI", "UPPER_SAIFI")
-    b = base.select(*keys, *[F.col(c).alias(f"{c}_base") for c in metrics])
-    o = cand.select(*keys, *[F.col(c).alias(f"{c}_opt") for c in metrics])
-    return b.join(o, keys, "inner")
+    shown = [F.col(f"{c}__{side}").alias(f"{c}_{name}") for c in COMPARED for side, name in (("b", "base"), ("o", "opt"))]
+    return _paired(spark, sf).select(*COMPARE_KEYS, *shown)
 
 
 @query("qa_compare_tolerance")
 def q_compare(spark, sf):
-    base, _ = _outputs(spark, sf)
-    cand, _ = _outputs(spark, sf, CANDIDATE_REPORT_HOURS)
-    return quality.compare_results(base, cand, keys=("state_code", "Date", "County"))
+    return quality.mismatches(_paired(spark, sf), COMPARE_KEYS, list(COMPARED))
 
 
 # ------------------------------------------------------------- set / sinks --
@@ -129,7 +139,7 @@ def q_sink_history(spark, sf):
 # ---------------------------------------------------------------------- jobs --
 def _fixture_inputs(spark, sf):
     p = ensure_fixture(spark, sf)
-    return jobs.Inputs(p.feeds, p.mappings, p.fips, f"{p.served}/*_customers_served.csv")
+    return jobs.Inputs(p.feeds, p.mappings, p.fips, f"{p.served}/*_customers_served.csv", p.landing, p.settings)
 
 
 def _day_range(spark, sf):

@@ -1,45 +1,23 @@
-"""Sinks: bronze landing, dashboard CSV, idempotent date-partitioned history."""
+"""Sinks: published CSV files (dashboard, monthly history), idempotent date-partitioned tables."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.constants import DASHBOARD_COLUMNS, HISTORY_COLUMNS
-from gridpulse.functions.time import parse_timestamp
 from gridpulse.session import maybe_broadcast
+from gridpulse.sinks.commits import Commits
 
+# Files that get their names at a time.
+RENAMES = 16
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def land_bronze(raw_canonical: DataFrame, path: str) -> None:
-    """scan_recent_slice, landing side (rows whose time does not parse are kept,
-    in the partition of the null day): canonical raw rows as Parquet
-    partitioned by (state, report_date), replacing only the partitions
-    present in this batch (dynamic overwrite), so later reads of recent days
-    prune to their partitions instead of re-reading whole files.
-
-    ``rebalance`` groups rows by output partition so files are few and
-    full, while AQE splits a hot (state, day) over several tasks and merges
-    small ones (no single task gets a skewed day).
-    """
-    df = raw_canonical.withColumn("_ts", parse_timestamp(F.col("timestamp"))).withColumn(
-        "report_date", F.to_date("_ts")
-    ).drop("_ts")
-    (
-        df.hint("rebalance", "state", "report_date")
-        .sortWithinPartitions("state", "report_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("state", "report_date")
-        .parquet(path)
-    )
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Dynamic-overwrite Parquet write (silver reports, gold metrics): only
     the partitions present in ``df`` are replaced.  Written tables are also
@@ -66,71 +44,111 @@ def read_partitioned(spark: SparkSession, path: str, keys: DataFrame | None = No
     return df
 
 
-def read_bronze(spark: SparkSession, path: str, days: Sequence | None = None, states: Sequence[str] | None = None) -> DataFrame:
-    """scan_recent_slice, reading side: partition-pruned read of some days."""
-    df = spark.read.parquet(path)
-    if days is not None:
-        df = df.where(F.col("report_date").isin([F.lit(d).cast("date") for d in days]))
-    if states is not None:
-        df = df.where(F.col("state").isin(list(states)))
-    return df
-
-
-def write_dashboard(display: DataFrame, path: str) -> dict:
-    """sink_dashboard_csv: one CSV with header per state and run day, under its
-    public name: ``<path>/Date=<day>/<STATE>_DATA.csv``.  All days of the run
-    are written; a day's folder replaces the one of an earlier run.
+def publish_csv(df: DataFrame, root: str, columns: Sequence[str], folder: Column, name: Column, order: Sequence[str] = ()) -> int:
+    """Publish ``columns`` as CSV files with headers, one for every (folder,
+    name) of the rows, and return the number of rows.
 
-    Spark writes the files into a staging folder (a state's day is a few
-    hundred county rows: one file), then each is renamed.  Any failure
-    raises.  Returns agg_write_summary (rows, columns, target, success).
+    Spark writes the files below ``<root>/run=<id>``, where nobody looks, and
+    they get their names there, several at a time.  ``index`` lists every
+    published file with the run that wrote it: the files of this run and, of
+    the last commit's list, those that this run does not replace.  The commit
+    at the end makes all of it current at once (see ``Commits``); until then,
+    and if the run dies, readers see the files of the run before.
     """
-    spark = display.sparkSession
-    df = display.select(*[c for c in DASHBOARD_COLUMNS if c != "Date"], "Date", "state_code")
-    df = df.select("*", F.col("Date").alias("run_day"))
-    obs = Observation("dashboard_write")
-    staging = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
+    spark = df.sparkSession
+    commits = Commits(spark, root)
+    run = commits.new_run()
+    obs = Observation("published")
+    keyed = df.select(*columns, folder.cast("string").alias("_folder"), name.cast("string").alias("_name"))
     (
-        df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .repartition("state_code", "run_day")
+        keyed.observe(obs, F.count(F.lit(1)).alias("rows"))
+        .repartition("_folder", "_name")
+        .sortWithinPartitions("_folder", "_name", *order)
         .write.option("header", "true")
-        .partitionBy("run_day", "state_code")
-        .csv(staging)
+        .partitionBy("_folder", "_name")
+        .csv(f"{root}/run={run}/_parts")
     )
-    _publish(spark, staging, path)
-    return {"rows": int(obs.get["rows"]), "columns": len(DASHBOARD_COLUMNS), "target": path, "success": True}
+    written = _name_files(spark, f"{root}/run={run}")
+    own = spark.createDataFrame(written, "folder string, name string").withColumn("run", F.lit(run))
+    last = published(spark, root)
+    index = own if last is None else own.unionByName(last.join(own, ["folder", "name"], "left_anti"))
+    index.write.parquet(f"{root}/_index/run={run}")
+    commits.add(run)
+    return int(obs.get["rows"])
+
+
+def published(spark: SparkSession, root: str) -> DataFrame | None:
+    """(folder, name, run) of the current files under ``root``; a file's path
+    is ``<root>/run=<run>/<folder>/<name>``.  None before the first commit."""
+    run = Commits(spark, root).last()[1]
+    return None if run is None else spark.read.parquet(f"{root}/_index/run={run}")
+
 
+def published_paths(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the current files."""
+    index = published(spark, root)
+    return [] if index is None else [f"{root}/run={r.run}/{r.folder}/{r.name}" for r in index.collect()]
 
-def _publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Rename ``staging/run_day=D/state_code=st/part-*`` to ``path/Date=D/ST_DATA.csv``."""
+
+def _name_files(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """Rename ``base/_parts/_folder=F/_name=N/part-*`` to ``base/F/N``; returns all (F, N)."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for day in fs.listStatus(at(staging)):
-        name = day.getPath().getName()
-        if not name.startswith("run_day="):
-            continue
-        folder = at(f"{path}/{name.replace('run_day=', 'Date=', 1)}")
-        fs.mkdirs(folder)
-        for state in fs.listStatus(day.getPath()):
-            code = state.getPath().getName().split("=", 1)[1]
-            parts = [f.getPath() for f in fs.listStatus(state.getPath()) if f.getPath().getName().startswith("part-")]
-            target = at(folder, f"{code.upper()}_DATA.csv")
-            if len(parts) != 1:
-                raise RuntimeError(f"{len(parts)} files for {target}")
-            if fs.exists(target):
-                fs.delete(target, False)
-            if not fs.rename(parts[0], target):
-                raise RuntimeError(f"could not publish {target}")
-    fs.delete(at(staging), True)
+    parts = at(f"{base}/_parts")
+    fs = parts.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def value(path) -> str:
+        return unquote(path.getName().split("=", 1)[1])
+
+    def children(path) -> list:
+        return [f.getPath() for f in fs.listStatus(path) if "=" in f.getPath().getName()]
+
+    def move(folder, source) -> tuple[str, str]:
+        files = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
+        target = at(f"{base}/{value(folder)}/{value(source)}")
+        if len(files) != 1:
+            raise RuntimeError(f"{len(files)} files for {target}")
+        if not fs.rename(files[0], target):
+            raise RuntimeError(f"could not name {target}")
+        return value(folder), value(source)
+
+    todo = []
+    for folder in children(parts):
+        fs.mkdirs(at(f"{base}/{value(folder)}"))
+        todo += [(folder, source) for source in children(folder)]
+    with ThreadPoolExecutor(RENAMES) as pool:
+        done = list(pool.map(lambda x: move(*x), todo))
+    fs.delete(parts, True)
+    return done
+
+
+def write_dashboard(display: DataFrame, path: str) -> dict:
+    """sink_dashboard_csv: one CSV with header per state and run day, under
+    its public name ``Date=<day>/<STATE>_DATA.csv`` (see ``publish_csv``).
+    All days of the run are published; files of other days stay.  Any
+    failure raises.  Returns agg_write_summary (rows, columns, target, success)."""
+    folder, name = F.concat(F.lit("Date="), F.col("Date").cast("string")), F.concat(F.upper("state_code"), F.lit("_DATA.csv"))
+    rows = publish_csv(display, path, DASHBOARD_COLUMNS, folder, name, ["County"])
+    return {"rows": rows, "columns": len(DASHBOARD_COLUMNS), "target": path, "success": True}
 
 
 def read_dashboard(spark: SparkSession, path: str) -> DataFrame:
     """The published files, with the state of their names."""
-    schema = ", ".join(f"`{c}` string" for c in DASHBOARD_COLUMNS if c != "Date")
-    df = spark.read.option("header", "true").schema(f"{schema}, day string").option("recursiveFileLookup", "true").csv(path)
+    schema = ", ".join(f"`{c}` string" for c in DASHBOARD_COLUMNS)
+    files = published_paths(spark, path)
+    if not files:
+        return spark.createDataFrame([], f"{schema}, state_code string")
     code = F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)_DATA\.csv$", 1))
-    return df.withColumn("state_code", code).withColumnRenamed("day", "Date")
+    return spark.read.option("header", "true").schema(schema).csv(files).withColumn("state_code", code)
+
+
+def export_monthly(history: DataFrame, path: str) -> int:
+    """The history as one CSV per state and month, ``<ST>/<yyyy>_<mm>.csv``,
+    sorted by Date and County, published together; rows without a Date have
+    no month and are left out.  Returns the number of rows."""
+    dated = history.where("Date is not null")
+    name = F.concat(F.date_format("Date", "yyyy_MM"), F.lit(".csv"))
+    return publish_csv(dated, path, HISTORY_COLUMNS, F.upper("state_code"), name, ["Date", "County"])
 
 
 def upsert_history(history: DataFrame, path: str) -> None:

@@ -11,10 +11,10 @@ same rows for the oracle check:
 * master counties ``c0 .. c74`` (nation keys x 3 blocks) minus c22/c45/c68:
   those beyond c49 never report and become fillers
 * FIPS codes from nation/region, with a few counties missing
-* served history derived from ``signup`` events for every third county
+* served history: every event is a reading of a county 25 further on
 
 ``raw_feed`` builds the un-standardized text form (mixed case, blanks,
-``"1,234"`` numbers, mixed timestamp formats, duplicate county columns).
+``"1,234"`` numbers, mixed timestamp shapes, duplicate county columns).
 """
 
 from __future__ import annotations
@@ -78,15 +78,13 @@ def run_keys(reports: DataFrame) -> DataFrame:
 
 
 def served_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Historical served rows derived from ``events``: every ``signup`` row
-    is a served reading of county ``c<user_id % 50 + 25>`` (only counties
-    divisible by 3 have history), value ``floor(value) + 0.25``.  Filler
-    counties c50..c74 thus have a history total or none (-1)."""
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == F.lit("signup"))
-    k2 = F.col("user_id") % F.lit(N_COUNTIES) + F.lit(25)
-    return ev.where(k2 % F.lit(3) == F.lit(0)).select(
-        F.concat(F.lit("s"), (k2 % F.lit(2)).cast("string")).alias("state"),
-        F.concat(F.lit("c"), k2.cast("string")).alias("county"),
+    """Historical served rows derived from ``events``: every row is a served
+    reading of county ``c<user_id % 50 + 25>``, value ``floor(value) + 0.25``.
+    Master counties that no event reaches so, c0..c24, have no history."""
+    k = F.col("user_id") % F.lit(N_COUNTIES) + F.lit(25)
+    return read_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("s"), (k % F.lit(2)).cast("string")).alias("state"),
+        F.concat(F.lit("c"), k.cast("string")).alias("county"),
         (F.floor("value").cast("double") + F.lit(0.25)).alias("customers_served"),
     )
 
@@ -120,10 +118,21 @@ def county_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def column_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column map (state, raw, standard) derived from ``nation``: for every
+    master county number a raw column of its own, some named as percentages
+    although mapped to a count (what ``qa_mapping_coverage`` reports)."""
+    m = _master_numbers(spark, sf_dir)
+    k = F.col("k").cast("string")
+    raw = F.when(F.col("k") % 3 == 0, F.concat(F.lit("% out "), k)).when(F.col("k") % 3 == 1, F.concat(F.lit("percent "), k)).otherwise(F.concat(F.lit("out "), k))
+    standard = F.when(F.col("k") % 2 == 0, F.lit("per_outage_customers_affected")).when(F.col("k") % 5 == 0, F.lit("customers_served")).otherwise(F.lit("county"))
+    return m.select(F.concat(F.lit("s"), (F.col("k") % 2).cast("string")).alias("state"), raw.alias("raw"), standard.alias("standard"))
+
+
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Un-standardized provider rows (all strings) with two county columns,
     an affected column, a served column, a percent-out column and text
-    timestamps in three formats plus garbage."""
+    timestamps in ten shapes plus garbage."""
     ev = read_table(spark, sf_dir, "events")
     k = _k().cast("string")
     c = F.concat(F.lit("c"), k)
@@ -157,13 +166,20 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(eid % 5 == 2, F.lit(None).cast("string"))
         .otherwise(F.concat(((eid % 40) + 1).cast("string"), F.lit(".5%")))
     )
-    ts_text = (
-        F.when(eid % 5 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .when(eid % 5 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-        .when(eid % 5 == 2, F.date_format("ts", "MM-dd-yyyy HH:mm:ss"))
-        .when(eid % 5 == 3, F.lit("not a time"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    )
+    shapes = [
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.date_format("ts", "MM-dd-yyyy HH:mm:ss"),
+        F.lit("not a time"),
+        F.date_format("ts", "M/d/yyyy h:mm a"),
+        F.date_format("ts", "MMM d, yyyy H:mm"),
+        F.date_format("ts", "M/d/yy HH:mm"),
+        F.date_format("ts", "yyyy/MM/dd HH:mm:ss"),
+        F.date_format("ts", "yyyyMMdd HH:mm:ss"),
+        F.date_format("ts", "d MMMM yyyy"),
+        F.date_format("ts", "yyyy-MM-dd"),
+    ]
+    ts_text = F.get(F.array(*shapes), (eid % len(shapes)).cast("int"))
     return ev.select(
         F.concat(F.lit("s"), (F.col("user_id") % F.lit(2)).cast("string")).alias("state"),
         F.concat(F.lit("feed_"), F.col("event_type"), F.lit("_per_county.csv")).alias("source_file"),

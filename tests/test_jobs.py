@@ -2,8 +2,10 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridpulse.plans import jobs
+from gridpulse.sinks.tables import read_dashboard
 
 
 def _write(path, text):
@@ -38,7 +40,7 @@ def test_job_daily_dashboard_and_history(spark, inputs):
     keys = jobs.run_keys_for(spark, ["GA"], ["2025-05-01"])
     res = jobs.job_daily(spark, inp, keys, out_root=f"{root}/out")
     assert res.write_summary["rows"] == 3 and res.write_summary["success"]
-    dash = {r.County: r for r in spark.read.option("header", "true").csv(f"{root}/out/dashboard").collect()}
+    dash = {r.County: r for r in read_dashboard(spark, f"{root}/out/dashboard").collect()}
     f = dash["Fulton"]
     assert (f.SAIDI, f.LOWER_SAIFI, f.SAIFI, f.UPPER_SAIFI) == ("0.075", "0.17", "0.195", "0.22")
     assert f.FIPS == "13121" and f.State == "Georgia" and str(f.Date) == "2025-05-01"
@@ -64,6 +66,48 @@ def test_job_backfill_skips_empty_days(spark, inputs):
     assert day2["Fulton"] == pytest.approx(2 * 0.25 / 100)
 
 
+def test_job_backfill_lists_a_failing_day_and_restarts(spark, inputs, monkeypatch):
+    inp, root = inputs
+    right = jobs.metric_daily
+
+    def broken(reports, master, run_keys, served):
+        d = right(reports, master, run_keys, served)
+        bad = F.when(F.col("report_date") == "2025-05-02", F.raise_error(F.lit("bad day")).cast("double")).otherwise(F.col("saidi"))
+        d.all_metrics = d.all_metrics.withColumn("saidi", bad)
+        return d
+
+    out = f"{root}/bf"
+    monkeypatch.setattr(jobs, "metric_daily", broken)
+    res = jobs.job_backfill(spark, inp, ["ga"], "2025-05-01", "2025-05-04", out_root=out)
+    status = {r.report_date.day: (r.status, r.error) for r in jobs.backfill_ledger(spark, out).collect()}
+    assert {d: s for d, (s, _) in status.items()} == {1: "done", 2: "failed", 3: "empty", 4: "empty"} and "bad day" in status[2][1]
+    assert sorted((r.report_date.day, r.status) for r in res.skipped.collect()) == [(2, "failed"), (3, "empty"), (4, "empty")]
+    assert {str(r.Date) for r in spark.read.parquet(f"{out}/history").collect()} == {"2025-05-01"}
+    monkeypatch.undo()
+    asked = []
+    monkeypatch.setattr(jobs, "metric_daily", lambda reports, master, keys, served: asked.append({r.report_date.day for r in keys.collect()}) or right(reports, master, keys, served))
+    res = jobs.job_backfill(spark, inp, ["ga"], "2025-05-01", "2025-05-04", out_root=out)
+    assert asked == [{2}]  # what was done or empty is not done again
+    assert {r.report_date.day: r.status for r in jobs.backfill_ledger(spark, out).collect()} == {1: "done", 2: "done", 3: "empty", 4: "empty"}
+    assert spark.read.parquet(f"{out}/history").count() == 6 and res.history.count() == 6
+
+
+def test_jobs_over_landed_feeds_give_the_same(spark, inputs):
+    inp, root = inputs
+    keys = jobs.run_keys_for(spark, ["GA"], ["2025-05-01", "2025-05-02"])
+    landed = jobs.Inputs(inp.feeds_root, inp.mapping_root, inp.fips_path, inp.served_pattern, landing=f"{root}/landing")
+    jobs.job_daily(spark, inp, keys, out_root=f"{root}/a")
+    jobs.job_daily(spark, landed, keys, out_root=f"{root}/b")
+    rows = [sorted(map(tuple, read_dashboard(spark, f"{root}/{x}/dashboard").collect()), key=str) for x in "ab"]
+    assert rows[0] == rows[1] and len(rows[0]) == 6
+    # a saved result against another one
+    assert jobs.job_compare(spark, f"{root}/a/dashboard", f"{root}/b/dashboard", how="full").count() == 0
+    jobs.job_daily(spark, landed, jobs.run_keys_for(spark, ["GA"], ["2025-05-01"]), out_root=f"{root}/c")
+    missing = jobs.job_compare(spark, f"{root}/a/dashboard", f"{root}/c/dashboard", how="full").collect()
+    assert {r.Date for r in missing} == {"2025-05-02"} and len(missing) == 12
+    assert jobs.job_compare(spark, f"{root}/a/dashboard", f"{root}/c/dashboard").count() == 0
+
+
 def test_job_mapping_build(spark, inputs):
     inp, root = inputs
     cols, counties, cmap = jobs.job_mapping_build(spark, inp.feeds_root, inp.mapping_root)

@@ -41,15 +41,48 @@ def test_dashboard_write_summary(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "dash")
     summary = tables.write_dashboard(spark.createDataFrame(rows, schema), path)
     assert summary["rows"] == 2 and summary["success"] and summary["columns"] == 8
-    assert os.path.exists(os.path.join(path, "Date=2025-05-01", "GA_DATA.csv"))
-    with open(os.path.join(path, "Date=2025-05-02", "GA_DATA.csv")) as f:
-        assert f.readline().strip() == ",".join(tables.DASHBOARD_COLUMNS)
+    names = sorted(p.split("run=")[1].split("/", 1)[1] for p in tables.published_paths(spark, path))
+    assert names == ["Date=2025-05-01/GA_DATA.csv", "Date=2025-05-02/GA_DATA.csv"]
+    for p in tables.published_paths(spark, path):
+        with open(p) as f:
+            assert f.readline().strip() == ",".join(tables.DASHBOARD_COLUMNS)
     # a second run of one day replaces that day's file only
     tables.write_dashboard(spark.createDataFrame([(*rows[1][:2], "0.9", *rows[1][3:])], schema), path)
     back = sorted((r.Date, r.SAIDI, r.state_code) for r in tables.read_dashboard(spark, path).collect())
     assert back == [("2025-05-01", "0.1", "ga"), ("2025-05-02", "0.9", "ga")]
 
 
+def test_a_dashboard_run_that_dies_leaves_the_old_files(spark, tmpdir_path, monkeypatch):
+    schema = "County string, FIPS string, SAIDI string, LOWER_SAIFI string, SAIFI string, UPPER_SAIFI string, State string, Date date, state_code string"
+    row = ("Fulton", "1", "0.1", "0.1", "0.1", "0.1", "Georgia", dt.date(2025, 5, 1), "ga")
+    path = os.path.join(tmpdir_path, "dash")
+    assert tables.read_dashboard(spark, path).count() == 0
+    tables.write_dashboard(spark.createDataFrame([row], schema), path)
+    for step in ("_name_files", "published"):
+        monkeypatch.setattr(tables, step, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            tables.write_dashboard(spark.createDataFrame([(*row[:2], "0.9", *row[3:])], schema), path)
+        monkeypatch.undo()
+        assert [r.SAIDI for r in tables.read_dashboard(spark, path).collect()] == ["0.1"]
+
+
+def test_monthly_export(spark, tmpdir_path):
+    from gridpulse.sources import lookups
+
+    rows = [("Georgia", c, "1", 0.1, 0.2, dt.date(2025, m, d), "ga") for c in ("Fulton", "Cobb") for m, d in ((5, 2), (5, 1), (6, 1))]
+    rows += [("Alabama", "Autauga", "2", 0.3, None, dt.date(2025, 5, 1), "al"), ("Georgia", "Hall", "3", 0.5, 0.5, None, "ga")]
+    path = os.path.join(tmpdir_path, "monthly")
+    assert tables.export_monthly(spark.createDataFrame(rows, HIST), path) == 7
+    files = {p.split("run=")[1].split("/", 1)[1]: p for p in tables.published_paths(spark, path)}
+    assert sorted(files) == ["AL/2025_05.csv", "GA/2025_05.csv", "GA/2025_06.csv"]
+    with open(files["GA/2025_05.csv"]) as f:
+        lines = f.read().splitlines()
+    assert lines[0] == "State,County,FIPS,SAIDI,SAIFI,Date"
+    assert [(x.split(",")[5], x.split(",")[1]) for x in lines[1:]] == [("2025-05-01", "Cobb"), ("2025-05-01", "Fulton"), ("2025-05-02", "Cobb"), ("2025-05-02", "Fulton")]
+    back = lookups.read_monthly_history(spark, os.path.dirname(os.path.dirname(files["GA/2025_05.csv"])))
+    assert back.count() == 7 and back.where("state_code = 'al'").first().County == "Autauga"
+
+
 def test_dashboard_write_failure_raises(spark, tmpdir_path):
     blocked = os.path.join(tmpdir_path, "file")
     open(blocked, "w").close()
@@ -69,6 +102,13 @@ def test_compare_tolerance_rules(spark):
     assert ("D", "SAIDI") in full and ("E", "SAIFI") in full
 
 
+def test_scenarios_are_paired_like_two_results(spark):
+    rows = spark.createDataFrame([("A", "b", "1"), ("A", "c", "2"), ("B", "b", "1"), ("B", "c", "1"), ("C", "b", "5"), ("D", "c", None)], "County string, scenario string, SAIDI string")
+    paired = quality.pair_scenarios(rows, "b", "c", ["County"], ["SAIDI"])
+    got = sorted((r.County, r.Baseline, r.Optimized) for r in quality.mismatches(paired, ["County"], ["SAIDI"]).collect())
+    assert got == [("A", "1", "2"), ("C", "5", None), ("D", None, None)]
+
+
 def test_null_profile(spark):
     df = spark.createDataFrame([("p", "f1", None, "1"), ("p", "f2", "x", None), ("q", "f3", "y", "2")],
                                "emc string, source_file string, a string, b string")

@@ -12,7 +12,6 @@ SMALL_LABEL = "<0.0001"
 ROUND_DIGITS = 4
 COMPARE_TOLERANCE = 0.0001       # result comparison tolerance
 FUZZY_MIN_SCORE = 85.0           # minimum score for a fuzzy county match
-CONTAINMENT_SCORE = 90.0         # score given when one name contains the other
 
 # --- fixed values: canonical column names ------------------------------------
 COUNTY = "county"

@@ -342,6 +342,58 @@ ORACLE.update({
 
 
 # ------------------------------------------------- mapping, quality, sets --
+def lcs(x: str, y: str) -> str:
+    """Longest common subsequence, row by row of the usual table."""
+    rows = f"list_transform(string_split({x}, ''), lambda cx: list_prepend(0, list_transform(string_split({y}, ''), lambda cy: CASE WHEN cx = cy THEN 1 ELSE 0 END)))"
+    first = f"list_transform(range(0, length({y}) + 1), lambda z: CAST(0 AS INTEGER))"
+    step = ("list_reduce(list_prepend([CAST(0 AS INTEGER)], list_transform(range(2, len(r) + 1), lambda j: [CAST(j AS INTEGER)])), "
+            "lambda t, j: list_append(t, greatest(t[-1], acc[j[1]], acc[j[1] - 1] + r[j[1]])))")
+    return f"(CASE WHEN length({x}) = 0 OR length({y}) = 0 THEN 0 ELSE list_reduce(list_prepend({first}, {rows}), lambda acc, r: {step})[-1] END)"
+
+
+def ratio(x: str, y: str) -> str:
+    return f"(CASE WHEN length({x}) + length({y}) = 0 THEN CAST(100 AS DOUBLE) ELSE CAST(200 AS DOUBLE) * {lcs(x, y)} / (length({x}) + length({y})) END)"
+
+
+def part_ratio(x: str, y: str) -> str:
+    def windows(short: str, long: str) -> str:
+        window = f"substr({long}, greatest(0, i) + 1, i + length({short}) - greatest(0, i))"
+        return f"list_max(list_transform(range(1 - length({short}), length({long})), lambda i: {ratio(short, window)}))"
+
+    return (
+        f"(CASE WHEN length({x}) = 0 OR length({y}) = 0 THEN CASE WHEN {x} = {y} THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
+        f"WHEN length({x}) < length({y}) THEN {windows(x, y)} WHEN length({x}) > length({y}) THEN {windows(y, x)} "
+        f"ELSE greatest({windows(x, y)}, {windows(y, x)}) END)"
+    )
+
+
+def fuzzy_ctes(names: str) -> str:
+    """fz: (state, raw, standard, score) of every raw name of ``names`` and master county of its state."""
+    words = "list_filter(regexp_split_to_array({0}, '\\s+'), lambda x: x <> '')"
+    only = "list_sort(list_distinct(list_filter({0}, lambda x: NOT list_contains({1}, x))))"
+    d = "CAST({0} AS DOUBLE)"
+    apart = f"(length(own) + length(other) - 2 * {lcs('own', 'other')})"
+    sets = (
+        f"CASE WHEN n_common > 0 AND (own = '' OR other = '') THEN {d.format(100)} ELSE greatest("
+        f"CASE WHEN lft + rgt > 0 THEN 100 - {d.format(100)} * {apart} / (lft + rgt) ELSE {d.format(0)} END, "
+        f"CASE WHEN n > 0 THEN greatest(100 - {d.format(100)} * (1 + length(own)) / (n + lft), 100 - {d.format(100)} * (1 + length(other)) / (n + rgt)) ELSE {d.format(0)} END) END"
+    )
+    return f"""fp AS (SELECT r.state, r.raw, m.county AS standard, {words.format('r.raw')} AS wa, {words.format('m.county')} AS wb
+  FROM {names} r JOIN master m ON r.state = m.state),
+fq AS (SELECT *, array_to_string(list_sort(wa), ' ') AS sa, array_to_string(list_sort(wb), ' ') AS sb,
+  array_to_string({only.format('wa', 'wb')}, ' ') AS own, array_to_string({only.format('wb', 'wa')}, ' ') AS other,
+  list_sort(list_distinct(list_filter(wa, lambda x: list_contains(wb, x)))) AS common FROM fp),
+fl AS (SELECT *, len(common) AS n_common, length(array_to_string(common, ' ')) AS n FROM fq),
+fg AS (SELECT *, n + CASE WHEN n > 0 THEN 1 ELSE 0 END + length(own) AS lft, n + CASE WHEN n > 0 THEN 1 ELSE 0 END + length(other) AS rgt,
+  CAST(greatest(length(raw), length(standard)) AS DOUBLE) / least(length(raw), length(standard)) AS factor FROM fl),
+fz AS (SELECT state, raw, standard, CASE
+    WHEN factor < 1.5 THEN greatest({ratio('raw', 'standard')}, {d.format(0.95)} * greatest({ratio('sa', 'sb')}, {sets}))
+    ELSE greatest({ratio('raw', 'standard')}, CASE WHEN factor < 8 THEN {d.format(0.9)} ELSE {d.format(0.6)} END * {part_ratio('raw', 'standard')},
+      {d.format(0.95)} * CASE WHEN factor < 8 THEN {d.format(0.9)} ELSE {d.format(0.6)} END
+      * CASE WHEN n_common > 0 THEN {d.format(100)} ELSE greatest({part_ratio('sa', 'sb')}, {part_ratio('own', 'other')}) END) END AS score
+  FROM fg)"""
+
+
 EXTRA = f"""
 rc AS (
   SELECT DISTINCT state, trim(replace(lower(v), 'county', '')) AS raw
@@ -349,12 +401,7 @@ rc AS (
         WHERE key_raw IS NULL OR lower(trim(key_raw)) <> 'muni') u
   WHERE v IS NOT NULL),
 rcf AS (SELECT * FROM rc WHERE raw <> ''),
-fz AS (
-  SELECT r.state, r.raw, m.county AS standard,
-         greatest(100.0 * (1.0 - CAST(levenshtein(r.raw, m.county) AS DOUBLE)
-                         / CAST(greatest(length(r.raw), length(m.county)) AS DOUBLE)),
-                  CASE WHEN instr(r.raw, m.county) > 0 OR instr(m.county, r.raw) > 0 THEN 90.0 ELSE 0.0 END) AS score
-  FROM rcf r JOIN master m ON r.state = m.state),
+{fuzzy_ctes("rcf")},
 saidi26 AS (
   SELECT state, report_date, county, sum(affected) * CAST(0.26 AS DOUBLE) / max(customers_served) AS saidi
   FROM sreports GROUP BY state, report_date, county),
@@ -402,12 +449,12 @@ _CMP = " UNION ALL ".join(
 ORACLE.update({
     "agg_distinct_counties": with_extra("SELECT state, raw FROM rcf ORDER BY state, raw"),
     "join_fuzzy_top1": with_extra(
-        "SELECT state, raw, standard, score, 'edit distance or containment' AS scorer FROM (SELECT *, row_number() OVER "
+        "SELECT state, raw, standard, score FROM (SELECT *, row_number() OVER "
         "(PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn FROM fz WHERE score >= 85.0) WHERE rn = 1"
     ),
     "win_best_match": with_extra(
-        "SELECT state, raw, standard, score FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn FROM fz WHERE score >= 85.0) WHERE rn = 1"
+        "SELECT state, raw, standard, score, CAST(row_number() OVER (PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS INTEGER) AS place "
+        "FROM fz WHERE score >= 85.0"
     ),
     "qa_mapping_coverage": with_extra(
         "SELECT state, 'raw_unmapped' AS issue, raw AS name FROM rcf r WHERE NOT EXISTS "
@@ -675,3 +722,15 @@ ORACLE.update({
     "std_required_columns": with_layouts("SELECT state, header, missing, skipped_reason FROM report"),
     "set_missing_columns": with_layouts("SELECT state, header, missing_column FROM missing"),
 })
+
+# The names of the files, as the mapping build sees them, against the master list.
+FILE_NAMES = f"""
+raw_names AS (SELECT DISTINCT state, trim(replace(lower(county_read), 'county', '')) AS raw FROM seen WHERE county_read IS NOT NULL),
+file_names AS (SELECT * FROM raw_names WHERE raw <> ''),
+{fuzzy_ctes("file_names")}
+"""
+ORACLE["job_mapping_build"] = (
+    f"WITH {BASE.strip()},\n{FILES.strip()},\n{FILE_NAMES.strip()}\n"
+    "SELECT state, raw, standard, score FROM (SELECT *, row_number() OVER (PARTITION BY state, raw ORDER BY score DESC, standard ASC) AS rn "
+    "FROM fz WHERE score >= 85.0) WHERE rn = 1"
+)

@@ -43,15 +43,14 @@ def q_distinct_counties(spark, sf):
 
 @query("join_fuzzy_top1")
 def q_fuzzy_top1(spark, sf):
-    """The best master county of every raw name, with the scorer's name: its
-    scores are not those of the original's scorer near the cut-off."""
-    best = mapping.fuzzy_map(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
-    return best.withColumn("scorer", F.lit(mapping.SCORER))
+    """The best master county of every raw name."""
+    return mapping.fuzzy_map(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
 
 
 @query("win_best_match")
 def q_best_match(spark, sf):
-    return mapping.fuzzy_map(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
+    """All master counties that a raw name scores 85 or more with, by place."""
+    return mapping.ranked_matches(_raw_counties(spark, sf), adapter.master_counties(spark, sf))
 
 
 @query("qa_mapping_coverage")

@@ -10,7 +10,8 @@ The files are Parquet shards in the shared folder, written and read by Spark.
 A row is a block of whole documents: shard, block, first, doc_ids, lengths,
 control, data.  Shards are ranges of doc_id, blocks follow each other in a
 shard, so (shard, block) is ascending doc_id order.  ``ranks`` beside them
-holds the id of every rank.
+holds the id of every rank.  The tokenizing pass counts the ids as it goes,
+so texts and ids are read once before the files are written.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -57,44 +58,49 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _squeeze(ids: np.ndarray) -> bytes:
-    """Ids for the way through scratch files and the shuffle: byte planes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-
-
-def _unsqueeze(payload: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
-
-
 def encoded(docs: DataFrame, tokenizer_path: str, kind: str, end_id: int) -> DataFrame:
-    """(doc_id, payload): every whole text's ids and the end id, squeezed."""
+    """(doc_id, h, width, payload, counts): every whole text's ids and the end
+    id, in 2 bytes each where the vocabulary allows it, else in 4, with their
+    hash; and from every task one row more, the counts of its ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, kind).encode
+        own = encoder(tokenizer_path, kind)
+        size = max(own.tokenizer.get_vocab_size(), end_id + 1)
+        width = "<u2" if size <= 1 << 16 else "<u4"
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            payload = [_squeeze(np.frombuffer(encode(text) + end, "<u4")) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "payload": pa.array(payload, pa.binary())})
+            ids = [np.frombuffer(own.encode(text) + end, "<u4").astype(width) for text in batch.column(1).to_pylist()]
+            if ids:
+                total += np.bincount(np.concatenate(ids), minlength=size)
+            payload = [x.tobytes() for x in ids]
+            h = [xxhash.xxh64_intdigest(x) - (1 << 63) for x in payload]
+            yield _payloads(batch.column(0), h, [int(width[-1])] * len(ids), payload, [None] * len(ids))
+        used = np.flatnonzero(total)
+        yield _payloads([None], [None], [None], [None], [np.concatenate((used, total[used])).tobytes()])
+
+    return docs.mapInArrow(tokenized, "doc_id long, h long, width int, payload binary, counts binary")
+
 
-    return docs.mapInArrow(tokenized, "doc_id long, payload binary")
+def _payloads(doc_id, h: list, width: list, payload: list, counts: list) -> pa.RecordBatch:
+    doc_id = doc_id if isinstance(doc_id, pa.Array) else pa.array(doc_id, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [doc_id, pa.array(h, pa.int64()), pa.array(width, pa.int32()), pa.array(payload, pa.binary()), pa.array(counts, pa.binary())],
+        names=["doc_id", "h", "width", "payload", "counts"],
+    )
 
 
 def id_counts(payloads: DataFrame) -> DataFrame:
-    """(id, n) over all documents, summed in each task first."""
+    """(id, n) over all documents, from the tasks' counts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for payload in batch.column(0).to_pylist():
-                own = np.bincount(_unsqueeze(payload))
-                if len(own) > len(total):
-                    total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
-                total[: len(own)] += own
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": ids, "n": total[ids]})
+            for packed in batch.column(0).to_pylist():
+                ids, n = np.frombuffer(packed, np.int64).reshape(2, -1)
+                yield pa.RecordBatch.from_pydict({"id": ids, "n": n})
 
-    return payloads.select("payload").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = payloads.where("counts is not null").select("counts")
+    return counts.mapInArrow(split, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -127,8 +133,8 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=BLOCK_ARROW)
 
         for batch in batches:
-            for doc_id, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = rank_of[_unsqueeze(payload)]
+            for doc_id, width, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = rank_of[np.frombuffer(payload, f"<u{width}")]
                 if held and held + len(own) > BLOCK_TOKENS:
                     yield closed()
                     block, ids, owners, held = block + 1, [], [], 0
@@ -138,8 +144,9 @@ def write_token_files(
             yield closed()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = payloads.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("payload"))
-    ordered.mapInArrow(blocks, BLOCK).write.parquet(f"{path}/blocks")
+    # The payload's hash is the second key, so rows of one id, or without any, are spread over tasks as well.
+    ordered = payloads.where("counts is null").select("doc_id", "h", "width", "payload").repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    ordered.select("doc_id", "width", "payload").mapInArrow(blocks, BLOCK).write.parquet(f"{path}/blocks")
 
 
 BLOCK = "shard int, block int, tokens long, doc_ids array<long>, lengths array<long>, control binary, data binary"

@@ -5,7 +5,9 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
+from gridpulse.llm import exact_dedup as ed
 from gridpulse.llm.components import components
 from gridpulse.llm.exact_dedup import build_directory, exact_dedup
 from gridpulse.llm.line_dedup import LineRuns, line_dedup
@@ -55,6 +57,30 @@ def test_exact_dedup_chains_colliding_keys_and_splits_buckets(spark):
     assert wide.select("bucket").distinct().count() >= 15
 
 
+def test_exact_dedup_answers_come_from_the_directory(spark, monkeypatch):
+    """Entries that the directory puts into wrong buckets make wrong classes."""
+    rows = [(i, f"text {i % 40}") for i in range(200)]
+    docs = frame(spark, rows).repartition(5)
+    assert exact_got(exact_dedup(docs, capacity=3)) == exact_expected(rows)
+    right = ed.bucketed
+
+    def wrong(entries, leaves):
+        if "id" not in entries.columns:
+            return right(entries, leaves)
+        return right(entries, leaves).withColumn("bucket", F.when(F.col("id") % 2 == 0, F.col("bucket")).otherwise(F.lit(0)))
+
+    monkeypatch.setattr(ed, "bucketed", wrong)
+    assert exact_got(exact_dedup(docs, capacity=3)) != exact_expected(rows)
+
+
+def test_exact_dedup_compares_bytes_across_tasks(spark):
+    """One key for all: every link of the chain is found by comparing texts that several tasks hold."""
+    rows = [(i, f"Text {i % 7}") for i in range(300)]
+    got = exact_dedup(frame(spark, rows).repartition(8), key_bits=1).cache()
+    assert exact_got(got) == exact_expected(rows)
+    assert got.select("bucket", "chain").distinct().count() == 7
+
+
 def test_directory_leaves_cover_the_key_space_and_hold_the_capacity(spark):
     entries = spark.range(5000).selectExpr("xxhash64(id) AS key")
     leaves = build_directory(entries, capacity=40, max_bits=64)

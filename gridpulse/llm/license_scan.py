@@ -82,12 +82,11 @@ def windows_of(words: list[bytes], place: dict[bytes, int], spans: list[int]) ->
             yield span, c * span, cells.get(c, set()) | cells.get(c + 1, set())
 
 
-def unsuppressed(found: list[dict]) -> list[dict]:
-    """The matches of one text without those whose common words a better
-    match holds as well: one in the same block (larger containment, then the
-    longer template, then the first), or one of larger containment in an
-    overlapping block."""
-    found = sorted(found, key=lambda m: m["first_word"])
+def suppressed(found: list[dict]) -> list[bool]:
+    """Which matches of one text, given by first word, say no more than a
+    better match that holds all their common words as well: one in the same
+    block (larger containment, then the longer template, then the first), or
+    one of larger containment in an overlapping block."""
     widest = max((m["n_words"] for m in found), default=0)
     firsts = [m["first_word"] for m in found]
     out = []
@@ -95,15 +94,14 @@ def unsuppressed(found: list[dict]) -> list[dict]:
         lo, hi = m["first_word"], m["first_word"] + m["n_words"]
         rank, own = (m["containment"], m["size"], -m["template"]), set(m["common"])
         near = found[bisect_left(firsts, lo - widest) : bisect_left(firsts, hi)]
-        if not any(
+        out.append(any(
             own.issubset(b["common"])
             and (
                 (b["first_word"], b["n_words"], b["span"]) == (lo, m["n_words"], m["span"]) and (b["containment"], b["size"], -b["template"]) > rank
                 or b["containment"] > m["containment"] and b["first_word"] + b["n_words"] > lo
             )
             for b in near
-        ):
-            out.append(m)
+        ))
     return out
 
 
@@ -150,10 +148,10 @@ def license_scan(
     and largest start, or null), base_labels, labels (the phrases' and the
     templates', distinct, sorted, comma-joined), matches (first_word,
     n_words, template, label, containment of every block and template that
-    reach the threshold, but for those whose common words a better match in
-    the block holds too, as cc-by beside cc-by-sa, or a fuller one in an
-    overlapping block) and score (the largest containment; a phrase counts
-    as 1).
+    reach the threshold; ``suppressed`` marks those whose common words a
+    better match in the block holds too, as cc-by beside cc-by-sa, or a fuller
+    one in an overlapping block: they give no label and no score) and score
+    (the largest containment; a phrase counts as 1).
 
     Defined cases: a null, empty or wordless text has 0 words, empty labels,
     no matches and score 0; long lines are taken in half-overlapping windows,
@@ -219,13 +217,15 @@ def license_scan(
         for batch in batches:
             out = []
             for row, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                kept = [{k: m[k] for k in MATCH} for m in unsuppressed(found)]
-                out.append({"row": row, "matches": sorted(kept, key=lambda m: tuple(m.values()))})
+                found = sorted(found, key=lambda m: m["first_word"])
+                shown = [{k: m[k] for k in MATCH} | {"suppressed": x} for m, x in zip(found, suppressed(found), strict=True)]
+                out.append({"row": row, "matches": sorted(shown, key=lambda m: tuple(m.values()))})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.int64()), ("matches", pa.list_(MATCHES_ARROW))]))
 
     of_row = F.collect_list(F.struct("first_word", "n_words", "span", "template", "label", "size", "containment", "common"))
     matches = verified.groupBy("row").agg(of_row.alias("found")).mapInArrow(suppress, f"row long, matches {MATCHES}")
     empty = F.array().cast(MATCHES)
+    telling = F.filter("matches", lambda m: ~m["suppressed"])
     return (
         scanned.join(matches, "row", "left")
         .withColumn("matches", F.coalesce("matches", empty))
@@ -236,16 +236,16 @@ def license_scan(
             "first_word",
             "last_word",
             F.array_join("base", ",").alias("base_labels"),
-            F.array_join(F.array_sort(F.array_union("base", "matches.label")), ",").alias("labels"),
+            F.array_join(F.array_sort(F.array_union("base", F.transform(telling, lambda m: m["label"]))), ",").alias("labels"),
             "matches",
-            F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce(F.array_max("matches.containment"), F.lit(0.0))).alias("score"),
+            F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform(telling, lambda m: m["containment"])), F.lit(0.0))).alias("score"),
         )
     )
 
 
-MATCHES = "array<struct<first_word:bigint,n_words:bigint,template:int,label:string,containment:double>>"
+MATCHES = "array<struct<first_word:bigint,n_words:bigint,template:int,label:string,containment:double,suppressed:boolean>>"
 MATCH = ("first_word", "n_words", "template", "label", "containment")
-MATCHES_ARROW = pa.struct(list(zip(MATCH, (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64()), strict=True)))
+MATCHES_ARROW = pa.struct(list(zip((*MATCH, "suppressed"), (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.bool_()), strict=True)))
 SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, blocks array<struct<first_word:bigint,n_words:bigint,span:int,words:array<int>>>"
 SCANNED_ARROW = pa.schema(
     [

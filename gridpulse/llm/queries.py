@@ -120,32 +120,43 @@ def _license_sql() -> str:
     def listed(words: list[bytes]) -> str:
         return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
 
-    sets = [sorted(set(plain_words(text))) for _, text in TEMPLATES]
-    templates = ", ".join(
-        f"({i}, '{label}', {math.ceil(0.8 * len(words) - 1e-9)}, {listed(words)})"
-        for i, ((label, _), words) in enumerate(zip(TEMPLATES, sets, strict=True))
-    )
+    rows = []
+    for i, (label, text) in enumerate(TEMPLATES):
+        words = plain_words(text)
+        own = sorted(set(words))
+        # A template of up to s words, s a power of two and at least 8, meets windows of 2 s words.
+        step = max(8, 2 ** math.ceil(math.log2(len(words))))
+        rows.append(f"({i}, '{label}', {step}, {math.ceil(0.8 * len(own) - 1e-9)}, {listed(own)})")
     phrases = ", ".join(f"('{label}', {listed(plain_words(text))})" for text, label in PHRASES)
     half = BLOCK_WORDS // 2
     text = _LOWER.format("coalesce(text, '')")
     return f"""
-        WITH t(template, label, need, own) AS (VALUES {templates}),
+        WITH t(template, label, step, need, own) AS (VALUES {", ".join(rows)}),
         p(label, phrase) AS (VALUES {phrases}),
         l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos
               FROM (SELECT doc_id, string_split({text}, chr(10)) AS ls FROM documents)),
         w AS (SELECT doc_id, pos, regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM l),
+        placed AS (SELECT *, coalesce(sum(len(words)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM w),
         d AS (SELECT doc_id, flatten(list(words ORDER BY pos)) AS words FROM w GROUP BY doc_id),
         places AS (SELECT doc_id, label, unnest(list_filter(range(len(words)), lambda i: words[i + 1 : i + len(phrase)] = phrase)) AS spot
                    FROM d, p),
         base AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_distinct(list(label)) AS base
                  FROM places GROUP BY doc_id),
-        blocks AS (SELECT doc_id, pos, lo, list_distinct(words[lo + 1 : lo + {BLOCK_WORDS}]) AS block
-                   FROM (SELECT *, unnest(range(0, greatest(1, len(words) - {half}), {half})) AS lo FROM w)),
-        found AS (SELECT doc_id, pos, lo, template, label, len(own) AS size, len(list_intersect(own, block)) AS shared, need
-                  FROM blocks, t),
-        best AS (SELECT *, shared / size AS containment, row_number() OVER (PARTITION BY doc_id, pos, lo
-                        ORDER BY shared / size DESC, size DESC, template) AS place FROM found WHERE shared >= need),
-        m AS (SELECT doc_id, list(label) AS labels, max(containment) AS score FROM best WHERE place = 1 GROUP BY doc_id)
+        steps AS (SELECT DISTINCT step FROM t),
+        blocks AS (SELECT doc_id, before + lo AS lo, least(len(words) - lo, {BLOCK_WORDS}) AS n, 0 AS span, list_distinct(words[lo + 1 : lo + {BLOCK_WORDS}]) AS block
+                   FROM (SELECT *, unnest(range(0, greatest(1, len(words) - {half}), {half})) AS lo FROM placed)
+                   UNION ALL
+                   SELECT doc_id, lo, least(2 * step, len(words) - lo) AS n, step AS span, list_distinct(words[lo + 1 : lo + 2 * step]) AS block
+                   FROM (SELECT *, unnest(range(0, greatest(1, CAST(ceil(len(words) / step) AS BIGINT) - 1) * step, step)) AS lo FROM d, steps)),
+        found AS (SELECT doc_id, lo, n, span, template, label, len(own) AS size, list_intersect(own, block) AS common, need
+                  FROM blocks, t WHERE span = 0 OR span = step),
+        met AS (SELECT *, len(common) / size AS containment FROM found WHERE len(common) >= need),
+        telling AS (SELECT * FROM met m WHERE NOT EXISTS (
+            SELECT 1 FROM met b WHERE b.doc_id = m.doc_id AND list_has_all(b.common, m.common) AND (
+              (b.lo = m.lo AND b.n = m.n AND b.span = m.span
+               AND (b.containment > m.containment OR b.containment = m.containment AND (b.size > m.size OR b.size = m.size AND b.template < m.template)))
+              OR (b.containment > m.containment AND b.lo < m.lo + m.n AND b.lo + b.n > m.lo)))),
+        m AS (SELECT doc_id, list(label) AS labels, max(containment) AS score FROM telling GROUP BY doc_id)
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
                array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
                array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(labels, [])))), ',') AS labels,

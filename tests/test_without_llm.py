@@ -17,6 +17,13 @@ def test_entry_imports_without_the_llm_folders():
     assert done.returncode == 0, done.stderr
 
 
+def test_entry_imports_without_the_llm_libraries():
+    for name in ("xxhash", "public_tokenizers", "zstandard"):
+        code = f"import sys; sys.modules['{name}'] = None\nimport __spark_entry__ as e; assert 'metric_daily' in e.queries() and 'pipeline' not in e.queries()"
+        done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
+
+
 def test_nothing_outside_imports_llm():
     for folder, _, files in os.walk(os.path.join(ROOT, "gridpulse")):
         if os.sep + "llm" in folder:

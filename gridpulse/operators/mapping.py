@@ -158,13 +158,15 @@ def _grams(names: DataFrame, col: str) -> DataFrame:
         return F.when(n < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2))))
 
     def of_kind(grams: Column, kind: int) -> Column:
-        return F.transform(grams, lambda g: F.struct(F.lit(kind).alias("kind"), g.alias("gram")))
+        def numbered(gram: Column, i: Column) -> Column:
+            nth = F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda g: g == gram))
+            return F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), nth.alias("nth"))
+
+        return F.transform(grams, numbered)
 
     found = [of_kind(pairs(text), k) for k, text in enumerate(_forms(col))]
     found += [of_kind(F.array_distinct(_words(col)), WORD), of_kind(F.array_distinct(F.split(col, "")), CHARACTER)]
-    rows = names.select("state", col, F.explode(F.concat(*found)).alias("x")).select("state", col, "x.*")
-    nth = F.row_number().over(Window.partitionBy("state", col, "kind", "gram").orderBy("gram"))
-    return rows.withColumn("nth", nth)
+    return names.select("state", col, F.explode(F.concat(*found)).alias("x")).select("state", col, "x.*")
 
 
 def may_reach(a: str, b: str, shared: Sequence[Column], min_score: float) -> Column:

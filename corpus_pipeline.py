@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import fold_share, spool
@@ -18,17 +20,28 @@ from gridpulse.llm.language_id import UND, identify_language
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.packing import pack
 from gridpulse.llm.simhash_dedup import simhash_classes
+from gridpulse.session import maybe_broadcast, unique_scratch
 
 # A text whose n-grams lie further from every profile is in none of the learnt languages.
 LEAST_SCORE = 0.15
-# Key of a stage's rows.
-ROW = "__row"
+# Key of a stage's rows, and what it is made of: a file's number and the row's place in the file.
+ROW, FILE, PLACE = "__row", "__file", "__place"
+PLACE_BITS = 40
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a key of their own, ``ROW``, written out so that it never
-    changes: ids may be null or repeated, and decisions belong to rows."""
-    return spool(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    """The rows with a key of their own, ``ROW``: ids may be null or repeated,
+    and decisions belong to rows.  Parquet files number their rows, so the key
+    is the same whenever the files are read again and nothing is copied; rows
+    from elsewhere are written out with their key."""
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(PLACE))
+    except AnalysisException:
+        return spool(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    number = F.row_number().over(W.orderBy(FILE)).cast("long")
+    files = spool(placed.select(FILE).distinct().select(FILE, number.alias("__number")), "pipeline-files")
+    key = F.shiftleft("__number", PLACE_BITS) + F.col(PLACE)
+    return placed.join(maybe_broadcast(files), FILE).select(*[placed[c] for c in docs.columns], key.alias(ROW))
 
 
 def _keep(docs: DataFrame, rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -48,7 +61,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more documents (rows) share."""
     rows = _keyed(docs)
     kept = line_dedup(rows, min_docs=10, min_chars=1, id_col=ROW).where("n_dropped > 0")
-    kept = spool(kept.select(F.col("doc_id").alias(ROW), F.col("text").alias("__kept")), "pipeline-lines")
+    kept = kept.select(F.col("doc_id").alias(ROW), F.col("text").alias("__kept"))
     joined = rows.join(kept, ROW, "left")
     text = F.coalesce("__kept", rows["text"])
     out = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)}
@@ -90,8 +103,20 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and
+    read again; a stage's rows go once the next stage's are written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = spool(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = unique_scratch(spark, f"llm/pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            _remove(spark, before)
+        before = path
     return docs
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

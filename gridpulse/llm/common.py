@@ -49,6 +49,13 @@ def spool(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spool_narrow(df: DataFrame, name: str) -> DataFrame:
+    """``spool`` for rows of a few numbers: an eighth of the shuffle partitions
+    hold them, so that many rounds of small tables do not become many files."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spool(df.coalesce(max(1, parts // 8)), name)
+
+
 def fold_share(id_col: Column | str, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo ``folds`` (a null id counts as fold 0)."""
     col = F.col(id_col) if isinstance(id_col, str) else id_col

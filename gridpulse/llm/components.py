@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import spool
+from gridpulse.llm.common import spool_narrow
 
 
 def _state(links: DataFrame) -> tuple[int, int]:
@@ -24,20 +24,20 @@ def _state(links: DataFrame) -> tuple[int, int]:
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b: long, not null)."""
     down = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    down = spool(down, "cc-links")
+    down = spool_narrow(down, "cc-links")
     before = _state(down)
     for _ in range(max_rounds):
         if before[0] == 0:
             break
         both = down.union(down.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = spool(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "cc-large")
+        least = spool_narrow(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "cc-large")
         # Large star: a node's larger neighbours move to its smallest.
         large = down.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = spool(large.distinct(), "cc-star")
-        least = spool(large.groupBy("a").agg(F.min("b").alias("m")), "cc-small")
+        large = spool_narrow(large.distinct(), "cc-star")
+        least = spool_narrow(large.groupBy("a").agg(F.min("b").alias("m")), "cc-small")
         # Small star: a node and its smaller neighbours move to the smallest of them.
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = spool(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "cc-links")
+        down = spool_narrow(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "cc-links")
         now = _state(down)
         if now == before:
             break

@@ -93,7 +93,9 @@ def job_daily(
     """job_daily: feeds -> standardize -> events -> metrics -> FIPS ->
     history upsert + dashboard.  Every requested (state, day) gets one row
     per master county (fillers when nothing was reported)."""
-    raw, groups, county_map, master, fips, served = _inputs(spark, inp, as_of, stale_days)
+    # The days of a run are parameters; landed rows of other days are not read.
+    days = [r.report_date for r in run_keys.select("report_date").distinct().collect()] if inp.landing else None
+    raw, groups, county_map, master, fips, served = _inputs(spark, inp, as_of, stale_days, days)
     if raw is None:
         raise ValueError("no usable feed files")
     std = standardize(raw, county_map, run_keys=run_keys)
@@ -161,7 +163,9 @@ def job_backfill(
     ``out_root`` does what is not done yet: pairs in the ledger that have not
     failed are left out by an anti-join.
     """
-    raw, groups, county_map, master, fips, served = _inputs(spark, inp)
+    first, last = (d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in (start, end))
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    raw, groups, county_map, master, fips, served = _inputs(spark, inp, days=days)
     if raw is None:
         raise ValueError("no usable feed files")
     wanted = spark.createDataFrame([(s.strip().lower(),) for s in states], "state string").select(

@@ -100,6 +100,8 @@ def test_jobs_over_landed_feeds_give_the_same(spark, inputs):
     jobs.job_daily(spark, landed, keys, out_root=f"{root}/b")
     rows = [sorted(map(tuple, read_dashboard(spark, f"{root}/{x}/dashboard").collect()), key=str) for x in "ab"]
     assert rows[0] == rows[1] and len(rows[0]) == 6
+    back = [jobs.job_backfill(spark, x, ["ga"], "2025-05-01", "2025-05-02", out_root=f"{root}/bf-{n}") for n, x in (("a", inp), ("b", landed))]
+    assert len({tuple(sorted(map(tuple, r.history.collect()), key=str)) for r in back}) == 1
     # a saved result against another one
     assert jobs.job_compare(spark, f"{root}/a/dashboard", f"{root}/b/dashboard", how="full").count() == 0
     jobs.job_daily(spark, landed, jobs.run_keys_for(spark, ["GA"], ["2025-05-01"]), out_root=f"{root}/c")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.constants import GAP_MINUTES, KEY
-from gridpulse.operators.sessionize import DEFAULT_ORDER, MINUTE, event_number, in_minutes, starts_event, value_before
+from gridpulse.operators.sessionize import DEFAULT_ORDER, SLICE, event_number, in_slices, starts_event, value_before
 from gridpulse.session import maybe_broadcast
 
 EVENT_COLUMNS = (
@@ -34,7 +34,7 @@ def build_events(
 
     upper = sum of positive steps, lower = largest report, served = largest
     served value, first/last time, emc of the earliest report with an emc.
-    Reports are summed up per (key, minute) first; the minutes of a key are
+    Reports are summed up per (key, second) first; the seconds of a key are
     then joined into events (see ``sessionize``).  Reports are shuffled once.
 
     By default all providers of a county are interleaved in one time line, as
@@ -42,8 +42,8 @@ def build_events(
     separately.
     """
     keys = list(keys) + (["emc"] if by_provider else [])
-    part = [*keys, MINUTE]
-    rows = in_minutes(reports, keys, "ts", "affected", order, gap_minutes)
+    part = [*keys, SLICE]
+    rows = in_slices(reports, keys, "ts", "affected", order, gap_minutes)
     step = F.when(F.col("_first"), F.lit(0.0)).otherwise(F.greatest(F.col("affected") - F.col("_pv"), F.lit(0.0)))
     sums = [
         F.max("affected").alias("lower"),
@@ -57,12 +57,12 @@ def build_events(
         F.max(F.when(F.col("_last"), F.col("affected"))).alias("_v1"),
     ]
     if not by_provider:
-        # the window has the rows in order: the first provider is the minute's, for every row
+        # the window has the rows in order: the first provider is the slice's, for every row
         whole = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         rows = rows.withColumn("_emc", F.first("emc", ignorenulls=True).over(whole))
         sums.append(F.max("_emc").alias("_emc"))
-    minutes = rows.groupBy(*part).agg(*sums)
-    minutes = minutes.select(
+    slices = rows.groupBy(*part).agg(*sums)
+    slices = slices.select(
         "*", starts_event("start_time", "end_time", keys, gap_minutes).alias("_new"), value_before("_v1", keys).alias("_carried")
     ).withColumn("event_id", event_number("_new", keys))
     before = F.when(F.col("_new"), F.lit(0.0)).otherwise(F.col("_carried"))
@@ -76,8 +76,8 @@ def build_events(
         F.sum("sum_affected").alias("sum_affected"),
     ]
     if not by_provider:
-        joined.append(F.min_by("_emc", F.when(F.col("_emc").isNotNull(), F.col(MINUTE))).alias("emc"))
-    events = minutes.groupBy(*keys, "event_id").agg(*joined)
+        joined.append(F.min_by("_emc", F.when(F.col("_emc").isNotNull(), F.col(SLICE))).alias("emc"))
+    events = slices.groupBy(*keys, "event_id").agg(*joined)
     return events.select(
         *[c for c in keys if c != "emc"],
         "event_id",

@@ -5,13 +5,14 @@ than ``gap_minutes`` (or the first report) starts a new event.  Each row
 gets its event number, the previous ``affected`` value inside the event
 (0 at the start) and the clipped positive step.
 
-One method serves every size.  Reports are windowed per (key, minute): a gap
-of an hour cannot fall inside a minute, so a minute's reports always belong
-to one event and only its first and last report matter to the others.  One
-summary row per minute (at most 1,440 per county and day, however many
-reports there are) is windowed per key to find the events and what each
-minute carries in.  A county that holds a third of all reports is so spread
-over its minutes; nothing is measured, collected or switched beforehand.
+One method serves every size.  Reports are windowed per (key, slice), a slice
+being a second: a gap of an hour cannot fall inside a slice, so a slice's
+reports always belong to one event and only its first and last report matter
+to the others.  One summary row per slice with reports is windowed per key to
+find the events and what each slice carries in from the one before.  A county
+that holds a third of all reports, or a burst of reports within a minute, is
+so spread over its seconds, and a key's window sees 86,400 rows a day at most;
+nothing is measured, collected or switched beforehand.
 """
 
 from __future__ import annotations
@@ -25,18 +26,18 @@ from gridpulse.constants import GAP_MINUTES, KEY
 from gridpulse.functions.time import micros_between
 
 DEFAULT_ORDER = ("ts", "emc", "source_file", "row_id")
-MINUTE = "_minute"
+SLICE, SLICE_SECONDS = "_slice", 1
 
 
-def in_minutes(reports: DataFrame, keys: Sequence[str], ts: str, value: str, order: Sequence[str], gap_minutes: int) -> DataFrame:
-    """Reports with their minute, the value before them in it (``_pv``) and
+def in_slices(reports: DataFrame, keys: Sequence[str], ts: str, value: str, order: Sequence[str], gap_minutes: int) -> DataFrame:
+    """Reports with their slice, the value before them in it (``_pv``) and
     whether they are its ``_first`` or ``_last`` report."""
     if gap_minutes < 1:
         raise ValueError("gap_minutes must be at least 1")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    minute = F.floor(micros_between(epoch, F.col(ts)) / F.lit(60_000_000)).cast("long")
-    w = Window.partitionBy(*keys, MINUTE).orderBy(*order)
-    return reports.withColumn(MINUTE, minute).select(
+    nth = F.floor(micros_between(epoch, F.col(ts)) / F.lit(1_000_000 * SLICE_SECONDS)).cast("long")
+    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    return reports.withColumn(SLICE, nth).select(
         "*",
         F.lag(value).over(w).alias("_pv"),
         F.lag(ts).over(w).isNull().alias("_first"),
@@ -45,20 +46,20 @@ def in_minutes(reports: DataFrame, keys: Sequence[str], ts: str, value: str, ord
 
 
 def starts_event(first_ts: str, last_ts: str, keys: Sequence[str], gap_minutes: int) -> Column:
-    """Whether a minute starts a new event, given its first and last time."""
-    before = F.lag(last_ts).over(Window.partitionBy(*keys).orderBy(MINUTE))
+    """Whether a slice starts a new event, given its first and last time."""
+    before = F.lag(last_ts).over(Window.partitionBy(*keys).orderBy(SLICE))
     return before.isNull() | ((F.col(first_ts) - before) > F.expr(f"INTERVAL '{int(gap_minutes)}' MINUTE"))
 
 
 def event_number(is_new: str, keys: Sequence[str]) -> Column:
-    """Running count of event starts over a key's minutes."""
-    running = Window.partitionBy(*keys).orderBy(MINUTE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Running count of event starts over a key's slices."""
+    running = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.sum(F.col(is_new).cast("long")).over(running)
 
 
 def value_before(last_value: str, keys: Sequence[str]) -> Column:
-    """The last value of the key's minute before."""
-    return F.lag(last_value).over(Window.partitionBy(*keys).orderBy(MINUTE))
+    """The last value of the key's slice before."""
+    return F.lag(last_value).over(Window.partitionBy(*keys).orderBy(SLICE))
 
 
 def sessionize(
@@ -76,25 +77,25 @@ def sessionize(
     ``order`` must end in a unique tie-breaker so the result is deterministic.
     """
     keys = list(keys)
-    part = [*keys, MINUTE]
+    part = [*keys, SLICE]
     within = Window.partitionBy(*part).orderBy(*order)
-    rows = in_minutes(reports, keys, ts, value, order, gap_minutes).withColumn("_pt", F.lag(ts).over(within))
-    minutes = rows.groupBy(*part).agg(
+    rows = in_slices(reports, keys, ts, value, order, gap_minutes).withColumn("_pt", F.lag(ts).over(within))
+    slices = rows.groupBy(*part).agg(
         F.min(ts).alias("_t0"),
         F.max(ts).alias("_t1"),
         F.max(F.when(F.col("_last"), F.col(value))).alias("_v1"),
     )
-    minutes = minutes.select(
+    slices = slices.select(
         *part,
         starts_event("_t0", "_t1", keys, gap_minutes).alias("_new"),
         value_before("_t1", keys).alias("_carried_ts"),
         value_before("_v1", keys).alias("_carried"),
     )
-    minutes = minutes.withColumn("event_id", event_number("_new", keys))
+    slices = slices.withColumn("event_id", event_number("_new", keys))
     is_new = F.col("_first") & F.col("_new")
     before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_pv"))
     prev = F.when(is_new, F.lit(0.0)).otherwise(before).cast("double")
-    return rows.join(minutes, part).select(
+    return rows.join(slices, part).select(
         *reports.columns,
         is_new.alias("is_new"),
         "event_id",

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gridpulse.operators.events import build_events
-from gridpulse.operators.sessionize import sessionize
+from gridpulse.operators.sessionize import DEFAULT_ORDER, SLICE, in_slices, sessionize
 from gridpulse.sources import adapter
 from conftest import SF_MID
 
@@ -59,7 +59,7 @@ def same(a, b):
     return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_minutes_give_the_single_window_result(spark):
+def test_slices_give_the_single_window_result(spark):
     reports = adapter.outage_reports(spark, SF_MID)
     assert same(sessionize(reports).select(*COLS), single_window(reports).select(*COLS))
 
@@ -107,3 +107,20 @@ def test_dst_session_time_zone_does_not_shift_gaps(spark):
         assert [r.event_id for r in sessionize(df).orderBy("ts").collect()] == [1, 1, 1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_a_burst_within_one_minute_is_split(spark):
+    """20,000 reports of one county in one minute, many at the same time: no window holds more than a second of them."""
+    at = F.timestamp_micros(F.lit(1_746_093_600_000_000) + (F.col("id") % 7000) * 8571).cast("timestamp_ntz")
+    burst = spark.range(20_000).select(
+        F.lit("ga").alias("state"), F.lit("2025-05-01").cast("date").alias("report_date"), F.lit("fulton").alias("county"),
+        F.concat(F.lit("e"), F.col("id") % 3).alias("emc"), at.alias("ts"), (F.col("id") * 7919 % 101).cast("double").alias("affected"),
+        F.lit(100.0).alias("customers_served"), F.lit("f.csv").alias("source_file"), F.xxhash64("id").alias("row_id"))
+    reports = burst.union(spark.createDataFrame(_rows([("09:00", 3), ("09:59", 4), ("11:30", 5)]), SCHEMA)).cache()
+    assert same(sessionize(reports).select(*COLS), single_window(reports).select(*COLS))
+    sizes = in_slices(reports, ["state", "report_date", "county"], "ts", "affected", DEFAULT_ORDER, 59).groupBy(SLICE).count()
+    assert sizes.count() > 50 and sizes.agg({"count": "max"}).first()[0] < 20_000 / 40
+    ev = build_events(reports).orderBy("event_id").collect()
+    assert [e.n_reports for e in ev] == [20_002, 1]
+    upper = single_window(reports).groupBy("event_id").agg(F.sum("delta").alias("u")).orderBy("event_id").collect()
+    assert [e.upper for e in ev] == [r.u for r in upper]

@@ -30,7 +30,7 @@ def _feeds(spark, sf, drop_null_provider=True):
     return paths, df, groups
 
 
-def _landed(spark, sf):
+def landed_feeds(spark, sf):
     """The landing of the feeds, up to date: one run for each delivery the first time, only a listing later on."""
     paths = ensure_fixture(spark, sf)
     maps = _maps(spark, paths)
@@ -49,14 +49,14 @@ def _layout(uri) -> F.Column:
 @query("scan_file_manifest")
 def q_manifest(spark, sf):
     """The feed files by state, layout and what the second delivery changed, with their records."""
-    files = _landed(spark, sf)[1].files()
+    files = landed_feeds(spark, sf)[1].files()
     return files.groupBy("state", _layout("uri").alias("layout"), "change").agg(F.sum(F.col("n_lines") - 1).alias("n_records"))
 
 
 @query("scan_stale_filter")
 def q_stale(spark, sf):
     """Records of the files that are not stale two days after the first delivery."""
-    paths, landing, _ = _landed(spark, sf)
+    paths, landing, _ = landed_feeds(spark, sf)
     as_of = first_delivery(spark, paths) + dt.timedelta(days=2, microseconds=1)
     fresh = feeds.stale_filter(landing.files(), as_of, 2)
     return fresh.groupBy("state", _layout("uri").alias("layout")).agg(F.sum(F.col("n_lines") - 1).alias("n_records"))
@@ -84,7 +84,7 @@ def q_union(spark, sf):
 
 def _layouts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """The layouts of all feed files, and the column map."""
-    paths, landing, _ = _landed(spark, sf)
+    paths, landing, _ = landed_feeds(spark, sf)
     return header_plan.layouts(landing.files()), lookups.read_col_map(spark, paths.mappings)
 
 
@@ -123,7 +123,7 @@ def q_full_history(spark, sf):
 @query("scan_recent_slice")
 def q_recent_slice(spark, sf):
     """The rows of the last two days, from their partitions alone."""
-    _, landing, maps = _landed(spark, sf)
+    _, landing, maps = landed_feeds(spark, sf)
     return landing.read(maps, days=landing.recent_days(2)).drop("source_file", "row_id")
 
 
@@ -183,7 +183,7 @@ def q_lookup_settings(spark, sf):
     """Retrieval settings as used: defaults under the overrides of the
     settings file, with every state's feed bytes and whether they are above
     the partial-read size."""
-    paths, landing, _ = _landed(spark, sf)
+    paths, landing, _ = landed_feeds(spark, sf)
     sizes = landing.files().groupBy("state").agg(F.sum("data_bytes").alias("data_bytes"))
     joined = sizes.join(_settings(spark, paths, sizes), "state", "left")
     return joined.withColumn("above_threshold", F.col("use_optimization") & (F.col("data_bytes") > F.col("threshold_bytes")))
@@ -194,7 +194,7 @@ def q_lookup_settings(spark, sf):
 def q_file_utilization(spark, sf):
     """Share of the newest day in the rows of every layout, from the
     landing's counters; no feed file is opened."""
-    paths, landing, _ = _landed(spark, sf)
+    paths, landing, _ = landed_feeds(spark, sf)
     counters = file_counters(landing).withColumn("layout", _layout("source_file"))
     settings = _settings(spark, paths, counters)
     return quality.file_utilization(counters, settings, landing.recent_days(1)[0], by=("state", "layout"), size="data_bytes")
@@ -204,7 +204,7 @@ def q_file_utilization(spark, sf):
 def q_bytes_summary(spark, sf):
     """Bytes of records available and read two days after the first
     delivery, from the landing's counters."""
-    paths, landing, _ = _landed(spark, sf)
+    paths, landing, _ = landed_feeds(spark, sf)
     as_of = first_delivery(spark, paths) + dt.timedelta(days=2, microseconds=1)
     files = landing.files().withColumns({"bytes": F.col("data_bytes"), "is_feed": F.lit(True)})
     return feeds.bytes_summary(files, as_of, 2).drop("files_available", "files_read")

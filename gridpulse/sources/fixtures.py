@@ -72,7 +72,7 @@ def _tag(spark: SparkSession, sf_dir: str) -> str:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tables)
     seen = files.select("path", "length", "modificationTime").collect()
     # the suffix versions the fixture layout: a changed generator writes anew
-    return hashlib.sha1(repr(sorted(map(tuple, seen))).encode()).hexdigest()[:16] + "-v5"
+    return hashlib.sha1(repr(sorted(map(tuple, seen))).encode()).hexdigest()[:16] + "-v6"
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str) -> FixturePaths:

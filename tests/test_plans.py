@@ -12,7 +12,7 @@ def test_flagship_plan_shape(spark):
     plan = _plan(E.queries()["metric_daily"](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "props" not in plan                         # unused column never read
-    assert "_minute" in plan                           # reports are windowed per (key, minute)
+    assert "_slice" in plan                            # reports are windowed per (key, second)
     assert plan.count("events.parquet") <= 3           # the reports, the days to report on, the served history
 
 
@@ -35,3 +35,9 @@ def test_fuzzy_match_has_no_cross_product(spark):
 def test_spine_is_an_equi_join(spark):
     plan = _plan(E.queries()["join_county_spine"](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_comparison_is_one_pass(spark):
+    for name in ("join_compare", "qa_compare_tolerance"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("events.parquet") <= 3       # as many scans as one run has

@@ -8,10 +8,12 @@ short history (the last very common word, or the last two bytes of a spelled
 word) and a long one (the last word, or the last four bytes), each smoothed
 towards the next shorter one and at last towards the code tree's own weights.
 The predictions of both histories and of the tree are mixed in the logistic
-domain with weights that a gate chooses (kind of symbol and confidence of the
-two histories) and that learn online while the text is read; an adaptive map
-then refines the mixed probability.  Mixing state runs from a text's first
-decision to its last.  The negative logarithms add up to the text's total
+domain with weights that a gate chooses (by the confidence of the two
+histories) and that learn online while the text is read; an adaptive map then
+refines the mixed probability.  The words of a text and the letters of its
+spelled words are two streams, each with mixing weights and a map of its own,
+which start from the same constants and run from the stream's first decision
+to its last.  The negative logarithms add up to the text's total
 bits, with bits per byte beside them.  Texts are computed side by side;
 weights learn in steps of ``STEP``.
 

@@ -30,13 +30,19 @@ def _feeds(spark, sf, drop_null_provider=True):
     return paths, df, groups
 
 
-def landed_feeds(spark, sf):
-    """The landing of the feeds, up to date: one run for each delivery the first time, only a listing later on."""
+def first_landed(spark, sf):
+    """The landing of the feeds with the first delivery at least."""
     paths = ensure_fixture(spark, sf)
-    maps = _maps(spark, paths)
     landing = Landing(spark, paths.landing)
     if landing.files() is None:
-        landing.land(paths.feeds, maps, until=first_delivery(spark, paths))
+        landing.land(paths.feeds, _maps(spark, paths), until=first_delivery(spark, paths))
+    return paths, landing
+
+
+def landed_feeds(spark, sf):
+    """The landing of the feeds, up to date: one run for each delivery the first time, only a listing later on."""
+    paths, landing = first_landed(spark, sf)
+    maps = _maps(spark, paths)
     landing.land(paths.feeds, maps)
     return paths, landing, maps
 

@@ -137,9 +137,9 @@ def q_sink_history(spark, sf):
 
 # ---------------------------------------------------------------------- jobs --
 def _fixture_inputs(spark, sf):
-    from gridpulse.plans.queries_files import landed_feeds
+    from gridpulse.plans.queries_files import first_landed
 
-    p = landed_feeds(spark, sf)[0]
+    p = first_landed(spark, sf)[0]
     return jobs.Inputs(p.feeds, p.mappings, p.fips, f"{p.served}/*_customers_served.csv", p.landing, p.settings)
 
 

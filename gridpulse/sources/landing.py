@@ -82,11 +82,13 @@ class Landing:
         run = self.commits.last()[1]
         return None if run is None else self._table("days", run)
 
-    def refresh_files(self, root: str, run: str, until=None) -> DataFrame:
+    def listing(self, root: str, until=None) -> DataFrame:
+        """The feed files under ``root`` as they are now, those modified by ``until`` if given."""
+        found = feeds.file_manifest(self.spark, root).where("is_feed").drop("is_feed")
+        return found if until is None else found.where(F.col("modified") <= F.lit(until))
+
+    def refresh_files(self, listing: DataFrame, run: str) -> DataFrame:
         """Take the snapshot of a run: profiles of unchanged files are kept, only others are opened."""
-        listing = feeds.file_manifest(self.spark, root).where("is_feed").drop("is_feed")
-        if until is not None:
-            listing = listing.where(F.col("modified") <= F.lit(until))
         last = self.files()
         marked = listing.join(changes(listing, last), "uri")
         # The listing is on the driver already; so are the names of the files to open.
@@ -102,16 +104,16 @@ class Landing:
         the feeds under ``root`` (those modified by ``until``, if given).
         Returns the (state, day) pairs whose partitions were written anew.
         Rows without a provider or a parsable time are landed too."""
+        listing = self.listing(root, until)
+        last_files, last_days = self.files(), self.days()
+        if last_files is not None and changes(listing, last_files).where("change <> 'same'").isEmpty():
+            return self.spark.createDataFrame([], "state string, day string")
         run = self.commits.new_run()
         last_run = self.commits.last()[1]
-        last_files, last_days = self.files(), self.days()
-        files = self.refresh_files(root, run, until)
+        files = self.refresh_files(listing, run)
         gone = changes(files, last_files).where("change = 'removed'").select("uri")
         opened = files.where("change <> 'same'")
         paths = {r.path for r in opened.select("path").collect()}
-        if last_run is not None and not paths and gone.isEmpty():
-            self.commits.remove(f"files/run={run}")
-            return self.spark.createDataFrame([], "state string, day string")
         left = opened.select("uri").union(gone)  # files whose old rows no longer count
         groups = feeds.header_groups(files, files, col_maps)
         raw = feeds.read_planned(self.spark, groups, paths, require_provider=False, drop_null_provider=False)

@@ -12,11 +12,12 @@ likely similarity lies decisively below the threshold is dismissed, every
 other one is verified on the full sets.
 
 Equal sets collapse before anything else and stand as one node.  A band's
-bucket is never paired out.  Two rounds test for every node the member it
-shares most buckets with, among its buckets' first ones, which joins a group
-of near copies along a star.  What then still holds several components is
-searched whole, in blocks of bounded size, for links between different
-components, and returns a spanning forest of them.  So components are those of
+bucket is never paired out.  First every node is tested with one member of
+its buckets, of their first ones the one it shares most buckets with; this
+joins most of a group of near copies along a star.  Classes that then still
+meet in some bucket form clusters; every set goes once to its cluster, which
+is searched whole, in blocks of bounded size, for links between different
+classes, and returns a spanning forest of them.  So components are those of
 all candidate pairs, and no pair is left out because its bucket is large.
 """
 
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import id_and_text, spool
+from gridpulse.llm.common import id_and_text, spool, spool_narrow
 from gridpulse.llm.components import components
 
 # A pair at similarity 0.8 is in no common bucket with a probability of 6e-7.
@@ -39,15 +40,29 @@ BANDS, ROWS = 36, 5
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 SEED = 42
 # Shingles whose registers are computed at once.
-STEP = 1 << 11
+STEP = 1 << 8
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+# Words whose hashes a worker keeps.
+WORDS_KEPT = 400_000
 # A pair is dismissed if its best likelihood is larger by this factor's logarithm than that at the threshold.
 DECISIVE = 16.0
-# Sets of a block of a bucket.
-BLOCK = 512
+# Sets of a block of a cluster.
+BLOCK = 1024
 
-_rng = np.random.Generator(np.random.PCG64(SEED))
-_FACTORS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+_FACTORS = np.random.Generator(np.random.PCG64(SEED)).integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+class _WordHashes(dict):
+    """64-bit hashes of words; keeps those it has computed while there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word, SEED)
+        if len(self) < WORDS_KEPT:
+            self[word] = h
+        return h
+
+
+_HASHES = _WordHashes()
 
 
 def shingle_set(text: str, width: int) -> np.ndarray:
@@ -55,22 +70,24 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    own = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     n = max(1, len(words) - width + 1)
-    starts = [0, *(ends[: n - 1] + 1).tolist()]
-    stops = ends[min(width, len(words)) - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64))
+    h = np.full(n, min(width, len(words)), np.uint64)
+    for k in range(min(width, len(words))):
+        h = (h + own[k : k + n]) * _MIX
+        h ^= h >> np.uint64(32)
+    return np.unique(h)
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """SetSketch registers of a set that is not empty."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
-    for lo in range(0, len(shingles), STEP):
-        np.minimum(least, (shingles[lo : lo + STEP, None] * _FACTORS + _OFFSETS).min(axis=0), out=least)
-    share = (least.astype(np.float64) + 0.5) / 2.0**64
-    x = -np.log1p(-np.minimum(share, 1 - 2.0**-53)) / RATE
+    """SetSketch registers of a set that is not empty.  The values of a
+    register are the low 32 bits of the hashes times an odd number."""
+    low = shingles.astype(np.uint32)[:, None]
+    least = np.full(len(_FACTORS), np.iinfo(np.uint32).max, np.uint32)
+    for lo in range(0, len(low), STEP):
+        np.minimum(least, (low[lo : lo + STEP] * _FACTORS).min(axis=0), out=least)
+    share = (least + 0.5) / 2.0**32
+    x = -np.log1p(-share) / RATE
     return np.clip(np.floor(1 - np.log(x) / math.log(BASE)), 0, TOP).astype(np.uint16)
 
 
@@ -98,15 +115,16 @@ def log_likelihood(share: np.ndarray, larger: np.ndarray, smaller: np.ndarray, e
 
 def hopeless(regs: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
     """Which of ``others`` are too unlike, by size or decisively by likelihood."""
-    out = np.minimum(n, sizes) < threshold * np.maximum(n, sizes) - 1e-9
     larger, smaller = (regs > others).sum(axis=1), (regs < others).sum(axis=1)
     equal = others.shape[1] - larger - smaller
-    share = n / (n + sizes)
-    at = log_likelihood(share, larger, smaller, equal, threshold)
-    best = np.full(len(others), -np.inf)
-    for s in np.linspace(0, threshold, 33):
-        np.maximum(best, log_likelihood(share, larger, smaller, equal, s), out=best)
-    return out | (best - at > DECISIVE)
+    u = n / (n + sizes)
+    v = 1 - u
+    # The most likely similarity, which has a closed form for a base near 1.
+    b = equal * (u * u + v * v) + v * v * larger + u * u * smaller
+    root = np.sqrt(np.maximum(b * b - 4 * others.shape[1] * equal * (u * v) ** 2, 0))
+    likely = np.minimum((b - root) / (2 * others.shape[1] * u * v), threshold)
+    at, best = (log_likelihood(u, larger, smaller, equal, s) for s in (threshold, likely))
+    return (np.minimum(n, sizes) < threshold * np.maximum(n, sizes) - 1e-9) | (best - at > DECISIVE)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -149,27 +167,39 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike, with ``ok``: all pairs come back."""
+    """The pairs (a, b) whose sets are alike."""
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("regs").alias("r1"), F.col("shingles").alias("s1"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("regs").alias("r2"), F.col("shingles").alias("s2"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, ok = [], [], []
+            a, b = [], []
             for row in batch.to_pylist():
                 r1, r2 = np.frombuffer(row["r1"], np.uint16), np.frombuffer(row["r2"], np.uint16)[None, :]
-                a.append(row["a"]), b.append(row["b"])
-                ok.append(not hopeless(r1, row["n1"], r2, np.array([row["n2"]]), percent / 100)[0] and alike(np.frombuffer(row["s1"], np.uint64), np.frombuffer(row["s2"], np.uint64), percent))
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "ok": pa.array(ok, pa.bool_())})
+                if not hopeless(r1, row["n1"], r2, np.array([row["n2"]]), percent / 100)[0] and alike(np.frombuffer(row["s1"], np.uint64), np.frombuffer(row["s2"], np.uint64), percent):
+                    a.append(row["a"]), b.append(row["b"])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return pairs.join(one, "a").join(two, "b").mapInArrow(check, "a long, b long")
+
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(check, "a long, b long, ok boolean")
+def rooted(links: DataFrame) -> DataFrame:
+    """(node, label) of links (a, b) with b < a and each a once: the last node that the links of a lead to."""
+    up = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    while True:
+        above = up.select(F.col("node").alias("label"), F.col("label").alias("above"))
+        further = up.join(above, "label", "left")
+        up = spool_narrow(further.select("node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")), "setsketch-roots")
+        if up.where("moved").isEmpty():
+            return up.select("node", "label")
+        up = up.select("node", "label")
 
 
-def forest(nodes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, regs: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between nodes of different labels, enough to join what all such links join."""
-    left = np.ones(len(nodes), bool)
+def forest(labels: np.ndarray, sizes: np.ndarray, regs: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of different labels of linked sets, enough to join what all such links join."""
+    left = np.ones(len(labels), bool)
     links = []
-    for begin in range(len(nodes)):
+    for begin in range(len(labels)):
         if not left[begin]:
             continue
         frontier = np.flatnonzero(left & (labels == labels[begin])).tolist()
@@ -180,35 +210,33 @@ def forest(nodes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, regs: np.nd
             rest = rest[~hopeless(regs[at], int(sizes[at]), regs[rest], sizes[rest], percent / 100)]
             for other in rest.tolist():
                 if left[other] and alike(sets[at], sets[other], percent):
-                    links.append((int(nodes[at]), int(nodes[other])))
+                    links.append((int(labels[at]), int(labels[other])))
                     joined = np.flatnonzero(left & (labels == labels[other]))
                     left[joined] = False
                     frontier += joined.tolist()
     return links
 
 
-def bucket_links(shared: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): links between different labels inside the buckets of ``shared`` (key, node, label)."""
-    # Buckets of the same members are searched once.
-    sums = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("node") % (1 << 40)).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
-    buckets = spool(sums.groupBy("members", "s1", "s2").agg(F.min("key").alias("key")).select("key", "members"), "setsketch-buckets")
+def cluster_links(members: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): labels that links join inside the clusters of ``members`` (cluster, node, label)."""
+    sizes = spool_narrow(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")), "setsketch-clusters")
     blocks = F.ceil(F.col("members") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    met = shared.join(buckets, "key").select("key", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    grouped = met.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "label").join(sets, "node")
+    met = members.join(sizes, "cluster").select("cluster", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    grouped = met.select("cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "label").join(sets, "node").drop("node")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(held: list[dict]) -> pa.RecordBatch:
             regs = np.array([np.frombuffer(r["regs"], np.uint16) for r in held])
-            nodes, labels, sizes = (np.array([r[c] for r in held], np.int64) for c in ("node", "label", "n"))
-            links = forest(nodes, labels, sizes, regs, [np.frombuffer(r["shingles"], np.uint64) for r in held], percent)
+            labels, sizes = (np.array([r[c] for r in held], np.int64) for c in ("label", "n"))
+            links = forest(labels, sizes, regs, [np.frombuffer(r["shingles"], np.uint64) for r in held], percent)
             a, b = zip(*links, strict=True) if links else ((), ())
             return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         now, held = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                key = (row["key"], row["lo"], row["hi"])
+                key = (row["cluster"], row["lo"], row["hi"])
                 if key != now:
                     if len(held) > 1:
                         yield done(held)
@@ -217,7 +245,7 @@ def bucket_links(shared: DataFrame, sets: DataFrame, percent: int, block: int) -
         if len(held) > 1:
             yield done(held)
 
-    keys = ["key", "lo", "hi"]
+    keys = ["cluster", "lo", "hi"]
     return grouped.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(linked, "a long, b long")
 
 
@@ -226,7 +254,6 @@ def setsketch_classes(
     width: int = 5,
     percent: int = 80,
     block: int = BLOCK,
-    rounds: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -253,36 +280,25 @@ def setsketch_classes(
     distinct = full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "th", "bands")).alias("x")).select("k1", "k2", "x.*")
     distinct = spool(distinct.withColumn("node", F.monotonically_increasing_id()), "setsketch-distinct")
     members = distinct.select("node", F.explode(F.array_distinct("bands")).alias("key"))
-    met = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    met = members.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").drop("last")
     shared = spool(members.join(met, "key"), "setsketch-members")
     needed = distinct.select("node", "doc_id", "th").join(shared.select("node").distinct(), "node")
     found = texts.withColumn("th", F.xxhash64("text")).join(needed, ["doc_id", "th"]).groupBy("node").agg(F.min("text").alias("text"))
     sets = spool(full_sets(found, width), "setsketch-sets")
 
-    links, tested = None, None
-    labelled = shared.withColumn("label", F.col("node"))
-    for turn in range(rounds + 1):
-        first = labelled.groupBy("key").agg(F.min(F.struct("label", "node")).alias("first"), F.max("label").alias("last"))
-        open_buckets = first.where("first.label < last").select("key", F.col("first.label").alias("first_label"), F.col("first.node").alias("b"))
-        labelled = spool(labelled.join(open_buckets, "key"), "setsketch-open")
-        if labelled.isEmpty():
-            break
-        if turn == rounds:
-            more = spool(bucket_links(labelled.select("key", "node", "label"), sets, percent, block), "setsketch-links")
-        else:
-            votes = labelled.where("label <> first_label").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
-            if tested is not None:
-                votes = votes.join(tested, ["a", "b"], "left_anti")
-            best = votes.groupBy("a").agg(F.max(F.struct("votes", -F.col("b"))).alias("best"))
-            checked = spool(verified(best.select("a", (-F.col("best.col2")).alias("b")), sets, percent), "setsketch-checked")
-            tested = checked.select("a", "b") if tested is None else tested.union(checked.select("a", "b"))
-            more = checked.where("ok").select("a", "b")
-        links = more if links is None else links.union(more)
-        classes = spool(components(links), "setsketch-components")
-        labelled = labelled.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    answer = distinct.select("k1", "k2", "doc_id", F.col("node").alias("class"))
-    if links is not None:
-        answer = distinct.join(classes, "node", "left").select("k1", "k2", "doc_id", F.coalesce("component", "node").alias("class"))
+    votes = shared.where("node <> first").groupBy("node", "first").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("node").agg(F.max(F.struct(F.col("votes"), (-F.col("first")).alias("b"))).alias("best"))
+    stars = verified(best.select(F.col("node").alias("a"), (-F.col("best.b")).alias("b")), sets, percent)
+    labels = rooted(spool(stars, "setsketch-stars"))
+    labelled = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    several = labelled.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("first < last").drop("last")
+    labelled = spool_narrow(labelled.join(several, "key"), "setsketch-open")
+    clusters = components(labelled.select(F.col("label").alias("a"), F.col("first").alias("b")))
+    members = labelled.select("node", "label").distinct().join(clusters.select(F.col("node").alias("label"), F.col("component").alias("cluster")), "label")
+    joined = components(spool(cluster_links(members, sets, percent, block), "setsketch-links"))
+    answer = distinct.select("k1", "k2", "doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    answer = answer.join(joined.withColumnRenamed("node", "label"), "label", "left").withColumn("class", F.coalesce("component", "label"))
+    answer = spool_narrow(answer.select("k1", "k2", "doc_id", "class"), "setsketch-classes")
     ids = answer.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     answer = answer.join(ids, "class").select("k1", "k2", "component_id")
     return rows.join(answer, ["k1", "k2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -72,7 +72,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = unique_scratch(spark, "llm/token-files")
     write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1)
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_token_files(spark, path, with_ids=False)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +187,16 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
         SELECT lang, rank, phrase, a, l, r, CAST(tot.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
         FROM ranked JOIN tot USING (lang) WHERE rank <= 2000""",
+    "op12_minhash_dedup": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM w),
+        n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+        pairs AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT pairs.y, reached.root FROM reached JOIN pairs ON pairs.x = reached.doc_id),
+        c AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id)
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)""",
     "op13_hard_negatives": """
         WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v

@@ -16,6 +16,7 @@ so texts and ids are read once before the files are written.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,9 +159,10 @@ BLOCK_ARROW = pa.schema(
 )
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents
-    before it), n_tokens, ids (little-endian unsigned 32-bit, as binary)."""
+    before it), n_tokens, ids_crc32 (of the ids as below) and, unless it is
+    left out, ids (little-endian unsigned 32-bit, as binary)."""
     blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     ids = np.array([r["id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], "<u4")
     # Prefix sums in two levels: over the shards (as many as partitions wrote), then over a shard's blocks.
@@ -176,14 +178,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 lengths = np.array(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
-                raw = ids[decode_ranks(row["control"], row["data"], int(ends[-1]))].tobytes()
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                        "start": row["start"] + ends - lengths,
-                        "n_tokens": lengths,
-                        "ids": pa.array([raw[4 * (b - n) : 4 * b] for b, n in zip(ends, lengths, strict=True)], pa.binary()),
-                    }
-                )
-
-    return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
+                raw = memoryview(ids[decode_ranks(row["control"], row["data"], int(ends[-1]))]).cast("B")
+                own = [raw[4 * (b - n) : 4 * b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+                out = {
+                    "doc_id": pa.array(row["doc_ids"], pa.int64()),
+                    "start": row["start"] + ends - lengths,
+                    "n_tokens": lengths,
+                    "ids_crc32": pa.array([zlib.crc32(x) for x in own], pa.int64()),
+                }
+                if with_ids:
+                    out["ids"] = pa.array([x.tobytes() for x in own], pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
+
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    return placed.mapInArrow(decode, schema)

@@ -118,9 +118,11 @@ def test_token_files_round_trip_in_order(spark):
     for i, t in rows:
         expected.setdefault(i, []).append(np.array([*whole(t), 1], "<u4").tobytes())
     for r in got:
-        assert r.start == at and r.n_tokens * 4 == len(r.ids)
+        assert r.start == at and r.n_tokens * 4 == len(r.ids) and r.ids_crc32 == zlib.crc32(r.ids)
         at += r.n_tokens
         expected[r.doc_id].remove(bytes(r.ids))
+    short = read_token_files(spark, path, with_ids=False)
+    assert sorted(map(tuple, short.collect()), key=str) == sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got), key=str)
     empty = tempfile.mkdtemp(prefix="token-files-") + "/out"
     write_token_files(frame(spark, []), empty, public_tokenizers.path("word_bpe_49k.json"))
     assert read_token_files(spark, empty).count() == 0

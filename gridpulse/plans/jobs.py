@@ -59,7 +59,7 @@ def _rows(spark: SparkSession, inp: Inputs, as_of=None, stale_days=None, days=No
         landing = Landing(spark, inp.landing)
         landing.land(inp.feeds_root, col_maps)
         files = landing.files()
-        return landing.read(col_maps, days=days), feeds.header_groups(files, files, col_maps)
+        return landing.read(col_maps, days=days), feeds.header_groups(files, files.withColumn("wanted", F.lit(False)), col_maps)
     settings = None
     if inp.settings_path and as_of is not None:
         manifest = feeds.file_manifest(spark, inp.feeds_root)

@@ -177,18 +177,20 @@ def header_groups(
     ``headers`` are file profiles, or (uri, header) alone: then every file is
     taken for one whose records may run over several lines.
 
-    Collects one row per distinct header and state (layouts are few; the
-    file lists are the listing Spark already holds on the driver).  Groups
+    Collects one row per distinct header and state (layouts are few), with
+    the names of its files: of those alone that are ``wanted``, if the
+    manifest has such a column.  Groups
     without an exact ``timestamp`` column (scan_require_timestamp), and all
     groups of a state whose files together lack a required column
     (std_required_columns), are kept with a reason and not read.
     """
     quoted = F.col("n_odd") > 0 if "n_odd" in headers.columns else F.lit(True)
+    wanted = F.col("wanted") if "wanted" in manifest.columns else F.lit(True)
     rows = (
         headers.select("uri", "header", quoted.alias("quoted"))
-        .join(manifest.select("uri", "path", "state"), "uri")
+        .join(manifest.select("uri", "path", "state", wanted.alias("wanted")), "uri")
         .groupBy("state", "header", "quoted")
-        .agg(F.sort_array(F.collect_list(F.struct("path", "uri"))).alias("files"))
+        .agg(F.sort_array(F.collect_list(F.when(F.col("wanted"), F.struct("path", "uri")))).alias("files"))
         .orderBy("state", "header", "quoted")
         .collect()
     )

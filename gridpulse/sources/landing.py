@@ -115,7 +115,8 @@ class Landing:
         opened = files.where("change <> 'same'")
         paths = {r.path for r in opened.select("path").collect()}
         left = opened.select("uri").union(gone)  # files whose old rows no longer count
-        groups = feeds.header_groups(files, files, col_maps)
+        # All layouts count for what a state's files have; only the opened files pass the driver.
+        groups = feeds.header_groups(files, files.withColumn("wanted", F.col("change") != "same"), col_maps)
         raw = feeds.read_planned(self.spark, groups, paths, require_provider=False, drop_null_provider=False)
         if raw is None:
             raw = self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ("state", *ROW_COLUMNS[:-1])) + ", row_id long")
@@ -192,7 +193,7 @@ class Landing:
         if states is not None:
             keep = keep & F.col("state").isin([s.strip().lower() for s in states])
         files = self._table("files", run)
-        served = feeds.served_states(feeds.header_groups(files, files, col_maps))
+        served = feeds.served_states(feeds.header_groups(files, files.withColumn("wanted", F.lit(False)), col_maps))
         without = [s for s, has in served.items() if not has]
         rows = self._current(run, keep)
         rows = rows.withColumn("_impute", F.col("state").isin(without)).withColumn("report_date", F.col("day").try_cast("date")).drop("day")

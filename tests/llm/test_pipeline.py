@@ -1,6 +1,7 @@
 """The pipeline against a brute-force version, stage by stage."""
 
 import sys
+import tempfile
 from collections import Counter
 
 import public_tokenizers
@@ -109,3 +110,18 @@ def test_empty_documents_go_through(spark, documents):
 def test_stage_list_and_tokenizer():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "decontamination", "packing"]
     assert public_tokenizers.path("byte_bpe_50k.json") and "corpus_pipeline" in sys.modules
+
+
+def test_rows_of_files_are_known_by_their_place(spark, documents):
+    """Stages over Parquet files, whose rows get keys without a copy, answer like those over other rows."""
+    extra = [(None, "a common line\nthe house and the garden", "en", "x", 5), (7, "a common line\nthe house and the garden", "en", "x", 5)] * 6
+    rows = documents.union(spark.createDataFrame(extra, documents.schema)).repartition(5)
+    path = tempfile.mkdtemp(prefix="pipeline-rows-") + "/docs"
+    rows.write.parquet(path)
+    files = spark.read.parquet(path)
+    keyed = corpus_pipeline._keyed(files)
+    assert keyed.select(corpus_pipeline.ROW).distinct().count() == keyed.count() == rows.count()
+    assert sorted(map(str, keyed.drop(corpus_pipeline.ROW).collect())) == sorted(map(str, files.collect()))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = [Counter((r.doc_id, r.text) for r in stage(spark, x, SF).collect()) for x in (files, rows)]
+        assert got[0] == got[1] and got[0], name

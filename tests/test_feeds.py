@@ -231,3 +231,25 @@ def test_settings_from_a_file(spark, tmpdir_path):
     rows = {r.state: r for r in table.collect()}
     assert (rows["ga"].tail_bytes, rows["ga"].use_optimization, rows["al"].stale_threshold_days) == (1000, False, 5)
     assert rows["tx"].tail_bytes == 524288
+
+
+def test_rows_of_several_states_are_never_broadcast(spark, tmpdir_path):
+    """Files of two states read alike get their states by a join, whose small side is the list of files."""
+    root = os.path.join(tmpdir_path, "feeds")
+    for state in ("ga", "nc"):
+        _write(f"{root}/{state}/a_per_county.csv", f"timestamp,EMC,name,n_out,cust_s\n2025-05-01 10:00:00,{state},Fulton,1,2\n")
+    maps = {s: COL_MAP["ga"] for s in ("ga", "nc")}
+    df, _ = feeds.read_feeds(spark, root, maps)
+    counted = df.groupBy("state", "emc").count()  # few columns, so the rows look small
+    assert sorted(map(tuple, counted.collect())) == [("ga", "ga", 1), ("nc", "nc", 1)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
+def test_many_file_names_are_shuffled_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "BROADCAST_LIMIT_BYTES", 4)
+    rows = spark.createDataFrame([("u1", 1), ("u2", 2)], "source_file string, x int")
+    states = feeds.state_table(spark, [("u1", "ga"), ("u2", "nc")])
+    met = rows.join(states, rows["source_file"] == states["uri"])
+    assert sorted((r.state, r.x) for r in met.collect()) == [("ga", 1), ("nc", 2)]
+    assert "SortMergeJoin" in met._jdf.queryExecution().executedPlan().toString()

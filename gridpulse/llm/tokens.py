@@ -80,6 +80,9 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, self.cut(text)))
 
     def _part(self, part: str) -> bytes:
+        # Of plain characters, letters alone are one word in both patterns (only the byte pattern has the blank in it).
+        if part.isalpha():
+            return self.words[part if self.lower else " " + part]
         return self._run(" " + part)
 
     def _pieces(self, text: str) -> Iterator[str]:

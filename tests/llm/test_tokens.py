@@ -40,6 +40,17 @@ def test_cached_ids_are_the_library_s(spark, name, kind):
         assert [own.encode(t) for t in texts] == expected
 
 
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_parts_of_letters_are_not_cut(name, kind):
+    """Letters between blanks are looked up as the one word that they are; all other parts are cut by the pattern."""
+    own, cut = Encoder(public_tokenizers.path(name), kind), []
+    pattern = own.cut
+    own.cut = lambda text: cut.append(text) or pattern(text)
+    text = "first Straße \xaa\xb5\xba Éÿ it's x2 last"
+    assert own.encode(text) == np.array(library(name)(text), "<u4").tobytes()
+    assert cut == ["first", " it's", " x2"]
+
+
 def check_packing(got, ids, capacity):
     by_doc, by_sequence = {}, {}
     for r in got:

@@ -20,10 +20,16 @@ weights learn in steps of ``STEP``.
 What is learnt grows with the training texts.  The vocabulary is every word
 that occurs ``LEAST_COUNT`` times (Spark counts words; what is broadcast is a
 hash and a tree node of each), the very common words are its square root, and
-a context is counted under its exact key, in no table of a fixed size.  The
-counts are dealt over shards by key; batches of texts ask the shards for the
-contexts they need and the answers come back by batch.  Counts of the words
-beyond the vocabulary are met by an equi-join, so the base score is exact.
+a context is counted exactly, in no table of a fixed size.  What is counted,
+sent and asked for are pairs of a history and a word (or letter), not the ten
+or so decisions of each: words are numbered in the order of the code tree's
+leaves, so a node is a range of them, and a decision's counts are sums over
+ranges of a history's pairs.  The counts are dealt over shards by history;
+batches of texts ask the shards for their pairs, and the answers, counts level
+by level down the tree, come back by batch.  A short history is followed by
+nearly all words, so its top levels and each subtree below them are dealt
+apart.  Counts of the words beyond the vocabulary are met by an equi-join, so
+the base score is exact.
 """
 
 from __future__ import annotations
@@ -52,8 +58,13 @@ STEP = 32
 GATES = 16
 LEVELS = 24  # of the adaptive map
 RATE, MAP_RATE = 0.004, 0.02
-# Characters of text that are computed at once; words, and pairs of words, a task holds at once.
-BATCH, FLUSH, PAIRS = 1 << 20, 400_000, 500_000
+# Characters of text that are computed at once; words, counted pairs and asked pairs a task holds at once.
+BATCH, FLUSH, PAIRS, ASKS = 1 << 20, 400_000, 2_000_000, 400_000
+# Levels of the code tree that are dealt by short history alone.
+CROWN = 8
+# Kinds of pairs: a short history's top levels and subtrees, a long history of words; both histories of letters.
+TOP, BELOW, LONG, NEAR, FAR = range(5)
+WORD_BITS, LETTER_BITS, KIND_BITS = 30, 8, 61
 # The byte before a spelled word's first.
 START = 256
 
@@ -137,6 +148,11 @@ class Codes:
 
 def huffman(weights: list[int]) -> Codes:
     """Huffman codes; nodes are numbered by rising weight."""
+    return letter_tree(weights)[0]
+
+
+def letter_tree(weights: list[int]) -> tuple[Codes, np.ndarray, np.ndarray]:
+    """Huffman codes of few symbols, the leaves from left to right, and of all nodes the rank of the first leaf on side 1."""
     n = len(weights)
     heap = [(w, i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
@@ -147,7 +163,8 @@ def huffman(weights: list[int]) -> Codes:
         side[j] = 1
         share[node] = b / (a + b)
         heapq.heappush(heap, (a + b, n + node))
-    return climb(up, side, share, np.arange(n))
+    leaf, middle, _ = leaf_ranks(up, side)
+    return climb(up, side, share, np.arange(n)), leaf, middle
 
 
 def code_tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,14 +213,49 @@ def digests(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words), np.uint64)
 
 
-def keys_of(kind: int, history: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Exact keys of (kind, history, node): 0 and 1 short and long history of words (31 bits each part), 2 and 3 of bytes."""
-    return np.uint64(kind << 62) | history.astype(np.uint64) << np.uint64(31 if kind < 2 else 17) | node.astype(np.uint64)
+def leaf_ranks(up: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a code tree: its leaves from left (bit 0) to right, of all nodes the
+    rank of the first leaf on side 1, and of all ranks the number of the
+    subtree below the ``CROWN`` top levels (or of a leaf among them)."""
+    n = (len(up) + 1) // 2
+    # Codes are shorter than 64 bits: a longer one takes more than 10**13 words.
+    code, length, at = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.arange(n)
+    going = np.flatnonzero(up[at] >= 0)
+    while len(going):
+        code[going] |= side[at[going]].astype(np.uint64) << length[going]
+        length[going] += np.uint64(1)
+        at[going] = n + up[at[going]]
+        going = going[up[at[going]] >= 0]
+    # From the left, as the leaves stand.
+    code <<= np.where(length > 0, np.uint64(64) - length, np.uint64(0))
+    leaf = np.argsort(code)
+    rank = np.empty(n, np.int64)
+    rank[leaf] = np.arange(n)
+    middle, at = np.full(max(1, n - 1), n, np.int32), np.arange(n)
+    going = np.flatnonzero(up[at] >= 0)
+    while len(going):
+        right = going[side[at[going]] > 0]
+        np.minimum.at(middle, up[at[right]], rank[right].astype(np.int32))
+        at[going] = n + up[at[going]]
+        going = going[up[at[going]] >= 0]
+    return leaf.astype(np.int32), middle, np.cumsum(np.diff(code[leaf] >> np.uint64(64 - CROWN), prepend=np.uint64(0)) > 0).astype(np.int32)
+
+
+def pair_keys(kind: int, history: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Exact keys of (kind, history, rank of the word or letter), which sort in this order."""
+    bits = WORD_BITS if kind < NEAR else LETTER_BITS
+    return np.uint64(kind << KIND_BITS) | history.astype(np.uint64) << np.uint64(bits) | rank.astype(np.uint64)
+
+
+def spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first key that a key's history can have, and how many it can have."""
+    bits = np.where(keys < np.uint64(NEAR << KIND_BITS), np.uint64(WORD_BITS), np.uint64(LETTER_BITS))
+    return keys >> bits << bits, np.uint64(1) << bits
 
 
 def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, places of its keys) of every shard that has any."""
-    mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+    """(shard, places of its keys) of every shard that has any; a history's keys share one."""
+    mixed = spans(keys)[0] * np.uint64(0x9E3779B97F4A7C15)
     shard = ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     bounds = np.flatnonzero(np.diff(shard[order], prepend=-1))
@@ -211,29 +263,38 @@ def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(shard[order[lo]]), order[lo:hi]
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length as bytes; keys (unsigned) as differences."""
+def packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays as bytes, each with its length; keys (unsigned) as differences."""
     cut = [np.diff(x, prepend=np.uint64(0)) if x.dtype == np.uint64 else x.astype(np.min_scalar_type(x.max())) for x in arrays]
-    kinds = b"".join(b"K" if x.dtype == np.uint64 else c.dtype.char.encode() for x, c in zip(arrays, cut, strict=True))
-    return kinds + b" " + zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in cut))
+    # The bytes of a kind of difference stand together: the higher ones are nearly all zero.
+    data = [x.view(np.uint8).reshape(-1, 8).T.tobytes() if x.dtype == np.uint64 and y.dtype == np.uint64 else x.tobytes() for x, y in zip(cut, arrays, strict=True)]
+    kinds = "".join(f"{'K' if y.dtype == np.uint64 else x.dtype.char}{len(x)}," for x, y in zip(cut, arrays, strict=True))
+    return zstandard.ZstdCompressor(level=3).compress(kinds.encode() + b" " + b"".join(data))
 
 
 def unpacked(payload: bytes) -> list[np.ndarray]:
-    at = payload.index(b" ")
-    names = payload[:at].decode()
-    kinds, data = [np.dtype("u8" if c == "K" else c) for c in names], zstandard.ZstdDecompressor().decompress(payload[at + 1 :])
-    n, lo, out = len(data) // sum(k.itemsize for k in kinds), 0, []
-    for name, kind in zip(names, kinds, strict=True):
-        x = np.frombuffer(data, kind, n, lo)
-        out.append(np.cumsum(x, dtype=np.uint64) if name == "K" else x.astype(np.int64))
-        lo += n * kind.itemsize
+    data = zstandard.ZstdDecompressor().decompress(payload)
+    lo = data.index(b" ") + 1
+    out = []
+    for kind in data[: lo - 1].decode().split(",")[:-1]:
+        n = int(kind[1:])
+        if kind[0] == "K":
+            differences = np.frombuffer(data, np.uint8, 8 * n, lo).reshape(8, n).T.copy().view(np.uint64).reshape(-1)
+            out.append(np.cumsum(differences, dtype=np.uint64))
+            lo += 8 * n
+        else:
+            out.append(np.frombuffer(data, kind[0], n, lo))
+            lo += out[-1].nbytes
     return out
 
 
-def summed(keys: np.ndarray, ones: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted different keys with the sums of their counts."""
-    keys, back = np.unique(keys, return_inverse=True)
-    return keys, *(np.rint(np.bincount(back, weights=x, minlength=len(keys))).astype(np.int64) for x in (ones, seen))
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys of (keys, counts) with the sums of their counts."""
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")  # runs that are sorted already are merged
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in parts])[order].astype(np.int64), first)
 
 
 class Coder:
@@ -246,13 +307,21 @@ class Coder:
         self.escape = len(words)
         self.common = max(64, math.isqrt(len(words)))
         self.tree = code_tree(np.append(counts, escapes) + 1)
-        trees = [huffman((weights * 16 + 1).tolist()) for weights in byte_counts]
+        self.leaf, self.middle, self.subtree = leaf_ranks(*self.tree[:2])
+        self.top = np.flatnonzero(np.diff(self.subtree, prepend=-1))  # the first rank of every subtree
+        self.rank = np.empty(len(self.leaf), np.int32)
+        self.rank[self.leaf] = np.arange(len(self.leaf))
+        trees = [letter_tree((weights * 16 + 1).tolist()) for weights in byte_counts]
+        some = [t for t, *_ in trees]
         self.letters = Codes(
-            np.concatenate([t.length for t in trees]),
-            np.concatenate([t.node + np.uint32(255 * i) for i, t in enumerate(trees)]),
-            np.concatenate([t.bit for t in trees]),
-            np.concatenate([t.share for t in trees]),
+            np.concatenate([t.length for t in some]),
+            np.concatenate([t.node + np.uint32(255 * i) for i, t in enumerate(some)]),
+            np.concatenate([t.bit for t in some]),
+            np.concatenate([t.share for t in some]),
         )
+        self.letter_leaf = np.concatenate([leaf for _, leaf, _ in trees])
+        self.letter_rank = np.concatenate([np.argsort(leaf) for _, leaf, _ in trees])
+        self.letter_middle = np.concatenate([middle for *_, middle in trees])[self.letters.node]
 
     def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         """Word ids with their histories (last very common word, last word)
@@ -274,67 +343,88 @@ class Coder:
         unknown = np.flatnonzero(ids == self.escape)
         return ids, short, long, text, [flat[i] for i in unknown.tolist()], text[unknown]
 
-    def letter_stream(self, spelled: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Of all spelled words: places of the decisions, their keys for both
-        histories, and decisions of every word."""
+    def letter_pairs(self, spelled: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Of all spelled words: every letter's symbol, its keys for both histories, and its word."""
         letters, inside = spelling(spelled)
         one = before(letters, inside, 1, START)
-        back = [before(letters, inside, k, 0) for k in (1, 2, 3, 4)]
-        place, count = self.letters.decisions(one * 256 + letters)
-        node = self.letters.node[place]
-        short = back[0] | back[1] << 8
-        keys = [keys_of(k, np.repeat(h, count), node) for k, h in ((2, short), (3, short | back[2] << 16 | back[3] << 24))]
-        lengths = np.array([len(w) + 1 for w in spelled], np.int64)
-        per_word = np.add.reduceat(count, np.cumsum(lengths) - lengths) if len(lengths) else count
-        return place, *keys, per_word
-
-    def pair_keys(self, kind: int, codes: Codes, history: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of pairs (history, symbol of the codes): places of the decisions, their keys, and decisions of every pair."""
-        place, count = codes.decisions(symbols)
-        return place, keys_of(kind, np.repeat(history, count), codes.node[place]), count
-
-    def contexts(self, tokens: tuple[np.ndarray, ...], n: int) -> tuple[np.ndarray, list[tuple]]:
-        """All different keys of a batch of ``n`` texts, and of words and
-        letters (codes, places, the keys' places for both histories,
-        decisions of every text)."""
-        ids, short, long, text, spelled, owner = tokens
-        found, total, streams = [], 0, []
+        two, three, four = (before(letters, inside, k, 0) for k in (2, 3, 4))
+        symbols = one * 256 + letters
+        near = one | two << 9
+        keys = [pair_keys(kind, h, self.letter_rank[symbols]) for kind, h in ((NEAR, near), (FAR, near | three << 17 | four << 25))]
+        return symbols, keys, np.repeat(np.arange(len(spelled)), [len(w) + 1 for w in spelled])
+
+    def contexts(self, tokens: tuple[np.ndarray, ...]) -> tuple[list[np.ndarray], list[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Of a batch of texts the different keys by kind; for all words
+        (``BELOW``, ``LONG``) and letters (``NEAR``, ``FAR``) the places of
+        their keys, and for the keys of ``BELOW`` those of their keys of
+        ``TOP``, which are a subtree's first word's; the letters' symbols and
+        texts."""
+        ids, short, long, _, spelled, owner = tokens
+        rank = self.rank[ids].astype(np.int64)
+        found, places = [], []
+        history = np.minimum(short, self.common)  # the very common words, and none
+        keys, back = np.unique(pair_keys(BELOW, history << CROWN | self.subtree[rank], rank), return_inverse=True)
+        below = keys & np.uint64((1 << KIND_BITS) - 1)
+        above = (below >> np.uint64(WORD_BITS)).astype(np.int64)
+        new = np.diff(above, prepend=-1) > 0
+        found += [pair_keys(TOP, above[new] >> CROWN, self.top[above[new] & ((1 << CROWN) - 1)]), keys]
+        places += [np.cumsum(new) - 1, back]
+        keys, back = np.unique(pair_keys(LONG, long, rank), return_inverse=True)
+        found.append(keys)
+        places.append(back)
+        symbols, both, word = self.letter_pairs(spelled)
+        for keys in both:
+            keys, back = np.unique(keys, return_inverse=True)
+            found.append(keys)
+            places.append(back)
+        return found, places, (symbols, owner[word])
+
+    def counts(self, tokens: tuple[np.ndarray, ...], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All different keys of a batch, sorted, and how often each stands in the texts to learn from."""
+        found, (top, below, long, near, far), (_, owner) = self.contexts(tokens)
+        words, letters = learn[tokens[3]], learn[owner]
+        n = [np.bincount(at, weights=weights, minlength=len(keys)) for at, weights, keys in zip((below, long, near, far), (words, words, letters, letters), found[BELOW:], strict=True)]
+        n.insert(TOP, np.bincount(top, weights=n[0], minlength=len(found[TOP])))
+        return np.concatenate(found), np.rint(np.concatenate(n)).astype(np.int64)
+
+    def paths(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of keys: the places of their first decisions and how many decisions
+        they have; of all places the bit and the rank that parts the node's sides."""
+        kind = (keys >> np.uint64(KIND_BITS)).astype(np.int64)
+        word = kind < NEAR
+        different, local = np.unique((keys[word] & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64), return_inverse=True)
+        codes = climb(*self.tree, self.leaf[different])
+        letter = keys[~word]
+        symbol = ((letter >> np.uint64(LETTER_BITS)) & np.uint64(511)).astype(np.int64) * 256
+        symbol += self.letter_leaf[symbol + (letter & np.uint64(255)).astype(np.int64)]
+        first, length = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        first[word], length[word] = codes.first[local], codes.length[local]
+        first[~word], length[~word] = self.letters.first[symbol] + len(codes.bit), self.letters.length[symbol]
+        first += np.where(kind == BELOW, np.minimum(length, CROWN), 0)
+        length = np.where(kind == TOP, np.minimum(length, CROWN), np.where(kind == BELOW, np.maximum(length - CROWN, 0), length))
+        return first, length, np.concatenate((codes.bit, self.letters.bit)), np.concatenate((self.middle[codes.node], self.letter_middle))
+
+    def streams(
+        self, tokens: tuple[np.ndarray, ...], places: list[np.ndarray], letters: tuple[np.ndarray, np.ndarray], starts: list[np.ndarray], n: int
+    ) -> list[tuple]:
+        """Of words and letters of ``n`` texts (codes, places of all decisions,
+        places of their counts for both histories, decisions of every text),
+        where ``starts`` has by kind the place of every key's first count."""
+        ids, _, _, text, *_ = tokens
         different, local = np.unique(ids, return_inverse=True)
         codes = climb(*self.tree, different)
         place, count = codes.decisions(local)
-        entries = []
-        for kind, history in enumerate((short, long)):
-            pairs, back = np.unique(history * len(different) + local, return_inverse=True)
-            _, keys, per = self.pair_keys(kind, codes, *np.divmod(pairs, len(different)))
-            keys, spot = np.unique(keys, return_inverse=True)
-            starts = (np.cumsum(per) - per)[back] - (np.cumsum(count) - count)
-            entries.append(spot[np.arange(len(place)) + np.repeat(starts, count)] + total)
-            found.append(keys)
-            total += len(keys)
-        streams.append((codes, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64)))
-        place, *both, count = self.letter_stream(spelled)
-        entries = []
-        for keys in both:
-            keys, spot = np.unique(keys, return_inverse=True)
-            entries.append(spot + total)
-            found.append(keys)
-            total += len(keys)
-        streams.append((self.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64)))
-        return np.concatenate(found), streams
-
-
-def batched(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """(key, text) pairs in lists of about ``BATCH`` characters."""
-    group: list[tuple] = []
-    held = 0
-    for key, text in texts:
-        group.append((key, words_of(text)))
-        held += len(text)
-        if held >= BATCH:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+        begin = np.cumsum(count) - count
+        top, below, long, near, far = places
+        level = np.arange(len(place)) - np.repeat(begin, count)
+        high, low = starts[TOP][top][below], starts[BELOW][below] - CROWN
+        entries = [np.where(level < CROWN, np.repeat(high, count), np.repeat(low, count)) + level, np.repeat(starts[LONG][long], count) + level]
+        out = [(codes, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64))]
+        symbols, owner = letters
+        place, count = self.letters.decisions(symbols)
+        level = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
+        entries = [np.repeat(starts[kind][at], count) + level for kind, at in ((NEAR, near), (FAR, far))]
+        return [*out, (self.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64))]
 
 
 ASKED = "shard int, batch long, payload binary"
@@ -346,69 +436,118 @@ def asked_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ASKED_ARROW.types, strict=True)], schema=ASKED_ARROW)
 
 
-def count_contexts(texts: DataFrame, coder, shards: int) -> DataFrame:
-    """Counts (keys, ones, seen) of all contexts over all texts, packed, by shard, under batch -1."""
+def walk(groups: np.ndarray, paths: tuple[np.ndarray, ...], values) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Down the code tree level by level: the keys (those of a group are of
+    one history, by rank) still met above a level and their counts; a key not
+    met has none below.  Keys that go on to the same node share one value, and
+    beside a node's side 0 its side 1 has what is left: ``values(level, keys,
+    here)`` gives the counts of the keys marked, the first ones of their node above."""
+    first, length, bit, middle = paths
+    live, level, above = np.arange(len(groups)), 0, np.zeros(0, np.int64)
+    while len(live):
+        here = np.diff(groups[live], prepend=-1) != 0  # the first key of a node of the level above
+        rest = np.zeros(len(live), bool)
+        if level:
+            at = first[live] + (level - 1)
+            here |= np.diff(middle[at], prepend=-1) != 0
+            rest[1:] = ~here[1:] & (np.diff(bit[at].view(np.int8)) > 0)
+        known = values(level, live, here)
+        seen = known[np.cumsum(here) - 1]
+        if level:
+            # The keys of side 1 that stand beside keys of side 0, up to the node's end.
+            beside = np.cumsum(rest) > np.maximum.accumulate(np.where(here, np.cumsum(rest), 0))
+            seen = np.where(beside, above - seen, seen)
+        yield live, seen
+        on = (seen > 0) & (length[live] > level)
+        live, above, level = live[on], seen[on], level + 1
+
+
+def answered(coder: Coder, table: tuple[np.ndarray, np.ndarray], asked: list[np.ndarray]) -> list[bytes]:
+    """To all lists of keys the counts of their ranges, level by level."""
+    keys, sums = table
+    every = np.concatenate(asked)
+    first, length, bit, middle = paths = coder.paths(every)
+    base, span = spans(every)
+    bounds = np.cumsum([0, *map(len, asked)])
+    new = np.diff(base, prepend=base[:1]) != 0
+    new[bounds[:-1]] = True
+    lo, hi = np.searchsorted(keys, base), np.searchsorted(keys, base + span)
+    out: list[list[np.ndarray]] = [[] for _ in asked]
+
+    def counts(level: int, live: np.ndarray, here: np.ndarray) -> np.ndarray:
+        some = live[here]
+        if level:
+            split = np.searchsorted(keys, base[some] + middle[first[some] + (level - 1)].astype(np.uint64))[np.cumsum(here) - 1]
+            right = bit[first[live] + (level - 1)] > 0
+            lo[live], hi[live] = np.where(right, split, lo[live]), np.where(right, hi[live], split)
+        seen = sums[hi[some]] - sums[lo[some]]
+        cuts = np.searchsorted(some, bounds).tolist()
+        for own, a, b in zip(out, cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                own.append(seen[a:b])
+        return seen
+
+    for _ in walk(np.cumsum(new), paths, counts):
+        pass
+    return [packed(levels) for levels in out]
+
+
+def answer(batches: Iterator[pa.RecordBatch], coder) -> Iterator[pa.RecordBatch]:
+    """Counts of the keys that every batch asks a shard for; a shard's counts come before."""
+    shard, parts, table, waiting = None, [], None, []
+
+    def replies() -> Iterator[pa.RecordBatch]:
+        if waiting:
+            payloads = answered(coder.value, table, [keys for _, keys in waiting])
+            yield asked_rows([(shard, batch, payload) for (batch, _), payload in zip(waiting, payloads, strict=True)])
+            waiting.clear()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder.value
-        pairs: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-        letters: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            """Pairs (history, word) are counted first: there are far fewer of them than words."""
-            for k in (0, 1, 2):
-                if k == 2:
-                    part = summed(*(np.concatenate(x) for x in zip(*letters, strict=True))) if letters else None
-                elif pairs[k]:
-                    different, back = np.unique(np.concatenate([c for c, _ in pairs[k]]), return_inverse=True)
-                    weights = np.bincount(back, weights=np.concatenate([n for _, n in pairs[k]]))
-                    history, words = np.divmod(different, own.escape + 1)
-                    symbols, local = np.unique(words, return_inverse=True)
-                    codes = climb(*own.tree, symbols)
-                    place, keys, per = own.pair_keys(k, codes, history, local)
-                    n = np.repeat(weights, per)
-                    part = summed(keys, n * codes.bit[place], n)
-                else:
-                    part = None
-                if part is not None and len(part[0]):
-                    yield asked_rows([(shard, -1, packed(*(x[at] for x in part))) for shard, at in by_shard(part[0], shards)])
-            letters.clear()
-            for k in (0, 1):
-                pairs[k].clear()
-
-        for group in batched((0, t) for batch in batches for t in batch.column(0).to_pylist()):
-            ids, short, long, _, spelled, _ = own.tokens([w for _, w in group])
-            for k, history in enumerate((short, long)):
-                pairs[k].append(np.unique(history * (own.escape + 1) + ids, return_counts=True))
-            place, *both, _ = own.letter_stream(spelled)
-            for keys in both:
-                letters.append(summed(keys, own.letters.bit[place], np.ones(len(place))))
-            if sum(len(c) for held in pairs for c, _ in held) > PAIRS or sum(len(c) for c, *_ in letters) > 8 * PAIRS:
-                yield from handed_on()
-        yield from handed_on()
-
-    return texts.select("text").mapInArrow(count, ASKED)
-
-
-def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ones and seen of the keys that every batch asks a shard for; a shard's counts come before."""
-    shard, parts, table = None, [], None
     for batch in batches:
         for row in batch.to_pylist():
             if row["shard"] != shard:
+                yield from replies()
                 shard, parts, table = row["shard"], [], None
             if row["batch"] < 0:
-                parts.append(unpacked(row["payload"]))
-                if sum(len(p[0]) for p in parts[1:]) > max(1 << 20, len(parts[0][0])):
-                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                parts.append(tuple(unpacked(row["payload"])))
+                if sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
+                    parts = [summed(parts)]
                 continue
             if table is None:
-                table = summed(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else (np.zeros(1, np.uint64), *np.zeros((2, 1), np.int64))
-                parts = []
-            (asked,) = unpacked(row["payload"])
-            spot = np.minimum(np.searchsorted(table[0], asked), len(table[0]) - 1)
-            met = table[0][spot] == asked
-            yield asked_rows([(shard, row["batch"], packed(*(np.where(met, x[spot], 0) for x in table[1:])))])
+                keys, n = summed(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                table, parts = (keys, np.append(0, np.cumsum(n))), []
+            waiting.append((row["batch"], unpacked(row["payload"])[0]))
+            if sum(len(keys) for _, keys in waiting) > ASKS:
+                yield from replies()
+    yield from replies()
+
+
+def met_counts(coder: Coder, found: list[np.ndarray], payloads: dict[int, bytes], shards: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """From the answers to the keys ``found`` by kind: the places of every
+    key's first decision among all keys' decisions, by kind, and ones and seen
+    of all decisions."""
+    keys = np.concatenate(found)
+    dealt = list(by_shard(keys, shards))
+    order = np.concatenate([at for _, at in dealt])
+    pieces = [unpacked(payloads[shard]) for shard, _ in dealt]
+    keys = keys[order]
+    first, length, bit, _ = paths = coder.paths(keys)
+    start = np.cumsum(length) - length
+    ones, seen = np.zeros((2, int(length.sum())), np.float32)
+    above = np.zeros(len(keys), np.int64)
+
+    def counts(level: int, *_) -> np.ndarray:
+        return np.concatenate([p[level].astype(np.int64) for p in pieces if level < len(p)])
+
+    new = np.diff(spans(keys)[0], prepend=np.uint64(0)) != 0
+    for level, (live, below) in enumerate(walk(np.cumsum(new), paths, counts)):
+        if level:
+            at = start[live] + (level - 1)
+            seen[at] = above[live]
+            ones[at] = np.where(bit[first[live] + (level - 1)] > 0, below, above[live] - below)
+        above[live] = below
+    starts = np.empty(len(keys), np.int64)
+    starts[order] = start
+    return np.split(starts, np.cumsum([len(k) for k in found])[:-1]), ones, seen
 
 
 class Model:
@@ -421,14 +560,24 @@ class Model:
 
     def bits(self, streams: list[tuple], ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
         """Total bits of every text."""
-        self.ones, self.seen = ones.astype(np.float32), seen.astype(np.float32)
+        self.ones, self.seen = ones, seen
         return sum(self.mixed(*stream) for stream in streams)
 
     def mixed(self, codes: Codes, place: np.ndarray, entries: list[np.ndarray], per: np.ndarray) -> np.ndarray:
         """Bits of every text's decisions, of which text i has ``per[i]`` in a row."""
         if not len(place):
             return np.zeros(len(per))
-        y, p = codes.bit[place], codes.share[place]
+        # One lane a text, the longest first; the decisions of a step stand together, lane by lane.
+        owner = np.argsort(-per, kind="stable")[: np.count_nonzero(per)]
+        length, n = per[owner], np.count_nonzero(per)
+        inside = np.arange(len(place)) - np.repeat(np.cumsum(length) - length, length)
+        step = inside // STEP
+        order = np.argsort(step.astype(np.min_scalar_type(step.max())), kind="stable")
+        ends = np.append(0, np.cumsum(np.bincount(step))).tolist()
+        lane = np.repeat(np.arange(n), length)[order]
+        at = (inside + np.repeat((np.cumsum(per) - per)[owner], length))[order]
+        place, entries = place[at], [e[at] for e in entries]
+        y, p = codes.bit[place].astype(np.float32), codes.share[place]
         x = np.empty((3, len(y)), np.float32)
         x[2] = np.log(p / (1 - p)).clip(-11, 11)
         gate = np.zeros(len(y), np.int64)
@@ -437,34 +586,26 @@ class Model:
             p = (self.ones[at] + np.float32(prior) * p) / (seen + np.float32(prior))
             x[k] = np.log(p / (1 - p)).clip(-11, 11)
             gate = gate * 4 + (seen >= 1) + (seen >= 16) + (seen >= 256)
-        # One lane a text, the longest first.
-        owner = np.argsort(-per, kind="stable")[: np.count_nonzero(per)]
-        start, length = (np.cumsum(per) - per)[owner], per[owner]
-        n = len(start)
-        weights = [np.tile(self.weights[:, k], n) for k in range(len(x))]
-        refined = np.tile(self.map, n)
-        cost = np.zeros(n)
-        steps = np.arange(STEP)
+        gate += lane * GATES
+        weights, refined, final = [np.tile(w, n) for w in self.weights.T], np.tile(self.map, n), np.empty(len(y), np.float32)
         for t in range(0, int(length[0]), STEP):
             live = int(np.searchsorted(-length, -t, side="left"))
-            at = (start[:live, None] + (t + steps)).reshape(-1)
-            lane = np.repeat(np.arange(live), STEP)
-            full = int(np.searchsorted(-length, -(t + STEP), side="right"))
-            if full < live:  # lanes that end in this step
-                there = (t + steps < length[:live, None]).reshape(-1)
-                at, lane = at[there], lane[there]
-            xs, ys = [xk[at] for xk in x], y[at].astype(np.float32)
-            pick = lane * GATES + gate[at]
-            dot = sum(xk * w[pick] for xk, w in zip(xs, weights, strict=True)).clip(-11.9, 11.9)
+            lo, hi = ends[t // STEP], ends[t // STEP + 1]
+            xs, ys, pick = x[:, lo:hi], y[lo:hi], gate[lo:hi]
+            dot = sum(w[pick] * xk for w, xk in zip(weights, xs, strict=True)).clip(-11.9, 11.9)
             p = 1 / (1 + np.exp(-dot))
-            spot = lane * LEVELS + (dot + LEVELS / 2).astype(np.int64)
+            spot = lane[lo:hi] * LEVELS + (dot + LEVELS / 2).astype(np.int64)
             q = refined[spot]
-            final = 0.5 * (p + q)
-            cost[:live] -= np.bincount(lane, weights=np.log2(np.where(ys > 0, final, 1 - final)), minlength=live)
+            final[lo:hi] = 0.5 * (p + q)
             error = (ys - p) * np.float32(RATE)
-            for k, xk in enumerate(xs):
-                weights[k][: live * GATES] += np.bincount(pick, weights=error * xk, minlength=live * GATES).astype(np.float32)
+            for w, xk in zip(weights, xs, strict=True):
+                w[: live * GATES] += np.bincount(pick, weights=error * xk, minlength=live * GATES).astype(np.float32)
             refined[: live * LEVELS] += np.bincount(spot, weights=(ys - q) * np.float32(MAP_RATE), minlength=live * LEVELS).astype(np.float32)
+        new = np.append(True, lane[1:] != lane[:-1])
+        new[ends[:-1]] = True
+        part = np.flatnonzero(new)
+        bits = np.bincount(np.repeat(np.arange(len(part)), np.diff(part, append=len(lane))), weights=np.log2(np.where(y > 0, final, 1 - final)))
+        cost = np.bincount(lane[part], weights=-bits, minlength=n)
         np.clip(cost, 0, None, out=cost)
         return np.bincount(owner, weights=cost, minlength=len(per))
 
@@ -485,7 +626,6 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     columns are ignored.
     """
     spark = docs.sparkSession
-    rows = id_and_text(docs, id_col, text_col)
     training = id_and_text(docs.where(learn_from), id_col, text_col)
     counted = spool(count_words(training), "lm-words")
     total, different = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -505,72 +645,97 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     rare = counted.where(~eligible & (F.length("word") > 0))
     held = spark.sparkContext.broadcast(Coder(words, counts, int(total - counts.sum()), count_bytes(rare)))
     # More training texts make more and larger shards.
-    shards = max(128, math.isqrt(total) // 64)
+    shards = max(32, math.isqrt(total) // 128)
     unit = float(np.log10(total + 0.5 * (different + 1)))
     known = spark.sparkContext.broadcast((np.append(np.log10(counts + 0.5) - unit, 0.0), np.append(counts > 0, False)))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, docs, size, nth = TaskContext.get().partitionId() << 32, [], 0, 0
+
+        def grouped_row() -> pa.RecordBatch:
+            ids, texts, learn = zip(*docs, strict=True)
+            payload = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
+            row = {"batch": part + nth, "ids": ids, "sizes": [len(t) for t in texts], "learn": learn, "payload": payload}
+            return pa.RecordBatch.from_pylist([row], schema=GROUPED_ARROW)
+
         for batch in batches:
-            for doc in batch.to_pylist():
+            ids, texts, learn = (batch.column(i) for i in range(3))
+            for doc in zip(ids.to_pylist(), texts.cast(pa.binary()).to_pylist(), learn.to_pylist(), strict=True):
                 docs.append(doc)
-                size += len(doc["text"])
+                size += len(doc[1])
                 if size >= BATCH:
-                    yield pa.RecordBatch.from_pylist([{"batch": part + nth, "docs": docs}], schema=GROUPED_ARROW)
+                    yield grouped_row()
                     docs, size, nth = [], 0, nth + 1
         if docs:
-            yield pa.RecordBatch.from_pylist([{"batch": part + nth, "docs": docs}], schema=GROUPED_ARROW)
+            yield grouped_row()
 
+    learn = F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("learn")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), learn)
     grouped = spool(rows.mapInArrow(group, GROUPED), "lm-batches")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts (keys, n) of the texts to learn from, by shard, under batch -1; and what every batch asks for."""
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            if counted:
+                part = summed(counted)
+                counted.clear()
+                yield asked_rows([(shard, -1, packed([x[at] for x in part])) for shard, at in by_shard(part[0], shards)])
+
         for batch in batches:
             for row in batch.to_pylist():
-                texts = [words_of(d["text"]) for d in row["docs"]]
-                keys, _ = held.value.contexts(held.value.tokens(texts), len(texts))
-                yield asked_rows([(shard, row["batch"], packed(keys[at])) for shard, at in by_shard(keys, shards)])
+                tokens = held.value.tokens([t.lower().split() for t in texts_in(row)])
+                found, n = held.value.counts(tokens, np.array(row["learn"]))
+                if n.any():
+                    counted.append((found[n > 0], n[n > 0]))
+                if sum(len(k) for k, _ in counted) > PAIRS:
+                    counted[:] = [summed(counted)]
+                    if len(counted[0][0]) > PAIRS // 2:
+                        yield from handed_on()
+                yield asked_rows([(shard, row["batch"], packed([found[at]])) for shard, at in by_shard(found, shards)])
+        yield from handed_on()
 
-    asked = count_contexts(training, held, shards).union(grouped.mapInArrow(ask, ASKED))
-    answers = asked.repartition("shard").sortWithinPartitions("shard", "batch").mapInArrow(answer, ASKED)
+    asked = grouped.mapInArrow(ask, ASKED)
+    answers = asked.repartition("shard").sortWithinPartitions("shard", "batch").mapInArrow(lambda batches: answer(batches, held), ASKED)
 
-    def finish(docs: list[dict], payloads: dict[int, bytes]) -> pa.RecordBatch:
+    def finish(row: dict, payloads: dict[int, bytes]) -> pa.RecordBatch:
         own, (log, counts) = held.value, known.value
-        texts = [words_of(d["text"]) for d in docs]
+        texts = [t.lower().split() for t in texts_in(row)]
         tokens = own.tokens(texts)
-        keys, streams = own.contexts(tokens, len(texts))
-        ones, seen = np.zeros((2, len(keys)), np.int64)
-        for shard, at in by_shard(keys, shards):
-            ones[at], seen[at] = unpacked(payloads[shard])
+        found, places, letters = own.contexts(tokens)
+        starts, ones, seen = met_counts(own, found, payloads, shards)
+        streams = own.streams(tokens, places, letters, starts, len(texts))
         bits = Model().bits(streams, ones, seen).tolist()
         ids, _, _, text, spelled, owner = tokens
-        n_known = np.bincount(text, weights=counts[ids], minlength=len(docs))
-        base = np.bincount(text, weights=log[ids], minlength=len(docs))
-        others: list[Counter] = [Counter() for _ in docs]
+        n_known = np.bincount(text, weights=counts[ids], minlength=len(texts))
+        base = np.bincount(text, weights=log[ids], minlength=len(texts))
+        others: list[Counter] = [Counter() for _ in texts]
         for word, i in zip(spelled, owner.tolist(), strict=True):
             others[i][word] += 1
         out = [
-            (d["doc_id"], len(words) + 1, int(n_known[i]), float(base[i]), bits[i], bits[i] / max(1, len(d["text"].encode("utf-8", "surrogatepass"))), [{"word": w, "k": k} for w, k in others[i].items()])
-            for i, (d, words) in enumerate(zip(docs, texts, strict=True))
+            (doc_id, len(words) + 1, int(n_known[i]), float(base[i]), bits[i], bits[i] / max(1, size), [{"word": w, "k": k} for w, k in others[i].items()])
+            for i, (doc_id, size, words) in enumerate(zip(row["ids"], row["sizes"], texts, strict=True))
         ]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SCORED_ARROW.types, strict=True)], schema=SCORED_ARROW)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A batch's texts come first, then the answers to it."""
-        now, docs, payloads = None, [], {}
+        own, payloads = None, {}
         for batch in batches:
             for row in batch.to_pylist():
-                if row["batch"] != now:
-                    if docs:
-                        yield finish(docs, payloads)
-                    now, docs, payloads = row["batch"], row["docs"], {}
+                if row["shard"] < 0:
+                    if own is not None:
+                        yield finish(own, payloads)
+                    own, payloads = row, {}
                 else:
                     payloads[row["shard"]] = row["payload"]
-        if docs:
-            yield finish(docs, payloads)
+        if own is not None:
+            yield finish(own, payloads)
 
-    texts_of = grouped.select("batch", F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("payload"), "docs")
-    answers = answers.select("batch", "shard", "payload", F.lit(None).cast(grouped.schema["docs"].dataType).alias("docs"))
-    met = texts_of.union(answers).repartition("batch").sortWithinPartitions("batch", "shard")
+    texts_of = grouped.withColumn("shard", F.lit(-1))
+    answers = answers.select("batch", "shard", "payload")
+    met = texts_of.unionByName(answers, allowMissingColumns=True).repartition("batch").sortWithinPartitions("batch", "shard")
     scored = spool(met.mapInArrow(score, SCORED).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     # Words beyond the vocabulary: their counts, by an equi-join.
     others = scored.select("row", F.inline("others"))
@@ -594,8 +759,17 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     )
 
 
-GROUPED = "batch long, docs array<struct<doc_id:bigint,text:string>>"
-GROUPED_ARROW = pa.schema([("batch", pa.int64()), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("text", pa.string())])))])
+# A batch's texts, one after the other and compressed, with their sizes in bytes.
+GROUPED = "batch long, ids array<bigint>, sizes array<bigint>, learn array<boolean>, payload binary"
+GROUPED_ARROW = pa.schema([("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("payload", pa.binary())])
+
+
+def texts_in(row: dict) -> list[bytes]:
+    """The texts of a batch, as UTF-8."""
+    data, ends = zstandard.ZstdDecompressor().decompress(row["payload"]), np.cumsum([0, *row["sizes"]]).tolist()
+    return [data[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+
+
 SCORED = "doc_id long, n_tokens long, n_known long, base double, bits double, bits_per_byte double, others array<struct<word:binary,k:bigint>>"
 SCORED_ARROW = pa.schema(
     [

@@ -16,6 +16,7 @@ from gridpulse.llm.common import fold_share, plain_words
 from gridpulse.llm.decontaminate import RADIUS, ItemBlock, MultiIndex, contamination, shingles
 from gridpulse.llm.language_id import identify_language, ngrams
 from gridpulse.llm.license_scan import PHRASES, TEMPLATES, license_scan
+from gridpulse.llm import lm_score as mixing
 from gridpulse.llm.lm_score import huffman, lm_score
 from gridpulse.llm.pseudonyms import pseudonymise
 
@@ -486,6 +487,62 @@ def test_huffman_codes_are_prefix_free():
     assert len(huffman([7]).node) == 0
 
 
+def test_lm_score_sends_pairs_and_gets_the_counts_of_every_decision():
+    """A text's words and letters go as one key for each history (before: one for each of their binary decisions), and the
+    answers hold, for every decision, how often its node was met after the same history and how often on side 1."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}".encode() for i in range(3000)]
+    share = 1 / np.arange(1, 3001)
+    texts = [[vocabulary[i] if rng.random() < 0.97 else b"rare%d" % i for i in rng.choice(3000, 400, p=share / share.sum())] for _ in range(30)]
+    counts = (1e6 * share).astype(np.int64) + 3
+    letters = rng.integers(0, 50, (257, 256))
+    coder = mixing.Coder(mixing.digests([*vocabulary, b""]), np.append(counts, 3), 40_000, letters)
+    batches = [coder.tokens(texts[:20]), coder.tokens(texts[10:])]
+    shards, learnt = 3, {}
+    for tokens, learn in zip(batches, (np.ones(20, bool), np.arange(20) >= 10), strict=True):  # every text once
+        keys, n = coder.counts(tokens, learn)
+        assert len(keys) < 3 * len(tokens[0]) + 2 * sum(len(w) + 1 for w in tokens[4])
+        for shard, at in mixing.by_shard(keys[n > 0], shards):
+            learnt.setdefault(shard, []).append(tuple(mixing.unpacked(mixing.packed([keys[n > 0][at], n[n > 0][at]]))))
+
+    def plain(tokens, text_of):
+        """Every decision as (stream, history, node, bit), in order, with its text."""
+        ids, short, long, text, spelled, owner = tokens
+        codes = mixing.climb(*coder.tree, np.arange(len(vocabulary) + 2))
+        for i, s, l, t in zip(ids.tolist(), short.tolist(), long.tolist(), text.tolist(), strict=True):
+            for d in range(codes.first[i], codes.first[i] + codes.length[i]):
+                yield text_of(t), ((0, s, codes.node[d]), (1, l, codes.node[d])), codes.bit[d]
+        for word, t in zip(spelled, owner.tolist(), strict=True):
+            for k, letter in enumerate(word + b"\n"):
+                one = word[k - 1] if k else 256
+                symbol = one * 256 + letter
+                for d in range(coder.letters.first[symbol], coder.letters.first[symbol] + coder.letters.length[symbol]):
+                    node = coder.letters.node[d]
+                    yield text_of(t), ((2, word[max(0, k - 2) : k], node), (3, word[max(0, k - 4) : k], node)), coder.letters.bit[d]
+
+    ones, seen = Counter(), Counter()
+    for tokens, text_of, first in ((batches[0], lambda t: t, 0), (batches[1], lambda t: t + 10, 20)):
+        for text, contexts, bit in plain(tokens, text_of):
+            if text >= first:
+                seen.update(contexts)
+                ones.update(c for c in contexts if bit)
+    found = [coder.contexts(tokens) for tokens in batches]
+    payloads = [{}, {}]
+    for shard in range(shards):
+        keys, n = mixing.summed(learnt[shard])
+        asked = [np.concatenate(f)[dict(mixing.by_shard(np.concatenate(f), shards))[shard]] for f, *_ in found]
+        for own, payload in zip(payloads, mixing.answered(coder, (keys, np.append(0, np.cumsum(n))), asked), strict=True):
+            own[shard] = payload
+    for tokens, (keys, places, letters_of), own in zip(batches, found, payloads, strict=True):
+        starts, got_ones, got_seen = mixing.met_counts(coder, keys, own, shards)
+        streams = coder.streams(tokens, places, letters_of, starts, 20)
+        expected = list(plain(tokens, int))
+        for k in (0, 1):
+            at = np.concatenate([entries[k] for _, _, entries, _ in streams])
+            assert got_seen[at].tolist() == [seen[c[k]] for _, c, _ in expected]
+            assert got_ones[at].tolist() == [ones[c[k]] for _, c, _ in expected]
+
+
 def test_lm_score_learns_what_follows_rare_words(spark):
     """5,000 pairs of words that always stand together: the second word costs far less than its share of all words."""
     rng = np.random.default_rng(5)

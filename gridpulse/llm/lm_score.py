@@ -24,9 +24,11 @@ a context is counted exactly, in no table of a fixed size.  What is counted,
 sent and asked for are pairs of a history and a word (or letter), not the ten
 or so decisions of each: words are numbered in the order of the code tree's
 leaves, so a node is a range of them, and a decision's counts are sums over
-ranges of a history's pairs.  The counts are dealt over shards by history;
-batches of texts ask the shards for their pairs, and the answers, counts level
-by level down the tree, come back by batch.  A short history is followed by
+ranges of a history's pairs.  The pairs are dealt over shards by history: a
+batch of texts sends each of its pairs once, with its count in the texts to
+learn from; a shard sums them and answers, level by level down the tree, how
+much of a node's count goes another way, until only the pair itself is counted.
+A short history is followed by
 nearly all words, so its top levels and each subtree below them are dealt
 apart.  Counts of the words beyond the vocabulary are met by an equi-join, so
 the base score is exact.
@@ -42,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -58,8 +61,8 @@ STEP = 32
 GATES = 16
 LEVELS = 24  # of the adaptive map
 RATE, MAP_RATE = 0.004, 0.02
-# Characters of text that are computed at once; words, counted pairs and asked pairs a task holds at once.
-BATCH, FLUSH, PAIRS, ASKS = 1 << 20, 400_000, 2_000_000, 400_000
+# Bytes of text whose words are counted at once, that ask for pairs together, and that are mixed at once; asked pairs a task answers at once.
+FLUSH, BATCH, MIXED, ASKS = 1 << 24, 1 << 22, 1 << 21, 200_000
 # Levels of the code tree that are dealt by short history alone.
 CROWN = 8
 # Kinds of pairs: a short history's top levels and subtrees, a long history of words; both histories of letters.
@@ -74,25 +77,46 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and how many each text has; the same words as those of ``words_of``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, parent = lists.flatten(), pc.list_parent_indices(lists)
+    some = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends of a text leave empty ones
+    return flat.filter(some).cast(pa.binary()), np.bincount(parent.filter(some).to_numpy(), minlength=len(texts))
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts; the end of a text is the empty word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        for held in together(batches, FLUSH):
+            words, _ = split_words(held.column(0))
+            found = pc.value_counts(words)
+            yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
+            yield pa.RecordBatch.from_pydict({"word": pa.array([b""], pa.binary()), "n": pa.array([held.num_rows], pa.int64())})
 
-        def handed_on() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"word": pa.array(total.keys(), pa.binary()), "n": pa.array(total.values(), pa.int64())})
+    return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(words_of(text))
-                total[b""] += 1
-                if len(total) > FLUSH:
-                    yield handed_on()
-                    total.clear()
-        yield handed_on()
 
-    return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches with a column ``text`` put together until their texts have ``size`` bytes."""
+    held, have = [], 0
+    for batch in batches:
+        text = batch.column(batch.schema.get_field_index("text"))
+        done = 0
+        if batch.num_rows:
+            # A batch of Spark's may hold far more; it is cut between texts.
+            ends = np.cumsum(pc.binary_length(text).to_numpy())
+            while done < batch.num_rows:
+                gone = int(ends[done - 1]) if done else 0
+                upto = min(batch.num_rows, 1 + int(np.searchsorted(ends, gone + size - have)))
+                held.append(batch.slice(done, upto - done))
+                have, done = have + int(ends[upto - 1]) - gone, upto
+                if have >= size:
+                    yield pa.concat_batches(held)
+                    held, have = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +167,7 @@ class Codes:
         """Places of all decisions of the symbols, and how many each has."""
         count = self.length[symbols]
         starts = self.first[symbols] - (np.cumsum(count) - count)
-        return np.arange(int(count.sum())) + np.repeat(starts, count), count
+        return np.arange(int(count.sum()), dtype=np.int32) + np.repeat(starts.astype(np.int32), count), count
 
 
 def huffman(weights: list[int]) -> Codes:
@@ -256,18 +280,18 @@ def spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places of its keys) of every shard that has any; a history's keys share one."""
     mixed = spans(keys)[0] * np.uint64(0x9E3779B97F4A7C15)
-    shard = ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    shard = ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.min_scalar_type(shards))
     order = np.argsort(shard, kind="stable")
-    bounds = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    bounds = np.flatnonzero(np.diff(shard[order].astype(np.int64), prepend=-1))
     for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), len(keys)], strict=True):
         yield int(shard[order[lo]]), order[lo:hi]
 
 
 def packed(arrays: list[np.ndarray]) -> bytes:
     """Arrays as bytes, each with its length; keys (unsigned) as differences."""
-    cut = [np.diff(x, prepend=np.uint64(0)) if x.dtype == np.uint64 else x.astype(np.min_scalar_type(x.max())) for x in arrays]
-    # The bytes of a kind of difference stand together: the higher ones are nearly all zero.
-    data = [x.view(np.uint8).reshape(-1, 8).T.tobytes() if x.dtype == np.uint64 and y.dtype == np.uint64 else x.tobytes() for x, y in zip(cut, arrays, strict=True)]
+    cut = [np.diff(x, prepend=np.uint64(0)) if x.dtype == np.uint64 else x.astype(np.min_scalar_type(x.max(initial=0))) for x in arrays]
+    # The bytes of a kind stand together: the higher ones are nearly all zero.
+    data = [x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in cut]
     kinds = "".join(f"{'K' if y.dtype == np.uint64 else x.dtype.char}{len(x)}," for x, y in zip(cut, arrays, strict=True))
     return zstandard.ZstdCompressor(level=3).compress(kinds.encode() + b" " + b"".join(data))
 
@@ -277,14 +301,10 @@ def unpacked(payload: bytes) -> list[np.ndarray]:
     lo = data.index(b" ") + 1
     out = []
     for kind in data[: lo - 1].decode().split(",")[:-1]:
-        n = int(kind[1:])
-        if kind[0] == "K":
-            differences = np.frombuffer(data, np.uint8, 8 * n, lo).reshape(8, n).T.copy().view(np.uint64).reshape(-1)
-            out.append(np.cumsum(differences, dtype=np.uint64))
-            lo += 8 * n
-        else:
-            out.append(np.frombuffer(data, kind[0], n, lo))
-            lo += out[-1].nbytes
+        n, dtype = int(kind[1:]), np.dtype(np.uint64 if kind[0] == "K" else kind[0])
+        values = np.frombuffer(data, np.uint8, dtype.itemsize * n, lo).reshape(dtype.itemsize, n).T.copy().view(dtype).reshape(-1)
+        out.append(np.cumsum(values, dtype=np.uint64) if kind[0] == "K" else values)
+        lo += dtype.itemsize * n
     return out
 
 
@@ -293,7 +313,9 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     keys = np.concatenate([k for k, _ in parts])
     order = np.argsort(keys, kind="stable")  # runs that are sorted already are merged
     keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    if not len(first):
+        return keys, np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(np.concatenate([n for _, n in parts])[order].astype(np.int64), first)
 
 
@@ -324,24 +346,35 @@ class Coder:
         self.letter_middle = np.concatenate([middle for *_, middle in trees])[self.letters.node]
 
     def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+        """Of texts given by their words what ``histories`` returns."""
+        flat = pa.array([w for words in texts for w in words], pa.binary())
+        return self.histories(*self.numbered(flat, np.array([len(words) for words in texts], np.int64)))
+
+    def numbered(self, flat: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Word ids of texts, of which text i has ``sizes[i]`` words, with their ends; the sizes with these; and the words to spell."""
+        coded = flat.dictionary_encode()
+        asked = digests([*coded.dictionary.to_pylist(), b""])
+        spot = np.minimum(np.searchsorted(self.digests, asked), len(self.digests) - 1)
+        known = np.where(self.digests[spot] == asked, self.order[spot], self.escape).astype(np.int64)
+        words = known[coded.indices.to_numpy()]
+        sizes = sizes + 1
+        ids = np.full(int(sizes.sum()), known[-1])
+        inside = np.ones(len(ids), bool)
+        inside[np.cumsum(sizes) - 1] = False
+        ids[inside] = words
+        return ids, sizes, flat.take(pa.array(np.flatnonzero(words == self.escape))).to_pylist()
+
+    def histories(self, ids: np.ndarray, sizes: np.ndarray, spelled: list[bytes]) -> tuple[np.ndarray, ...]:
         """Word ids with their histories (last very common word, last word)
         and text numbers; the words to spell, and their texts."""
-        index: dict[bytes, int] = {}
-        flat = [w for words in texts for w in (*words, b"")]
-        local = np.array([index.setdefault(w, len(index)) for w in flat], np.int64)
-        asked = digests(list(index))
-        spot = np.minimum(np.searchsorted(self.digests, asked), len(self.digests) - 1)
-        ids = np.where(self.digests[spot] == asked, self.order[spot], self.escape).astype(np.int64)[local]
-        sizes = np.array([len(words) + 1 for words in texts], np.int64)
-        text = np.repeat(np.arange(len(texts)), sizes)
+        text = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(ids))
         start = np.repeat(np.cumsum(sizes) - sizes, sizes)
         # The last place before this one with a very common word, if in the same text.
         common = np.maximum.accumulate(np.concatenate(([-1], np.where(ids < self.common, place, -1)[:-1])))
         short = np.where(common >= start, ids[np.maximum(common, 0)], self.escape + 1)
         long = np.where(place > start, np.concatenate(([0], ids[:-1])), self.escape + 1)
-        unknown = np.flatnonzero(ids == self.escape)
-        return ids, short, long, text, [flat[i] for i in unknown.tolist()], text[unknown]
+        return ids, short, long, text, spelled, text[ids == self.escape]
 
     def letter_pairs(self, spelled: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
         """Of all spelled words: every letter's symbol, its keys for both histories, and its word."""
@@ -392,8 +425,10 @@ class Coder:
         they have; of all places the bit and the rank that parts the node's sides."""
         kind = (keys >> np.uint64(KIND_BITS)).astype(np.int64)
         word = kind < NEAR
-        different, local = np.unique((keys[word] & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64), return_inverse=True)
-        codes = climb(*self.tree, self.leaf[different])
+        rank = (keys[word] & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)
+        met = np.zeros(len(self.leaf), bool)
+        met[rank] = True
+        codes, local = climb(*self.tree, self.leaf[met]), (np.cumsum(met, dtype=np.int32) - 1)[rank]
         letter = keys[~word]
         symbol = ((letter >> np.uint64(LETTER_BITS)) & np.uint64(511)).astype(np.int64) * 256
         symbol += self.letter_leaf[symbol + (letter & np.uint64(255)).astype(np.int64)]
@@ -409,24 +444,41 @@ class Coder:
     ) -> list[tuple]:
         """Of words and letters of ``n`` texts (codes, places of all decisions,
         places of their counts for both histories, decisions of every text),
-        where ``starts`` has by kind the place of every key's first count."""
+        where ``starts`` has by kind the place of every key's first count, and
+        the level from which on nothing but the key is counted."""
         ids, _, _, text, *_ = tokens
-        different, local = np.unique(ids, return_inverse=True)
-        codes = climb(*self.tree, different)
-        place, count = codes.decisions(local)
-        begin = np.cumsum(count) - count
+        met = np.zeros(len(self.leaf), bool)
+        met[ids] = True
+        codes, local = climb(*self.tree, np.flatnonzero(met)), (np.cumsum(met, dtype=np.int32) - 1)[ids]
         top, below, long, near, far = places
-        level = np.arange(len(place)) - np.repeat(begin, count)
-        high, low = starts[TOP][top][below], starts[BELOW][below] - CROWN
-        entries = [np.where(level < CROWN, np.repeat(high, count), np.repeat(low, count)) + level, np.repeat(starts[LONG][long], count) + level]
+        place, count = codes.decisions(local)
+        level, bit = levels(count), codes.bit[place]
+        high = level < CROWN
+        first, last = (
+            np.where(high, np.repeat(up[top][below], count), np.repeat(down[below], count)) for up, down in zip(starts[TOP], starts[BELOW], strict=True)
+        )
+        entries = [
+            counted_at(first, last, np.where(high, level, level - CROWN), bit),
+            counted_at(*(np.repeat(x[long], count) for x in starts[LONG]), level, bit),
+        ]
         out = [(codes, place, entries, np.bincount(text, weights=count, minlength=n).astype(np.int64))]
         symbols, owner = letters
         place, count = self.letters.decisions(symbols)
-        level = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
-        entries = [np.repeat(starts[kind][at], count) + level for kind, at in ((NEAR, near), (FAR, far))]
+        level, bit = levels(count), self.letters.bit[place]
+        entries = [counted_at(*(np.repeat(x[at], count) for x in starts[kind]), level, bit) for kind, at in ((NEAR, near), (FAR, far))]
         return [*out, (self.letters, place, entries, np.bincount(owner, weights=count, minlength=n).astype(np.int64))]
 
 
+def levels(count: np.ndarray) -> np.ndarray:
+    """0 to ``count[i] - 1`` for every i."""
+    return np.arange(int(count.sum()), dtype=np.int32) - np.repeat((np.cumsum(count) - count).astype(np.int32), count)
+
+
+def counted_at(start: np.ndarray, last: np.ndarray, level: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Places of the counts of decisions of keys, of which the levels from ``last`` on share two, by bit."""
+    return start + np.where(level < last, level, last + bit)
+
+
 ASKED = "shard int, batch long, payload binary"
 ASKED_ARROW = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("payload", pa.binary())])
 
@@ -436,64 +488,75 @@ def asked_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ASKED_ARROW.types, strict=True)], schema=ASKED_ARROW)
 
 
-def walk(groups: np.ndarray, paths: tuple[np.ndarray, ...], values) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def walk(groups: np.ndarray, paths: tuple[np.ndarray, ...], alone: np.ndarray, values) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Down the code tree level by level: the keys (those of a group are of
-    one history, by rank) still met above a level and their counts; a key not
-    met has none below.  Keys that go on to the same node share one value, and
-    beside a node's side 0 its side 1 has what is left: ``values(level, keys,
-    here)`` gives the counts of the keys marked, the first ones of their node above."""
+    one history, by rank) still followed and the counts of their nodes; a key
+    is followed until its node counts no more than the key ``alone``.  Keys
+    that go on to the same node share one value, and beside a node's side 0 its
+    side 1 has what is left: ``values(level, keys, here, above)`` gives the
+    counts of the keys marked, the first ones of their node, by their counts above."""
     first, length, bit, middle = paths
-    live, level, above = np.arange(len(groups)), 0, np.zeros(0, np.int64)
+    live, level, above = np.arange(len(groups)), 0, np.zeros(len(groups), np.int64)
     while len(live):
         here = np.diff(groups[live], prepend=-1) != 0  # the first key of a node of the level above
-        rest = np.zeros(len(live), bool)
         if level:
             at = first[live] + (level - 1)
             here |= np.diff(middle[at], prepend=-1) != 0
-            rest[1:] = ~here[1:] & (np.diff(bit[at].view(np.int8)) > 0)
-        known = values(level, live, here)
-        seen = known[np.cumsum(here) - 1]
-        if level:
+            rest = np.append(False, ~here[1:] & (np.diff(bit[at].view(np.int8)) > 0))
+            node = np.cumsum(here) - 1
+            seen = values(level, live, here, above[here])[node]
             # The keys of side 1 that stand beside keys of side 0, up to the node's end.
-            beside = np.cumsum(rest) > np.maximum.accumulate(np.where(here, np.cumsum(rest), 0))
+            after = np.cumsum(rest)
+            beside = after > after[here][node]
             seen = np.where(beside, above - seen, seen)
+        else:
+            seen = values(level, live, here, above[here])[np.cumsum(here) - 1]
         yield live, seen
-        on = (seen > 0) & (length[live] > level)
+        on = (seen > alone[live]) & (length[live] > level)
         live, above, level = live[on], seen[on], level + 1
 
 
 def answered(coder: Coder, table: tuple[np.ndarray, np.ndarray], asked: list[np.ndarray]) -> list[bytes]:
-    """To all lists of keys the counts of their ranges, level by level."""
+    """To all lists of keys the counts of the keys alone and, level by level,
+    how much of their nodes' counts goes another way."""
     keys, sums = table
     every = np.concatenate(asked)
-    first, length, bit, middle = paths = coder.paths(every)
+    first, _, bit, middle = paths = coder.paths(every)
     base, span = spans(every)
     bounds = np.cumsum([0, *map(len, asked)])
-    new = np.diff(base, prepend=base[:1]) != 0
+    new = np.diff(base, prepend=~base[:1]) != 0
     new[bounds[:-1]] = True
-    lo, hi = np.searchsorted(keys, base), np.searchsorted(keys, base + span)
+    at = np.searchsorted(keys, every)
+    alone = np.zeros(len(every), np.int64)
+    known = np.flatnonzero(np.append(keys, ~every[-1:])[at] == every) if len(keys) else at[:0]
+    known = known[at[known] < len(keys)]
+    alone[known] = sums[at[known] + 1] - sums[at[known]]
+    group = np.cumsum(new) - 1
+    lo, hi = np.searchsorted(keys, base[new])[group], np.searchsorted(keys, (base + span)[new])[group]
     out: list[list[np.ndarray]] = [[] for _ in asked]
 
-    def counts(level: int, live: np.ndarray, here: np.ndarray) -> np.ndarray:
+    def counts(level: int, live: np.ndarray, here: np.ndarray, above: np.ndarray) -> np.ndarray:
         some = live[here]
         if level:
             split = np.searchsorted(keys, base[some] + middle[first[some] + (level - 1)].astype(np.uint64))[np.cumsum(here) - 1]
             right = bit[first[live] + (level - 1)] > 0
             lo[live], hi[live] = np.where(right, split, lo[live]), np.where(right, hi[live], split)
         seen = sums[hi[some]] - sums[lo[some]]
+        sent = above - seen if level else seen
         cuts = np.searchsorted(some, bounds).tolist()
         for own, a, b in zip(out, cuts[:-1], cuts[1:], strict=True):
             if a < b:
-                own.append(seen[a:b])
+                own.append(sent[a:b])
         return seen
 
-    for _ in walk(np.cumsum(new), paths, counts):
+    for _ in walk(group, paths, alone, counts):
         pass
-    return [packed(levels) for levels in out]
+    return [packed([alone[a:b], np.concatenate(sent)]) for sent, a, b in zip(out, bounds[:-1], bounds[1:], strict=True)]
 
 
 def answer(batches: Iterator[pa.RecordBatch], coder) -> Iterator[pa.RecordBatch]:
-    """Counts of the keys that every batch asks a shard for; a shard's counts come before."""
+    """Counts of the keys that every batch asks a shard for.  A shard's rows come
+    twice, first to be summed (``turn`` 0), then to be answered."""
     shard, parts, table, waiting = None, [], None, []
 
     def replies() -> Iterator[pa.RecordBatch]:
@@ -507,47 +570,58 @@ def answer(batches: Iterator[pa.RecordBatch], coder) -> Iterator[pa.RecordBatch]
             if row["shard"] != shard:
                 yield from replies()
                 shard, parts, table = row["shard"], [], None
-            if row["batch"] < 0:
-                parts.append(tuple(unpacked(row["payload"])))
+            keys, n = unpacked(row["payload"])
+            if not row["turn"]:
+                parts.append((keys[n > 0], n[n > 0]))
                 if sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
                     parts = [summed(parts)]
                 continue
             if table is None:
-                keys, n = summed(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                table, parts = (keys, np.append(0, np.cumsum(n))), []
-            waiting.append((row["batch"], unpacked(row["payload"])[0]))
+                learnt, sums = summed(parts)
+                table, parts = (learnt, np.append(0, np.cumsum(sums))), []
+            waiting.append((row["batch"], keys))
             if sum(len(keys) for _, keys in waiting) > ASKS:
                 yield from replies()
     yield from replies()
 
 
-def met_counts(coder: Coder, found: list[np.ndarray], payloads: dict[int, bytes], shards: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """From the answers to the keys ``found`` by kind: the places of every
-    key's first decision among all keys' decisions, by kind, and ones and seen
-    of all decisions."""
-    keys = np.concatenate(found)
-    dealt = list(by_shard(keys, shards))
-    order = np.concatenate([at for _, at in dealt])
-    pieces = [unpacked(payloads[shard]) for shard, _ in dealt]
-    keys = keys[order]
-    first, length, bit, _ = paths = coder.paths(keys)
-    start = np.cumsum(length) - length
-    ones, seen = np.zeros((2, int(length.sum())), np.float32)
-    above = np.zeros(len(keys), np.int64)
-
-    def counts(level: int, *_) -> np.ndarray:
-        return np.concatenate([p[level].astype(np.int64) for p in pieces if level < len(p)])
-
-    new = np.diff(spans(keys)[0], prepend=np.uint64(0)) != 0
-    for level, (live, below) in enumerate(walk(np.cumsum(new), paths, counts)):
-        if level:
-            at = start[live] + (level - 1)
-            seen[at] = above[live]
-            ones[at] = np.where(bit[first[live] + (level - 1)] > 0, below, above[live] - below)
-        above[live] = below
-    starts = np.empty(len(keys), np.int64)
-    starts[order] = start
-    return np.split(starts, np.cumsum([len(k) for k in found])[:-1]), ones, seen
+def met_counts(coder: Coder, found: list[np.ndarray], payloads: dict[int, bytes], shards: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """From the answers to the keys ``found`` by kind: by kind the place of
+    every key's first decision, and the level from which on only the key is
+    counted; and ones and seen at all places.  The levels from there on share
+    two places, for bit 0 and bit 1."""
+    every = np.concatenate(found)
+    every_first, every_length, bit, middle = coder.paths(every)
+    starts, lasts = np.empty((2, len(every)), np.int32)
+    parts, size = [], 0
+    for shard, at in by_shard(every, shards):
+        alone, sent = (x.astype(np.int64) for x in unpacked(payloads[shard]))
+        keys, first, length, done = every[at], every_first[at], every_length[at], 0
+
+        def received(level: int, live: np.ndarray, here: np.ndarray, above: np.ndarray) -> np.ndarray:
+            nonlocal done
+            done += len(above)
+            return above - sent[done - len(above) : done] if level else sent[:done]
+
+        last, above, met = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int64), []
+        new = np.diff(spans(keys)[0], prepend=~keys[:1]) != 0
+        for level, (live, below) in enumerate(walk(np.cumsum(new), (first, length, bit, middle), alone, received)):
+            if level:
+                met.append((live, above[live], np.where(bit[first[live] + (level - 1)] > 0, below, above[live] - below)))
+                last[live] = level
+            above[live] = below
+        start = np.cumsum(last + 2) - (last + 2)
+        counts = np.zeros((int(start[-1] + last[-1]) + 2, 2), np.float32)
+        ones, seen = counts.T
+        for level, (live, here, side) in enumerate(met):
+            seen[start[live] + level], ones[start[live] + level] = here, side
+        end = start + last
+        seen[end] = seen[end + 1] = ones[end + 1] = alone
+        starts[at], lasts[at] = start + size, last
+        size += len(ones)
+        parts.append(counts)
+    cuts = np.cumsum([len(k) for k in found])[:-1]
+    return list(zip(np.split(starts, cuts), np.split(lasts, cuts), strict=True)), *np.concatenate(parts).T
 
 
 class Model:
@@ -558,48 +632,50 @@ class Model:
         level = (np.arange(LEVELS) + 0.5) - LEVELS / 2
         self.map = (1 / (1 + np.exp(-level))).astype(np.float32)
 
-    def bits(self, streams: list[tuple], ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        """Total bits of every text."""
-        self.ones, self.seen = ones, seen
-        return sum(self.mixed(*stream) for stream in streams)
+    def bits(self, streams: Iterator[tuple], counts: np.ndarray) -> np.ndarray:
+        """Total bits of every text, from pairs of ones and seen."""
+        pairs = counts.view(np.uint64).reshape(-1)  # what is read together stands together
+        return sum(self.mixed(pairs, *stream) for stream in streams)
 
-    def mixed(self, codes: Codes, place: np.ndarray, entries: list[np.ndarray], per: np.ndarray) -> np.ndarray:
+    def mixed(self, pairs: np.ndarray, codes: Codes, place: np.ndarray, entries: list[np.ndarray], per: np.ndarray) -> np.ndarray:
         """Bits of every text's decisions, of which text i has ``per[i]`` in a row."""
         if not len(place):
             return np.zeros(len(per))
         # One lane a text, the longest first; the decisions of a step stand together, lane by lane.
         owner = np.argsort(-per, kind="stable")[: np.count_nonzero(per)]
         length, n = per[owner], np.count_nonzero(per)
-        inside = np.arange(len(place)) - np.repeat(np.cumsum(length) - length, length)
-        step = inside // STEP
-        order = np.argsort(step.astype(np.min_scalar_type(step.max())), kind="stable")
+        inside = levels(length)
+        step = inside // np.int32(STEP)
+        step = step.astype(np.min_scalar_type(step.max()))
+        order = np.argsort(step, kind="stable").astype(np.int32)
         ends = np.append(0, np.cumsum(np.bincount(step))).tolist()
-        lane = np.repeat(np.arange(n), length)[order]
-        at = (inside + np.repeat((np.cumsum(per) - per)[owner], length))[order]
+        lane = np.repeat(np.arange(n, dtype=np.int32), length)[order]
+        at = (inside + np.repeat((np.cumsum(per) - per)[owner].astype(np.int32), length))[order]
         place, entries = place[at], [e[at] for e in entries]
         y, p = codes.bit[place].astype(np.float32), codes.share[place]
         x = np.empty((3, len(y)), np.float32)
         x[2] = np.log(p / (1 - p)).clip(-11, 11)
-        gate = np.zeros(len(y), np.int64)
+        gate = np.zeros(len(y), np.int32)
         for k, (at, prior) in enumerate(zip(entries, (SHORT_PRIOR, LONG_PRIOR), strict=True)):
-            seen = self.seen[at]
-            p = (self.ones[at] + np.float32(prior) * p) / (seen + np.float32(prior))
+            ones, seen = pairs[at].view(np.float32).reshape(-1, 2).T
+            p = (ones + np.float32(prior) * p) / (seen + np.float32(prior))
             x[k] = np.log(p / (1 - p)).clip(-11, 11)
             gate = gate * 4 + (seen >= 1) + (seen >= 16) + (seen >= 256)
-        gate += lane * GATES
-        weights, refined, final = [np.tile(w, n) for w in self.weights.T], np.tile(self.map, n), np.empty(len(y), np.float32)
+        gate += lane * np.int32(GATES)
+        weights, refined, final = np.tile(self.weights.T, n), np.tile(self.map, n), np.empty(len(y), np.float32)
         for t in range(0, int(length[0]), STEP):
             live = int(np.searchsorted(-length, -t, side="left"))
             lo, hi = ends[t // STEP], ends[t // STEP + 1]
             xs, ys, pick = x[:, lo:hi], y[lo:hi], gate[lo:hi]
-            dot = sum(w[pick] * xk for w, xk in zip(weights, xs, strict=True)).clip(-11.9, 11.9)
+            a, b, c = weights.take(pick, axis=1) * xs
+            dot = np.clip(a + b + c, -11.9, 11.9)
             p = 1 / (1 + np.exp(-dot))
-            spot = lane[lo:hi] * LEVELS + (dot + LEVELS / 2).astype(np.int64)
+            spot = lane[lo:hi] * np.int32(LEVELS) + (dot + LEVELS / 2).astype(np.int32)
             q = refined[spot]
             final[lo:hi] = 0.5 * (p + q)
             error = (ys - p) * np.float32(RATE)
-            for w, xk in zip(weights, xs, strict=True):
-                w[: live * GATES] += np.bincount(pick, weights=error * xk, minlength=live * GATES).astype(np.float32)
+            for w, own in zip(weights, error * xs, strict=True):
+                w[: live * GATES] += np.bincount(pick, weights=own, minlength=live * GATES).astype(np.float32)
             refined[: live * LEVELS] += np.bincount(spot, weights=(ys - q) * np.float32(MAP_RATE), minlength=live * LEVELS).astype(np.float32)
         new = np.append(True, lane[1:] != lane[:-1])
         new[ends[:-1]] = True
@@ -643,79 +719,59 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     order = np.lexsort((words, -counts))
     words, counts = words[order], counts[order]
     rare = counted.where(~eligible & (F.length("word") > 0))
-    held = spark.sparkContext.broadcast(Coder(words, counts, int(total - counts.sum()), count_bytes(rare)))
+    coder = spark.sparkContext.broadcast(Coder(words, counts, int(total - counts.sum()), count_bytes(rare)))
     # More training texts make more and larger shards.
     shards = max(32, math.isqrt(total) // 128)
     unit = float(np.log10(total + 0.5 * (different + 1)))
     known = spark.sparkContext.broadcast((np.append(np.log10(counts + 0.5) - unit, 0.0), np.append(counts > 0, False)))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, docs, size, nth = TaskContext.get().partitionId() << 32, [], 0, 0
-
-        def grouped_row() -> pa.RecordBatch:
-            ids, texts, learn = zip(*docs, strict=True)
-            payload = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
-            row = {"batch": part + nth, "ids": ids, "sizes": [len(t) for t in texts], "learn": learn, "payload": payload}
-            return pa.RecordBatch.from_pylist([row], schema=GROUPED_ARROW)
-
-        for batch in batches:
-            ids, texts, learn = (batch.column(i) for i in range(3))
-            for doc in zip(ids.to_pylist(), texts.cast(pa.binary()).to_pylist(), learn.to_pylist(), strict=True):
-                docs.append(doc)
-                size += len(doc[1])
-                if size >= BATCH:
-                    yield grouped_row()
-                    docs, size, nth = [], 0, nth + 1
-        if docs:
-            yield grouped_row()
+        part = TaskContext.get().partitionId() << 32
+        for nth, held in enumerate(together(batches, BATCH)):
+            doc_ids, texts, learn = held.columns
+            ids, words, spelled = coder.value.numbered(*split_words(texts))
+            letters = zstandard.ZstdCompressor(level=3).compress(b"\n".join(spelled))
+            row = {"batch": part + nth, "ids": doc_ids.to_pylist(), "learn": learn.to_pylist(), "sizes": pc.binary_length(texts).to_pylist()}
+            yield pa.RecordBatch.from_pylist([row | {"words": words.tolist(), "payload": packed([ids]), "letters": letters}], schema=GROUPED_ARROW)
 
     learn = F.coalesce(learn_from.cast("boolean"), F.lit(False)).alias("learn")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), learn)
     grouped = spool(rows.mapInArrow(group, GROUPED), "lm-batches")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts (keys, n) of the texts to learn from, by shard, under batch -1; and what every batch asks for."""
-        counted: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            if counted:
-                part = summed(counted)
-                counted.clear()
-                yield asked_rows([(shard, -1, packed([x[at] for x in part])) for shard, at in by_shard(part[0], shards)])
-
+        """The keys of every batch, by shard, each with how often it stands in the texts to learn from."""
         for batch in batches:
             for row in batch.to_pylist():
-                tokens = held.value.tokens([t.lower().split() for t in texts_in(row)])
-                found, n = held.value.counts(tokens, np.array(row["learn"]))
-                if n.any():
-                    counted.append((found[n > 0], n[n > 0]))
-                if sum(len(k) for k, _ in counted) > PAIRS:
-                    counted[:] = [summed(counted)]
-                    if len(counted[0][0]) > PAIRS // 2:
-                        yield from handed_on()
-                yield asked_rows([(shard, row["batch"], packed([found[at]])) for shard, at in by_shard(found, shards)])
-        yield from handed_on()
-
-    asked = grouped.mapInArrow(ask, ASKED)
-    answers = asked.repartition("shard").sortWithinPartitions("shard", "batch").mapInArrow(lambda batches: answer(batches, held), ASKED)
+                found, n = coder.value.counts(tokens_in(row, coder.value), np.array(row["learn"]))
+                yield asked_rows([(shard, row["batch"], packed([found[at], n[at]])) for shard, at in by_shard(found, shards)])
+
+    asked = grouped.mapInArrow(ask, ASKED).repartition("shard")
+    # A shard reads its rows twice: what is counted in them, then what is asked.
+    turns = asked.withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1)))).sortWithinPartitions("shard", "turn", "batch")
+    answers = turns.mapInArrow(lambda batches: answer(batches, coder), ASKED)
 
     def finish(row: dict, payloads: dict[int, bytes]) -> pa.RecordBatch:
-        own, (log, counts) = held.value, known.value
-        texts = [t.lower().split() for t in texts_in(row)]
-        tokens = own.tokens(texts)
+        own, (log, counts) = coder.value, known.value
+        tokens = tokens_in(row, own)
+        ids, _, _, text, spelled, owner = tokens
         found, places, letters = own.contexts(tokens)
         starts, ones, seen = met_counts(own, found, payloads, shards)
-        streams = own.streams(tokens, places, letters, starts, len(texts))
-        bits = Model().bits(streams, ones, seen).tolist()
-        ids, _, _, text, spelled, owner = tokens
-        n_known = np.bincount(text, weights=counts[ids], minlength=len(texts))
-        base = np.bincount(text, weights=log[ids], minlength=len(texts))
-        others: list[Counter] = [Counter() for _ in texts]
+        met = np.stack((ones, seen), axis=1)
+        del found, ones, seen
+        payloads.clear()
+        sizes = np.array(row["sizes"], np.int64)
+        bits = []
+        for lo, hi in cuts(sizes, MIXED):
+            some, places_of, letters_of = part_of(tokens, places, letters, lo, hi)
+            bits += Model().bits(own.streams(some, places_of, letters_of, starts, hi - lo), met).tolist()
+        n_known = np.bincount(text, weights=counts[ids], minlength=len(sizes))
+        base = np.bincount(text, weights=log[ids], minlength=len(sizes))
+        others: list[Counter] = [Counter() for _ in sizes]
         for word, i in zip(spelled, owner.tolist(), strict=True):
             others[i][word] += 1
         out = [
-            (doc_id, len(words) + 1, int(n_known[i]), float(base[i]), bits[i], bits[i] / max(1, size), [{"word": w, "k": k} for w, k in others[i].items()])
-            for i, (doc_id, size, words) in enumerate(zip(row["ids"], row["sizes"], texts, strict=True))
+            (doc_id, words, int(n_known[i]), float(base[i]), bits[i], bits[i] / max(1, size), [{"word": w, "k": k} for w, k in others[i].items()])
+            for i, (doc_id, size, words) in enumerate(zip(row["ids"], row["sizes"], row["words"], strict=True))
         ]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SCORED_ARROW.types, strict=True)], schema=SCORED_ARROW)
 
@@ -759,15 +815,41 @@ def lm_score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     )
 
 
-# A batch's texts, one after the other and compressed, with their sizes in bytes.
-GROUPED = "batch long, ids array<bigint>, sizes array<bigint>, learn array<boolean>, payload binary"
-GROUPED_ARROW = pa.schema([("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("payload", pa.binary())])
+# A batch's texts as word ids, with their sizes in bytes and in words (and the end), and the words to spell.
+GROUPED = "batch long, ids array<bigint>, learn array<boolean>, sizes array<bigint>, words array<bigint>, payload binary, letters binary"
+GROUPED_ARROW = pa.schema(
+    [
+        ("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())),
+        ("words", pa.list_(pa.int64())), ("payload", pa.binary()), ("letters", pa.binary()),
+    ]
+)
+
+
+def tokens_in(row: dict, coder: Coder) -> tuple[np.ndarray, ...]:
+    """The tokens of a batch's texts."""
+    ids = unpacked(row["payload"])[0].astype(np.int64)
+    spelled = zstandard.ZstdDecompressor().decompress(row["letters"]).split(b"\n") if (ids == coder.escape).any() else []
+    return coder.histories(ids, np.array(row["words"], np.int64), spelled)
+
+
+def cuts(sizes: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``size`` bytes."""
+    run = (np.cumsum(sizes) - sizes) // size
+    first = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
+    yield from zip(first, [*first[1:], len(sizes)], strict=True)
 
 
-def texts_in(row: dict) -> list[bytes]:
-    """The texts of a batch, as UTF-8."""
-    data, ends = zstandard.ZstdDecompressor().decompress(row["payload"]), np.cumsum([0, *row["sizes"]]).tolist()
-    return [data[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+def part_of(tokens: tuple[np.ndarray, ...], places: list[np.ndarray], letters: tuple[np.ndarray, np.ndarray], lo: int, hi: int) -> tuple:
+    """Tokens, places and letters of texts ``lo`` to ``hi`` of a batch."""
+    ids, short, long, text, spelled, owner = tokens
+    top, *places = places
+    symbols, letter_owner = letters
+    a, b = np.searchsorted(text, (lo, hi)).tolist()
+    c, d = np.searchsorted(owner, (lo, hi)).tolist()
+    e, f = np.searchsorted(letter_owner, (lo, hi)).tolist()
+    below, long_at, near, far = places
+    some = ids[a:b], short[a:b], long[a:b], text[a:b] - lo, spelled[c:d], owner[c:d] - lo
+    return some, [top, below[a:b], long_at[a:b], near[e:f], far[e:f]], (symbols[e:f], letter_owner[e:f] - lo)
 
 
 SCORED = "doc_id long, n_tokens long, n_known long, base double, bits double, bits_per_byte double, others array<struct<word:binary,k:bigint>>"

@@ -9,6 +9,7 @@ from collections import Counter
 from datetime import date, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -543,6 +544,27 @@ def test_lm_score_sends_pairs_and_gets_the_counts_of_every_decision():
             assert got_ones[at].tolist() == [ones[c[k]] for _, c, _ in expected]
 
 
+def test_lm_score_answers_end_where_only_the_key_is_counted():
+    """After 200 histories of one word each an answer holds two numbers a key (before: the count at every level of its code)."""
+    counts = np.arange(2000, 0, -1)
+    words = [f"w{i}".encode() for i in range(1999)]
+    coder = mixing.Coder(mixing.digests([*words, b""]), counts, 5, np.ones((257, 256), np.int64))
+    keys = mixing.pair_keys(mixing.LONG, np.arange(200), np.arange(200) * 10)
+    table = keys, np.append(0, np.cumsum(np.full(200, 5)))
+    (payload,) = mixing.answered(coder, table, [keys])
+    assert coder.paths(keys)[1].min() >= 8 and sum(len(x) for x in mixing.unpacked(payload)) == 400
+    other = keys + np.uint64(1)  # never met: followed only as far as the two words' codes agree
+    (payload,) = mixing.answered(coder, table, [other])
+    assert not mixing.unpacked(payload)[0].any()
+
+
+def test_lm_score_words_are_split_as_defined():
+    texts = ["", " \t\n", "Aé \x0b\x0cB\x1c b\u2003C\x85 \r", "x", "\x00 Äb Z"]
+    words, sizes = mixing.split_words(pa.array(texts))
+    assert words.to_pylist() == [w for t in texts for w in mixing.words_of(t)]
+    assert sizes.tolist() == [len(mixing.words_of(t)) for t in texts]
+
+
 def test_lm_score_learns_what_follows_rare_words(spark):
     """5,000 pairs of words that always stand together: the second word costs far less than its share of all words."""
     rng = np.random.default_rng(5)
